@@ -28,14 +28,14 @@ def day_number(ts: Column | str) -> Column:
 
 def hour_number(ts: Column | str) -> Column:
     """Hours since 1970-01-01 00:00."""
-    return day_number(ts) * 24 + F.hour(_col(ts))
+    return day_number(ts) * 24 + F.hour(_col(ts)).cast("bigint")
 
 
 def micros(ts: Column | str) -> Column:
     """Microseconds since 1970-01-01 00:00."""
     ts = _col(ts)
     seconds = F.extract(F.lit("second"), ts)
-    return hour_number(ts) * HOUR_MICROS + F.minute(ts) * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+    return hour_number(ts) * HOUR_MICROS + F.minute(ts).cast("bigint") * 60_000_000 + (seconds * 1_000_000).cast("bigint")
 
 
 def from_micros(n: Column) -> Column:

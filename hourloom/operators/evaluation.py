@@ -16,22 +16,21 @@ from hourloom.operators.pieces import attach_summary
 from hourloom.operators.quantiles import percentile_columns
 from hourloom.operators.tables import inner_join_models, last_rows
 
-ACTUAL, PREDICTED = F.col("actual"), F.col("predicted")
 
 
 def scored(df: DataFrame) -> DataFrame:
     """Rows that have both an outcome and a forecast."""
-    return df.filter(ACTUAL.isNotNull() & PREDICTED.isNotNull())
+    return df.filter(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
 
 
 def regression_metrics(df: DataFrame, by: Sequence[str] = (KEY,)) -> DataFrame:
     """mae, rmse, smape, r2, n_samples per group, combined before the shuffle."""
-    return scored(df).groupBy(*by).agg(*score_columns(ACTUAL, PREDICTED))
+    return scored(df).groupBy(*by).agg(*score_columns(F.col("actual"), F.col("predicted")))
 
 
 def safe_metrics(df: DataFrame) -> DataFrame:
     """One row even for an empty table: metrics are NULL and the count 0."""
-    return scored(df).agg(*score_columns(ACTUAL, PREDICTED))
+    return scored(df).agg(*score_columns(F.col("actual"), F.col("predicted")))
 
 
 def bucket_metrics(df: DataFrame, buckets: Callable[[str], dict[str, Column]] = trading_buckets, by: Sequence[str] = (KEY,)) -> DataFrame:
@@ -41,13 +40,13 @@ def bucket_metrics(df: DataFrame, buckets: Callable[[str], dict[str, Column]] =
     have no row.
     """
     labels = F.filter(F.array(*[F.when(p, n) for n, p in buckets(TS).items()]), lambda x: x.isNotNull())
-    return scored(df).withColumn("bucket", F.explode(labels)).groupBy(*by, "bucket").agg(*score_columns(ACTUAL, PREDICTED))
+    return scored(df).withColumn("bucket", F.explode(labels)).groupBy(*by, "bucket").agg(*score_columns(F.col("actual"), F.col("predicted")))
 
 
 def hour_metrics(df: DataFrame) -> DataFrame:
     """24 disjoint buckets need no copies: group by the hour itself."""
     name = F.format_string("hour_%02d", F.hour(TS)).alias("bucket")
-    return scored(df).groupBy(KEY, name).agg(*score_columns(ACTUAL, PREDICTED))
+    return scored(df).groupBy(KEY, name).agg(*score_columns(F.col("actual"), F.col("predicted")))
 
 
 def baseline_improvement(base: DataFrame, model: DataFrame) -> DataFrame:
@@ -63,26 +62,26 @@ def baseline_improvement(base: DataFrame, model: DataFrame) -> DataFrame:
 
 def weekday_weekend(df: DataFrame) -> DataFrame:
     regime = F.when(is_weekend(TS) == 1, "weekend").otherwise("weekday").alias("regime")
-    return scored(df).groupBy(KEY, regime).agg(*score_columns(ACTUAL, PREDICTED))
+    return scored(df).groupBy(KEY, regime).agg(*score_columns(F.col("actual"), F.col("predicted")))
 
 
 def _daily(df: DataFrame) -> DataFrame:
     """Per series and day: what the metrics of any set of days can be rebuilt from."""
-    error = ACTUAL - PREDICTED
+    error = F.col("actual") - F.col("predicted")
     return scored(df).groupBy(KEY, day_number(TS).alias("day")).agg(
         F.count("*").alias("n"),
         F.sum(F.abs(error)).alias("abs_error"),
         F.sum(error * error).alias("sq_error"),
-        F.sum(smape_term(ACTUAL, PREDICTED)).alias("smape_sum"),
-        F.avg(ACTUAL).alias("mean"),
-        (F.var_pop(ACTUAL) * F.count("*")).alias("moment"),
-        F.stddev_samp(ACTUAL).alias("daily_std"),
+        F.sum(smape_term(F.col("actual"), F.col("predicted"))).alias("smape_sum"),
+        F.avg(F.col("actual")).alias("mean"),
+        (F.var_pop(F.col("actual")) * F.count("*")).alias("moment"),
+        F.stddev_samp(F.col("actual")).alias("daily_std"),
     )
 
 
 def daily_volatility(df: DataFrame) -> DataFrame:
     """Standard deviation of the outcome per series and day; one-row days have none."""
-    return scored(df).groupBy(KEY, F.to_date(TS).alias("day")).agg(F.stddev_samp(ACTUAL).alias("daily_std"))
+    return scored(df).groupBy(KEY, F.to_date(TS).alias("day")).agg(F.stddev_samp(F.col("actual")).alias("daily_std"))
 
 
 def volatility_threshold(df: DataFrame, p: float = 0.75) -> DataFrame:
@@ -125,19 +124,19 @@ def extreme_price_regimes(df: DataFrame, low: float = 0.10, high: float = 0.90)
     rows = scored(df)
     limits = percentile_columns(rows, "actual", {"low_threshold": low, "high_threshold": high}, [KEY])
     regime = (
-        F.when(ACTUAL <= F.col("low_threshold"), "low_prices")
-        .when(ACTUAL >= F.col("high_threshold"), "high_prices")
+        F.when(F.col("actual") <= F.col("low_threshold"), "low_prices")
+        .when(F.col("actual") >= F.col("high_threshold"), "high_prices")
         .otherwise("mid_prices")
     )
     # A value on both thresholds (a constant series) belongs to both extremes, as each is closed.
-    both = (ACTUAL <= F.col("low_threshold")) & (ACTUAL >= F.col("high_threshold"))
+    both = (F.col("actual") <= F.col("low_threshold")) & (F.col("actual") >= F.col("high_threshold"))
     labels = F.when(both, F.array(F.lit("low_prices"), F.lit("high_prices"))).otherwise(F.array(regime))
     return (
         attach_summary(rows.select(KEY, TS, "actual", "predicted"), limits)
         .withColumn("regime", F.explode(labels))
         .groupBy(KEY, "regime")
         .agg(
-            *score_columns(ACTUAL, PREDICTED),
+            *score_columns(F.col("actual"), F.col("predicted")),
             F.first("low_threshold").alias("low_threshold"),
             F.first("high_threshold").alias("high_threshold"),
         )
@@ -149,7 +148,7 @@ def extreme_price_regimes(df: DataFrame, low: float = 0.10, high: float = 0.90)
 
 def residual_stats(df: DataFrame) -> DataFrame:
     """Mean, standard deviation and range of ``actual - predicted`` per series."""
-    r = ACTUAL - PREDICTED
+    r = F.col("actual") - F.col("predicted")
     return scored(df).groupBy(KEY).agg(
         F.avg(r).alias("mean"), F.stddev_pop(r).alias("std"), F.min(r).alias("low"), F.max(r).alias("high")
     )
@@ -162,7 +161,7 @@ def residual_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
     bounds = stats.select(
         KEY, "mean", "std", F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"), F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high")
     )
-    rows = attach_summary(scored(df).select(KEY, TS, (ACTUAL - PREDICTED).alias("residual")), bounds)
+    rows = attach_summary(scored(df).select(KEY, TS, (F.col("actual") - F.col("predicted")).alias("residual")), bounds)
     binned = rows.withColumn("bin", equal_width_bin(F.col("residual"), F.col("low"), F.col("high"), bins))
     return binned.groupBy(KEY, "bin").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("mean", "std", "low", "high")]
@@ -171,7 +170,7 @@ def residual_histogram(df: DataFrame, bins: int = 50) -> DataFrame:
 
 def error_histogram(models: dict[str, DataFrame], low: float = -100.0, high: float = 100.0, bins: int = 50) -> DataFrame:
     """Counts per model and fixed bin; errors outside the range are not shown."""
-    parts = [scored(df).select(KEY, F.lit(name).alias("model"), (ACTUAL - PREDICTED).alias("e")) for name, df in models.items()]
+    parts = [scored(df).select(KEY, F.lit(name).alias("model"), (F.col("actual") - F.col("predicted")).alias("e")) for name, df in models.items()]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
@@ -183,5 +182,5 @@ def prediction_comparison(baseline: DataFrame, model: DataFrame, n: int = WEEK_H
     """The last ``n`` rows of both models on their common stamps, with both errors."""
     joined = inner_join_models(last_rows(baseline, n), last_rows(model, n))
     return joined.withColumns(
-        {"baseline_error": ACTUAL - F.col("baseline_predicted"), "model_error": ACTUAL - F.col("model_predicted")}
+        {"baseline_error": F.col("actual") - F.col("baseline_predicted"), "model_error": F.col("actual") - F.col("model_predicted")}
     )

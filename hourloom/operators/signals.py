@@ -14,7 +14,6 @@ from hourloom.operators.pieces import FAR, carry, in_piece, with_slot
 from hourloom.operators.quantiles import exact_percentiles
 from hourloom.operators.tables import apply_mask, left_join_market_price
 
-PRICE, CSS = F.col("predicted_price"), F.col("clean_spark_spread")
 
 
 # --- hourly ------------------------------------------------------------------
@@ -35,7 +34,7 @@ def margin_side(css: Column) -> Column:
 
 def validity(df: DataFrame, costs: Economics = Economics(), uncertainty: str | None = None) -> DataFrame:
     """``series_key, ts, valid``: false for uncertain or absurd prices; unknown values stay valid."""
-    bad = (PRICE < costs.floor_price) | (PRICE > costs.cap_price)
+    bad = (F.col("predicted_price") < costs.floor_price) | (F.col("predicted_price") > costs.cap_price)
     if uncertainty:
         bad = F.coalesce(bad, F.lit(False)) | (F.col(uncertainty) > costs.max_uncertainty)
     return df.select(KEY, TS, (~F.coalesce(bad, F.lit(False))).alias("valid"))
@@ -74,16 +73,16 @@ def hourly_signals(
         priced = rolled.withColumnRenamed(name, "market_price")
     out = priced.withColumns(
         {
-            "clean_spark_spread": clean_spark_spread(PRICE, costs),
+            "clean_spark_spread": clean_spark_spread(F.col("predicted_price"), costs),
             "marginal_cost": F.lit(costs.marginal_cost),
-            "price_spread": PRICE - F.col("market_price"),
+            "price_spread": F.col("predicted_price") - F.col("market_price"),
         }
     )
     out = out.withColumns(
         {
             "signal": side(F.col("price_spread"), costs.threshold),
-            "margin_signal": margin_side(CSS),
-            "dispatch_pnl": clip_at_zero(CSS),
+            "margin_signal": margin_side(F.col("clean_spark_spread")),
+            "dispatch_pnl": clip_at_zero(F.col("clean_spark_spread")),
         }
     )
     return mask_signals(out, mask) if mask is not None else out
@@ -107,12 +106,12 @@ def bucket_signals(buckets: DataFrame, costs: Economics = Economics()) -> DataFr
     mean = F.avg("predicted_price").over(Window.partitionBy(KEY))
     out = buckets.withColumns(
         {
-            "clean_spark_spread": clean_spark_spread(PRICE, costs),
+            "clean_spark_spread": clean_spark_spread(F.col("predicted_price"), costs),
             "marginal_cost": F.lit(costs.marginal_cost),
-            "price_vs_avg": PRICE - mean,
+            "price_vs_avg": F.col("predicted_price") - mean,
         }
     )
-    return out.withColumns({"margin_signal": margin_side(CSS), "signal": side(F.col("price_vs_avg"), costs.threshold)})
+    return out.withColumns({"margin_signal": margin_side(F.col("clean_spark_spread")), "signal": side(F.col("price_vs_avg"), costs.threshold)})
 
 
 # --- summaries ---------------------------------------------------------------
@@ -125,11 +124,11 @@ def signal_distribution(signals: DataFrame) -> DataFrame:
 
 
 def margin_summary(signals: DataFrame) -> DataFrame:
-    good = F.count(F.when(CSS > 0, 1))
+    good = F.count(F.when(F.col("clean_spark_spread") > 0, 1))
     pnl = F.sum("dispatch_pnl")
     return signals.groupBy(KEY).agg(
         F.count("*").alias("hours"),
-        F.avg(CSS).alias("avg_css"),
+        F.avg(F.col("clean_spark_spread")).alias("avg_css"),
         good.alias("profitable_hours"),
         percent(good, F.count("*")).alias("profitable_pct"),
         pnl.alias("total_pnl"),
@@ -146,7 +145,7 @@ def side_summary(signals: DataFrame) -> DataFrame:
     return (
         signals.filter(F.col("signal").isin("BUY", "SELL"))
         .groupBy(KEY, "signal")
-        .agg(F.count("*").alias("n"), F.avg("price_spread").alias("avg_price_spread"), F.avg(CSS).alias("avg_css"))
+        .agg(F.count("*").alias("n"), F.avg("price_spread").alias("avg_price_spread"), F.avg(F.col("clean_spark_spread")).alias("avg_css"))
     )
 
 
@@ -157,13 +156,13 @@ def dispatch_backtest(signals: DataFrame, costs: Economics = Economics()) -> Dat
     def hits(c: Column) -> Column:
         return F.count(F.when(c, 1))
 
-    correct, wrong = hits((CSS > 0) & (actual > 0)), hits((CSS > 0) & (actual <= 0))
+    correct, wrong = hits((F.col("clean_spark_spread") > 0) & (actual > 0)), hits((F.col("clean_spark_spread") > 0) & (actual <= 0))
     return signals.groupBy(KEY).agg(
         hits(actual > 0).alias("actual_profitable"),
         percent(hits(actual > 0), F.count("*")).alias("actual_profitable_pct"),
         correct.alias("correct"),
         wrong.alias("wrong"),
-        hits((CSS <= 0) & (actual > 0)).alias("missed"),
+        hits((F.col("clean_spark_spread") <= 0) & (actual > 0)).alias("missed"),
         percent(correct, correct + wrong).alias("accuracy_pct"),
     )
 
@@ -184,8 +183,8 @@ def negative_streak(df: DataFrame, column: str = "clean_spark_spread", step: str
 
 def best_worst_bucket(buckets: DataFrame) -> DataFrame:
     """Buckets with the highest and lowest margin; ties go to the first by name."""
-    best, worst = F.min(F.struct((-CSS).alias("k"), "bucket")), F.min(F.struct(CSS.alias("k"), "bucket"))
-    known = buckets.filter(CSS.isNotNull()).groupBy(KEY).agg(best.alias("b"), worst.alias("w"))
+    best, worst = F.min(F.struct((-F.col("clean_spark_spread")).alias("k"), "bucket")), F.min(F.struct(F.col("clean_spark_spread").alias("k"), "bucket"))
+    known = buckets.filter(F.col("clean_spark_spread").isNotNull()).groupBy(KEY).agg(best.alias("b"), worst.alias("w"))
     return known.select(
         KEY,
         F.col("b")["bucket"].alias("best_bucket"),
@@ -202,21 +201,21 @@ LOW_CONFIDENCE_PCT = 60
 
 def trading_context(signals: DataFrame, buckets: DataFrame) -> DataFrame:
     """All numbers of a briefing in one nested row per series."""
-    good = F.count(F.when(CSS > 0, 1))
+    good = F.count(F.when(F.col("clean_spark_spread") > 0, 1))
     pct = percent(good, F.count("*"))
-    volatility = F.round(F.stddev_samp(PRICE), 2)
+    volatility = F.round(F.stddev_samp(F.col("predicted_price")), 2)
     euro = F.lit("€")
     main = signals.groupBy(KEY).agg(
         day_text(F.max(TS)).alias("forecast_date"),
         F.count("*").alias("hours_analyzed"),
-        F.round(F.avg(CSS), 2).alias("avg_css_eur"),
+        F.round(F.avg(F.col("clean_spark_spread")), 2).alias("avg_css_eur"),
         good.alias("profitable_hours"),
         F.round(pct, 1).alias("profitable_pct"),
         F.round(F.sum("dispatch_pnl"), 2).alias("total_dispatch_pnl_eur"),
-        F.round(F.avg(PRICE), 2).alias("avg_price_eur"),
+        F.round(F.avg(F.col("predicted_price")), 2).alias("avg_price_eur"),
         F.concat(
-            euro, F.round(F.min(PRICE)).cast("bigint").cast("string"), F.lit(" - "),
-            euro, F.round(F.max(PRICE)).cast("bigint").cast("string"),
+            euro, F.round(F.min(F.col("predicted_price"))).cast("bigint").cast("string"), F.lit(" - "),
+            euro, F.round(F.max(F.col("predicted_price"))).cast("bigint").cast("string"),
         ).alias("price_range"),
         volatility.alias("price_volatility"),
         (pct < LOW_CONFIDENCE_PCT).alias("low_confidence"),
@@ -229,7 +228,7 @@ def trading_context(signals: DataFrame, buckets: DataFrame) -> DataFrame:
     view = buckets.groupBy(KEY).agg(
         F.sort_array(
             F.collect_list(
-                F.struct("bucket", PRICE.alias("price"), CSS.alias("css"), F.col("margin_signal").alias("signal"))
+                F.struct("bucket", F.col("predicted_price").alias("price"), F.col("clean_spark_spread").alias("css"), F.col("margin_signal").alias("signal"))
             )
         ).alias("bucket_summary")
     )
