@@ -1 +1,156 @@
-"""."""
+"""Scores of the naive forecasts of five series."""
+
+from __future__ import annotations
+
+
+from bindings.base import KEY, MODEL_LAG, P, PM, ROUNDED_SCORES, SCORES, predictions, query, r
+from hourloom.operators import evaluation as ev
+
+DOW = "(isodow(ts) - 1)"
+
+
+def scored_sql(extra: str, group: str, source: str = "p", where: str = "true", ctes: str = P) -> str:
+    return f"WITH {ctes}, s AS (SELECT {extra}, {SCORES} FROM {source} WHERE {where} GROUP BY {group})"
+
+
+@query("regression_metrics", f"{scored_sql('series_key', '1')} SELECT series_key, {ROUNDED_SCORES} FROM s")
+def regression_metrics(spark, sf_dir):
+    return ev.regression_metrics(predictions(spark, sf_dir))
+
+
+@query("safe_metrics", f"WITH {P}, s AS (SELECT {SCORES} FROM p WHERE actual < 0) SELECT {ROUNDED_SCORES} FROM s")
+def safe_metrics(spark, sf_dir):
+    return ev.safe_metrics(predictions(spark, sf_dir).filter("actual < 0"))
+
+
+_NIGHT, _LATE, _PEAK = "hour(ts) < 6", "hour(ts) >= 22", f"(hour(ts) >= 8 AND hour(ts) < 20 AND {DOW} < 5)"
+_BUCKETS = {
+    "off_peak_night": _NIGHT,
+    "off_peak_late": _LATE,
+    "peak": _PEAK,
+    "shoulder": f"NOT ({_NIGHT}) AND NOT ({_LATE}) AND NOT {_PEAK}",
+    "weekend": f"{DOW} >= 5",
+    "weekday": f"{DOW} < 5",
+}
+
+
+def _bucket_sql(where: str = "true") -> str:
+    parts = [f"SELECT series_key, '{n}' AS bucket, {SCORES} FROM p WHERE {w} AND {where} GROUP BY 1" for n, w in _BUCKETS.items()]
+    return f"WITH {P}, s AS (" + " UNION ALL ".join(parts) + ")"
+
+
+
+@query("bucket_metrics", f"{_bucket_sql('actual > 20')} SELECT series_key, bucket, {ROUNDED_SCORES} FROM s")
+def bucket_metrics(spark, sf_dir):
+    return ev.bucket_metrics(predictions(spark, sf_dir).filter("actual > 20"))
+
+
+@query("trading_buckets", _bucket_sql() + " SELECT series_key, bucket, n_samples FROM s")
+def trading_buckets(spark, sf_dir):
+    return ev.bucket_metrics(predictions(spark, sf_dir)).select(KEY, "bucket", "n_samples")
+
+
+@query("hour_buckets", f"""{scored_sql("series_key, 'hour_' || lpad(CAST(hour(ts) AS VARCHAR), 2, '0') AS bucket", '1, 2')} SELECT series_key, bucket, {ROUNDED_SCORES} FROM s""")
+def hour_buckets(spark, sf_dir):
+    return ev.hour_metrics(predictions(spark, sf_dir))
+
+
+@query(
+    "baseline_improvement",
+    f"""WITH {PM}, a AS (SELECT series_key, {SCORES} FROM p GROUP BY 1), b AS (SELECT series_key, {SCORES} FROM m GROUP BY 1)
+SELECT series_key, {r(*[f'{n}_improvement_pct=100 * (a.{n} - b.{n}) / a.{n}' for n in ('mae', 'rmse', 'smape')])} FROM a JOIN b USING (series_key)""",
+)
+def baseline_improvement(spark, sf_dir):
+    return ev.baseline_improvement(ev.regression_metrics(predictions(spark, sf_dir)), ev.regression_metrics(predictions(spark, sf_dir, MODEL_LAG)))
+
+
+@query("stress_weekday_weekend", f"{scored_sql(f'''series_key, CASE WHEN {DOW} >= 5 THEN 'weekend' ELSE 'weekday' END AS regime''', '1, 2')} SELECT series_key, regime, {ROUNDED_SCORES} FROM s")
+def stress_weekday_weekend(spark, sf_dir):
+    return ev.weekday_weekend(predictions(spark, sf_dir))
+
+
+_DAYS = "days AS (SELECT series_key, CAST(ts AS DATE) AS day, stddev_samp(actual) AS sd FROM p GROUP BY 1, 2)"
+_LIMIT = "k AS (SELECT series_key, quantile_cont(sd, 0.75) AS threshold FROM days GROUP BY 1)"
+
+
+@query(
+    "stress_volatility",
+    f"""WITH {P}, {_DAYS}, {_LIMIT}, c AS (SELECT p.*, d.day, CASE WHEN d.sd > k.threshold THEN 'high_volatility' ELSE 'low_volatility' END AS regime
+  FROM p JOIN days d ON p.series_key = d.series_key AND CAST(p.ts AS DATE) = d.day JOIN k ON k.series_key = p.series_key WHERE d.sd IS NOT NULL),
+s AS (SELECT series_key, regime, {SCORES}, count(DISTINCT day) AS n_days FROM c GROUP BY 1, 2)
+SELECT series_key, regime, {ROUNDED_SCORES}, n_days FROM s""",
+)
+def stress_volatility(spark, sf_dir):
+    return ev.volatility_regimes(predictions(spark, sf_dir), None)
+
+
+@query("volatility_threshold", f"WITH {P}, {_DAYS}, {_LIMIT} SELECT series_key, {r('threshold')} FROM k")
+def volatility_threshold(spark, sf_dir):
+    return ev.volatility_threshold(predictions(spark, sf_dir))
+
+
+@query(
+    "stress_extreme_prices",
+    f"""WITH {P}, k AS (SELECT series_key, quantile_cont(actual, 0.1) AS low_threshold, quantile_cont(actual, 0.9) AS high_threshold FROM p GROUP BY 1),
+c AS (SELECT p.*, k.low_threshold, k.high_threshold, CASE WHEN actual <= low_threshold THEN 'low_prices' WHEN actual >= high_threshold THEN 'high_prices' ELSE 'mid_prices' END AS regime
+  FROM p JOIN k USING (series_key)),
+s AS (SELECT series_key, regime, {SCORES}, any_value(low_threshold) AS low_threshold, any_value(high_threshold) AS high_threshold FROM c GROUP BY 1, 2)
+SELECT series_key, regime, {ROUNDED_SCORES}, {r('low_threshold', 'high_threshold')} FROM s""",
+)
+def stress_extreme_prices(spark, sf_dir):
+    return ev.extreme_price_regimes(predictions(spark, sf_dir))
+
+
+@query(
+    "residual_stats",
+    f"""WITH {P}, k AS (SELECT series_key, avg(residual) AS mean, stddev_pop(residual) AS std, min(residual) AS low, max(residual) AS high FROM p GROUP BY 1)
+SELECT series_key, CAST(least(floor((residual - low) / (high - low) * 50) + 1, 50) AS INTEGER) AS bin, count(*) AS n,
+  {r('mean=any_value(mean)', 'std=any_value(std)', 'low=any_value(low)', 'high=any_value(high)')} FROM p JOIN k USING (series_key) GROUP BY 1, 2""",
+)
+def residual_stats(spark, sf_dir):
+    return ev.residual_histogram(predictions(spark, sf_dir))
+
+
+@query(
+    "error_histogram",
+    f"""WITH {PM}, e AS (SELECT series_key, 'baseline' AS model, residual AS e FROM p UNION ALL SELECT series_key, 'improved', residual FROM m)
+SELECT series_key, model, CAST(least(floor((e + 100.0) / 200.0 * 50) + 1, 50) AS INTEGER) AS bin, count(*) AS n FROM e WHERE e >= -100 AND e <= 100 GROUP BY 1, 2, 3""",
+)
+def error_histogram(spark, sf_dir):
+    return ev.error_histogram({"baseline": predictions(spark, sf_dir), "improved": predictions(spark, sf_dir, MODEL_LAG)})
+
+
+_LAST = "row_number() OVER (PARTITION BY series_key ORDER BY ts DESC) <= 168"
+
+
+@query(
+    "prediction_comparison",
+    f"""WITH {PM}, a AS (SELECT * FROM p QUALIFY {_LAST}), b AS (SELECT * FROM m QUALIFY {_LAST})
+SELECT a.series_key, a.ts, {r('actual=a.actual', 'baseline_predicted=a.predicted', 'model_predicted=b.predicted', 'baseline_error=a.actual - a.predicted', 'model_error=a.actual - b.predicted')}
+FROM a JOIN b ON a.series_key = b.series_key AND a.ts = b.ts""",
+)
+def prediction_comparison(spark, sf_dir):
+    return ev.prediction_comparison(predictions(spark, sf_dir), predictions(spark, sf_dir, MODEL_LAG))
+
+
+@query("stress_missing_driver")
+def stress_missing_driver(spark, sf_dir):
+    from bindings.models import BOOST, stored_features
+    from hourloom.operators.baseline import split_ratio
+    from hourloom.plans.boosting import fit_boosted, missing_driver_stress, model_inputs
+
+    rows = stored_features(spark, sf_dir)
+    inputs = model_inputs(rows)
+    parted = split_ratio(rows.na.drop("any"))
+    model = fit_boosted(parted.filter("split = 'train'"), inputs=inputs, spec=BOOST)
+    return missing_driver_stress(model, parted.filter("split = 'validation'").drop("split"))
+
+
+@query("run_validation")
+def run_validation(spark, sf_dir):
+    from bindings.models import JOB, stored_features
+    from hourloom.plans.validation import run_validation as validate
+
+    return validate(stored_features(spark, sf_dir), JOB)
+
+

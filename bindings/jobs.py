@@ -1 +1,107 @@
-"""."""
+"""End-to-end jobs over the test tables."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from bindings.base import COSTS, H, KEY, MARGINAL, PM, RULES, TARGET, TS, VALUES, market, predictions, query, r, table
+from bindings.features import DOUBLES, INTS, features_sql
+from bindings.models import JOB, stored_features
+from bindings.regularize import ZONE, grid_sql
+from bindings.signals import side_sql
+from bindings.tables import ffill_rows_sql
+from hourloom.config import FoldSpec, JobSpec
+from hourloom.functions.clock import hour_start, plus_hours
+from hourloom.plans import jobs, training
+from hourloom.sources.workspace import fresh_folder
+
+LOCAL_HOURS = 1  # the tables' month is winter time: local clock = UTC + 1 h
+
+
+def _price_events(spark, sf_dir):
+    """Purchases with local stamps cut to the hour: repeated, gappy, unsorted."""
+    e = table(spark, sf_dir, "events").filter("event_type = 'purchase'")
+    return e.select(F.lit("all").alias(KEY), plus_hours(hour_start(TS), LOCAL_HOURS).alias(TS), F.col("value").alias("Price EUR"), "event_id")
+
+
+_PRICES = """h0 AS (SELECT 'all' AS series_key, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, avg(value) AS day_ahead_price
+  FROM events WHERE event_type = 'purchase' GROUP BY 2)"""
+
+
+@query("normalize_series", f"WITH {_PRICES}, {grid_sql('h0')} SELECT series_key, ts, {r(TARGET)} FROM g")
+def normalize_series(spark, sf_dir):
+    return jobs.normalize_prices(_price_events(spark, sf_dir), ZONE, "event_id")
+
+
+def _drivers(spark, sf_dir):
+    return market(spark, sf_dir).select(KEY, TS, *VALUES[1:]).na.drop("all", subset=list(VALUES[1:]))
+
+
+_DRIVER_ROWS = f"v0 AS (SELECT series_key, ts, {', '.join(VALUES[1:])} FROM h WHERE coalesce({', '.join(VALUES[1:])}) IS NOT NULL)"
+
+
+@query(
+    "job_ingest",
+    f"""WITH {H}, h0 AS (SELECT series_key, ts, day_ahead_price FROM h WHERE day_ahead_price IS NOT NULL), {grid_sql('h0')}, {_DRIVER_ROWS}, {grid_sql('v0', 'v')}
+SELECT series_key, ts, {r(*VALUES)} FROM g FULL JOIN v USING (series_key, ts)""",
+)
+def job_ingest(spark, sf_dir):
+    prices = market(spark, sf_dir).select(KEY, TS, TARGET).na.drop()
+    return jobs.ingest(prices, _drivers(spark, sf_dir))
+
+
+@query(
+    "job_prepare",
+    f"""WITH {H}, {grid_sql('h')}, {ffill_rows_sql('g', 2)}, clean AS (SELECT * FROM filled WHERE day_ahead_price IS NOT NULL), {features_sql('clean')}
+SELECT series_key, ts, {', '.join(INTS)}, {r(*DOUBLES)} FROM f""",
+)
+def job_prepare(spark, sf_dir):
+    raw = jobs.complete_hours(market(spark, sf_dir))
+    spec = JobSpec(contract=RULES)
+    return jobs.prepare(raw, spec, fresh_folder(spark, "prepare"), "run1", fail_fast=False).features
+
+
+@query("job_eval")
+def job_eval(spark, sf_dir):
+    spec = replace(JOB, folds=FoldSpec(train_days=14, test_days=2, n_splits=3))
+    per_fold, means = training.run_eval(stored_features(spark, sf_dir), spec)
+    return means
+
+
+JOB_COSTS = COSTS
+_LAST = "row_number() OVER (PARTITION BY series_key ORDER BY ts DESC) <= 168"
+_WINDOW = f"""{PM}, f AS (SELECT series_key, ts, actual AS actual_price, predicted AS predicted_price FROM p QUALIFY {_LAST}),
+s0 AS (SELECT *, predicted_price - {MARGINAL} AS css, avg(predicted_price) OVER (PARTITION BY series_key ORDER BY ts ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) AS market_price FROM f),
+s AS (SELECT *, {side_sql('(predicted_price - market_price)')} AS signal, greatest(css, 0.0) AS pnl FROM s0)"""
+
+
+@query(
+    "job_signals",
+    f"""WITH {_WINDOW}, g AS (SELECT series_key, count(*) AS hours, avg(css) AS avg_css, count(*) FILTER (WHERE css > 0) AS profitable_hours, sum(pnl) AS total_pnl,
+  quantile_cont(css, 0.5) AS median_css, count(*) FILTER (WHERE signal = 'BUY') AS buys,
+  count(*) FILTER (WHERE css > 0 AND actual_price > {MARGINAL}) AS correct FROM s GROUP BY 1)
+SELECT series_key, hours, profitable_hours, buys, correct, {r('avg_css', 'total_pnl', 'median_css')} FROM g""",
+)
+def job_signals(spark, sf_dir):
+    tables = jobs.run_signals(predictions(spark, sf_dir).drop("residual"), JobSpec(economics=JOB_COSTS), fresh_folder(spark, "signals"))
+    median = tables.percentiles.filter("percentile = 50").select(KEY, F.col("css").alias("median_css"))
+    buys = tables.distribution.filter("signal = 'BUY'").select(KEY, F.col("n").alias("buys"))
+    hits = tables.backtest.select(KEY, "correct")
+    main = tables.margins.select(KEY, "hours", "profitable_hours", "avg_css", "total_pnl")
+    return main.join(median, KEY).join(buys, KEY).join(hits, KEY)
+
+
+@query(
+    "job_morning_signal",
+    f"""WITH {_WINDOW} SELECT series_key, 'DE_LU' AS market, strftime(min(ts), '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS period,
+  {r('avg_css_eur=round(avg(css), 2)')} FROM s GROUP BY 1""",
+)
+def job_morning_signal(spark, sf_dir):
+    folder = fresh_folder(spark, "morning")
+    record = jobs.morning_signal(predictions(spark, sf_dir).drop("residual"), JobSpec(economics=JOB_COSTS), folder)
+    written = spark.read.schema(record.schema).json(f"{folder}/morning_signal")
+    return written.select(KEY, "market", "period", F.col("context")["avg_css_eur"].alias("avg_css_eur"))
+
+

@@ -1 +1,163 @@
-"""."""
+"""Naive forecasts, splits, folds, and boosted trees."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from bindings.base import D, H, KEY, ROUNDED_SCORES, SCORES, TARGET, TS, TYPES, VALUES, by_type, daily, market, query, r
+from bindings.tables import FOLDS, folds_sql
+from hourloom.config import BoostSpec, FeatureSpec, JobSpec
+from hourloom.operators import baseline
+from hourloom.operators.features import build_features, lag_features
+from hourloom.plans import boosting, training
+from hourloom.sources.workspace import fresh_folder
+
+LAGGED = """l AS (SELECT a.*, b.day_ahead_price AS lag FROM t a LEFT JOIN t b ON a.series_key = b.series_key AND b.ts = a.ts - INTERVAL 168 HOUR)"""
+
+
+def _lagged(spark, sf_dir):
+    return lag_features(by_type(spark, sf_dir), [TARGET], [168])
+
+
+@query("naive_seasonal", f"WITH {TYPES}, {LAGGED} SELECT series_key, ts, {r('predicted=coalesce(lag, avg(lag) OVER (PARTITION BY series_key))')} FROM l")
+def naive_seasonal(spark, sf_dir):
+    return baseline.naive_seasonal(_lagged(spark, sf_dir)).select(KEY, TS, "predicted")
+
+
+@query(
+    "train_baseline",
+    f"""WITH {H}, l AS (SELECT a.*, b.day_ahead_price AS lag FROM h a JOIN h b ON b.ts = a.ts - INTERVAL 168 HOUR)
+SELECT series_key, ts, {r('actual=day_ahead_price', 'predicted=lag', 'residual=day_ahead_price - lag')} FROM l WHERE day_ahead_price IS NOT NULL AND lag IS NOT NULL""",
+)
+def train_baseline(spark, sf_dir):
+    return baseline.train_baseline(market(spark, sf_dir))
+
+
+@query(
+    "evaluate_baseline",
+    f"""WITH {H}, l AS (SELECT a.*, b.day_ahead_price AS lag FROM h a JOIN h b ON b.ts = a.ts - INTERVAL 168 HOUR)
+SELECT series_key, ts, {r('actual=day_ahead_price', 'baseline_pred=lag')} FROM l WHERE lag IS NOT NULL""",
+)
+def evaluate_baseline(spark, sf_dir):
+    return baseline.evaluate_baseline(market(spark, sf_dir))
+
+
+@query(
+    "split_ratio_time",
+    f"""WITH {D} SELECT series_key, ts, {r(TARGET)},
+  CASE WHEN row_number() OVER (PARTITION BY series_key ORDER BY ts) <= floor(count(*) OVER (PARTITION BY series_key) * 0.8::DOUBLE) THEN 'train' ELSE 'validation' END AS split FROM d""",
+)
+def split_ratio_time(spark, sf_dir):
+    return baseline.split_ratio(daily(spark, sf_dir).select(KEY, TS, TARGET), 0.8, step="day")
+
+
+@query(
+    "split_last_days",
+    f"""WITH {TYPES} SELECT series_key, ts, {r(TARGET)},
+  CASE WHEN ts < max(ts) OVER (PARTITION BY series_key) - INTERVAL 7 DAY THEN 'train' ELSE 'validation' END AS split FROM t""",
+)
+def split_last_days(spark, sf_dir):
+    return baseline.split_last_days(by_type(spark, sf_dir).select(KEY, TS, TARGET), 7)
+
+
+@query(
+    "cv_folds",
+    f"""WITH {D}, {folds_sql()},
+c AS (SELECT f.series_key, f.split, count(*) FILTER (WHERE d.ts >= train_start AND d.ts < train_end) AS train_rows,
+    count(*) FILTER (WHERE d.ts >= test_start AND d.ts < test_end) AS test_rows
+  FROM folds f JOIN d ON d.series_key = f.series_key GROUP BY 1, 2)
+SELECT f.series_key, CAST(row_number() OVER (PARTITION BY f.series_key ORDER BY f.split) - 1 AS INTEGER) AS split, train_start, train_end, test_start, test_end, train_rows, test_rows
+FROM folds f JOIN c ON c.series_key = f.series_key AND c.split = f.split WHERE train_rows > 0 AND test_rows > 0""",
+)
+def cv_folds(spark, sf_dir):
+    return baseline.cv_folds(daily(spark, sf_dir), FOLDS)
+
+
+WEEK = 7
+_FOLD_SCORES = f"""w AS (SELECT *, max(day_ahead_price) OVER (PARTITION BY series_key ORDER BY ts RANGE BETWEEN INTERVAL {WEEK} DAY PRECEDING AND INTERVAL {WEEK} DAY PRECEDING) AS lag FROM d),
+tested AS (SELECT w.series_key, f.split, w.day_ahead_price AS actual, w.lag AS predicted FROM w JOIN folds f ON w.series_key = f.series_key AND w.ts >= f.test_start AND w.ts < f.test_end
+  WHERE w.lag IS NOT NULL),
+scores AS (SELECT series_key, split, {SCORES} FROM tested GROUP BY 1, 2)"""
+
+
+def _daily_lagged(spark, sf_dir):
+    return lag_features(daily(spark, sf_dir), [TARGET], [WEEK], step="day")
+
+
+@query("cv_evaluate", f"WITH {D}, {folds_sql()}, {_FOLD_SCORES} SELECT series_key, split, {ROUNDED_SCORES} FROM scores")
+def cv_evaluate(spark, sf_dir):
+    rows = _daily_lagged(spark, sf_dir)
+    return baseline.cv_baseline(rows, baseline.cv_folds(rows, FOLDS), lag=WEEK)
+
+
+@query(
+    "cv_mean_metrics",
+    f"""WITH {D}, {folds_sql()}, {_FOLD_SCORES}
+SELECT series_key, {r('mae=avg(mae)', 'rmse=avg(rmse)', 'smape=avg(smape)', 'r2=avg(r2)')}, count(*) AS n_folds FROM scores GROUP BY 1""",
+)
+def cv_mean_metrics(spark, sf_dir):
+    rows = _daily_lagged(spark, sf_dir)
+    return baseline.cv_mean_metrics(baseline.cv_baseline(rows, baseline.cv_folds(rows, FOLDS), lag=WEEK))
+
+
+# --- boosted trees: no SQL can repeat the fit ---------------------------------
+
+BOOST = BoostSpec(n_trees=10, learning_rate=0.1, max_depth=4, min_child_rows=5)
+FEATURES = FeatureSpec(lag_columns=(TARGET, VALUES[1]), lags=(24, 48, 168), rolling_columns=(TARGET,))
+JOB = JobSpec(boost=BOOST, features=FEATURES, validation_days=7)
+
+
+def features(spark, sf_dir):
+    return build_features(by_type(spark, sf_dir), FEATURES)
+
+
+def stored_features(spark, sf_dir):
+    """Written once and read back: fitting reads its input several times."""
+    path = fresh_folder(spark, "features")
+    features(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("gbt_fit_predict")
+def gbt_fit_predict(spark, sf_dir):
+    rows = stored_features(spark, sf_dir).na.drop("any")
+    return boosting.predict(boosting.fit_boosted(rows, spec=BOOST), rows)
+
+
+@query("train_improved")
+def train_improved(spark, sf_dir):
+    _, out = boosting.train_improved(stored_features(spark, sf_dir), spec=BOOST)
+    return out
+
+
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    model = boosting.fit_boosted(stored_features(spark, sf_dir), spec=BOOST)
+    return boosting.top_importance(boosting.feature_importance(model, spark), 20)
+
+
+@query(
+    "importance_share",
+    f"""WITH i AS (SELECT l_shipdate AS d, l_returnflag || l_linestatus || CAST(l_linenumber AS VARCHAR) AS feature, l_extendedprice FROM lineitem),
+s AS (SELECT feature, sum(l_extendedprice) AS importance FROM i GROUP BY 1)
+SELECT feature, {r('importance', 'importance_pct=importance_pct')} FROM (SELECT *, 100.0 * importance / sum(importance) OVER () AS importance_pct FROM s) ORDER BY importance DESC, feature LIMIT 10""",
+)
+def importance_share(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    name = F.concat("l_returnflag", "l_linestatus", F.col("l_linenumber").cast("string")).alias("feature")
+    return boosting.importance_share(li.groupBy(name).agg(F.sum("l_extendedprice").alias("importance")))
+
+
+@query("model_save_load")
+def model_save_load(spark, sf_dir):
+    rows = stored_features(spark, sf_dir).na.drop("any")
+    path = fresh_folder(spark, "model")
+    boosting.save_model(boosting.fit_boosted(rows, spec=BOOST), path, {"run_id": "run1", "model_type": "gbt"}, spark)
+    model, metadata = boosting.load_model(path, spark)
+    return boosting.predict(model, rows).withColumn("run_id", F.lit(metadata["run_id"]))
+
+
+@query("run_training")
+def run_training(spark, sf_dir):
+    outcomes = training.run_training(stored_features(spark, sf_dir), JOB)
+    return training.comparison(outcomes)

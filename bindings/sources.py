@@ -120,7 +120,7 @@ WHERE ts >= TIMESTAMP '2024-01-04 23:00:00' AND ts < TIMESTAMP '2024-01-19 23:00
 def scan_parquet_range(spark, sf_dir):
     path = fresh_folder(spark, "cache")
     sinks.write_series(by_type(spark, sf_dir), path)
-    return files.read_cached(spark, path, "2024-01-05", "2024-01-19", "Europe/Berlin").drop("month")
+    return files.read_cached(spark, path, "2024-01-05", "2024-01-19", "Europe/Berlin").drop("ts_month")
 
 
 SOURCE_LIMIT = 30.0
@@ -166,11 +166,11 @@ def latest_run(spark, sf_dir):
     return files.latest_run(spark.read.parquet(path))
 
 
-@query("sink_parquet", f"WITH {TYPES} SELECT series_key, ts, {r(*VALUES)}, '2024-01' AS month, 'run1' AS run_id FROM t")
+@query("sink_parquet", f"WITH {TYPES} SELECT series_key, ts, {r(*VALUES)}, '2024-01' AS ts_month, 'run1' AS run_id FROM t")
 def sink_parquet(spark, sf_dir):
     path = fresh_folder(spark, "sink")
     sinks.write_series(by_type(spark, sf_dir), path, "run1")
-    return spark.read.parquet(path).withColumn("month", F.col("month").cast("string"))
+    return spark.read.parquet(path).withColumn("ts_month", F.col("ts_month").cast("string"))
 
 
 @query("sink_csv", f"WITH {P} SELECT series_key, ts, {r('actual', 'predicted', 'residual')} FROM p")

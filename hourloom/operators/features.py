@@ -165,7 +165,7 @@ def window_features(
 
 
 def lag_features(df: DataFrame, columns: Sequence[str], lags: Sequence[int] = (24, 48, 168), mode: str = "time", step: str = "hour") -> DataFrame:
-    if lags and min(lags) < DAY_SLOTS:
+    if step == "hour" and lags and min(lags) < DAY_SLOTS:
         log.warning("a lag of %s hours can leak the day being predicted", min(lags))
     return window_features(df, lag_columns=columns, lags=lags, mode=mode, step=step)
 

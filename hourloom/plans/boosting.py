@@ -32,6 +32,7 @@ def model_inputs(df: DataFrame, target: str = TARGET) -> list[str]:
 
 
 def boosted_trees(inputs: Sequence[str], target: str = TARGET, spec: BoostSpec = BoostSpec(), stop_column: str | None = None) -> Pipeline:
+    stopping = {"validationIndicatorCol": stop_column, "validationTol": spec.stop_tolerance} if stop_column else {}
     trees = GBTRegressor(
         featuresCol="_features",
         labelCol=target,
@@ -43,9 +44,8 @@ def boosted_trees(inputs: Sequence[str], target: str = TARGET, spec: BoostSpec =
         subsamplingRate=spec.subsample,
         featureSubsetStrategy=str(spec.column_share),
         seed=spec.seed,
+        **stopping,
     )
-    if stop_column:
-        trees = trees.setValidationIndicatorCol(stop_column).setValidationTol(spec.stop_tolerance)
     return Pipeline(stages=[VectorAssembler(inputCols=list(inputs), outputCol="_features", handleInvalid="skip"), trees])
 
 

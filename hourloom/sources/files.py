@@ -15,6 +15,7 @@ from hourloom.functions.numbers import coerce_number
 from hourloom.operators.pieces import attach_summary
 from hourloom.operators.tables import outer_join_sources, time_range
 from hourloom.sources.schema import enforce_schema, validate_schema
+from hourloom.sources.sinks import MONTH
 
 log = logging.getLogger(__name__)
 
@@ -204,8 +205,16 @@ def load_from_mix(payload: DataFrame) -> DataFrame:
 
 
 def read_cached(spark: SparkSession, path: str, start: str, end: str, zone: str | None = None) -> DataFrame:
-    """A cached series table cut to local days ``start``..``end``; the filter is pushed to the scan."""
-    return time_range(spark.read.parquet(path), start, end, zone)
+    """A cached series table cut to local days ``start``..``end``.
+
+    The stamp filter is pushed to the scan; in tables laid out by month the
+    folders outside the range (a day wider, for the zone) are not even listed.
+    """
+    table = spark.read.parquet(path)
+    if MONTH in table.columns:
+        low, high = (F.date_format(F.date_add(F.lit(day).cast("date"), n), "yyyy-MM") for day, n in ((start, -1), (end, 2)))
+        table = table.filter(F.col(MONTH).between(low, high))
+    return time_range(table, start, end, zone)
 
 
 # --- choosing a source -------------------------------------------------------
