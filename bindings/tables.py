@@ -9,7 +9,7 @@ from hourloom.config import FoldSpec
 from hourloom.functions.clock import hour_start, micros
 from hourloom.operators import tables
 from hourloom.operators.baseline import assign_folds, cv_folds
-from hourloom.operators.evaluation import daily_volatility
+from hourloom.operators.evaluation import daily_volatility, volatility_threshold
 from hourloom.operators.quality import top_extremes
 from hourloom.operators.regularize import hour_grid, reindex, trim_to_valid
 from hourloom.operators.signals import hourly_signals, mask_signals, validity
@@ -179,12 +179,15 @@ def inner_join_models(spark, sf_dir):
 
 @query(
     "semi_join_days",
-    f"""WITH {P} SELECT series_key, ts, {r('actual', 'predicted', 'residual')} FROM p
-WHERE (series_key, CAST(ts AS DATE)) IN (SELECT (series_key, CAST(ts AS DATE)) FROM p GROUP BY series_key, CAST(ts AS DATE) HAVING stddev_samp(actual) > 30)""",
+    f"""WITH {P}, days AS (SELECT series_key, CAST(ts AS DATE) AS day, stddev_samp(actual) AS sd FROM p GROUP BY 1, 2),
+k AS (SELECT series_key, quantile_cont(sd, 0.75) AS threshold FROM days GROUP BY 1)
+SELECT p.series_key, p.ts, {r('actual', 'predicted', 'residual')} FROM p JOIN days d ON d.series_key = p.series_key AND d.day = CAST(p.ts AS DATE)
+  JOIN k ON k.series_key = p.series_key WHERE d.sd > k.threshold""",
 )
 def semi_join_days(spark, sf_dir):
     p = predictions(spark, sf_dir)
-    return tables.semi_join_days(p, daily_volatility(p).filter("daily_std > 30"))
+    days = daily_volatility(p).join(volatility_threshold(p), KEY).filter("daily_std > threshold")
+    return tables.semi_join_days(p, days)
 
 
 @query(

@@ -13,6 +13,7 @@ from hourloom.functions.scores import score_columns
 from hourloom.operators.features import lag_features, lag_name
 from hourloom.operators.pieces import PIECE, SLOT, attach_summary, number_rows
 from hourloom.operators.tables import drop_null_any
+from hourloom.sources.workspace import settle
 
 METRICS = ("mae", "rmse", "smape", "r2")
 
@@ -76,7 +77,7 @@ def planned_folds(df: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
     bounds = df.groupBy(KEY).agg(F.min(TS).alias("first"), F.max(TS).alias("last"))
     total = F.floor((micros("last") - micros("first")) / DAY_MICROS)
     sized = bounds.withColumn("total", total).withColumn("train", F.least(F.lit(spec.train_days), F.floor(F.col("total") / 2)))
-    sized = sized.withColumn("free", F.col("total") - F.col("train") - spec.test_days)
+    sized = settle(sized.withColumn("free", F.col("total") - F.col("train") - spec.test_days), "bounds")
     step = F.col("free")
     if spec.n_splits > 1:
         step = F.greatest(F.floor(F.col("free") / (spec.n_splits - 1)), F.lit(spec.test_days))
@@ -90,7 +91,10 @@ def planned_folds(df: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
         .filter("test_end <= last")
     )
     columns = [KEY, "plan", "train_start", "train_end", "test_start", "test_end"]
-    return rolled.select(columns).unionByName(_row_split(df, sized.filter("free <= 0")).select(columns))
+    short = sized.filter("free <= 0")
+    if short.isEmpty():
+        return rolled.select(columns)
+    return rolled.select(columns).unionByName(_row_split(df, short).select(columns))
 
 
 def _row_split(df: DataFrame, short: DataFrame) -> DataFrame:
@@ -135,8 +139,9 @@ def cv_folds(df: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
         F.count(F.when(F.col("role") == "test", 1)).alias("test_rows"),
     )
     full = planned.join(counts.filter("train_rows > 0 and test_rows > 0"), [KEY, "plan"])
-    number = (F.row_number().over(Window.partitionBy(KEY).orderBy("plan")) - 1).alias("split")
-    return full.select(KEY, number, "train_start", "train_end", "test_start", "test_end", "train_rows", "test_rows")
+    number = F.row_number().over(Window.partitionBy(KEY).orderBy("plan")) - 1
+    bounds = ("train_start", "train_end", "test_start", "test_end")
+    return settle(full.select(KEY, number.alias("split"), *bounds, "train_rows", "test_rows"), "folds")
 
 
 def cv_baseline(df: DataFrame, folds: DataFrame, target: str = TARGET, lag: int = 168) -> DataFrame:

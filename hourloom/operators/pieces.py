@@ -16,16 +16,19 @@ window that combines them per series is small by construction.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from hourloom.config import KEY, TS
 from hourloom.functions.clock import slot_number
+from hourloom.sources.workspace import settle
 
 PIECE_SLOTS = 1344
 SALT_BUCKETS = 64
+# Summaries hold a handful of numbers per row: this many rows are some tens of megabytes.
+BROADCAST_ROWS = 100_000
 
 SLOT = "_slot"
 PIECE = "_piece"
@@ -35,9 +38,13 @@ FAR = Window.unboundedPreceding
 
 
 def with_slot(df: DataFrame, step: str = "hour") -> DataFrame:
-    """Add the grid position and the piece of every row."""
+    """Add the grid position and the piece of every row.
+
+    Rows without a key form a series named ''. Besides keeping them, this tells
+    Spark the key is never NULL, so no filter keeps it from reusing shuffles.
+    """
     slot = slot_number(TS, step)
-    return df.withColumn(SLOT, slot).withColumn(PIECE, piece_of(F.col(SLOT)))
+    return df.withColumn(KEY, F.coalesce(KEY, F.lit(""))).withColumn(SLOT, slot).withColumn(PIECE, piece_of(F.col(SLOT)))
 
 
 def piece_of(slot: Column) -> Column:
@@ -54,28 +61,39 @@ def carry(
     after: dict[str, Column] | None = None,
     running: dict[str, Column] | None = None,
     total: dict[str, Column] | None = None,
+    place: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Join per-piece summaries from the rest of the series onto every row.
 
     ``before``/``after``: latest non-null summary of the earlier pieces / first
     one of the later pieces. ``running``: sum over earlier pieces. ``total``: sum
-    over all pieces. ``df`` must carry the piece column.
+    over all pieces. ``place``: like ``before``, for a row position inside a
+    piece; it becomes a position in the series, and ``_offset`` (rows in earlier
+    pieces) is added. ``df`` must carry the piece column. Rows and summaries are
+    hashed alike, so the join adds no shuffle of the rows. Every piece has its
+    summary; the join is a left one because an inner join would put a filter
+    under the rows' shuffle and so keep both sides from sharing it.
     """
-    before, after, running, total = before or {}, after or {}, running or {}, total or {}
+    before, after, running, total, place = (d or {} for d in (before, after, running, total, place))
+    if place:
+        running = {**running, "_offset": F.count("*")}
     summary = df.groupBy(KEY, PIECE).agg(
-        *[c.alias(n) for part in (before, after, running, total) for n, c in part.items()]
+        *[c.alias(n) for part in (before, after, running, total, place) for n, c in part.items()]
     )
     forward = Window.partitionBy(KEY).orderBy(PIECE).rowsBetween(FAR, -1)
     backward = Window.partitionBy(KEY).orderBy(F.desc(PIECE)).rowsBetween(FAR, -1)
+    if running:
+        summary = summary.withColumns({n: F.coalesce(F.sum(n).over(forward), F.lit(0)) for n in running})
     combined = summary.select(
         KEY,
         PIECE,
+        *running,
         *[F.last(n, ignorenulls=True).over(forward).alias(n) for n in before],
+        *[F.last(F.col("_offset") + F.col(n), ignorenulls=True).over(forward).alias(n) for n in place],
         *[F.last(n, ignorenulls=True).over(backward).alias(n) for n in after],
-        *[F.coalesce(F.sum(n).over(forward), F.lit(0)).alias(n) for n in running],
         *[F.sum(n).over(Window.partitionBy(KEY)).alias(n) for n in total],
     )
-    return df.join(combined, [KEY, PIECE])
+    return df.join(combined, [KEY, PIECE], "left")
 
 
 def number_rows(df: DataFrame, step: str = "hour", total: str | None = None) -> DataFrame:
@@ -134,17 +152,28 @@ def over_pieces(
     return wide.filter(F.col(PIECE) == F.col(HOME)).drop(SLOT, PIECE, HOME, *helpers)
 
 
-def attach_summary(df: DataFrame, summary: DataFrame, keys: list[str] | str = KEY, how: str = "inner") -> DataFrame:
-    """Join a one-row-per-key summary to a table whose keys may be badly skewed.
+def attach_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str] | str = KEY) -> DataFrame:
+    """Inner-join a one-row-per-key summary to a table whose keys may be badly skewed.
+
+    The summary is written first, so its size is known: up to ``BROADCAST_ROWS``
+    rows it is broadcast and the table does not move. Beyond that the table is
+    salted over ``SALT_BUCKETS`` and the summary copied once per bucket, so no
+    task receives more than a 64th of a hot key.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    kept = settle(summary, "summary")
+    if kept.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(kept), keys)
+    return salted_join(df, kept, keys)
+
+
+def salted_join(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The way for large summaries.
 
-    The table is salted over ``SALT_BUCKETS`` and the summary copied once per
-    bucket, so no task receives more than a 64th of a hot key. No broadcast is
-    forced: adaptive execution switches to one when the summary turns out small.
     The salt mixes row content and map partition, both of which a re-run task
     reproduces, so a lost executor cannot move a row to another bucket.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
     spread = summary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
     content = F.xxhash64(*df.columns, F.spark_partition_id())
     salted = df.withColumn("_salt", F.pmod(content, F.lit(SALT_BUCKETS)).cast("int"))
-    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+    return salted.join(spread, [*keys, "_salt"]).drop("_salt")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from hourloom.config import KEY, TS
@@ -16,7 +16,7 @@ from hourloom.functions.clock import (
     micros,
     plus_hours,
 )
-from hourloom.operators.pieces import FAR, PIECE, PIECE_SLOTS, SLOT, attach_summary, carry, in_piece, placed
+from hourloom.operators.pieces import FAR, PIECE, PIECE_SLOTS, SLOT, attach_summary, carry, in_piece, placed, with_slot
 
 GRID_BLOCK = PIECE_SLOTS
 
@@ -106,27 +106,34 @@ def resample_first(df: DataFrame, columns: Sequence[str], fill_grid: bool = True
 # --- fills -------------------------------------------------------------------
 
 
-def _known(c: str, at: str = SLOT) -> Column:
-    """Value and slot of a non-null cell, NULL otherwise."""
-    return F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), F.col(at).alias("s")))
+def _known_at(c: str, at: str = SLOT) -> Column:
+    """Slot of a non-null cell, NULL otherwise."""
+    return F.when(F.col(c).isNotNull(), F.col(at))
 
 
-def _previous_known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add ``_p_<c>``: value and slot of the latest known cell up to and including the row."""
-    out = carry(df, before={f"_b_{c}": F.max_by(_known(c), F.when(F.col(c).isNotNull(), F.col(SLOT))) for c in columns})
-    w = in_piece().rowsBetween(FAR, 0)
-    return out.withColumns(
-        {f"_p_{c}": F.coalesce(F.last(_known(c), ignorenulls=True).over(w), F.col(f"_b_{c}")) for c in columns}
-    ).drop(*[f"_b_{c}" for c in columns])
+def fill_forward(df: DataFrame, columns: Sequence[str], limit: int, mode: str = "rows", step: str = "hour") -> DataFrame:
+    """Repeat the last known value over at most ``limit`` rows (or hours, with ``mode='time'``).
 
+    Values and positions cross pieces in one summary, so even row distances need
+    neither a numbering pass nor a second shuffle.
+    """
+    cut = with_slot(df, step)
+    if mode == "rows":
+        cut = cut.withColumn(SLOT, F.row_number().over(in_piece(TS)).cast("bigint"))
+    elif mode != "time":
+        raise ValueError(f"mode must be 'time' or 'rows', not {mode!r}")
+    values = {f"_bv_{c}": F.max_by(c, _known_at(c)) for c in columns}
+    slots = {f"_bs_{c}": F.max(_known_at(c)) for c in columns}
+    out = carry(cut, before=values, place=slots) if mode == "rows" else carry(cut, before={**values, **slots})
+    offset = F.col("_offset") if mode == "rows" else F.lit(0)
+    w = in_piece(TS).rowsBetween(FAR, 0)
 
-def fill_forward(df: DataFrame, columns: Sequence[str], limit: int, mode: str = "rows", step: str = "hour") -> DataFrame:
-    """Repeat the last known value over at most ``limit`` rows (or hours, with ``mode='time'``)."""
-    filled = _previous_known(placed(df, mode, step), columns)
-    near = {
-        c: F.when(F.col(SLOT) - F.col(f"_p_{c}")["s"] <= limit, F.col(f"_p_{c}")["v"]) for c in columns
-    }
-    return filled.withColumns(near).drop(SLOT, PIECE, *[f"_p_{c}" for c in columns])
+    def near(c: str) -> Column:
+        last_value = F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_bv_{c}"))
+        last_slot = F.coalesce(F.last(_known_at(c), ignorenulls=True).over(w) + offset, F.col(f"_bs_{c}"))
+        return F.when(F.col(SLOT) + offset - last_slot <= limit, last_value)
+
+    return out.withColumns({c: near(c) for c in columns}).select(*df.columns)
 
 
 def interpolate(
@@ -143,29 +150,29 @@ def interpolate(
     the last known value repeat it up to the same limit; leading cells stay NULL.
     ``strict`` leaves gaps longer than ``limit``, and open ends, untouched.
     """
-    before = {f"_b_{c}": F.max_by(_known(c), F.when(F.col(c).isNotNull(), F.col(SLOT))) for c in columns}
-    after = {f"_a_{c}": F.min_by(_known(c), F.when(F.col(c).isNotNull(), F.col(SLOT))) for c in columns}
+    before = {f"_bv_{c}": F.max_by(c, _known_at(c)) for c in columns} | {f"_bs_{c}": F.max(_known_at(c)) for c in columns}
+    after = {f"_av_{c}": F.min_by(c, _known_at(c)) for c in columns} | {f"_as_{c}": F.min(_known_at(c)) for c in columns}
     out = carry(placed(df, mode, step), before=before, after=after)
     back = in_piece().rowsBetween(FAR, 0)
     ahead = Window.partitionBy(KEY, PIECE).orderBy(F.desc(SLOT)).rowsBetween(FAR, 0)
-    out = out.withColumns(
-        {f"_p_{c}": F.coalesce(F.last(_known(c), ignorenulls=True).over(back), F.col(f"_b_{c}")) for c in columns}
-    ).withColumns(
-        {f"_n_{c}": F.coalesce(F.last(_known(c), ignorenulls=True).over(ahead), F.col(f"_a_{c}")) for c in columns}
-    )
+
+    def known(w: WindowSpec, side: str, name: str) -> dict[str, Column]:
+        found = {}
+        for c in columns:
+            found[f"_{name}v_{c}"] = F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_{side}v_{c}"))
+            found[f"_{name}s_{c}"] = F.coalesce(F.last(_known_at(c), ignorenulls=True).over(w), F.col(f"_{side}s_{c}"))
+        return found
+
+    out = out.withColumns(known(back, "b", "p")).withColumns(known(ahead, "a", "n"))
 
     def line(c: str) -> Column:
-        p, n, here = F.col(f"_p_{c}"), F.col(f"_n_{c}"), F.col(SLOT)
-        gone = here - p["s"]
-        between = p["v"] + (n["v"] - p["v"]) * gone / (n["s"] - p["s"])
-        if strict:
-            fill = F.when(n["s"] - p["s"] - 1 <= limit, between)
-        else:
-            fill = F.when(gone <= limit, F.coalesce(between, p["v"]))
+        pv, ps, nv, ns = (F.col(f"_{n}_{c}") for n in ("pv", "ps", "nv", "ns"))
+        gone = F.col(SLOT) - ps
+        between = pv + (nv - pv) * gone / (ns - ps)
+        fill = F.when(ns - ps - 1 <= limit, between) if strict else F.when(gone <= limit, F.coalesce(between, pv))
         return F.when(F.col(c).isNotNull(), F.col(c)).otherwise(fill)
 
-    helpers = [f"_{k}_{c}" for k in "bapn" for c in columns]
-    return out.withColumns({c: line(c) for c in columns}).drop(SLOT, PIECE, *helpers)
+    return out.withColumns({c: line(c) for c in columns}).select(*df.columns)
 
 
 # --- time zones --------------------------------------------------------------
@@ -232,22 +239,26 @@ def valid_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     A column that is entirely missing cuts nothing. The columns are applied in
     order, because a cut can remove the rows that bound a later column.
     """
-    bounds = None
+    rows, bounds = df.select(KEY, TS, *columns), None
     for c in columns:
-        rows = df if bounds is None else attach_summary(df, bounds, KEY).filter(F.col(TS).between(F.col("_from"), F.col("_to")))
-        held = [] if bounds is None else [F.max("_from").alias("_f"), F.max("_to").alias("_t")]
+        inside = rows if bounds is None else _between(rows, bounds)
         known = F.when(F.col(c).isNotNull(), F.col(TS))
-        cut = rows.groupBy(KEY).agg(F.min(known).alias("_a"), F.max(known).alias("_b"), F.min(TS).alias("_x"), F.max(TS).alias("_y"), *held)
-        low = F.coalesce("_a", *(["_f"] if held else ["_x"]))
-        high = F.coalesce("_b", *(["_t"] if held else ["_y"]))
-        bounds = cut.select(KEY, low.alias("_from"), high.alias("_to"))
+        bounds = inside.groupBy(KEY).agg(
+            F.coalesce(F.min(known), F.min(TS)).alias("_from"), F.coalesce(F.max(known), F.max(TS)).alias("_to")
+        )
     return bounds
 
 
-def trim_to_valid(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Cut each series to the range in which every listed column has data at both ends."""
+def _between(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    return attach_summary(df, bounds).filter(F.col(TS).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+
+
+def trim_to_valid(df: DataFrame, columns: Sequence[str], bounds: DataFrame | None = None) -> DataFrame:
+    """Cut each series to the range in which every listed column has data at both ends.
+
+    ``bounds`` may come from a cheaper table with the same stamps and gaps.
+    """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    cut = attach_summary(df, valid_bounds(df, present), KEY)
-    return cut.filter(F.col(TS).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+    return _between(df, valid_bounds(df, present) if bounds is None else bounds)

@@ -19,7 +19,7 @@ from hourloom.functions.numbers import improvement_pct
 from hourloom.functions.scores import score_columns
 from hourloom.operators.baseline import split_ratio
 from hourloom.operators.pieces import attach_summary
-from hourloom.operators.quantiles import percentile_columns
+from hourloom.operators.quantiles import exact_percentiles
 from hourloom.operators.tables import drop_null_any
 from hourloom.sources.sinks import write_json
 
@@ -121,10 +121,9 @@ def missing_driver_stress(model: PipelineModel, test: DataFrame, target: str = T
     """
     rows = drop_null_any(test)
     present = [d for d in drivers if d in rows.columns]
-    stats = None
-    for d in present:
-        one = percentile_columns(rows, d, {f"_m_{d}": 0.5}, [KEY])
-        stats = one if stats is None else stats.join(one, KEY)
+    cells = F.inline(F.array(*[F.struct(F.lit(d).alias("_driver"), F.col(d).alias("_value")) for d in present]))
+    medians = exact_percentiles(rows.select(KEY, cells), "_value", [0.5], [KEY, "_driver"])
+    stats = medians.groupBy(KEY).agg(*[F.max(F.when(F.col("_driver") == d, F.col("value"))).alias(f"_m_{d}") for d in present])
     names = ["baseline", *[f"missing_{d}" for d in present]]
     wide = attach_summary(rows, stats).withColumn("scenario", F.explode(F.array(*[F.lit(n) for n in names])))
     wide = wide.withColumns(

@@ -19,6 +19,7 @@ from hourloom.operators.regularize import (
     localize_to_utc,
     resample_first,
     trim_to_valid,
+    valid_bounds,
 )
 from hourloom.operators.tables import (
     clamp_invalid,
@@ -31,6 +32,7 @@ from hourloom.operators.tables import (
 )
 from hourloom.sources.files import read_raw_folder
 from hourloom.sources.sinks import gate_report, write_csv, write_json, write_series
+from hourloom.sources.workspace import settle
 
 log = logging.getLogger(__name__)
 
@@ -64,10 +66,15 @@ def regular_raw(df: DataFrame, columns: list[str], max_gap: int = 6) -> DataFram
 
 
 def local_features(spark: SparkSession, folder: str, spec: JobSpec = JobSpec()) -> DataFrame:
-    """Raw CSV folder to a trimmed feature table."""
+    """Raw CSV folder to a trimmed feature table.
+
+    The regular grid is written once; the trim bounds come from it, as features
+    change neither stamps nor gaps.
+    """
     f = spec.features
-    raw = regular_raw(read_raw_folder(spark, folder, spec.market), [f.target, *f.drivers])
-    return trim_to_valid(drop_null_target(raw_file_features(raw, f), f.target), list(f.drivers))
+    raw = settle(regular_raw(read_raw_folder(spark, folder, spec.market), [f.target, *f.drivers]), "regular")
+    bounds = valid_bounds(drop_null_target(raw, f.target), list(f.drivers))
+    return trim_to_valid(drop_null_target(raw_file_features(raw, f), f.target), list(f.drivers), bounds)
 
 
 # --- ingest and prepare ------------------------------------------------------
@@ -92,7 +99,7 @@ def ingest(prices: DataFrame, drivers: DataFrame, spec: JobSpec = JobSpec(), zon
 
 def run_gate(df: DataFrame, spec: JobSpec = JobSpec(), fail_fast: bool = True) -> tuple[DataFrame, bool]:
     """Run all checks; a failure raises unless ``fail_fast`` is off."""
-    results = quality.run_checks(df, spec.contract, spec.limits, spec.features.target, spec.features.drivers)
+    results = settle(quality.run_checks(df, spec.contract, spec.limits, spec.features.target, spec.features.drivers), "checks")
     if fail_fast:
         return results, quality.evaluate_gate(results)
     return results, not quality.failed_checks(results)

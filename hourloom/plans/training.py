@@ -23,6 +23,7 @@ from hourloom.plans.boosting import (
     train_improved,
 )
 from hourloom.sources.sinks import write_csv, write_metrics
+from hourloom.sources.workspace import settle
 
 log = logging.getLogger(__name__)
 
@@ -110,9 +111,10 @@ def cv_boosted(features: DataFrame, folds: DataFrame, target: str = TARGET, spec
     """Metrics per series and fold of a model refitted for every fold.
 
     The driver loops over fold numbers (at most ``n_splits``); each fit and each
-    prediction is a distributed job. Folds without train or test rows are skipped.
+    prediction is a distributed job. The rows are written by fold and role, so a
+    fit reads just its own. Folds without train or test rows are skipped.
     """
-    rows = assign_folds(drop_null_any(features), folds)
+    rows = settle(assign_folds(drop_null_any(features), folds), "folds", ("split", "role"))
     counts = rows.groupBy("split").agg(
         F.count(F.when(F.col("role") == "train", 1)).alias("train"), F.count(F.when(F.col("role") == "test", 1)).alias("test")
     )

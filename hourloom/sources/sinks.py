@@ -10,7 +10,6 @@ from hourloom.functions.clock import day_text
 
 
 MONTH = "ts_month"
-FILES_PER_MONTH = 8
 
 
 def write_series(df: DataFrame, path: str, run_id: str | None = None) -> None:
@@ -18,15 +17,15 @@ def write_series(df: DataFrame, path: str, run_id: str | None = None) -> None:
 
     Partitioning by month keeps the folder count independent of the number of
     series; sorted files let row-group statistics skip other series and dates.
-    A month is spread by series and day, so no write task owns a whole series.
+    The rebalance hint lets adaptive execution cut a large month into files of
+    the advisory size and merge small ones, so no task owns a series or a month.
     """
     out = df.withColumn(MONTH, F.substring(day_text(TS), 1, 7))
     parts = [MONTH]
     if run_id is not None:
         out = out.withColumn("run_id", F.lit(run_id))
         parts = ["run_id", MONTH]
-    spread = F.pmod(F.xxhash64(KEY, day_text(TS)), F.lit(FILES_PER_MONTH))
-    out = out.repartition(*[F.col(p) for p in parts], spread).sortWithinPartitions(*parts, KEY, TS)
+    out = out.hint("rebalance", *[F.col(p) for p in parts]).sortWithinPartitions(*parts, KEY, TS)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -23,3 +23,14 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared root that no other run uses."""
     return f"{shared_root(spark)}/hourloom/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    What follows reads the result instead of computing it again, survives lost
+    executors, and lets Spark plan with the real size.
+    """
+    path = fresh_folder(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
