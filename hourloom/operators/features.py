@@ -6,7 +6,7 @@ import logging
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from hourloom.config import KEY, RESIDUAL, SHARE, TS, FeatureSpec
@@ -75,13 +75,20 @@ def _lag(w: WindowSpec, column: str, n: int) -> Column:
     return F.max(F.col(column)).over(w.rangeBetween(-n, -n))
 
 
+# Values are added up in two parts: multiples of a power of two, whose sums are exact, and the small rest.
+VALUE_GRID = 2.0**-10
+SQUARE_GRID = 1.0
+
+
 class _Rolling:
     """Statistics over slots ``[-(shift+window-1), -shift]``.
 
     Mean and standard deviation are differences of two running totals, so the
-    cost per row does not depend on the window length; values are centred on
-    their piece first, which keeps the subtraction accurate. Minimum and maximum
-    have no such inverse and use the frame itself.
+    cost per row does not depend on the window length. Values are taken relative
+    to the first known one of the piece, and the large part of every total is
+    exact (for distances up to about two million), so what has left the window
+    leaves no trace; nothing later than the row takes part in any way. Minimum
+    and maximum have no such inverse and use the frame itself.
     """
 
     def __init__(self, columns, windows, aggregations, min_periods, shift, prefix):
@@ -93,30 +100,36 @@ class _Rolling:
         return self.shift + max(self.windows) - 1 if self.columns and self.windows else 0
 
     def helpers(self, w: WindowSpec) -> dict[str, Column]:
-        whole = w.rowsBetween(FAR, Window.unboundedFollowing)
-        return {f"_c_{c}": F.coalesce(F.avg(finite_or_null(F.col(c))).over(whole), F.lit(0.0)) for c in self.columns}
+        past = w.rowsBetween(FAR, 0)
+        return {f"_c_{c}": F.first(finite_or_null(F.col(c)), ignorenulls=True).over(past) for c in self.columns}
 
     def _total(self, w: WindowSpec, c: Column, window: int) -> Column:
         upto = F.coalesce(F.sum(c).over(w.rangeBetween(FAR, -self.shift)), F.lit(0))
         gone = F.coalesce(F.sum(c).over(w.rangeBetween(FAR, -self.shift - window)), F.lit(0))
         return upto - gone
 
+    def _split_total(self, w: WindowSpec, c: Column, grid: float, window: int) -> Column:
+        coarse = F.rint(c / grid) * grid
+        return self._total(w, coarse, window) + self._total(w, c - coarse, window)
+
     def columns_of(self, w: WindowSpec) -> dict[str, Column]:
         out = {}
         for c in self.columns:
             value = finite_or_null(F.col(c))
-            centred = value - F.col(f"_c_{c}")
+            away = value - F.col(f"_c_{c}")
             known = F.when(value.isNotNull(), 1).otherwise(0).cast("bigint")
+            # The centre of a row equals that of every earlier known row; before the first there is nothing to add.
+            centre = F.col(f"_c_{c}")
             for window in self.windows:
                 n = self._total(w, known, window)
-                s = self._total(w, centred, window)
+                s = self._split_total(w, away, VALUE_GRID, window)
                 frame = w.rangeBetween(-self.shift - window + 1, -self.shift)
                 needed = self.min_periods(window)
                 for aggregation in self.aggregations:
                     if aggregation == "mean":
-                        stat = F.when(n >= max(needed, 1), F.col(f"_c_{c}") + s / F.nullif(n, F.lit(0)))
+                        stat = F.when(n >= max(needed, 1), centre + s / F.nullif(n, F.lit(0)))
                     elif aggregation == "std":
-                        q = self._total(w, centred * centred, window)
+                        q = self._split_total(w, away * away, SQUARE_GRID, window)
                         spread = F.greatest(q - s * s / F.nullif(n, F.lit(0)), F.lit(0.0))
                         stat = F.when(n >= max(needed, 2), F.sqrt(spread / F.nullif(n - 1, F.lit(0))))
                     elif aggregation == "min":
