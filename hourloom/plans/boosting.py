@@ -92,8 +92,8 @@ def top_importance(importance: DataFrame, n: int = 10) -> DataFrame:
 
 
 def importance_share(importance: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` most important inputs as percentages of the total (one row per input: tiny)."""
-    total = F.sum("importance").over(Window.partitionBy())
+    """The ``n`` most important inputs as percentages of the total."""
+    total = importance.agg(F.sum("importance")).scalar()
     return top_importance(importance.withColumn("importance_pct", F.col("importance") / total * 100), n)
 
 

@@ -4,19 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_root(application: str) -> str:
+    """One temporary folder per application, for local runs without a configured one."""
+    return tempfile.mkdtemp(prefix=f"hourloom-{application}-")
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a fresh local folder only in local mode."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode without it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="hourloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+        return _local_root(spark.sparkContext.applicationId)
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
