@@ -30,17 +30,20 @@ def dedupe_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, arrival: str) -> DataFrame:
-    """Repeated stamps keep the row that arrived first; combined before the shuffle."""
+    """Repeated stamps keep the row with the lowest ``arrival`` (unique); combined before the shuffle.
+
+    One aggregate per column rather than one per row keeps the hash aggregation:
+    a row as a struct would force a sort of the whole table first.
+    """
     rest = [c for c in df.columns if c not in (KEY, TS)]
-    first = F.min_by(F.struct(*rest), arrival).alias("_first")
-    return df.groupBy(KEY, TS).agg(first).select(KEY, TS, *[F.col("_first")[c].alias(c) for c in rest])
+    return df.groupBy(KEY, TS).agg(*[F.min_by(c, arrival).alias(c) for c in rest])
 
 
 def dedupe_none(df: DataFrame) -> DataFrame:
     """Every row of a repeated stamp is dropped."""
     rest = [c for c in df.columns if c not in (KEY, TS)]
-    kept = df.groupBy(KEY, TS).agg(F.count("*").alias("_n"), F.any_value(F.struct(*rest)).alias("_row"))
-    return kept.filter("_n = 1").select(KEY, TS, *[F.col("_row")[c].alias(c) for c in rest])
+    kept = df.groupBy(KEY, TS).agg(F.count("*").alias("_n"), *[F.any_value(c).alias(c) for c in rest])
+    return kept.filter("_n = 1").drop("_n")
 
 
 def handle_repeats(df: DataFrame, columns: Sequence[str], policy: str, arrival: str | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ from hourloom.operators.pieces import attach_summary
 from hourloom.operators.quantiles import exact_percentiles
 from hourloom.operators.tables import drop_null_any
 from hourloom.sources.sinks import write_json
+from hourloom.sources.workspace import settle
 
 HIDDEN = (KEY, TS, TARGET, "split", "role", "_stop")
 
@@ -56,7 +57,7 @@ def fit_boosted(train: DataFrame, target: str = TARGET, inputs: Sequence[str] |
     stop = None
     if early_stop and spec.stop_share > 0:
         parts = split_ratio(rows, 1 - spec.stop_share, step)
-        rows = parts.withColumn("_stop", F.col("split") == "validation").drop("split")
+        rows = settle(parts.withColumn("_stop", F.col("split") == "validation").drop("split"), "train")
         stop = "_stop"
     return boosted_trees(columns, target, spec, stop).fit(rows)
 
@@ -72,7 +73,7 @@ def predict(model: PipelineModel, df: DataFrame, target: str = TARGET, extra: Se
 def train_improved(features: DataFrame, target: str = TARGET, ratio: float = 0.8, spec: BoostSpec = BoostSpec(), step: str = "hour") -> tuple[PipelineModel, DataFrame]:
     """Fit on the first ``ratio`` of complete rows; predictions of both parts carry their split."""
     inputs = model_inputs(features, target)
-    parted = split_ratio(drop_null_any(features), ratio, step)
+    parted = settle(split_ratio(drop_null_any(features), ratio, step), "parted", ("split",))
     model = fit_boosted(parted.filter("split = 'train'"), target, inputs, spec, step=step)
     return model, predict(model, parted, target, ["split"])
 

@@ -151,14 +151,15 @@ class SignalTables:
 
 
 def run_signals(predictions: DataFrame, spec: JobSpec = JobSpec(), folder: str | None = None) -> SignalTables:
-    """Predictions to hourly signals, bucket view and the tables of the signal report."""
+    """Predictions to hourly signals, bucket view and the tables of the signal report.
+
+    The hourly signals feed every other table, so they are computed once.
+    """
     costs = spec.economics
     window = forecast_window(rename_predictions(predictions))
-    hourly = signals.hourly_signals(window, costs)
+    hourly = settle(signals.hourly_signals(window, costs), "signals")
     if folder:
         write_csv(hourly, f"{folder}/hourly_signals")
-        schema = hourly.schema
-        hourly = predictions.sparkSession.read.option("header", True).schema(schema).csv(f"{folder}/hourly_signals")
     view = signals.bucket_signals(signals.prompt_buckets(hourly), costs)
     if folder:
         write_csv(view, f"{folder}/prompt_view")

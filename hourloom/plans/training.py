@@ -45,12 +45,13 @@ class Outcome:
 
 
 def _train_naive(features: DataFrame, spec: JobSpec, target: str, step: str) -> Outcome:
-    predictions = train_baseline(features, target, spec.baseline_lag, step=step)
+    predictions = settle(train_baseline(features, target, spec.baseline_lag, step=step), "predictions")
     return Outcome("baseline", predictions, regression_metrics(predictions))
 
 
 def _train_trees(features: DataFrame, spec: JobSpec, target: str, step: str) -> Outcome:
     model, predictions = train_improved(features, target, spec=spec.boost, step=step)
+    predictions = settle(predictions, "predictions")
     scores = regression_metrics(predictions.filter("split = 'validation'"))
     return Outcome("improved", predictions, scores, model, feature_importance(model, features.sparkSession))
 

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.config import KEY, TARGET, JobSpec
+from hourloom.config import KEY, TARGET, TS, JobSpec
 from hourloom.operators.baseline import ensure_lag, naive_seasonal, split_last_days
 from hourloom.operators.evaluation import baseline_improvement, hour_metrics, regression_metrics, volatility_regimes, weekday_weekend
-from hourloom.operators.features import lag_findings, lag_name, short_lag_columns, suspicious_columns
+from hourloom.operators.features import lag_findings, short_lag_columns, suspicious_columns
 from hourloom.operators.tables import drop_null_any, drop_null_target, union_all
 from hourloom.plans.boosting import fit_boosted, missing_driver_stress, model_inputs, predict
+from hourloom.sources.workspace import settle
 
 
 def long_metrics(df: DataFrame, section: str, name: str | None = None, label: str = "all") -> DataFrame:
@@ -39,16 +40,13 @@ def leakage_findings(columns: Sequence[str], spec: JobSpec = JobSpec(), ordered:
 
 def run_validation(features: DataFrame, spec: JobSpec = JobSpec(), target: str = TARGET, step: str = "hour") -> DataFrame:
     """Train before the last ``validation_days``, score both models on the same later rows."""
-    lag = lag_name(spec.baseline_lag, target)
     ready = drop_null_target(ensure_lag(features, target, spec.baseline_lag, step=step), target)
-    parted = drop_null_any(split_last_days(ready, spec.validation_days))
+    parted = settle(drop_null_any(split_last_days(ready, spec.validation_days)), "validation", ("split",))
     train, test = parted.filter("split = 'train'").drop("split"), parted.filter("split = 'validation'").drop("split")
     inputs = model_inputs(ready, target)
     model = fit_boosted(train, target, inputs, spec.boost, step=step)
-    improved = predict(model, test, target)
-    naive = naive_seasonal(test, target, spec.baseline_lag).select(
-        KEY, "ts", F.col(target).alias("actual"), "predicted", (F.col(target) - F.col(lag)).alias("residual")
-    )
+    improved = settle(predict(model, test, target), "improved")
+    naive = naive_seasonal(test, target, spec.baseline_lag).select(KEY, TS, F.col(target).alias("actual"), "predicted")
     base_scores, model_scores = regression_metrics(naive), regression_metrics(improved)
     parts = [
         long_metrics(base_scores, "overall", label="baseline"),

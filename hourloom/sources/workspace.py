@@ -26,8 +26,8 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared root that no other run uses."""
-    return f"{shared_root(spark)}/hourloom/{name}-{uuid.uuid4().hex}"
+    """A path below the shared root that no other run uses, grouped by application for later removal."""
+    return f"{shared_root(spark)}/hourloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

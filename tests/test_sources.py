@@ -163,7 +163,7 @@ class _Session:
 
 def test_workspace_uses_the_checkpoint_folder():
     assert workspace.shared_root(_Session("spark://x", "s3a://shared/checkpoints/")) == "s3a://shared/checkpoints"
-    assert workspace.fresh_folder(_Session("spark://x", "/shared"), "a").startswith("/shared/hourloom/a-")
+    assert workspace.fresh_folder(_Session("spark://x", "/shared"), "a").startswith("/shared/hourloom/app/a-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_root(_Session("spark://x"))
     local = _Session("local[2]")
