@@ -16,6 +16,7 @@ def make_session() -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call stack per Column operation
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
