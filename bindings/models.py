@@ -62,12 +62,7 @@ def split_last_days(spark, sf_dir):
 
 @query(
     "cv_folds",
-    f"""WITH {D}, {folds_sql()},
-c AS (SELECT f.series_key, f.split, count(*) FILTER (WHERE d.ts >= train_start AND d.ts < train_end) AS train_rows,
-    count(*) FILTER (WHERE d.ts >= test_start AND d.ts < test_end) AS test_rows
-  FROM folds f JOIN d ON d.series_key = f.series_key GROUP BY 1, 2)
-SELECT f.series_key, CAST(row_number() OVER (PARTITION BY f.series_key ORDER BY f.split) - 1 AS INTEGER) AS split, train_start, train_end, test_start, test_end, train_rows, test_rows
-FROM folds f JOIN c ON c.series_key = f.series_key AND c.split = f.split WHERE train_rows > 0 AND test_rows > 0""",
+    f"WITH {D}, {folds_sql()} SELECT series_key, split, train_start, train_end, test_start, test_end, train_rows, test_rows FROM folds",
 )
 def cv_folds(spark, sf_dir):
     return baseline.cv_folds(daily(spark, sf_dir), FOLDS)

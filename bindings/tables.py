@@ -207,14 +207,21 @@ FOLDS = FoldSpec(train_days=365, test_days=7, gap_days=1, n_splits=10)
 
 
 def folds_sql(spec: FoldSpec = FOLDS) -> str:
+    """Fold dates of the daily series; folds without train or test rows are dropped before numbering."""
     return f"""bounds AS (SELECT series_key, min(ts) AS a, max(ts) AS b, date_diff('day', min(ts), max(ts)) AS total FROM d GROUP BY 1),
 sized AS (SELECT *, least({spec.train_days}, total // 2) AS train, total - least({spec.train_days}, total // 2) - {spec.test_days} AS free FROM bounds),
 planned AS (SELECT *, i, a + to_days(CAST(i * greatest(free // {spec.n_splits - 1}, {spec.test_days}) AS INTEGER)) AS train_start
   FROM sized, (SELECT CAST(unnest(generate_series(0, {spec.n_splits - 1})) AS INTEGER) AS i)),
-folds AS (SELECT series_key, i AS split, train_start, train_start + to_days(CAST(train AS INTEGER)) AS train_end,
+dated AS (SELECT series_key, i AS plan, train_start, train_start + to_days(CAST(train AS INTEGER)) AS train_end,
     train_start + to_days(CAST(train + {spec.gap_days} AS INTEGER)) AS test_start,
     train_start + to_days(CAST(train + {spec.gap_days + spec.test_days} AS INTEGER)) AS test_end, b FROM planned
-  WHERE train_start + to_days(CAST(train + {spec.gap_days + spec.test_days} AS INTEGER)) <= b)"""
+  WHERE train_start + to_days(CAST(train + {spec.gap_days + spec.test_days} AS INTEGER)) <= b),
+counted AS (SELECT f.series_key, f.plan, count(*) FILTER (WHERE d.ts >= train_start AND d.ts < train_end) AS train_rows,
+    count(*) FILTER (WHERE d.ts >= test_start AND d.ts < test_end) AS test_rows
+  FROM dated f JOIN d ON d.series_key = f.series_key GROUP BY 1, 2),
+folds AS (SELECT f.series_key, CAST(row_number() OVER (PARTITION BY f.series_key ORDER BY f.plan) - 1 AS INTEGER) AS split,
+    train_start, train_end, test_start, test_end, train_rows, test_rows
+  FROM dated f JOIN counted c ON c.series_key = f.series_key AND c.plan = f.plan WHERE train_rows > 0 AND test_rows > 0)"""
 
 
 @query(
