@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.llm import compression
+from hourloom.llm import compression, near_dup
 from hourloom.sources.workspace import fresh_folder
 
 
@@ -13,7 +13,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return compression.quality_filter(docs)
 
 
-STAGES = [("quality rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    return near_dup.drop_near_duplicates(docs)
+
+
+STAGES = [("quality rules", quality), ("near duplicates", near_duplicates)]
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.llm import compression
+from hourloom.llm import compression, near_dup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_signals(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.NearSpec(words=4))
