@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.llm import compression, near_dup
+from hourloom.llm import compression, near_dup, suffix_dedup
 from hourloom.sources.workspace import fresh_folder
 
 
@@ -18,7 +18,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dup.drop_near_duplicates(docs)
 
 
-STAGES = [("quality rules", quality), ("near duplicates", near_duplicates)]
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller id has."""
+    return suffix_dedup.remove_repeats(docs)
+
+
+STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("repeated passages", passages)]
 ORACLE_SQL = None
 
 

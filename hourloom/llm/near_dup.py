@@ -260,6 +260,6 @@ def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: st
 
 
 def drop_near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows without an id stay unless they are copies."""
+    """The rows of ``docs`` whose id is the smallest of its component; rows without an id stay."""
     verdict = near_duplicates(docs, spec, id_column, text).filter("not kept").select(F.col(id_column).alias("_dropped")).distinct()
     return docs.join(verdict, docs[id_column] == verdict["_dropped"], "left_anti")
