@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourloom.llm import compression, near_dup, suffix_dedup
+from hourloom.llm import compression, mixing, near_dup, packing, suffix_dedup
 from hourloom.sources.workspace import fresh_folder
 
 
@@ -20,10 +21,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that a document with a smaller id has."""
-    return suffix_dedup.remove_repeats(docs)
+    return suffix_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
-STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("repeated passages", passages)]
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources brought to their target weights; a row per copy, texts cut to the words that the mix takes."""
+    return mixing.mix(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of texts in length buckets and batches under a token budget."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", passages),
+    ("source mix", mixture),
+    ("packing", batches),
+]
 ORACLE_SQL = None
 
 

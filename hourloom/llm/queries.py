@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.llm import compression, near_dup, suffix_dedup
+from hourloom.llm import compression, mixing, near_dup, packing, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,11 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op8_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_plan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_signals(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.NearSpec(words=4))
@@ -33,4 +43,4 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("kept_text")
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
