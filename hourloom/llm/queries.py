@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourloom.llm import compression, mixing, near_dup, packing, suffix_dedup
+from hourloom.llm import compression, mixing, near_dup, packing, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +32,40 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_signals(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+#: Parts of host names that make a host a listed one.
+HOST_WORDS = ("casino", "malware", "phish", "phishing", "pills", "porn", "spam", "warez", "xxx")
+
+
+@query
+def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    out = url_filter.filter_urls(pages, url_filter.rule_table(spark, URL_RULES), url_filter.hosts_with_words(pages, HOST_WORDS))
+    return out.select("page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.col("_verdict").alias("verdict"))
+
+
+ORACLES["op1_url_cascade"] = f"""
+WITH located AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(verdict, rule_host, rule_path) AS (VALUES {", ".join(str(x) for x in URL_RULES)}),
+fitting AS (
+  SELECT l.page_id, r.rule_host || r.rule_path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY l.page_id ORDER BY length(r.rule_host || r.rule_path) DESC) AS place
+  FROM located l JOIN rules r
+    ON (l.host = r.rule_host OR right(l.host, length(r.rule_host) + 1) = '.' || r.rule_host) AND left(l.path, length(r.rule_path)) = r.rule_path)
+SELECT l.page_id, l.host, l.path, f.rule,
+       coalesce(f.verdict, CASE WHEN regexp_matches(l.host, '(^|[.-])({"|".join(HOST_WORDS)})([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM located l LEFT JOIN fitting f ON f.page_id = l.page_id AND f.place = 1"""
+
+
 @query
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
