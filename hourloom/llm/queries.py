@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import compression, mixing, near_dup, packing, suffix_dedup, url_filter
+from hourloom.llm import compression, fingerprints, mixing, near_dup, packing, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_plan(table(spark, sf_dir, "documents"))
