@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import compression, fingerprints, mixing, near_dup, packing, suffix_dedup, url_filter
+from hourloom.llm import compression, fingerprints, licenses, mixing, near_dup, packing, suffix_dedup, token_store, url_filter
+from hourloom.sources.workspace import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,15 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = fresh_folder(spark, "tokens")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_store.token_report(token_store.read_tokens(spark, path))
+
+
 @query
 def op8_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_plan(table(spark, sf_dir, "documents"))
@@ -76,6 +86,11 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.NearSpec(words=4))
