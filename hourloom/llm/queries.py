@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import compression, fingerprints, licenses, mixing, near_dup, packing, suffix_dedup, token_store, url_filter
+from hourloom.llm import compression, fingerprints, licenses, mixing, near_dup, packing, suffix_dedup, token_store, toxicity, url_filter
 from hourloom.sources.workspace import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op8_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_plan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_signals(table(spark, sf_dir, "documents"))
