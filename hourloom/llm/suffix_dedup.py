@@ -135,7 +135,7 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for s in text_slices(batch.column(0)):
             rows = batch.slice(s.first, len(s))
-            body = _pack({f"c{i}": x for i, x in enumerate(rows.columns)})
+            body = _pack(dict(zip(rows.schema.names, rows.columns, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([len(s.data)]), pa.array([body], pa.binary())], names=["block", "raw", "body"])
             block += 1
 
@@ -218,41 +218,47 @@ def _key_marks(table: pa.Table, spec: RepeatSpec) -> pa.Table:
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "body": pa.array(bodies, pa.binary())})
 
 
+class _Chunks:
+    """The chunks of a block that may repeat: where they stand, and the different ones among them."""
+
+    def __init__(self, s: TextSlice, marks: list, spec: RepeatSpec):
+        runs = _Runs(s, spec)
+        keys = np.unique(runs.key)
+        mark = np.concatenate([_unpack(x["body"]).column("m").to_numpy() for x in sorted(marks, key=lambda x: x["bucket"])]) if marks else np.zeros(0, np.uint8)
+        mark = mark[np.searchsorted(keys, runs.key)] if len(keys) else mark[:0]
+        whole, single = mark == 1, mark == 2
+        at = _ranges(runs.start[single], runs.count[single])
+        window = s.range_hashes(runs.sums, at, at + spec.length)
+        self.start = np.concatenate([runs.start[whole], at])
+        self.count = np.concatenate([runs.count[whole], np.ones(len(at), np.int64)])
+        self.key = np.concatenate([runs.key[whole], mixed(window)])
+        self.chunk = np.concatenate([runs.chunk[whole], window])
+        _, self.first, self.index = np.unique(self.chunk, return_index=True, return_inverse=True)
+
+
 def _chunk_rows(batches: Iterator[pa.RecordBatch], spec: RepeatSpec, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: chunks of a block that go to a bucket. Kind 1: where the chunks stand in the block."""
-    names = ["kind", "block", "bucket", "body"]
+    """The different chunks of a block that go to each bucket, with the least and largest id that has them."""
+    names = ["block", "bucket", "body"]
     for batch in batches:
         for block, body, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             table = _unpack(body)
             s = _only_slice(table)
-            ids = _ids(table)
-            runs = _Runs(s, spec)
-            keys = np.unique(runs.key)
-            mark = np.concatenate([_unpack(x["body"]).column("m").to_numpy() for x in sorted(marks, key=lambda x: x["bucket"])]) if marks else np.zeros(0, np.uint8)
-            mark = mark[np.searchsorted(keys, runs.key)] if len(keys) else mark[:0]
-            whole, single = mark == 1, mark == 2
-            at = _ranges(runs.start[single], runs.count[single])
-            print_of_window = s.range_hashes(runs.sums, at, at + spec.length)
-            start = np.concatenate([runs.start[whole], at])
-            count = np.concatenate([runs.count[whole], np.ones(len(at), np.int64)])
-            key = np.concatenate([runs.key[whole], mixed(print_of_window)])
-            chunk = np.concatenate([runs.chunk[whole], print_of_window])
-            if not len(start):
+            c = _Chunks(s, marks, spec)
+            if not len(c.start):
                 continue
-            _, first, index = np.unique(chunk, return_index=True, return_inverse=True)
-            doc = ids[np.searchsorted(s.edges, start, side="right") - 1]
-            by_chunk = np.argsort(index, kind="stable")
-            edge = np.searchsorted(index[by_chunk], np.arange(len(first)))
+            doc = _ids(table)[np.searchsorted(s.edges, c.start, side="right") - 1]
+            by_chunk = np.argsort(c.index, kind="stable")
+            edge = np.searchsorted(c.index[by_chunk], np.arange(len(c.first)))
             least, most = np.minimum.reduceat(doc[by_chunk], edge), np.maximum.reduceat(doc[by_chunk], edge)
-            by_key = np.argsort(key[first], kind="stable")
-            out = [(1, block, -1, _pack({"start": start, "index": index.astype(np.int32)}))]
-            for bucket, a, b in _cuts(_bucket(key[first][by_key], buckets)):
+            by_key = np.argsort(c.key[c.first], kind="stable")
+            out = []
+            for bucket, a, b in _cuts(_bucket(c.key[c.first][by_key], buckets)):
                 use = by_key[a:b]
-                begin, size = start[first[use]], count[first[use]] + spec.length - 1
+                begin, size = c.start[c.first[use]], c.count[c.first[use]] + spec.length - 1
                 text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(use), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(s.data[_ranges(begin, size)])])
-                out.append((0, block, bucket, _pack({"index": use.astype(np.int32), "key": key[first[use]], "chunk": chunk[first[use]], "least": least[use], "most": most[use], "text": text})))
-            kinds, blocks, at_bucket, bodies = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(blocks, pa.int64()), pa.array(at_bucket, pa.int64()), pa.array(bodies, pa.binary())], names=names)
+                out.append((block, bucket, _pack({"index": use.astype(np.int32), "key": c.key[c.first[use]], "chunk": c.chunk[c.first[use]], "least": least[use], "most": most[use], "text": text})))
+            blocks, at_bucket, bodies = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(at_bucket, pa.int64()), pa.array(bodies, pa.binary())], names=names)
 
 
 def _least_ids(table: pa.Table, spec: RepeatSpec) -> pa.Table:
@@ -314,12 +320,12 @@ def _ids(table: pa.Table) -> np.ndarray:
     return table.column("c1").combine_chunks().fill_null(_LAST).to_numpy()
 
 
-def _covered(table: pa.Table, places: bytes | None, answers: list | None, spec: RepeatSpec) -> tuple[TextSlice, np.ndarray]:
+def _covered(table: pa.Table, marks: list | None, answers: list | None, spec: RepeatSpec) -> tuple[TextSlice, np.ndarray]:
     s = _only_slice(table)
     step = np.zeros(len(s.data) + 1, np.int64)
-    if places is not None and answers:
-        where = _unpack(places)
-        start, index = where.column("start").to_numpy(), where.column("index").to_numpy()
+    if answers:
+        c = _Chunks(s, marks, spec)
+        start, index = c.start, c.index
         found = pa.concat_tables([_unpack(x["body"]) for x in answers]).combine_chunks()
         at, begin, windows, least = (found.column(c).to_numpy() for c in ("index", "from", "windows", "least"))
         order = np.argsort(at, kind="stable")
@@ -333,25 +339,25 @@ def _covered(table: pa.Table, places: bytes | None, answers: list | None, spec:
     return s, np.cumsum(step)[:-1] > 0
 
 
-MEASURES = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+MEASURES = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def _cleaned(docs: DataFrame, spec: RepeatSpec, keep: list[str], id_column: str, text: str) -> DataFrame:
+    """c1 (the id), the columns ``keep`` as c2, c3, ..., then the measures; the column ``text`` among ``keep`` is cleaned."""
     types = dict(docs.dtypes)
-    source = docs.select(F.col(text).alias("c0"), F.col(id_column).cast("long").alias("c1"), *(F.col(c).alias(f"c{i + 2}") for i, c in enumerate(keep)))
+    source = docs.select(F.col(text).alias("c0"), F.col(id_column).cast("long").alias("c1"), *(F.col(c).alias(f"c{i + 2}") for i, c in enumerate(keep) if c != text))
     blocks = settle(source.mapInArrow(_block_rows, "block long, raw long, body binary"), "blocks")
     total = blocks.agg(F.sum("raw")).first()[0] or 0
     buckets = max(spec.least_buckets, -(-total // spec.bucket_bytes))
-    keys = blocks.select("block", "body").mapInArrow(lambda x: _key_rows(x, spec, buckets), "block long, bucket long, body binary")
+    blocks = blocks.select("block", "body")
+    keys = blocks.mapInArrow(lambda x: _key_rows(x, spec, buckets), "block long, bucket long, body binary")
     marks = keys.groupBy("bucket").applyInArrow(lambda t: _key_marks(t, spec), "block long, bucket long, body binary")
-    marks = marks.groupBy("block").agg(F.collect_list(F.struct("bucket", "body")).alias("marks"))
-    chunks = blocks.select("block", "body").join(marks, "block").mapInArrow(lambda x: _chunk_rows(x, spec, buckets), "kind int, block long, bucket long, body binary")
-    chunks = settle(chunks, "chunks", ("kind",))
-    answers = chunks.filter("kind = 0").select("block", "bucket", "body").groupBy("bucket").applyInArrow(lambda t: _least_ids(t, spec), "block long, body binary")
+    marks = settle(marks.groupBy("block").agg(F.collect_list(F.struct("bucket", "body")).alias("marks")), "marks")
+    marked = blocks.join(marks, "block", "left")
+    chunks = marked.mapInArrow(lambda x: _chunk_rows(x, spec, buckets), "block long, bucket long, body binary")
+    answers = chunks.groupBy("bucket").applyInArrow(lambda t: _least_ids(t, spec), "block long, body binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("body")).alias("answers"))
-    places = chunks.filter("kind = 1").select("block", F.col("body").alias("places"))
-    known = places.join(answers, "block")
-    ready = blocks.select("block", "body").join(known, "block", "left").select("body", "places", "answers")
+    names = ["c1", *(f"c{i + 2}" for i in range(len(keep)))]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -367,25 +373,30 @@ def _cleaned(docs: DataFrame, spec: RepeatSpec, keep: list[str], id_column: str,
                     removed.append(int(g.sum()))
                     spans.append(int((g[1:] & ~g[:-1]).sum() + g[:1].sum()))
                     digest.append(hashlib.sha256(kept).hexdigest())
-                    left.append(kept.decode("utf-8", "ignore"))
-                columns = [table.column(f"c{i + 1}").combine_chunks() for i in range(len(keep) + 1)]
-                measures = [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string()), pa.array(left, pa.string())]
-                yield pa.RecordBatch.from_arrays([*columns, *measures], names=[*(f"c{i + 1}" for i in range(len(keep) + 1)), *(x.split()[0] for x in MEASURES.split(", "))])
+                    if text in keep:
+                        left.append(kept.decode("utf-8", "ignore"))
+                columns = [pa.array(left, pa.string()) if f"c{i + 2}" not in table.column_names else table.column(f"c{i + 2}").combine_chunks() for i in range(len(keep))]
+                measures = [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string())]
+                yield pa.RecordBatch.from_arrays([table.column("c1").combine_chunks(), *columns, *measures], names=[*names, *(x.split()[0] for x in MEASURES.split(", "))])
 
+    ready = marked.join(answers, "block", "left").select("body", "marks", "answers")
     return ready.mapInArrow(cut, ", ".join(["c1 long", *(f"c{i + 2} {types[c]}" for i, c in enumerate(keep)), MEASURES]))
 
 
 def repeated_spans(docs: DataFrame, spec: RepeatSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id_column, n_bytes, n_removed, n_spans, kept_sha256, kept_text)`` for every row of ``docs``.
+    """``(id_column, n_bytes, n_removed, n_spans, kept_sha256)`` for every row of ``docs``.
 
     A byte goes if a ``length``-byte string over it also starts in a row with a smaller id. Rows that share an id
     do not remove each other; a null id is larger than all others; null and empty texts have nothing to
-    remove. ``kept_text`` leaves out bytes of characters that were cut through. Other columns are not read.
+    remove. Other columns are not read.
     """
     return _cleaned(docs, spec or RepeatSpec(), [], id_column, text).withColumnRenamed("c1", id_column)
 
 
 def remove_repeats(docs: DataFrame, spec: RepeatSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows of ``docs`` with the same columns, their text without repeated passages."""
+    """All rows of ``docs`` with the same columns, their text without repeated passages.
+
+    Bytes of characters that were cut through are left out; a null text becomes empty.
+    """
     out = _cleaned(docs, spec or RepeatSpec(), docs.columns, id_column, text)
-    return out.select(*(F.col("kept_text" if c == text else f"c{i + 2}").alias(c) for i, c in enumerate(docs.columns)))
+    return out.select(*(F.col(f"c{i + 2}").alias(c) for i, c in enumerate(docs.columns)))
