@@ -2,16 +2,21 @@
 
 1. Every text becomes its set of distinct word shingles (64-bit hashes) and a signature of minima. Texts
    with equal sets are one class; only classes are joined.
-2. Classes are posted under the (coordinate, value) pairs of a signature prefix. Linked classes miss the
-   whole prefix with a probability of ``(1 - s) ** prefix`` (4e-9 for 12 coordinates and 0.8).
-3. Posting lists are merged in two ways. Star rounds compare each class with a few heads of its lists, keep
-   the head with most equal coordinates, and confirm that one pair. Groups of copies collapse here with a
-   number of pairs that grows with their size, not its square.
-4. What is still in different components of one list is joined: short lists pair by pair, long lists are
-   skipped and posted again under the next coordinates, where they fall apart. The last level takes lists of
-   any length, so no candidate is dropped.
-5. Pairs with too few equal coordinates are dropped (a linked pair has that few with a chance of 1e-7); the
-   rest is confirmed by intersecting whole sets.
+2. A linked pair agrees in at least ``least_shared`` of the first ``posted`` coordinates (but for a chance of
+   2e-7 at the bound of similarity), so it shares one of the ``posted - least_shared + 1`` rarest (coordinate,
+   value) pairs of either class. Only that prefix is posted: values that a frequent line or passage brings
+   are skipped unless they make up most of a text.
+3. Star rounds compare each class with two heads of every list it is in, keep the heads with most equal
+   coordinates, and confirm those pairs. Groups of copies collapse here with a number of pairs that grows
+   with their size, not its square.
+4. Lists that still hold several components get a centre, their member with most links, and every member its
+   exact difference from it. Two members share at most what the lesser of them shares with the centre plus
+   what both have beyond it, so pairs are sought among members whose sizes allow a link without more, and
+   by an inverted join over the shingles beyond the centre. Members of a large group of copies that are not
+   linked with it are told so by their few own shingles, not by a comparison with each copy. No list is cut
+   and no pair that can be linked is dropped.
+5. Pairs with too few equal coordinates in the whole signature (a chance of 1e-7 for a linked pair) are
+   dropped; the rest is confirmed by intersecting whole sets.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.llm.graph import connected_components
@@ -33,15 +38,16 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class NearSpec:
-    """``percent``: least similarity. ``coordinates`` of a signature, of which each level posts ``prefix``."""
+    """``percent``: least similarity. ``coordinates`` of a signature, the first ``posted`` of which are joined on."""
 
     words: int = 5
     percent: int = 80
     coordinates: int = 64
-    prefix: int = 12
+    posted: int = 32
+    least_shared: int = 13
     match_threshold: int = 33
-    short_list: int = 48
-    star_rounds: int = 2
+    star_rounds: int = 1
+    heads: int = 3
 
 
 def shingle_sets(s: TextSlice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,21 +118,25 @@ def _matrix(column: pa.Array, coordinates: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, coordinates)
 
 
-def _post(sigs: DataFrame, spec: NearSpec, level: int) -> DataFrame:
-    """``(key, id)`` for each coordinate of the level; ``sigs`` has id, sig and the key of the list it refines (0 at first)."""
-    at = range(level * spec.prefix, (level + 1) * spec.prefix)
+def _postings(sigs: DataFrame, spec: NearSpec) -> DataFrame:
+    """``(key, id)`` for the rarest coordinate values of each class, so far as another class has them too."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt = mixed(np.arange(1, spec.posted + 1, dtype=np.uint64))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            values = _matrix(batch.column(1), spec.coordinates)
-            parent = batch.column(2).to_numpy().view(np.uint64)
-            keys = np.stack([mixed(mixed(parent + _U(k + 1)) ^ values[:, k].astype(np.uint64)) for k in at], 1)
-            ids = np.repeat(batch.column(0).to_numpy(), len(at))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["key", "id"])
+            if batch.num_rows:
+                values = _matrix(batch.column(1), spec.coordinates)[:, : spec.posted].astype(np.uint64)
+                keys = mixed(values ^ salt)
+                ids = np.repeat(batch.column(0).to_numpy(), spec.posted)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["key", "id"])
 
-    return sigs.select("id", "sig", "parent").mapInArrow(post, "key long, id long")
+    tokens = sigs.select("id", "sig").mapInArrow(post, "key long, id long")
+    shared = tokens.join(tokens.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
+    own = Window.partitionBy("id")
+    ranked = shared.select("key", "id", F.row_number().over(own.orderBy("n", "key")).alias("rank"), F.count("*").over(own).alias("m"))
+    # values that no other class has come first in the order of rarity; they are counted but not posted
+    alone = F.lit(spec.posted) - F.col("m")
+    return ranked.filter(F.col("rank") + alone <= spec.posted - spec.least_shared + 1).select("key", "id")
 
 
 def _matching(pairs: DataFrame, sigs: DataFrame, spec: NearSpec) -> DataFrame:
@@ -150,9 +160,9 @@ class _Confirmer:
     def __init__(self, texts: DataFrame, spec: NearSpec):
         self.texts, self.spec, self.kept = texts, spec, None
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        """The linked pairs ``(a, b)`` among ``pairs``."""
-        width, percent = self.spec.words, self.spec.percent
+    def _with_sets(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` with items_a and items_b, their whole sets."""
+        width = self.spec.words
         wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         if self.kept is not None:
             wanted = settle(wanted.join(self.kept.select("id"), "id", "left_anti"), "wanted")
@@ -160,6 +170,12 @@ class _Confirmer:
             chosen = self.texts.join(wanted, "id", "left_semi").select("id", "text")
             more = settle(chosen.mapInArrow(lambda x: _sets(x, width), "id long, items binary"), "sets")
             self.kept = more if self.kept is None else self.kept.unionByName(more)
+        with_b = pairs.join(self.kept.select(F.col("id").alias("b"), F.col("items").alias("items_b")), "b")
+        return with_b.join(self.kept.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a")
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        """The linked pairs ``(a, b)`` among ``pairs``."""
+        percent = self.spec.percent
 
         def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -171,9 +187,25 @@ class _Confirmer:
                 mask = pa.array(keep, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-        with_b = pairs.select("a", "b").join(self.kept.select(F.col("id").alias("b"), F.col("items").alias("items_b")), "b")
-        both = with_b.join(self.kept.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a")
-        return both.select("a", "b", "items_a", "items_b").mapInArrow(linked, "a long, b long").distinct()
+        return self._with_sets(pairs.select("a", "b")).select("a", "b", "items_a", "items_b").mapInArrow(linked, "a long, b long").distinct()
+
+    def differences(self, members: DataFrame) -> DataFrame:
+        """For rows ``(a, b, part, core)`` of a centre a and a member b: b's size n, the number ``common`` it shares with a, and its ``extras``."""
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes, common, extras = [], [], []
+                for x, y in zip(batch.column(4), batch.column(5), strict=True):
+                    p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                    own = q[np.isin(q, p, assume_unique=True, invert=True)]
+                    sizes.append((len(p), len(q)))
+                    common.append(len(q) - len(own))
+                    extras.append(own.tobytes())
+                columns = [*batch.columns[:4], pa.array([x for x, _ in sizes], pa.int64()), pa.array([y for _, y in sizes], pa.int64()), pa.array(common, pa.int64()), pa.array(extras, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "part", "core", "size_a", "n", "common", "extras"])
+
+        schema = "a long, b long, part long, core long, size_a long, n long, common long, extras binary"
+        return self._with_sets(members).select("a", "b", "part", "core", "items_a", "items_b").mapInArrow(compare, schema)
 
 
 def _labelled(posts: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -183,20 +215,63 @@ def _labelled(posts: DataFrame, parts: DataFrame | None) -> DataFrame:
     return posts.join(parts.select(F.col("node").alias("id"), F.col("component").alias("part")), "id", "left").withColumn("part", F.coalesce("part", "id"))
 
 
-def _open_lists(posts: DataFrame) -> DataFrame:
-    """Lists that still hold more than one component, with their lengths."""
-    lists = posts.groupBy("key").agg(F.count("*").alias("n"), F.min("part").alias("p"), F.max("part").alias("q"))
-    return lists.filter("p != q").select("key", "n")
-
-
 def _star(posts: DataFrame, seed: int) -> DataFrame:
-    """Each member of an open list next to two heads of it that are in other components."""
-    rank = F.struct(F.xxhash64("part", F.lit(seed)).alias("x"), F.col("id"), F.col("part")) if seed else F.struct(F.col("part").alias("x"), F.col("id"), F.col("part"))
+    """Each member of a list next to two heads of it that are in other components; heads differ from list to list."""
+    rank = F.struct(F.xxhash64("part", "key", F.lit(seed)).alias("x"), F.col("id"), F.col("part"))
     heads = posts.groupBy("key").agg(F.min(rank).alias("lo"), F.max(rank).alias("hi")).filter("lo.part != hi.part")
     met = posts.join(heads, "key").select("id", "part", F.explode(F.array("lo", "hi")).alias("head")).filter("part != head.part")
     return met.select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
+def _open_members(posts: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``(a, b, part, core)``: members b of open lists with the list's centre a; part and core are their components."""
+    if links is None:
+        posts = posts.withColumn("degree", F.lit(0).cast("long"))
+    else:
+        ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
+        posts = posts.join(ends.groupBy("id").agg(F.count("*").alias("degree")), "id", "left").fillna(0, ["degree"])
+    rank = F.struct("degree", (-F.col("id")).alias("first"), "id", "part")
+    lists = posts.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.max(rank).alias("c")).filter("p != q")
+    rows = posts.select("key", "id", "part").join(lists.select("key", "c"), "key")
+    return rows.select(F.col("c.id").alias("a"), F.col("id").alias("b"), "part", F.col("c.part").alias("core")).distinct()
+
+
+def _extra_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each shingle that a member has beyond its centre."""
+    for batch in batches:
+        extras = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]
+        if extras:
+            at = pa.array(np.repeat(np.arange(len(extras)), [len(x) for x in extras]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(extras)), *(c.take(at) for c in batch.columns[1:])], names=["item", "a", "b", "part", "core", "n", "common"])
+
+
+def _open_pairs(differences: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one centre, in different components, that can be linked by what they share with and beyond it."""
+    part = F.when(_linked(F.col("common"), F.col("size_a"), F.col("n"), percent), F.col("core")).otherwise(F.col("part"))
+    rows = differences.withColumn("part", part)
+    names = {"b": "x", "part": "px", "n": "nx", "common": "cx"}
+    renamed = lambda df: df.withColumnsRenamed({**names, "a": "ax"})
+    outside = renamed(rows.filter("part != core").select("a", "b", "part", "n", "common"))
+    apart = F.col("px") != F.col("part")
+    # without shingles beyond the centre: only sizes up to a bound can do
+    sizes = F.sequence(F.expr(f"({percent} * nx + 99) div 100"), F.expr(f"({100 + percent} * cx) div {percent} - nx"))
+    sized = outside.filter(f"({percent} * nx + 99) div 100 <= ({100 + percent} * cx) div {percent} - nx").withColumn("size", F.explode(sizes))
+    inside = rows.select("a", "b", "part", "n", "common")
+    by_size = sized.join(inside, (F.col("ax") == F.col("a")) & (F.col("size") == F.col("n")) & apart & _linked(F.least("cx", "common"), F.col("nx"), F.col("n"), percent))
+    items = settle(rows.select("extras", "a", "b", "part", "core", "n", "common").mapInArrow(_extra_rows, "item long, a long, b long, part long, core long, n long, common long"), "extras")
+    left = renamed(items.filter("part != core").drop("core")).withColumnRenamed("item", "ix")
+    met = left.join(items.drop("core"), (F.col("ax") == F.col("a")) & (F.col("ix") == F.col("item")) & apart)
+    shared = met.groupBy("a", "x", "b").agg(F.count("*").alias("more"), F.first("nx").alias("nx"), F.first("n").alias("n"), F.first("cx").alias("cx"), F.first("common").alias("common"))
+    by_item = shared.filter(_linked(F.least("cx", "common") + F.col("more"), F.col("nx"), F.col("n"), percent))
+    pairs = by_size.select("x", "b").unionByName(by_item.select("x", "b"))
+    return pairs.select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b")).distinct()
+
+
+def _linked(common: Column, x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of sizes x and y with ``common`` items in both are similar enough."""
+    return F.lit(100 + percent) * common >= F.lit(percent) * (x + y)
+
+
 def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id_column, n_shingles, component_id, kept)`` for every row of ``docs``.
 
@@ -214,38 +289,21 @@ def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: st
     sigs = classes.select("id", "sig")
     confirm = _Confirmer(texts, spec)
 
-    posts = settle(_post(sigs.withColumn("parent", F.lit(0).cast("long")), spec, 0), "posts")
-    posts = settle(posts.join(posts.groupBy("key").count().filter("count > 1").select("key"), "key", "left_semi"), "posts")
+    posts = settle(_postings(sigs, spec), "posts")
     links, parts = None, None
     for seed in range(spec.star_rounds):
         matched = _matching(_star(_labelled(posts, parts), seed), sigs, spec)
-        best = matched.groupBy("b").agg(F.max(F.struct("hits", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-        found = confirm(settle(best, "pairs"))
+        nearest = Window.partitionBy("b").orderBy(F.desc("hits"), "a")  # at most two heads for each posted coordinate
+        best = matched.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= spec.heads)
+        found = confirm(settle(best.select("a", "b"), "pairs"))
         links = settle(found if links is None else found.unionByName(links), "links")
-        parts = settle(connected_components(links), "parts")
-
-    level, found = 0, []
-    while True:
-        marked = settle(_labelled(posts, parts), "open")
-        lists = settle(_open_lists(marked), "lists")
-        last = (level + 2) * spec.prefix > spec.coordinates
-        short = lists if last else lists.filter(F.col("n") <= spec.short_list)
-        rows = marked.join(short.select("key"), "key", "left_semi")
-        pairs = rows.select("key", F.col("id").alias("a"), F.col("part").alias("pa")).join(rows.select("key", F.col("id").alias("b"), F.col("part").alias("pb")), "key")
-        found.append(pairs.filter("a < b and pa != pb").select("a", "b"))
-        long_lists = None if last else lists.filter(F.col("n") > spec.short_list)
-        if last or long_lists.isEmpty():
-            break
-        again = marked.join(long_lists.select("key"), "key", "left_semi").select("id", F.col("key").alias("parent")).join(sigs, "id")
-        level += 1
-        posts = settle(_post(again, spec, level), "posts")
-    rest = found[0]
-    for x in found[1:]:
-        rest = rest.unionByName(x)
-    rest = settle(_matching(rest.distinct(), sigs, spec), "rest")
-    if not rest.isEmpty():
-        links = links.unionByName(confirm(rest))
-        parts = settle(connected_components(links), "parts")
+        parts = connected_components(links)
+    members = _open_members(_labelled(posts, parts), links)
+    differences = settle(confirm.differences(members), "differences")
+    to_centre = differences.filter(_linked(F.col("common"), F.col("size_a"), F.col("n"), spec.percent) & (F.col("a") != F.col("b"))).select("a", "b")
+    rest = settle(_matching(_open_pairs(differences, spec.percent), sigs, spec).select("a", "b"), "rest")
+    found = to_centre if rest.isEmpty() else to_centre.unionByName(confirm(rest))
+    parts = connected_components(found if links is None else links.unionByName(found))
 
     of_class = classes.select("h1", "h2", "id").join(parts.select(F.col("node").alias("id"), "component"), "id", "left")
     of_class = of_class.select("h1", "h2", F.coalesce("component", "id").alias("component")).groupBy("h1", "h2").agg(F.min("component").alias("component"))

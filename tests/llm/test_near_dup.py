@@ -56,9 +56,9 @@ def corpus(seed):
     return [*enumerate(texts), (1000, texts[5])]
 
 
-@pytest.mark.parametrize("spec", [NearSpec(words=4), NearSpec(words=5, short_list=4), NearSpec(words=4, short_list=3, star_rounds=1)])
+@pytest.mark.parametrize("spec", [NearSpec(words=4), NearSpec(words=5, star_rounds=2, heads=1), NearSpec(words=4, star_rounds=0)])
 def test_components_equal_brute_force(spark, spec):
-    rows = corpus(spec.words + spec.short_list)
+    rows = corpus(spec.words + spec.star_rounds)
     want = brute(rows, spec.words)
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, component_id int").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(frame, spec).collect()}
