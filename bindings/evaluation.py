@@ -40,9 +40,9 @@ def _bucket_sql(where: str = "true") -> str:
 
 
 
-@query("bucket_metrics", f"{_bucket_sql('actual > 20')} SELECT series_key, bucket, {ROUNDED_SCORES} FROM s")
+@query("bucket_metrics", f"{_bucket_sql()} SELECT series_key, bucket, {ROUNDED_SCORES} FROM s")
 def bucket_metrics(spark, sf_dir):
-    return ev.bucket_metrics(predictions(spark, sf_dir).filter("actual > 20"))
+    return ev.bucket_metrics(predictions(spark, sf_dir))
 
 
 @query("trading_buckets", _bucket_sql() + " SELECT series_key, bucket, n_samples FROM s")

@@ -97,8 +97,8 @@ def cv_mean_metrics(spark, sf_dir):
 
 # --- boosted trees: no SQL can repeat the fit ---------------------------------
 
-BOOST = BoostSpec(n_trees=6, learning_rate=0.1, max_depth=4, min_child_rows=5)
-FEATURES = FeatureSpec(lag_columns=(TARGET, VALUES[1]), lags=(24, 48, 168), rolling_columns=(TARGET,))
+BOOST = BoostSpec()
+FEATURES = FeatureSpec()
 JOB = JobSpec(boost=BOOST, features=FEATURES, validation_days=7)
 
 

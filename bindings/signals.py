@@ -223,13 +223,13 @@ def trading_context(spark, sf_dir):
     )
 
 
-STRATEGY = f"""CASE WHEN avg_css_eur > 20 THEN '1. **POSITION**: BUY ' || best_bucket || ' block, FULL SIZE. Average CSS €' || avg_css_eur || '/MWh supports baseload dispatch.'
-  WHEN avg_css_eur > 0 THEN '1. **POSITION**: BUY ' || best_bucket || ' block only, MEDIUM SIZE. Marginal economics - be selective.'
-  ELSE '1. **POSITION**: HOLD/REDUCE exposure. Negative average CSS (€' || avg_css_eur || '/MWh) - generation uneconomic.' END
-  || chr(10) || '2. **RATIONALE**: ' || profitable_pct || '% of hours profitable. Best opportunity in ' || best_bucket || ' (CSS €' || {_two('best_css')} || '/MWh). Avoid '
-  || worst_bucket || ' (CSS €' || {_two('worst_css')} || '/MWh).' || chr(10)
-  || CASE WHEN low_confidence THEN '3. **RISK**: LOW CONFIDENCE MODE. Only ' || profitable_pct || '% profitable hours. Cut position 50% if spot deviates >€15/MWh from forecast.'
-     ELSE '3. **RISK**: Monitor wind/solar actuals vs forecast. Invalidate signal if deviation >2GW intraday.' END"""
+STRATEGY = f"""CASE WHEN avg_css_eur > 20 THEN '1. **POSITION**: BUY ' || best_bucket || ' at full size: the plant earns ' || avg_css_eur || ' EUR/MWh on average.'
+  WHEN avg_css_eur > 0 THEN '1. **POSITION**: BUY ' || best_bucket || ' at half size: the average hour earns little.'
+  ELSE '1. **POSITION**: HOLD, running costs more than it earns (' || avg_css_eur || ' EUR/MWh on average).' END
+  || chr(10) || '2. **RATIONALE**: ' || profitable_pct || '% of the hours pay; ' || best_bucket || ' pays most (' || {_two('best_css')} || ' EUR/MWh), '
+  || worst_bucket || ' least (' || {_two('worst_css')} || ' EUR/MWh).' || chr(10)
+  || CASE WHEN low_confidence THEN '3. **RISK**: few hours pay (' || profitable_pct || '%); halve the position when spot leaves the forecast by 15 EUR/MWh.'
+     ELSE '3. **RISK**: drop the signal when wind and solar miss their forecast by 2 GW.' END"""
 
 
 @query("rule_strategy", f"WITH {S}, {VIEW}, {ENDS}, {STREAK}, {CONTEXT} SELECT series_key, {STRATEGY} AS strategy FROM ctx")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from bindings.base import H, KEY, P, ROUNDED_SCORES, RULES, SCORES, TARGET, TS, TYPES, VALUES, by_type, market, predictions, query, r, table
@@ -108,8 +110,11 @@ def payload_load_select(spark, sf_dir):
 @query("chunk_union", ALL)
 def chunk_union(spark, sf_dir):
     h = market(spark, sf_dir)
-    edges = [("2024-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2024-01-31")]
-    return union_chunks(time_range(h, a, b) for a, b in edges)
+    days = h.agg(F.to_date(F.min(TS)).alias("a"), F.to_date(F.max(TS)).alias("b")).first()
+    step = max(1, ((days.b - days.a).days + 3) // 3)
+    begins = [days.a + timedelta(days=step * i) for i in range(3)]
+    # neighbouring chunks share a day
+    return union_chunks(time_range(h, str(a), str(a + timedelta(days=step))) for a in begins)
 
 
 @query(
@@ -163,7 +168,7 @@ def latest_run(spark, sf_dir):
     week = F.concat(F.date_format(TS, "yyyy-MM"), F.lit("-w"), F.floor((F.dayofmonth(TS) - 1) / 7).cast("string"))
     path = fresh_folder(spark, "runs")
     by_type(spark, sf_dir).withColumn("run_id", week).write.partitionBy("run_id").parquet(path)
-    return files.latest_run(spark.read.parquet(path))
+    return files.latest_run(spark, path)
 
 
 @query("sink_parquet", f"WITH {TYPES} SELECT series_key, ts, {r(*VALUES)}, '2024-01' AS ts_month, 'run1' AS run_id FROM t")

@@ -115,7 +115,8 @@ class BoostSpec:
     seed: int = 42
     # Fraction of the training rows, the latest ones, that only decide when to stop.
     stop_share: float = 0.1
-    stop_tolerance: float = 0.001
+    # MLlib has no patience: the fit ends at the first round that does not lower the error of those rows.
+    stop_tolerance: float = 0.0
 
 
 @dataclass(frozen=True)
@@ -150,4 +151,3 @@ class JobSpec:
     economics: Economics = field(default_factory=lambda: Economics(threshold=10.0))
     baseline_lag: int = 168
     validation_days: int = 30
-    eval_split_cap: int = 3

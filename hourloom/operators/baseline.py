@@ -141,7 +141,16 @@ def cv_folds(df: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
     full = planned.join(counts.filter("train_rows > 0 and test_rows > 0"), [KEY, "plan"])
     number = F.row_number().over(Window.partitionBy(KEY).orderBy("plan")) - 1
     bounds = ("train_start", "train_end", "test_start", "test_end")
-    return settle(full.select(KEY, number.alias("split"), *bounds, "train_rows", "test_rows"), "folds")
+    folds = settle(full.select(KEY, number.alias("split"), *bounds, "train_rows", "test_rows"), "folds")
+    if folds.isEmpty():
+        raise ValueError("no fold has both train and test rows")
+    return folds
+
+
+def cv_baseline_predictions(df: DataFrame, folds: DataFrame, target: str = TARGET, lag: int = 168) -> DataFrame:
+    """The naive forecast of every complete row in the test part of a fold."""
+    rows = assign_folds(drop_null_any(df).select(KEY, TS, target, lag_name(lag, target)), folds).filter("role = 'test'")
+    return rows.select(KEY, TS, "split", F.col(target).alias("actual"), F.col(lag_name(lag, target)).alias("predicted"), (F.col(target) - F.col(lag_name(lag, target))).alias("residual"))
 
 
 def cv_baseline(df: DataFrame, folds: DataFrame, target: str = TARGET, lag: int = 168) -> DataFrame:

@@ -12,6 +12,7 @@ from hourloom.functions.calendar import is_weekend, trading_buckets
 from hourloom.functions.clock import day_number
 from hourloom.functions.numbers import equal_width_bin, improvement_pct
 from hourloom.functions.scores import r_squared, score_columns, smape_term
+from hourloom.functions.numbers import nan_to_null
 from hourloom.operators.pieces import attach_summary
 from hourloom.operators.quantiles import percentile_columns
 from hourloom.operators.tables import inner_join_models, last_rows
@@ -20,7 +21,7 @@ from hourloom.operators.tables import inner_join_models, last_rows
 
 def scored(df: DataFrame) -> DataFrame:
     """Rows that have both an outcome and a forecast."""
-    return df.filter(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
+    return df.filter(nan_to_null(F.col("actual")).isNotNull() & nan_to_null(F.col("predicted")).isNotNull())
 
 
 def regression_metrics(df: DataFrame, by: Sequence[str] = (KEY,)) -> DataFrame:

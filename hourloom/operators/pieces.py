@@ -23,12 +23,8 @@ from pyspark.sql import functions as F
 
 from hourloom.config import KEY, TS
 from hourloom.functions.clock import slot_number
-from hourloom.sources.workspace import settle
 
 PIECE_SLOTS = 1344
-SALT_BUCKETS = 64
-# Summaries hold a handful of numbers per row: this many rows are some tens of megabytes.
-BROADCAST_ROWS = 100_000
 
 SLOT = "_slot"
 PIECE = "_piece"
@@ -155,25 +151,7 @@ def over_pieces(
 def attach_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str] | str = KEY) -> DataFrame:
     """Inner-join a one-row-per-key summary to a table whose keys may be badly skewed.
 
-    The summary is written first, so its size is known: up to ``BROADCAST_ROWS``
-    rows it is broadcast and the table does not move. Beyond that the table is
-    salted over ``SALT_BUCKETS`` and the summary copied once per bucket, so no
-    task receives more than a 64th of a hot key.
+    Adaptive execution knows the summary's size when it has been computed: it broadcasts a small one and
+    splits the hot keys of the table beside a large one.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    kept = settle(summary, "summary")
-    if kept.count() <= BROADCAST_ROWS:
-        return df.join(F.broadcast(kept), keys)
-    return salted_join(df, kept, keys)
-
-
-def salted_join(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The way for large summaries.
-
-    The salt mixes row content and map partition, both of which a re-run task
-    reproduces, so a lost executor cannot move a row to another bucket.
-    """
-    spread = summary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
-    content = F.xxhash64(*df.columns, F.spark_partition_id())
-    salted = df.withColumn("_salt", F.pmod(content, F.lit(SALT_BUCKETS)).cast("int"))
-    return salted.join(spread, [*keys, "_salt"]).drop("_salt")
+    return df.join(summary, [keys] if isinstance(keys, str) else list(keys))

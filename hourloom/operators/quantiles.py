@@ -7,44 +7,53 @@ inside the bracket are ordered exactly; everything below it is just counted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourloom.functions.numbers import nan_to_null
 from hourloom.operators.pieces import FAR, attach_summary
+from hourloom.sources.workspace import settle
 
 SKETCH_ACCURACY = 100_000
-# The sketch is off by at most 1/SKETCH_ACCURACY of the ranks; ten times that on both sides.
-MARGIN = 10 / SKETCH_ACCURACY
-# Up to here the whole group is the bracket, so a margin below one rank cannot occur.
-SMALL_GROUP = SKETCH_ACCURACY
+# The sketch is off by at most 1/SKETCH_ACCURACY of the ranks. Brackets are offered at these distances in
+# ranks per row; a group takes the narrowest that spans two rows on either side.
+MARGINS = (10 / SKETCH_ACCURACY, 1e-2, 1.0)
 
 
 def exact_percentiles(df: DataFrame, value: str, probabilities: list[float], by: list[str]) -> DataFrame:
-    """Linear-interpolation percentiles, one row per group and probability: ``by, p, value``.
+    """Linear-interpolation percentiles, one row per group and probability: ``by, p, value``; NULL and NaN do not count.
 
-    Above ``SMALL_GROUP`` rows the ordered candidates are about ``2 * MARGIN``
-    (0.02 %) of the group per probability, collapsed to distinct values.
+    The counts below and inside a bracket show whether it covers the wanted rank; groups where it does not
+    are bracketed anew without bounds.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
-    lows = [max(0.0, p - MARGIN) for p in probabilities]
-    highs = [min(1.0, p + MARGIN) for p in probabilities]
-    sketch = rows.groupBy(*by).agg(
-        F.count("*").alias("_n"),
-        F.percentile_approx("_v", [*lows, *highs], SKETCH_ACCURACY).alias("_q"),
-    )
-    k = len(probabilities)
-    big = F.col("_n") > SMALL_GROUP
-    infinity = float("inf")
+    rows = df.select(*by, nan_to_null(F.col(value).cast("double")).alias("_v")).filter("_v is not null")
+    found = settle(_bracketed(rows, probabilities, by, MARGINS), "percentiles")
+    missed = found.filter("value is null").select(*by).distinct()
+    if missed.isEmpty():
+        return found
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    condition = reduce(lambda a, b: a & b, same) if same else F.lit(True)
+    again = _bracketed(rows.alias("r").join(missed.alias("m"), condition, "left_semi"), probabilities, by, (1.0,))
+    return found.filter("value is not null").unionByName(again)
+
+
+def _bracketed(rows: DataFrame, probabilities: list[float], by: list[str], margins: tuple[float, ...]) -> DataFrame:
+    bounds = sorted({min(1.0, max(0.0, p + side * m)) for p in probabilities for m in margins for side in (-1, 1)})
+    at = {b: i for i, b in enumerate(bounds)}
+    sketch = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.percentile_approx("_v", bounds, SKETCH_ACCURACY).alias("_q"))
+
+    def edge(p: float, side: int) -> Column:
+        out = F.lit(side * float("inf"))
+        for m in reversed(margins):
+            b = min(1.0, max(0.0, p + side * m))
+            if 0.0 < b < 1.0:
+                out = F.when(F.col("_n") * m >= 2, F.col("_q")[at[b]]).otherwise(out)
+        return out
+
     brackets = F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("p"),
-                F.when(big & F.lit(lows[i] > 0), F.col("_q")[i]).otherwise(-infinity).alias("low"),
-                F.when(big & F.lit(highs[i] < 1), F.col("_q")[k + i]).otherwise(infinity).alias("high"),
-                ((F.col("_n") - 1) * p).alias("rank"),
-            )
-            for i, p in enumerate(probabilities)
-        ]
+        *[F.struct(F.lit(float(p)).alias("p"), edge(p, -1).alias("low"), edge(p, 1).alias("high"), ((F.col("_n") - 1) * p).alias("rank")) for p in probabilities]
     )
     ranked = attach_summary(rows, sketch.select(*by, brackets.alias("_wanted")), by).select(
         *by, "_v", F.inline("_wanted")
@@ -61,10 +70,10 @@ def exact_percentiles(df: DataFrame, value: str, probabilities: list[float], by:
     # A distinct value covers ranks [upto - c, upto); pick the two around the wanted rank.
     start, floor_rank, ceil_rank = F.col("_upto") - F.col("_c"), F.floor("rank"), F.ceil("rank")
 
-    def at(position):
+    def at_rank(position):
         return F.max(F.when((start <= position) & (position < F.col("_upto")), F.col("_v")))
 
-    picked = ends.groupBy(*by, "p", "rank").agg(at(floor_rank).alias("_lo"), at(ceil_rank).alias("_hi"))
+    picked = ends.groupBy(*by, "p", "rank").agg(at_rank(floor_rank).alias("_lo"), at_rank(ceil_rank).alias("_hi"))
     value_at = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("rank") - F.floor("rank"))
     return picked.select(*by, "p", value_at.alias("value"))
 

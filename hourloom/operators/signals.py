@@ -252,20 +252,20 @@ def rule_strategy(context: DataFrame) -> DataFrame:
     def text(*parts) -> Column:
         return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
 
-    # Thresholds and wording of the rule-based briefing.
+    # The thresholds and the labels POSITION, RATIONALE and RISK.
     position = (
-        F.when(css > 20, text("**POSITION**: BUY ", best["name"], " block, FULL SIZE. Average CSS €", css, "/MWh supports baseload dispatch."))
-        .when(css > 0, text("**POSITION**: BUY ", best["name"], " block only, MEDIUM SIZE. Marginal economics - be selective."))
-        .otherwise(text("**POSITION**: HOLD/REDUCE exposure. Negative average CSS (€", css, "/MWh) - generation uneconomic."))
+        F.when(css > 20, text("**POSITION**: BUY ", best["name"], " at full size: the plant earns ", css, " EUR/MWh on average."))
+        .when(css > 0, text("**POSITION**: BUY ", best["name"], " at half size: the average hour earns little."))
+        .otherwise(text("**POSITION**: HOLD, running costs more than it earns (", css, " EUR/MWh on average)."))
     )
     rationale = text(
-        "**RATIONALE**: ", pct, "% of hours profitable. Best opportunity in ", best["name"], " (CSS €", best["css"],
-        "/MWh). Avoid ", worst["name"], " (CSS €", worst["css"], "/MWh).",
+        "**RATIONALE**: ", pct, "% of the hours pay; ", best["name"], " pays most (", best["css"],
+        " EUR/MWh), ", worst["name"], " least (", worst["css"], " EUR/MWh).",
     )
     risk = F.when(
         F.col("risk_indicators")["low_confidence"],
-        text("**RISK**: LOW CONFIDENCE MODE. Only ", pct, "% profitable hours. Cut position 50% if spot deviates >€15/MWh from forecast."),
-    ).otherwise("**RISK**: Monitor wind/solar actuals vs forecast. Invalidate signal if deviation >2GW intraday.")
+        text("**RISK**: few hours pay (", pct, "%); halve the position when spot leaves the forecast by 15 EUR/MWh."),
+    ).otherwise("**RISK**: drop the signal when wind and solar miss their forecast by 2 GW.")
     strategy = F.concat(F.lit("1. "), position, F.lit("\n2. "), rationale, F.lit("\n3. "), risk)
     return context.withColumn("strategy", strategy)
 

@@ -132,8 +132,11 @@ def union_splits(splits: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def union_chunks(parts: Iterable[DataFrame]) -> DataFrame:
-    """Chunked reads together; a stamp read twice counts once, equal values at other stamps stay."""
-    return distinct_rows(union_all(parts))
+    """Chunked reads together; a stamp read twice counts once, as the first chunk has it."""
+    tagged = union_all(df.withColumn("_chunk", F.lit(i)) for i, df in enumerate(parts))
+    values = [c for c in tagged.columns if c not in (*KEYS, "_chunk")]
+    first = tagged.groupBy(*KEYS).agg(F.min_by(F.struct(*values), "_chunk").alias("_row"))
+    return first.select(*KEYS, *[F.col("_row")[c].alias(c) for c in values])
 
 
 def distinct_rows(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

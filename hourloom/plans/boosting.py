@@ -22,7 +22,7 @@ from hourloom.operators.pieces import attach_summary
 from hourloom.operators.quantiles import exact_percentiles
 from hourloom.operators.tables import drop_null_any
 from hourloom.sources.sinks import write_json
-from hourloom.sources.workspace import settle
+from hourloom.sources.workspace import ensure_checkpoints, settle
 
 HIDDEN = (KEY, TS, TARGET, "split", "role", "_stop")
 
@@ -45,14 +45,16 @@ def boosted_trees(inputs: Sequence[str], target: str = TARGET, spec: BoostSpec =
         subsamplingRate=spec.subsample,
         featureSubsetStrategy=str(spec.column_share),
         seed=spec.seed,
+        checkpointInterval=10,
         **stopping,
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(inputs), outputCol="_features", handleInvalid="skip"), trees])
+    return Pipeline(stages=[VectorAssembler(inputCols=list(inputs), outputCol="_features", handleInvalid="keep"), trees])
 
 
 def fit_boosted(train: DataFrame, target: str = TARGET, inputs: Sequence[str] | None = None, spec: BoostSpec = BoostSpec(), early_stop: bool = True, step: str = "hour") -> PipelineModel:
     """Fit on complete rows; the latest rows of each series only decide when to stop."""
     columns = list(inputs or model_inputs(train, target))
+    ensure_checkpoints(train.sparkSession)
     rows = drop_null_any(train.select(KEY, TS, target, *columns))
     stop = None
     if early_stop and spec.stop_share > 0:
@@ -63,8 +65,14 @@ def fit_boosted(train: DataFrame, target: str = TARGET, inputs: Sequence[str] |
 
 
 def predict(model: PipelineModel, df: DataFrame, target: str = TARGET, extra: Sequence[str] = ()) -> DataFrame:
-    """``series_key, ts, actual, predicted, residual`` (plus ``extra`` columns)."""
-    out = model.transform(df)
+    """``series_key, ts, actual, predicted, residual`` (plus ``extra`` columns), one row per row of ``df``.
+
+    A row with an unknown input keeps a NULL prediction.
+    """
+    known = F.lit(True)
+    for c in model.stages[0].getInputCols():
+        known = known & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    out = model.transform(df).withColumn("predicted", F.when(known, F.col("predicted")))
     return out.select(
         KEY, TS, F.col(target).alias("actual"), "predicted", (F.col(target) - F.col("predicted")).alias("residual"), *extra
     )

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.config import KEY, TARGET, TS, BoostSpec, FoldSpec, JobSpec
+from hourloom.config import KEY, TARGET, TS, BoostSpec, JobSpec
 from hourloom.functions.scores import score_columns
-from hourloom.operators.baseline import assign_folds, cv_baseline, cv_folds, cv_mean_metrics, ensure_lag, train_baseline
+from hourloom.operators.baseline import assign_folds, cv_baseline_predictions, cv_folds, cv_mean_metrics, ensure_lag, train_baseline
 from hourloom.operators.evaluation import baseline_improvement, regression_metrics
 from hourloom.operators.tables import drop_null_any, union_all
 from hourloom.plans.boosting import (
@@ -22,7 +22,7 @@ from hourloom.plans.boosting import (
     save_model,
     train_improved,
 )
-from hourloom.sources.sinks import write_csv, write_metrics
+from hourloom.sources.sinks import write_csv, write_json, write_metrics
 from hourloom.sources.workspace import settle
 
 log = logging.getLogger(__name__)
@@ -108,12 +108,12 @@ def save_training(outcomes: dict[str, Outcome], run_id: str, folder: str, spark:
 # --- cross-validation --------------------------------------------------------
 
 
-def cv_boosted(features: DataFrame, folds: DataFrame, target: str = TARGET, spec: BoostSpec = BoostSpec(), step: str = "hour") -> DataFrame:
-    """Metrics per series and fold of a model refitted for every fold.
+def cv_boosted_predictions(features: DataFrame, folds: DataFrame, target: str = TARGET, spec: BoostSpec = BoostSpec(), step: str = "hour") -> DataFrame:
+    """Test predictions per series and fold of a model refitted for every fold.
 
     The driver loops over fold numbers (at most ``n_splits``); each fit and each
     prediction is a distributed job. The rows are written by fold and role, so a
-    fit reads just its own. Folds without train or test rows are skipped.
+    fit reads just its own; its latest rows decide when it stops. Folds without train or test rows are skipped.
     """
     rows = settle(assign_folds(drop_null_any(features), folds), "folds", ("split", "role"))
     counts = rows.groupBy("split").agg(
@@ -126,21 +126,51 @@ def cv_boosted(features: DataFrame, folds: DataFrame, target: str = TARGET, spec
     parts = []
     for split in usable:
         one = rows.filter(F.col("split") == split)
-        model = fit_boosted(one.filter("role = 'train'"), target, inputs, spec, early_stop=False, step=step)
-        scored = predict(model, one.filter("role = 'test'"), target)
-        parts.append(regression_metrics(scored).withColumn("split", F.lit(split)))
-    return union_all(parts)
+        model = fit_boosted(one.filter("role = 'train'"), target, inputs, spec, step=step)
+        parts.append(predict(model, one.filter("role = 'test'"), target).withColumn("split", F.lit(split)))
+    return settle(union_all(parts), "cv")
+
 
+def fold_metrics(predictions: DataFrame) -> DataFrame:
+    """Metrics per series and fold of test predictions."""
+    return predictions.groupBy(KEY, "split").agg(*score_columns(F.col("actual"), F.col("predicted")))
 
-def run_eval(features: DataFrame, spec: JobSpec = JobSpec(), which: str = "both", target: str = TARGET, step: str = "hour") -> tuple[DataFrame, DataFrame]:
-    """Cross-validate on at most ``eval_split_cap`` folds: (fold metrics, mean metrics), both with ``model``."""
-    capped: FoldSpec = replace(spec.folds, n_splits=min(spec.folds.n_splits, spec.eval_split_cap))
+
+def cv_boosted(features: DataFrame, folds: DataFrame, target: str = TARGET, spec: BoostSpec = BoostSpec(), step: str = "hour") -> DataFrame:
+    return fold_metrics(cv_boosted_predictions(features, folds, target, spec, step))
+
+
+@dataclass
+class Evaluation:
+    """Cross-validation of one or both models: test predictions, metrics per fold, their means."""
+
+    predictions: DataFrame
+    per_fold: DataFrame
+    means: DataFrame
+
+
+def evaluate(features: DataFrame, spec: JobSpec = JobSpec(), which: str = "both", target: str = TARGET, step: str = "hour", folder: str | None = None, run_id: str = "run") -> Evaluation:
+    """Cross-validate on all ``n_splits`` folds; with a ``folder`` predictions and a JSON record are written."""
     ready = ensure_lag(features, target, spec.baseline_lag, step=step)
-    folds = cv_folds(ready, capped)
+    folds = cv_folds(ready, spec.folds)
     parts = []
     if which in ("baseline", "both"):
-        parts.append(cv_baseline(ready, folds, target, spec.baseline_lag).withColumn("model", F.lit("baseline")))
+        parts.append(cv_baseline_predictions(ready, folds, target, spec.baseline_lag).withColumn("model", F.lit("baseline")))
     if which in ("improved", "both"):
-        parts.append(cv_boosted(ready, folds, target, spec.boost, step).withColumn("model", F.lit("improved")))
-    per_fold = union_all(parts)
-    return per_fold, cv_mean_metrics(per_fold, (KEY, "model"))
+        parts.append(cv_boosted_predictions(ready, folds, target, spec.boost, step).withColumn("model", F.lit("improved")))
+    predictions = union_all(p.select(KEY, TS, "split", "model", "actual", "predicted", "residual") for p in parts)
+    per_fold = predictions.groupBy(KEY, "model", "split").agg(*score_columns(F.col("actual"), F.col("predicted")))
+    per_fold = settle(per_fold, "fold_metrics")
+    out = Evaluation(predictions, per_fold, cv_mean_metrics(per_fold, (KEY, "model")))
+    if folder:
+        write_csv(predictions, f"{folder}/cv_predictions/run_id={run_id}")
+        names = [c for c in per_fold.columns if c not in (KEY, "model")]
+        lists = per_fold.groupBy(KEY, "model").agg(F.sort_array(F.collect_list(F.struct(*names))).alias("folds"))  # n_splits entries
+        write_json(lists.join(out.means, [KEY, "model"]).withColumn("run_id", F.lit(run_id)), f"{folder}/cv_record/run_id={run_id}")
+    return out
+
+
+def run_eval(features: DataFrame, spec: JobSpec = JobSpec(), which: str = "both", target: str = TARGET, step: str = "hour", folder: str | None = None, run_id: str = "run") -> tuple[DataFrame, DataFrame]:
+    """(fold metrics, mean metrics), both with ``model``."""
+    done = evaluate(features, spec, which, target, step, folder, run_id)
+    return done.per_fold, done.means

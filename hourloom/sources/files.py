@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from hourloom.operators.pieces import attach_summary
 from hourloom.operators.tables import outer_join_sources, time_range
 from hourloom.sources.schema import enforce_schema, validate_schema
 from hourloom.sources.sinks import MONTH
+from hourloom.sources.workspace import settle
 
 log = logging.getLogger(__name__)
 
@@ -93,9 +95,9 @@ def _last_with(names: Sequence[str], words: Sequence[str]) -> str | None:
 def read_legacy_csv(spark: SparkSession, path: str, series: str = MARKET_CODE) -> DataFrame:
     """Exports with unknown separator, an optional title row and loosely named columns.
 
-    Only the first two lines are looked at on the driver. Time cells may be
-    ranges (the start counts) in day-first order; cells that do not parse as a
-    number drop their row. Stamps stay in local time.
+    Only the first two lines are looked at on the driver. Time cells may be ranges (the start counts), day first
+    with dots, slashes or dashes, or ISO; an ISO offset is applied, other stamps stay in local time. Rows
+    whose price is not a number are dropped; a priced row with an unreadable stamp is an error when it is read.
     """
     if not path_exists(spark, path):
         raise SourceMissing(path)
@@ -110,29 +112,31 @@ def read_legacy_csv(spark: SparkSession, path: str, series: str = MARKET_CODE) -
         raise SourceMissing(f"{path}: no price column among {names}")
     cells = F.from_csv(F.col("value"), F.lit(", ".join(f"c{i} string" for i in range(len(names)))), {"sep": sep})
     rows = lines.filter(~F.col("value").isin(*top[: 2 if titled else 1])).select(cells.alias("r"))
-    time_cell = F.trim(F.col("r")[f"c{names.index(time) if time else 0}"])
-    start = F.trim(F.split(time_cell, " - ")[0])
-    stamp = F.coalesce(*[_day_first(start, f) for f in ("dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy HH:mm", "dd/MM/yyyy HH:mm", "dd.MM.yyyy")], start.try_cast("timestamp_ntz"))
+    cell = F.trim(F.col("r")[f"c{names.index(time) if time else 0}"])
+    start = F.trim(F.split(cell, " - ")[0])
+    stamp = F.coalesce(_day_first(start), _utc_text(start))
+    checked = F.when(stamp.isNull(), F.raise_error(F.concat(F.lit(f"{path}: unreadable stamp "), F.coalesce(start, F.lit("(none)")))).cast("timestamp_ntz")).otherwise(stamp)
     number = coerce_number(F.col("r")[f"c{names.index(price)}"])
-    return rows.select(F.lit(series).alias(KEY), stamp.alias(TS), number.alias(TARGET)).na.drop()
+    return rows.filter(number.isNotNull()).select(F.lit(series).alias(KEY), checked.alias(TS), number.alias(TARGET))
 
 
-def _day_first(text: Column, pattern: str) -> Column:
-    """NTZ stamp of a day-first text, NULL when the shape differs.
+DAY_FIRST = r"^(\d{1,2})[./-](\d{1,2})[./-](\d{4})(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2}))?)?$"
+YEAR_FIRST = r"^(\d{4})[./](\d{1,2})[./](\d{1,2})(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2}))?)?$"
+
+
+def _day_first(text: Column) -> Column:
+    """NTZ stamp of a day-first text (or a year-first one with dots or slashes), NULL when the shape differs.
 
     The text is rearranged to ISO and cast, which no session zone can shift.
     """
-    separator = "/" if "/" in pattern else r"\."
-    shape = rf"^(\d{{1,2}}){separator}(\d{{1,2}}){separator}(\d{{4}})"
-    if "HH" in pattern:
-        shape += r" (\d{2}:\d{2}:\d{2})$" if "ss" in pattern else r" (\d{2}:\d{2})$"
-    else:
-        shape += r"$"
-    day = [F.regexp_extract(text, shape, n) for n in (3, 2, 1)]
-    date = F.concat_ws("-", day[0], F.lpad(day[1], 2, "0"), F.lpad(day[2], 2, "0"))
-    clock = F.regexp_extract(text, shape, 4) if "HH" in pattern else F.lit("00:00")
-    whole = F.concat(date, F.lit(" "), F.when(F.length(clock) == 5, F.concat(clock, F.lit(":00"))).otherwise(clock))
-    return F.when(text.rlike(shape), whole.try_cast("timestamp_ntz"))
+
+    def arranged(shape: str, order: tuple[int, int, int]) -> Column:
+        part = [F.regexp_extract(text, shape, n) for n in (*order, 4, 5, 6)]
+        two = [F.lpad(F.when(p == "", "0").otherwise(p), 2, "0") for p in part[1:]]
+        whole = F.concat(part[0], F.lit("-"), two[0], F.lit("-"), two[1], F.lit(" "), two[2], F.lit(":"), two[3], F.lit(":"), two[4])
+        return F.when(text.rlike(shape), whole.try_cast("timestamp_ntz"))
+
+    return F.coalesce(arranged(DAY_FIRST, (3, 2, 1)), arranged(YEAR_FIRST, (1, 2, 3)))
 
 
 # --- JSON payloads -----------------------------------------------------------
@@ -223,17 +227,24 @@ def read_cached(spark: SparkSession, path: str, start: str, end: str, zone: str
 def first_acceptable(sources: Sequence[tuple[str, DataFrame]], target: str = TARGET, max_missing_pct: float = 1.0) -> DataFrame:
     """Per series, the rows of the highest-ranked source whose target is complete enough.
 
-    Sources are listed best first. Shares of missing values are measured in one
-    aggregate over all of them; series no source can serve are absent.
+    Sources are listed best first and read in that order: the rows a source serves are those of series that no
+    better source has served, and reading stops when the remaining sources have none. Series
+    no source can serve are absent.
     """
-    tagged = None
-    for rank, (name, df) in enumerate(sources):
-        part = df.withColumns({"source": F.lit(name), "_rank": F.lit(rank)})
-        tagged = part if tagged is None else tagged.unionByName(part, allowMissingColumns=True)
-    missing = F.avg(F.col(target).isNull().cast("double")) * 100
-    good = tagged.groupBy(KEY, "_rank").agg(missing.alias("_pct")).filter(F.col("_pct") <= max_missing_pct)
-    best = good.groupBy(KEY).agg(F.min("_rank").alias("_best"))
-    return attach_summary(tagged, best).filter(F.col("_rank") == F.col("_best")).drop("_rank", "_best")
+    served, out = None, None
+    for name, df in sources:
+        if served is not None:
+            df = df.join(served, KEY, "left_anti")
+        missing = F.avg(F.col(target).isNull().cast("double")) * 100
+        good = settle(df.groupBy(KEY).agg(missing.alias("_pct")).filter(F.col("_pct") <= max_missing_pct).select(KEY), "served")
+        if good.isEmpty():
+            continue
+        part = attach_summary(df, good).withColumn("source", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        served = good if served is None else served.unionByName(good)
+    if out is None:
+        return sources[0][1].limit(0).withColumn("source", F.lit(""))
+    return out
 
 
 def first_available(readers: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[str, DataFrame]:
@@ -248,9 +259,31 @@ def first_available(readers: Sequence[tuple[str, Callable[[], DataFrame]]]) -> t
     raise SourceMissing("no source available - " + "; ".join(problems))
 
 
-def latest_run(df: DataFrame, run: str = "run_id") -> DataFrame:
-    """Rows of the newest run; the scalar subquery prunes partitions of a table laid out by run."""
-    return df.filter(F.col(run) == df.agg(F.max(run).alias("newest")).scalar())
+def run_folders(spark: SparkSession, path: str, run: str = "run_id") -> list[str]:
+    """Names of the runs under ``path``, oldest first: the folders are listed, no file is opened."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [x.getPath().getName() for x in found if x.isDirectory()]
+    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{run}="))
+
+
+def latest_run(spark: SparkSession, path: str, run: str = "run_id") -> DataFrame:
+    """Rows of the newest run of a table laid out by run; only its folder is read."""
+    if not path_exists(spark, path) or not (runs := run_folders(spark, path, run)):
+        raise SourceMissing(f"no runs under {path}")
+    return spark.read.parquet(f"{path}/{run}={runs[-1]}").withColumn(run, F.lit(unquote(runs[-1])))
+
+
+def load_features(spark: SparkSession, local: Callable[[], DataFrame] | None, cache: str, target: str = TARGET) -> tuple[str, DataFrame]:
+    """The feature table to train on: the local one if its files are there, else the newest cached run, else an error."""
+    readers = [("cache", lambda: latest_run(spark, cache))]
+    if local is not None:
+        readers.insert(0, ("local", local))
+    name, table = first_available(readers)
+    if target not in table.columns:
+        raise SourceMissing(f"the {name} feature table has no column {target}")
+    return name, table
 
 
 # --- typed files -------------------------------------------------------------

@@ -18,15 +18,15 @@ def write_series(df: DataFrame, path: str, run_id: str | None = None) -> None:
     Partitioning by month keeps the folder count independent of the number of
     series; sorted files let row-group statistics skip other series and dates.
     The rebalance hint lets adaptive execution cut a large month into files of
-    the advisory size and merge small ones, so no task owns a series or a month.
+    the advisory size and merge small ones, so no task owns a series or a month. Writing a run
+    again replaces all of it; without a run only the months that are written.
     """
     out = df.withColumn(MONTH, F.substring(day_text(TS), 1, 7))
-    parts = [MONTH]
-    if run_id is not None:
-        out = out.withColumn("run_id", F.lit(run_id))
-        parts = ["run_id", MONTH]
-    out = out.hint("rebalance", *[F.col(p) for p in parts]).sortWithinPartitions(*parts, KEY, TS)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    out = out.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, KEY, TS)
+    if run_id is None:
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    else:
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(f"{path}/run_id={run_id}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_root(application: str) -> str:
-    """One temporary folder per application, for local runs without a configured one."""
-    return tempfile.mkdtemp(prefix=f"hourloom-{application}-")
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode without it."""
+    """The cluster's ``spark.checkpoint.dir``; without it, in local mode alone, a folder of the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_root(spark.sparkContext.applicationId)
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
@@ -39,3 +31,9 @@ def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     path = fresh_folder(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Iterative fits checkpoint to the shared folder; set it where the session has none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/checkpoints")

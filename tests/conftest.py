@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,6 +17,7 @@ def make_session() -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hourloom-tests-"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call stack per Column operation
         .getOrCreate()
     )

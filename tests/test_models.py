@@ -81,10 +81,14 @@ def test_one_failing_model_does_not_stop_the_other(table, monkeypatch):
         training.run_training(table, SPEC, "other")
 
 
-def test_eval_caps_the_folds(table):
-    per_fold, means = training.run_eval(table, SPEC)
+def test_eval_runs_every_fold_and_writes_a_record(spark, table, tmp_path):
+    per_fold, means = training.run_eval(table, SPEC, folder=str(tmp_path), run_id="r7")
     rows = {r["model"]: r for r in means.collect()}
-    assert set(rows) == {"baseline", "improved"} and rows["baseline"]["n_folds"] <= 3
+    assert set(rows) == {"baseline", "improved"} and rows["baseline"]["n_folds"] == SPEC.folds.n_splits == rows["improved"]["n_folds"]
+    record = {r["model"]: r for r in spark.read.json(f"{tmp_path}/cv_record").collect()}
+    assert len(record["improved"]["folds"]) == 5 and record["improved"]["mae"] == pytest.approx(rows["improved"]["mae"])
+    written = spark.read.option("header", True).csv(f"{tmp_path}/cv_predictions")
+    assert written.groupBy("model").count().count() == 2 and written.filter("predicted is null").isEmpty()
     assert rows["improved"]["mae"] < rows["baseline"]["mae"]
 
 
@@ -100,6 +104,13 @@ def test_validation_report(table):
     assert len({n for s, n, _ in value if s == "hour_improved"}) == 24
 
 
+def test_unknown_inputs_have_no_prediction(table, outcomes):
+    rows = table.na.drop("any").limit(50).withColumn("forecast_load", F.when(F.hour(TS) < 12, F.col("forecast_load")))
+    out = boosting.predict(outcomes["improved"].model, rows)
+    assert out.count() == 50
+    assert out.filter((F.hour(TS) < 12) == F.col("predicted").isNull()).isEmpty()
+
+
 def test_leakage_findings():
     assert validation.leakage_findings(["lag_24h_x"], SPEC) == []
     found = validation.leakage_findings(["lag_3h_x", "future_x"], SPEC, ordered=False)

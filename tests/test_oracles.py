@@ -12,6 +12,8 @@ import __spark_entry__ as entry_module
 from tools.check import compare, open_tables
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+# At the smallest scale these have no row to return.
+MAY_BE_EMPTY = {"job_morning_signal"}
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 
 
@@ -22,17 +24,23 @@ def tables():
 
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, tables, name):
-    problems = [p for p in compare(QUERIES[name](spark, SF_DIR), tables, ORACLES[name]) if p != "no rows"]
+    problems = compare(QUERIES[name](spark, SF_DIR), tables, ORACLES[name])
+    if name in MAY_BE_EMPTY:
+        problems = [p for p in problems if p != "no rows"]
     assert not problems, "\n".join(problems)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n != "job_eval"])
+TEXT_QUERIES = getattr(entry_module, "TEXT_QUERIES", {})  # tested with their operators
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n not in TEXT_QUERIES])
 def test_query_without_sql_has_rows(spark, name):
     assert not QUERIES[name](spark, "/root/testdata/sf0.01").isEmpty()
 
 
 def test_entry(spark):
-    assert entry_module.entry(spark).count() >= 0
+    rows = entry_module.entry(spark).collect()
+    assert rows and all(r["n_samples"] > 0 and r["rmse"] >= r["mae"] > 0 for r in rows)
 
 
 def test_every_sql_has_a_query():

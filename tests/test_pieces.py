@@ -103,15 +103,6 @@ def test_rows_without_key_are_kept(spark):
     assert features.lag_features(df, ["x"], [24]).count() == 30
 
 
-def test_salted_join_equals_broadcast(spark, gappy, monkeypatch):
-    stats = gappy.groupBy(KEY).agg(F.avg("load").alias("m"))
-    plain = pieces.attach_summary(gappy, stats)
-    monkeypatch.setattr(pieces, "BROADCAST_ROWS", 0)
-    salted = pieces.attach_summary(gappy, stats)
-    assert "_salt" in salted._jdf.queryExecution().toString()
-    same(salted, plain)
-
-
 def test_a_copy_of_one_row_spreads_over_salts(spark):
     """Identical rows on different map partitions do not share one bucket."""
     df = spark.range(0, 8000, 1, 16).select(F.lit("a").alias(KEY), F.lit(1.0).alias("x"))

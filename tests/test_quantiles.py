@@ -1,10 +1,10 @@
-"""Exact percentiles, on the small path and with real brackets."""
+"""Exact percentiles of small and large groups."""
 
 import numpy as np
 import pytest
 
 from hourloom.config import KEY
-from hourloom.operators import pieces, quantiles
+from hourloom.operators import quantiles
 
 
 def _frame(spark, groups):
@@ -26,14 +26,11 @@ def test_small_groups(spark):
     _check(spark, {"one": [5], "two": [1, 2], "ties": [3] * 10 + [4], "many": list(range(101))}, PROBABILITIES)
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_brackets(spark, monkeypatch, salted):
-    """Groups above the small limit: skewed, tied and negative values."""
+@pytest.mark.parametrize("margins", [(10 / 500, 1.0), (1e-6, 1.0)])
+def test_brackets(spark, monkeypatch, margins):
+    """Skewed, tied and negative values; too narrow brackets are widened."""
     monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 500)
-    monkeypatch.setattr(quantiles, "MARGIN", 10 / 500)
-    monkeypatch.setattr(quantiles, "SMALL_GROUP", 500)
-    if salted:
-        monkeypatch.setattr(pieces, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(quantiles, "MARGINS", margins)
     rng = np.random.default_rng(3)
     groups = {
         "normal": rng.normal(size=6000),
@@ -46,5 +43,5 @@ def test_brackets(spark, monkeypatch, salted):
 
 
 def test_missing_values_do_not_count(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0)], f"{KEY} string, v double")
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0)], f"{KEY} string, v double")
     assert quantiles.percentile_columns(df, "v", {"m": 0.5}, [KEY]).first()["m"] == 2.0

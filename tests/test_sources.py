@@ -38,7 +38,7 @@ def test_missing_files_are_named(spark, tmp_path):
 LEGACY = {
     "title": 'Day-ahead Prices for DE-LU\n"MTU (CET/CEST)";"Day-ahead Price [EUR/MWh]"\n"01.01.2024 00:00 - 01.01.2024 01:00";"10.5"\n"01.01.2024 01:00 - 01.01.2024 02:00";"-"\n',
     "comma": "Date,Volume,EUR/MWh\n01.01.2024 00:00,7,10.5\n1.1.2024 01:00,8,n/e\n",
-    "tab": "Time\tPrice\n01/01/2024 00:00\t10.5\nnot a time\t3\n",
+    "tab": "Time\tPrice\n01/01/2024 00:00\t10.5\nnot a time\tn/e\n",
     "iso": "Market time|price|x\n2024-01-01 00:00:00|10.5|1\n",
 }
 
@@ -49,6 +49,34 @@ def test_legacy_exports(spark, tmp_path, kind):
     assert [(r[KEY], r[TS], r[TARGET]) for r in rows] == [(MARKET_CODE, START, 10.5)]
 
 
+def test_legacy_stamps_in_all_forms(spark, tmp_path):
+    forms = ["2024-01-01 00:00:00+01:00", "1.2.2024 5:00", "03/02/2024 06:00", "2024/01/05 06:00", "01-02-2024 07:00", "01.02.2024 08:00:30 - 01.02.2024 09:00", "02.02.2024"]
+    body = "\n".join(f"{t};{i}" for i, t in enumerate(forms)) + "\nnot read;n/e\n"
+    got = {r[TARGET]: str(r[TS]) for r in files.read_legacy_csv(spark, _write(tmp_path / "f.csv", "MTU;Price\n" + body)).collect()}
+    assert got == {0: "2023-12-31 23:00:00", 1: "2024-02-01 05:00:00", 2: "2024-02-03 06:00:00", 3: "2024-01-05 06:00:00", 4: "2024-02-01 07:00:00", 5: "2024-02-01 08:00:30", 6: "2024-02-02 00:00:00"}
+    with pytest.raises(Exception, match="unreadable stamp 32nd"):
+        files.read_legacy_csv(spark, _write(tmp_path / "g.csv", "MTU;Price\n32nd;1\n")).collect()
+
+
+def test_overlapping_chunks_keep_the_first(spark):
+    from hourloom.operators.tables import union_chunks
+    from tests.helpers import series
+
+    a, b = series(spark, [(0, 1.0), (1, 2.0)], ["v"]), series(spark, [(1, 9.0), (2, 3.0)], ["v"])
+    assert sorted(r["v"] for r in union_chunks([a, b]).collect()) == [1.0, 2.0, 3.0]
+
+
+def test_writing_a_run_again_replaces_all_months(spark, tmp_path):
+    from hourloom.sources import sinks
+    from tests.helpers import at, series
+
+    rows = series(spark, [(0, 1.0), (24 * 40, 2.0)], ["v"])
+    sinks.write_series(rows, str(tmp_path), "r1")
+    sinks.write_series(rows, str(tmp_path), "r2")
+    sinks.write_series(rows.filter(rows[TS] < at(24)), str(tmp_path), "r1")
+    assert {r["run_id"]: r["count"] for r in spark.read.parquet(str(tmp_path)).groupBy("run_id").count().collect()} == {"r1": 1, "r2": 2}
+
+
 def test_legacy_without_price_column(spark, tmp_path):
     with pytest.raises(files.SourceMissing, match="no price column"):
         files.read_legacy_csv(spark, _write(tmp_path / "x.csv", "time,value\n01.01.2024 00:00,1\n"))
@@ -117,12 +145,19 @@ def test_first_available_source(spark, tmp_path):
         files.first_available(readers[:1])
 
 
-def test_latest_run_reads_one_partition(spark, tmp_path):
+def test_latest_run_reads_one_folder(spark, tmp_path):
+    rows = series(spark, [(h, float(h)) for h in range(3)], [TARGET])
     path = str(tmp_path / "runs")
-    for run in ("20240101_a", "20240201_a"):
-        sinks.write_series(series(spark, [(0, 1.0)], [TARGET]), path, run)
-    out = files.latest_run(spark.read.parquet(path))
-    assert [r["run_id"] for r in out.collect()] == ["20240201_a"]
+    for run in ("r1", "r3", "r2"):
+        sinks.write_series(rows, path, run)
+    out = files.latest_run(spark, path)
+    assert {r["run_id"] for r in out.collect()} == {"r3"} and out.inputFiles() and all("run_id=r3" in f for f in out.inputFiles())
+    name, table = files.load_features(spark, None, path)
+    assert name == "cache" and table.count() == 3
+    assert files.load_features(spark, lambda: rows, path)[0] == "local"
+    with pytest.raises(files.SourceMissing):
+        files.load_features(spark, None, str(tmp_path / "none"))
+
 
 
 def test_schema(spark):
@@ -153,7 +188,7 @@ class _Session:
     """Just enough of a session to ask where the shared folder is."""
 
     def __init__(self, master, folder=None):
-        self.conf = {} if folder is None else {"spark.checkpoint.dir": folder}
+        self.conf = {"spark.sql.warehouse.dir": "/warehouse/"} | ({} if folder is None else {"spark.checkpoint.dir": folder})
         self.sparkContext = self
         self.master, self.applicationId = master, "app"
 
@@ -166,8 +201,7 @@ def test_workspace_uses_the_checkpoint_folder():
     assert workspace.fresh_folder(_Session("spark://x", "/shared"), "a").startswith("/shared/hourloom/app/a-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_root(_Session("spark://x"))
-    local = _Session("local[2]")
-    assert workspace.shared_root(local) == workspace.shared_root(local)
+    assert workspace.shared_root(_Session("local[2]")) == "/warehouse/_work"
 
 
 def test_settled_tables_keep_their_schema(spark):
