@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.llm import compression, mixing, near_dup, packing, suffix_dedup
+from hourloom.llm.workers import share_package
 from hourloom.sources.workspace import fresh_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the compression bands."""
+    share_package(spark)
     return compression.quality_filter(docs)
 
 

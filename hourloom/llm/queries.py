@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.llm import compression, fingerprints, licenses, mixing, near_dup, packing, suffix_dedup, token_store, toxicity, url_filter
+from hourloom.llm.workers import share_package
 from hourloom.sources.workspace import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,8 +17,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(make: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[make.__name__] = make
-    return make
+    @wraps(make)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        share_package(spark)
+        return make(spark, sf_dir)
+
+    QUERIES[make.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
