@@ -85,6 +85,20 @@ H = """h AS (
   FROM events GROUP BY 2)"""
 
 
+def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same columns for every user: many series with many gaps."""
+    e = table(spark, sf_dir, "events")
+    return e.groupBy(F.col("user_id").cast("string").alias(KEY), hour_start(TS).alias(TS)).agg(
+        _mean_of("purchase").alias(VALUES[0]),
+        _mean_of("view", 100.0).alias(VALUES[1]),
+        _mean_of("click", 20.0).alias(VALUES[2]),
+        _mean_of("signup", 10.0).alias(VALUES[3]),
+    )
+
+
+MARKETS = H.replace("'all' AS series_key", "CAST(user_id AS VARCHAR) AS series_key").replace("GROUP BY 2", "GROUP BY 1, 2")
+
+
 def _spread(df: DataFrame) -> DataFrame:
     v = F.col("value")
     return df.groupBy(KEY, hour_start(TS).alias(TS)).agg(

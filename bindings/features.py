@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from bindings.base import D, H, KEY, TARGET, TS, TYPES, USERS, VALUES, by_type, by_user, daily, market, query, r
+from bindings.base import D, H, KEY, MARKETS, TARGET, TS, TYPES, USERS, VALUES, by_type, by_user, daily, market, markets, query, r
 from bindings.regularize import grid_sql, interpolation_sql
 from bindings.sources import land_raw_folder
 from bindings.tables import trim_sql
@@ -168,17 +168,17 @@ DOUBLES = [
 ]
 
 
-@query("build_features", f"WITH {H}, {features_sql('h')} SELECT series_key, ts, {', '.join(INTS)}, {r(*DOUBLES)} FROM f")
+@query("build_features", f"WITH {MARKETS}, {features_sql('h')} SELECT series_key, ts, {', '.join(INTS)}, {r(*DOUBLES)} FROM f")
 def build_features(spark, sf_dir):
-    return features.build_features(market(spark, sf_dir), SPEC)
+    return features.build_features(markets(spark, sf_dir), SPEC)
 
 
-@query("feature_toggles", f"WITH {H}, c AS (SELECT *, {CALENDAR_SQL} FROM h) SELECT series_key, ts, hour, day_of_week, month, is_weekend, {r(*VALUES, *lag_time_sql((TARGET,), (24, 168)))} FROM c QUALIFY day_ahead_price IS NOT NULL")
+@query("feature_toggles", f"WITH {MARKETS}, c AS (SELECT *, {CALENDAR_SQL} FROM h) SELECT series_key, ts, hour, day_of_week, month, is_weekend, {r(*VALUES, *lag_time_sql((TARGET,), (24, 168)))} FROM c QUALIFY day_ahead_price IS NOT NULL")
 def feature_toggles(spark, sf_dir):
     spec = FeatureSpec(
         calendar=("hour", "day_of_week", "month", "is_weekend"), lag_columns=(TARGET,), lags=(24, 168), enable_derived=False, enable_rolling=False, enable_interactions=False
     )
-    return features.build_features(market(spark, sf_dir), spec)
+    return features.build_features(markets(spark, sf_dir), spec)
 
 
 _RAW_CELLS = [
@@ -213,7 +213,7 @@ _SHOWN = [c for c in [*INTS, *DOUBLES] if c not in _HIDDEN]
     f"WITH {H}, {features_sql('h')} " + " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS known FROM f" for c in _SHOWN),
 )
 def feature_columns(spark, sf_dir):
-    table = features.build_features(market(spark, sf_dir), SPEC)
+    table = features.build_features(markets(spark, sf_dir), SPEC)
     names = features.feature_columns(table, SPEC)
     counts = table.agg(*[F.count(c).alias(c) for c in names])
     return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("known")) for c in names])))
@@ -226,7 +226,7 @@ SELECT severity, finding, count(day_ahead_price) AS n_rows FROM h CROSS JOIN f G
 )
 def leakage_lag_check(spark, sf_dir):
     spec = FeatureSpec(lags=(6, 24), lag_columns=(TARGET,), enable_rolling=False)
-    built = features.build_features(market(spark, sf_dir), spec)
+    built = features.build_features(markets(spark, sf_dir), spec)
     found = features.lag_findings(built.columns, (6, 24, 48))
     literal = F.array(*[F.struct(F.lit(s).alias("severity"), F.lit(t).alias("finding")) for s, t in found])
     return built.agg(F.count(TARGET).alias("n_rows")).select("n_rows", F.inline(literal))

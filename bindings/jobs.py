@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from bindings.base import COSTS, H, KEY, MARGINAL, PM, RULES, TARGET, TS, VALUES, market, predictions, query, r, table
+from bindings.base import COSTS, KEY, MARGINAL, MARKETS, PM, RULES, TARGET, TS, VALUES, markets, predictions, query, r, table
 from bindings.features import DOUBLES, INTS, features_sql
 from bindings.models import JOB, stored_features
 from bindings.regularize import ZONE, grid_sql
@@ -21,13 +21,13 @@ LOCAL_HOURS = 1  # the tables' month is winter time: local clock = UTC + 1 h
 
 
 def _price_events(spark, sf_dir):
-    """Purchases with local stamps cut to the hour: repeated, gappy, unsorted."""
-    e = table(spark, sf_dir, "events").filter("event_type = 'purchase'")
-    return e.select(F.lit("all").alias(KEY), plus_hours(hour_start(TS), LOCAL_HOURS).alias(TS), F.col("value").alias("Price EUR"), "event_id")
+    """Events of every user with local stamps cut to the hour: repeated, gappy, unsorted."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("user_id").cast("string").alias(KEY), plus_hours(hour_start(TS), LOCAL_HOURS).alias(TS), F.col("value").alias("Price EUR"), "event_id")
 
 
-_PRICES = """h0 AS (SELECT 'all' AS series_key, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, avg(value) AS day_ahead_price
-  FROM events WHERE event_type = 'purchase' GROUP BY 2)"""
+_PRICES = """h0 AS (SELECT CAST(user_id AS VARCHAR) AS series_key, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, avg(value) AS day_ahead_price
+  FROM events GROUP BY 1, 2)"""
 
 
 @query("normalize_series", f"WITH {_PRICES}, {grid_sql('h0')} SELECT series_key, ts, {r(TARGET)} FROM g")
@@ -36,7 +36,7 @@ def normalize_series(spark, sf_dir):
 
 
 def _drivers(spark, sf_dir):
-    return market(spark, sf_dir).select(KEY, TS, *VALUES[1:]).na.drop("all", subset=list(VALUES[1:]))
+    return markets(spark, sf_dir).select(KEY, TS, *VALUES[1:]).na.drop("all", subset=list(VALUES[1:]))
 
 
 _DRIVER_ROWS = f"v0 AS (SELECT series_key, ts, {', '.join(VALUES[1:])} FROM h WHERE coalesce({', '.join(VALUES[1:])}) IS NOT NULL)"
@@ -44,21 +44,21 @@ _DRIVER_ROWS = f"v0 AS (SELECT series_key, ts, {', '.join(VALUES[1:])} FROM h WH
 
 @query(
     "job_ingest",
-    f"""WITH {H}, h0 AS (SELECT series_key, ts, day_ahead_price FROM h WHERE day_ahead_price IS NOT NULL), {grid_sql('h0')}, {_DRIVER_ROWS}, {grid_sql('v0', 'v')}
+    f"""WITH {MARKETS}, h0 AS (SELECT series_key, ts, day_ahead_price FROM h WHERE day_ahead_price IS NOT NULL), {grid_sql('h0')}, {_DRIVER_ROWS}, {grid_sql('v0', 'v')}
 SELECT series_key, ts, {r(*VALUES)} FROM g FULL JOIN v USING (series_key, ts)""",
 )
 def job_ingest(spark, sf_dir):
-    prices = market(spark, sf_dir).select(KEY, TS, TARGET).na.drop()
+    prices = markets(spark, sf_dir).select(KEY, TS, TARGET).na.drop()
     return jobs.ingest(prices, _drivers(spark, sf_dir))
 
 
 @query(
     "job_prepare",
-    f"""WITH {H}, {grid_sql('h')}, {ffill_rows_sql('g', 2)}, clean AS (SELECT * FROM filled WHERE day_ahead_price IS NOT NULL), {features_sql('clean')}
+    f"""WITH {MARKETS}, {grid_sql('h')}, {ffill_rows_sql('g', 2)}, clean AS (SELECT * FROM filled WHERE day_ahead_price IS NOT NULL), {features_sql('clean')}
 SELECT series_key, ts, {', '.join(INTS)}, {r(*DOUBLES)} FROM f""",
 )
 def job_prepare(spark, sf_dir):
-    raw = jobs.complete_hours(market(spark, sf_dir))
+    raw = jobs.complete_hours(markets(spark, sf_dir))
     spec = JobSpec(contract=RULES)
     return jobs.prepare(raw, spec, fresh_folder(spark, "prepare"), "run1", fail_fast=False).features
 

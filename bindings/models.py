@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.base import D, H, KEY, ROUNDED_SCORES, SCORES, TARGET, TS, TYPES, VALUES, by_type, daily, market, query, r
+from bindings.base import D, KEY, ROUNDED_SCORES, SCORES, TARGET, TS, TYPES, USERS, by_type, by_user, daily, query, r
+from bindings.features import DOUBLES, INTS, features_sql
 from bindings.tables import FOLDS, folds_sql
 from hourloom.config import BoostSpec, FeatureSpec, JobSpec
 from hourloom.operators import baseline
@@ -26,20 +27,20 @@ def naive_seasonal(spark, sf_dir):
 
 @query(
     "train_baseline",
-    f"""WITH {H}, l AS (SELECT a.*, b.day_ahead_price AS lag FROM h a JOIN h b ON b.ts = a.ts - INTERVAL 168 HOUR)
+    f"""WITH {USERS}, l AS (SELECT a.*, b.day_ahead_price AS lag FROM u a JOIN u b ON a.series_key = b.series_key AND b.ts = a.ts - INTERVAL 168 HOUR)
 SELECT series_key, ts, {r('actual=day_ahead_price', 'predicted=lag', 'residual=day_ahead_price - lag')} FROM l WHERE day_ahead_price IS NOT NULL AND lag IS NOT NULL""",
 )
 def train_baseline(spark, sf_dir):
-    return baseline.train_baseline(market(spark, sf_dir))
+    return baseline.train_baseline(by_user(spark, sf_dir))
 
 
 @query(
     "evaluate_baseline",
-    f"""WITH {H}, l AS (SELECT a.*, b.day_ahead_price AS lag FROM h a JOIN h b ON b.ts = a.ts - INTERVAL 168 HOUR)
+    f"""WITH {USERS}, l AS (SELECT a.*, b.day_ahead_price AS lag FROM u a JOIN u b ON a.series_key = b.series_key AND b.ts = a.ts - INTERVAL 168 HOUR)
 SELECT series_key, ts, {r('actual=day_ahead_price', 'baseline_pred=lag')} FROM l WHERE lag IS NOT NULL""",
 )
 def evaluate_baseline(spark, sf_dir):
-    return baseline.evaluate_baseline(market(spark, sf_dir))
+    return baseline.evaluate_baseline(by_user(spark, sf_dir))
 
 
 @query(
@@ -95,7 +96,9 @@ def cv_mean_metrics(spark, sf_dir):
     return baseline.cv_mean_metrics(baseline.cv_baseline(rows, baseline.cv_folds(rows, FOLDS), lag=WEEK))
 
 
-# --- boosted trees: no SQL can repeat the fit ---------------------------------
+# --- boosted trees ---------------------------------------------------------------
+# SQL cannot repeat the fit. It states which rows are predicted, how they are split, what the naive model scores on
+# them; of the trees' numbers the queries return what must hold for any fit.
 
 BOOST = BoostSpec()
 FEATURES = FeatureSpec()
@@ -113,22 +116,38 @@ def stored_features(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("gbt_fit_predict")
+_INPUTS = [*INTS, *DOUBLES]
+COMPLETE = f"""{TYPES}, {features_sql('t')}, c AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY series_key ORDER BY ts) <= floor(count(*) OVER (PARTITION BY series_key) * 0.8::DOUBLE)
+  THEN 'train' ELSE 'validation' END AS split FROM f WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _INPUTS)})"""
+
+
+def checked(predictions, *columns):
+    """Predicted rows with what must hold for any model."""
+    agrees = F.abs(F.col("actual") - F.col("predicted") - F.col("residual")) < 1e-9
+    return predictions.select(KEY, TS, "actual", *columns, F.coalesce(agrees, F.lit(False)).alias("residual_agrees"))
+
+
+@query("gbt_fit_predict", f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, true AS residual_agrees FROM c")
 def gbt_fit_predict(spark, sf_dir):
     rows = stored_features(spark, sf_dir).na.drop("any")
-    return boosting.predict(boosting.fit_boosted(rows, spec=BOOST), rows)
+    return checked(boosting.predict(boosting.fit_boosted(rows, spec=BOOST), rows))
 
 
-@query("train_improved")
+@query("train_improved", f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, split, true AS residual_agrees FROM c")
 def train_improved(spark, sf_dir):
     _, out = boosting.train_improved(stored_features(spark, sf_dir), spec=BOOST)
-    return out
+    return checked(out, "split")
 
 
-@query("feature_importance")
+_MODEL_INPUTS = [c for c in _INPUTS if c != TARGET]
+
+
+@query("feature_importance", "SELECT unnest([" + ", ".join(f"'{c}'" for c in _MODEL_INPUTS) + "]) AS feature, true AS is_share, true AS sums_to_one")
 def feature_importance(spark, sf_dir):
     model = boosting.fit_boosted(stored_features(spark, sf_dir), spec=BOOST)
-    return boosting.top_importance(boosting.feature_importance(model, spark), 20)
+    rows = boosting.feature_importance(model, spark)
+    total = rows.agg(F.sum("importance")).scalar()
+    return rows.select("feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-6).alias("sums_to_one"))
 
 
 @query(
@@ -143,16 +162,27 @@ def importance_share(spark, sf_dir):
     return boosting.importance_share(li.groupBy(name).agg(F.sum("l_extendedprice").alias("importance")))
 
 
-@query("model_save_load")
+@query("model_save_load", f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, true AS residual_agrees, true AS same_as_fitted, 'run1' AS run_id FROM c")
 def model_save_load(spark, sf_dir):
     rows = stored_features(spark, sf_dir).na.drop("any")
     path = fresh_folder(spark, "model")
-    boosting.save_model(boosting.fit_boosted(rows, spec=BOOST), path, {"run_id": "run1", "model_type": "gbt"}, spark)
+    fitted = boosting.fit_boosted(rows, spec=BOOST)
+    boosting.save_model(fitted, path, {"run_id": "run1", "model_type": "gbt"}, spark)
     model, metadata = boosting.load_model(path, spark)
-    return boosting.predict(model, rows).withColumn("run_id", F.lit(metadata["run_id"]))
+    before = boosting.predict(fitted, rows).select(KEY, TS, F.col("predicted").alias("fitted"))
+    both = boosting.predict(model, rows).join(before, [KEY, TS])
+    same = (F.abs(F.col("predicted") - F.col("fitted")) < 1e-9).alias("same_as_fitted")
+    return checked(both, same, F.lit(metadata["run_id"]).alias("run_id"))
 
 
-@query("run_training")
+@query(
+    "run_training",
+    f"""WITH {COMPLETE}, v AS (SELECT series_key, day_ahead_price AS actual, lag_168h_day_ahead_price AS predicted FROM c WHERE split = 'validation'),
+s AS (SELECT series_key, {SCORES} FROM v GROUP BY 1)
+SELECT series_key, 'baseline' AS model, n_samples, {r('mae')}, true AS ordered FROM s UNION ALL SELECT series_key, 'improved', n_samples, NULL, true FROM s""",
+)
 def run_training(spark, sf_dir):
     outcomes = training.run_training(stored_features(spark, sf_dir), JOB)
-    return training.comparison(outcomes)
+    rows = training.comparison(outcomes)
+    naive = F.when(F.col("model") == "baseline", F.col("mae")).alias("mae")
+    return rows.select(KEY, "model", "n_samples", naive, (F.col("rmse") >= F.col("mae")).alias("ordered"))
