@@ -47,14 +47,18 @@ _CAPITAL = np.zeros(256, bool)
 _CAPITAL[0x41:0x5B] = True
 
 FEATURES = (
-    "log_words", "insults", "log_insults", "learned_words", "log_learned_words", "learned_stems", "log_learned_stems", "second_person",
+    "log_words", "insults", "log_insults", "sure_terms", "log_sure_terms", "likely_terms", "log_likely_terms", "second_person",
     "insults_near_you", "shouted_words", "capitals", "exclamations", "marks", "disguised_insults", "obfuscated",
 )
 
 
 @dataclass(frozen=True)
 class ToxicSpec:
-    """``max_fit_rows`` bounds the labelled rows that lexicon, trees and calibration see; ``max_terms`` the learned lexicon."""
+    """``max_fit_rows`` bounds the labelled rows that lexicon, trees and calibration see; ``max_terms`` the learned lexicon.
+
+    A term is likely if ``least_texts`` toxic texts and a share of ``least_precision`` of all texts with it are toxic; it is
+    sure if the log-likelihood ratio against the base rate reaches ``sure``, which chance does once in 160,000 terms.
+    """
 
     max_fit_rows: int = 20_000
     max_terms: int = 3_000
@@ -62,6 +66,7 @@ class ToxicSpec:
     stems: tuple[int, ...] = (4, 5, 6)
     least_texts: int = 3
     least_precision: float = 0.9
+    sure: float = 12.0
     near_words: int = 5
     trees: int = 24
     depth: int = 3
@@ -70,31 +75,39 @@ class ToxicSpec:
     seed: int = 9
 
 
+def terms_of(word: str, spec: ToxicSpec) -> list[str]:
+    """The word and its beginnings, as the lexicon lists them."""
+    return [word, *(f"{word[:n]}*" for n in spec.stems if len(word) > n)]
+
+
 class _Analyst:
-    """Flags of tokens: 1 insult, 2 learned word, 4 learned stem, 8 second person, 16 shouted, 32 disguised insult, 64 obfuscated."""
+    """Flags of tokens: 1 insult, 2 sure term, 4 likely term, 8 second person, 16 shouted, 32 disguised insult, 64 obfuscated.
 
-    def __init__(self, words: frozenset[str], stems: frozenset[str], spec: ToxicSpec):
-        self.words, self.stems, self.spec, self.known = words, stems, spec, {}
+    Terms are words, or word beginnings followed by a star.
+    """
+
+    def __init__(self, sure: frozenset[str], likely: frozenset[str], spec: ToxicSpec):
+        self.sure, self.likely, self.spec, self.known = sure, likely, spec, {}
 
     def flags_of(self, token: str) -> int:
         low = token.lower()
         parts = _LETTERS.findall(low)
         out = 0
         for part in parts:
-            out |= (part in INSULTS) | 2 * (part in self.words) | 8 * (part in SECOND_PERSON)
-            out |= 4 * any(len(part) > n and part[:n] in self.stems for n in self.spec.stems)
+            terms = terms_of(part, self.spec)
+            out |= (part in INSULTS) | 2 * (not self.sure.isdisjoint(terms)) | 4 * (not self.likely.isdisjoint(terms)) | 8 * (part in SECOND_PERSON)
         out |= 16 * (sum(map(len, parts)) > 1 and token == token.upper() != low)
         if _INNER.search(low):
             plain = "".join(_LETTERS.findall(low.translate(_LEET)))
             joined = "".join(parts)
-            out |= 64 | 32 * (plain in INSULTS or plain in self.words or joined in INSULTS or joined in self.words)
+            out |= 64 | 32 * (plain in INSULTS or plain in self.sure or joined in INSULTS or joined in self.sure)
         return out
 
     def flags(self, tokens: list[str]) -> np.ndarray:
         known = self.known
         if len(known) > self.spec.cached_tokens:
             known.clear()
-        for token in set(tokens) - known.keys():
+        for token in (t for t in set(tokens) if t not in known):
             known[token] = self.flags_of(token)
         return np.fromiter(map(known.__getitem__, tokens), np.uint8, len(tokens))
 
@@ -134,7 +147,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, spec: ToxicSpec, id_column: str, text: str, label: str) -> DataFrame:
-    """At most ``max_fit_rows`` labelled rows outside the held-out fold: id, text, toxic, grp and whether they calibrate.
+    """At most ``max_fit_rows`` labelled rows outside the held-out fold: id, text, toxic, grp and their role (left, right, calibrate).
 
     Rows without a label or an id are left out; of repeated labels the largest counts; of texts that share a group
     and a label one stays, so that copies do not outvote the rest.
@@ -147,20 +160,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, spec: ToxicSpec, id_column
     rows = settle(rows.mapInArrow(_groups, "id long, text string, toxic int, grp long"), "labelled")
     one = Window.partitionBy("grp", "toxic").orderBy("id")
     rows = rows.withColumn("copy", F.row_number().over(one)).filter("copy = 1").drop("copy")
-    # a whole group calibrates or none of it, so no text is fitted and calibrated on in two copies
-    return settle(rows.withColumn("calibrates", F.pmod(F.xxhash64("grp"), F.lit(1000)) < int(1000 * spec.calibration_share)), "training")
+    # a whole group has one role, so no text is fitted and calibrated on in two copies
+    draw = F.pmod(F.xxhash64("grp"), F.lit(1000))
+    share = int(1000 * spec.calibration_share)
+    role = F.when(draw < share, "calibrate").when(F.pmod(draw, F.lit(2)) == 0, "left").otherwise("right")
+    return settle(rows.withColumn("role", role), "training")
 
 
 def learned_lexicon(rows: DataFrame, spec: ToxicSpec) -> tuple[frozenset[str], frozenset[str]]:
-    """Words and word beginnings that stand in toxic texts and hardly in others; at most ``max_terms``."""
+    """Sure and likely terms: words and word beginnings of toxic texts that hardly stand in others; at most ``max_terms``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[int]] = {}
         for batch in batches:
             for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = set(_LETTERS.findall(t.lower()))
-                terms = words | {f"{w[:n]}*" for w in words for n in spec.stems if len(w) > n}
-                for term in terms:
+                for term in {t for w in words for t in terms_of(w, spec)}:
                     found.setdefault(term, [0, 0])[1 if toxic else 0] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([x[1] for x in found.values()], pa.int64()), pa.array([x[0] for x in found.values()], pa.int64())], names=["term", "toxic", "clean"])
 
@@ -168,16 +183,23 @@ def learned_lexicon(rows: DataFrame, spec: ToxicSpec) -> tuple[frozenset[str], f
     least = max(spec.least_texts, math.ceil(0.002 * (total.t or 0)))
     counts = rows.select("text", "toxic").mapInArrow(count, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     best = counts.filter((F.col("toxic") >= least) & (F.col("toxic") >= spec.least_precision * (F.col("toxic") + F.col("clean"))))
-    terms = [r.term for r in best.orderBy(F.desc("toxic"), "clean", "term").limit(spec.max_terms).collect()]
-    return frozenset(t for t in terms if t[-1] != "*"), frozenset(t[:-1] for t in terms if t[-1] == "*")
+    terms = best.orderBy(F.desc("toxic"), "clean", "term").limit(spec.max_terms).collect()
+    rate = min(max((total.t or 0) / max(1, total.n), 1e-6), 1 - 1e-6)
+
+    def weight(toxic: int, clean: int) -> float:
+        n = toxic + clean
+        return toxic * math.log(toxic / (n * rate)) + (clean * math.log(clean / (n * (1 - rate))) if clean else 0.0)
+
+    sure = frozenset(r.term for r in terms if weight(r.toxic, r.clean) >= spec.sure)
+    return sure, frozenset(r.term for r in terms) - sure
 
 
-def with_features(rows: DataFrame, keep: list[str], words: frozenset[str], stems: frozenset[str], spec: ToxicSpec, text: str = "text") -> DataFrame:
+def with_features(rows: DataFrame, keep: list[str], sure: frozenset[str], likely: frozenset[str], spec: ToxicSpec, text: str = "text") -> DataFrame:
     """Columns ``keep`` and ``features``, an array of doubles in the order of ``FEATURES``."""
     types = dict(rows.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        analyst = _Analyst(words, stems, spec)
+        analyst = _Analyst(sure, likely, spec)
         for batch in batches:
             for s in text_slices(batch.column(0)):
                 values = analyst.features(s)
@@ -195,10 +217,14 @@ class ToxicityModel:
     def __init__(self, docs: DataFrame, labels: DataFrame, spec: ToxicSpec | None = None, id_column: str = "doc_id", text: str = "text", label: str = "toxic"):
         self.spec = spec = spec or ToxicSpec()
         rows = training_rows(docs, labels, spec, id_column, text, label)
-        fit, rest = rows.filter("not calibrates"), rows.filter("calibrates")
-        self.words, self.stems = learned_lexicon(fit, spec)
-        made = with_features(rows, ["toxic", "calibrates"], self.words, self.stems, spec)
-        made = settle(made.select(F.col("toxic").cast("double").alias("label"), "calibrates", array_to_vector("features").alias("features")).coalesce(4), "features")
+        left, right, fit = rows.filter("role = 'left'"), rows.filter("role = 'right'"), rows.filter("role != 'calibrate'")
+        self.sure, self.likely = learned_lexicon(fit, spec)
+        # trees learn what the lexicon is worth on texts that it was not learned from
+        made = with_features(rows.filter("role = 'calibrate'"), ["toxic", "role"], self.sure, self.likely, spec)
+        made = made.unionByName(with_features(left, ["toxic", "role"], *learned_lexicon(right, spec), spec))
+        made = made.unionByName(with_features(right, ["toxic", "role"], *learned_lexicon(left, spec), spec))
+        calibrates = (F.col("role") == "calibrate").alias("calibrates")
+        made = settle(made.select(F.col("toxic").cast("double").alias("label"), calibrates, array_to_vector("features").alias("features")).coalesce(8), "features")
         count = {(r.calibrates, r.label): r["count"] for r in made.groupBy("calibrates", "label").count().collect()}
         n = sum(count.values())
         self.base_rate = sum(c for (_, y), c in count.items() if y == 1) / n if n else 0.0
@@ -223,7 +249,7 @@ class ToxicityModel:
         """
         if self.trees is None:
             return docs.select(id_column, F.lit(self.base_rate).alias("score"))
-        made = with_features(docs.select(id_column, text), [id_column], self.words, self.stems, self.spec, text)
+        made = with_features(docs.select(id_column, text), [id_column], self.sure, self.likely, self.spec, text)
         margins = self._margins(made.select(F.col(id_column).alias("id"), array_to_vector("features").alias("features")), ["id"])
         smooth = 1 / (1 + F.exp(-2 * F.col("margin")))
         score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.99 * F.col("step") + 0.01 * smooth))

@@ -55,7 +55,7 @@ def test_without_labels_or_rows(spark):
 
 
 def test_flags():
-    analyst = _Analyst(frozenset({"grumf"}), frozenset({"blar"}), ToxicSpec())
+    analyst = _Analyst(frozenset({"grumf"}), frozenset({"blar*"}), ToxicSpec())
     flags = {t: analyst.flags_of(t) for t in ("idiot,", "GRUMF!!", "blarney", "blar", "you", "1d10t", "id.i.o.t", "plain", "It's", "A")}
     assert flags["idiot,"] == 1 and flags["GRUMF!!"] == 2 | 16 and flags["blarney"] == 4 and flags["blar"] == 0 and flags["you"] == 8
     assert flags["plain"] == flags["It's"] == flags["A"] == 0 and flags["id.i.o.t"] & 96 == 96
