@@ -60,9 +60,15 @@ def clean_dataset(df: DataFrame, columns: list[str], target: str = TARGET, max_g
     return drop_null_target(fill_forward(df, columns, max_gap, mode), target)
 
 
-def regular_raw(df: DataFrame, columns: list[str], max_gap: int = 6) -> DataFrame:
-    """Raw-file path: first value per hour on a full grid, short gaps interpolated."""
-    return interpolate(resample_first(df, columns), columns, max_gap)
+def regular_raw(df: DataFrame, columns: list[str], max_gap: int = 6, tie: str | None = None) -> DataFrame:
+    """Raw-file path: first value per hour on a full grid, short gaps interpolated.
+
+    ``tie`` orders rows of one stamp; without it the smallest value of a column comes first, so reruns agree.
+    """
+    if tie:
+        return interpolate(resample_first(df, columns, tie=tie), columns, max_gap)
+    unique = df.groupBy(KEY, TS).agg(*[F.min(c).alias(c) for c in columns])
+    return interpolate(resample_first(unique, columns), columns, max_gap)
 
 
 def local_features(spark: SparkSession, folder: str, spec: JobSpec = JobSpec()) -> DataFrame:
@@ -97,9 +103,9 @@ def ingest(prices: DataFrame, drivers: DataFrame, spec: JobSpec = JobSpec(), zon
     return outer_join_sources([normalize_prices(prices, zone, arrival), normalize_drivers(drivers, zone, arrival, spec.features.drivers)])
 
 
-def run_gate(df: DataFrame, spec: JobSpec = JobSpec(), fail_fast: bool = True) -> tuple[DataFrame, bool]:
-    """Run all checks; a failure raises unless ``fail_fast`` is off."""
-    results = settle(quality.run_checks(df, spec.contract, spec.limits, spec.features.target, spec.features.drivers), "checks")
+def run_gate(df: DataFrame, spec: JobSpec = JobSpec(), fail_fast: bool = True, arrival: str | None = None) -> tuple[DataFrame, bool]:
+    """Run all checks, with an ``arrival`` column also the one on time order; a failure raises unless ``fail_fast`` is off."""
+    results = settle(quality.run_checks(df, spec.contract, spec.limits, spec.features.target, spec.features.drivers, arrival), "checks")
     if fail_fast:
         return results, quality.evaluate_gate(results)
     return results, not quality.failed_checks(results)
@@ -112,12 +118,17 @@ def prepare(
     run_id: str = "run",
     skip_gate: bool = False,
     fail_fast: bool = True,
+    arrival: str | None = None,
 ) -> Prepared:
-    """Gate, clean, features and leakage check; with a ``folder`` every stage is written and read back."""
+    """Gate, clean, features and leakage check; with a ``folder`` every stage is written and read back.
+
+    ``arrival`` numbers the rows as they came; the gate checks their order, later stages do not need it.
+    """
     spark, f = raw.sparkSession, spec.features
     raw = _stage(spark, raw, folder, "raw", run_id)
     columns = [f.target, *f.drivers]
-    checks, passed = (None, True) if skip_gate else run_gate(raw, spec, fail_fast)
+    checks, passed = (None, True) if skip_gate else run_gate(raw, spec, fail_fast, arrival)
+    raw = raw.drop(arrival) if arrival else raw
     if checks is not None and folder:
         write_json(gate_report(checks, run_id), f"{folder}/checks/run_id={run_id}")
     clean = raw if skip_gate else clean_dataset(raw, columns, f.target, spec.limits.max_gap_hours)

@@ -12,7 +12,9 @@ from hourloom.operators.baseline import ensure_lag, naive_seasonal, split_last_d
 from hourloom.operators.evaluation import baseline_improvement, hour_metrics, regression_metrics, volatility_regimes, weekday_weekend
 from hourloom.operators.features import lag_findings, short_lag_columns, suspicious_columns
 from hourloom.operators.tables import drop_null_any, drop_null_target, union_all
+from hourloom.operators.quality import arrival_order
 from hourloom.plans.boosting import fit_boosted, missing_driver_stress, model_inputs, predict
+from hourloom.sources.sinks import write_json
 from hourloom.sources.workspace import settle
 
 
@@ -38,8 +40,18 @@ def leakage_findings(columns: Sequence[str], spec: JobSpec = JobSpec(), ordered:
     return issues + [text for severity, text in lag_findings(columns, f.lags) if severity == "error"]
 
 
-def run_validation(features: DataFrame, spec: JobSpec = JobSpec(), target: str = TARGET, step: str = "hour") -> DataFrame:
-    """Train before the last ``validation_days``, score both models on the same later rows."""
+def run_validation(
+    features: DataFrame, spec: JobSpec = JobSpec(), target: str = TARGET, step: str = "hour", arrival: str | None = None, folder: str | None = None, run_id: str = "run"
+) -> DataFrame:
+    """Train before the last ``validation_days``, score both models on the same later rows.
+
+    ``arrival`` numbers the rows as they came and lets the leakage check see their order. With a ``folder`` each series'
+    numbers are written as one JSON record.
+    """
+    ordered = True
+    if arrival:
+        ordered = arrival_order(features, arrival).filter("not monotone").isEmpty()
+        features = features.drop(arrival)
     ready = drop_null_target(ensure_lag(features, target, spec.baseline_lag, step=step), target)
     parted = settle(drop_null_any(split_last_days(ready, spec.validation_days)), "validation", ("split",))
     train, test = parted.filter("split = 'train'").drop("split"), parted.filter("split = 'validation'").drop("split")
@@ -58,6 +70,12 @@ def run_validation(features: DataFrame, spec: JobSpec = JobSpec(), target: str =
         long_metrics(volatility_regimes(improved, None), "volatility", "regime"),
         long_metrics(missing_driver_stress(model, test, target, spec.features.drivers), "missing_driver", "scenario"),
     ]
-    issues = leakage_findings(ready.columns, spec)
+    issues = leakage_findings(ready.columns, spec, ordered)
     leakage = base_scores.select(KEY).withColumn("issues", F.lit(float(len(issues))))
-    return union_all([*parts, long_metrics(leakage, "leakage")])
+    out = union_all([*parts, long_metrics(leakage, "leakage")])
+    if folder:
+        out = settle(out, "validation_rows")
+        lists = out.groupBy(KEY).agg(F.sort_array(F.collect_list(F.struct("section", "name", "metric", "value"))).alias("metrics"))  # some dozens a series
+        verdict = F.lit("; ".join(issues) or "none").alias("leakage")
+        write_json(lists.select(KEY, F.lit(run_id).alias("run_id"), verdict, "metrics"), f"{folder}/validation/run_id={run_id}")
+    return out

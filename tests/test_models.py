@@ -92,8 +92,12 @@ def test_eval_runs_every_fold_and_writes_a_record(spark, table, tmp_path):
     assert rows["improved"]["mae"] < rows["baseline"]["mae"]
 
 
-def test_validation_report(table):
-    rows = validation.run_validation(table, SPEC).collect()
+def test_validation_report(spark, table, tmp_path):
+    numbered = table.withColumn("nr", -F.unix_micros(F.col(TS).cast("timestamp")))
+    rows = validation.run_validation(table, SPEC, folder=str(tmp_path), run_id="r3").collect()
+    record = spark.read.json(f"{tmp_path}/validation").first()
+    assert record["leakage"] == "none" and len(record["metrics"]) == len(rows)
+    assert not validation.arrival_order(numbered.select(KEY, TS, "nr"), "nr").first()["monotone"]
     value = {(r["section"], r["name"], r["metric"]): r["value"] for r in rows}
     assert value["overall", "improved", "mae"] < value["overall", "baseline", "mae"]
     assert value["overall", "improved", "n_samples"] == value["overall", "baseline", "n_samples"]
