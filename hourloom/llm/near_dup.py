@@ -6,13 +6,13 @@
    2e-7 at the bound of similarity), so it shares one of the ``posted - least_shared + 1`` rarest (coordinate,
    value) pairs of either class. Only that prefix is posted: values that a frequent line or passage brings
    are skipped unless they make up most of a text.
-3. Star rounds compare each class with two heads of every list it is in, keep the heads with most equal
+3. Star rounds compare each class with one head of every list it is in, keep the heads with most equal
    coordinates, and confirm those pairs. Groups of copies collapse here with a number of pairs that grows
    with their size, not its square.
 4. Lists that still hold several components get a centre, their member with most links, and every member its
    exact difference from it. Two members share at most what the lesser of them shares with the centre plus
    what both have beyond it, so pairs are sought among members whose sizes allow a link without more, and
-   by an inverted join over the shingles beyond the centre. Members of a large group of copies that are not
+   by an inverted join over the rarest shingles beyond the centre. Members of a large group of copies that are not
    linked with it are told so by their few own shingles, not by a comparison with each copy. No list is cut
    and no pair that can be linked is dropped.
 5. Pairs with too few equal coordinates in the whole signature (a chance of 1e-7 for a linked pair) are
@@ -47,7 +47,7 @@ class NearSpec:
     least_shared: int = 13
     match_threshold: int = 33
     star_rounds: int = 1
-    heads: int = 3
+    heads: int = 2
 
 
 def shingle_sets(s: TextSlice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,10 +216,10 @@ def _labelled(posts: DataFrame, parts: DataFrame | None) -> DataFrame:
 
 
 def _star(posts: DataFrame, seed: int) -> DataFrame:
-    """Each member of a list next to two heads of it that are in other components; heads differ from list to list."""
+    """Each member of a list next to a head of it that is in another component; heads differ from list to list."""
     rank = F.struct(F.xxhash64("part", "key", F.lit(seed)).alias("x"), F.col("id"), F.col("part"))
-    heads = posts.groupBy("key").agg(F.min(rank).alias("lo"), F.max(rank).alias("hi")).filter("lo.part != hi.part")
-    met = posts.join(heads, "key").select("id", "part", F.explode(F.array("lo", "hi")).alias("head")).filter("part != head.part")
+    heads = posts.groupBy("key").agg(F.min(rank).alias("head"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p != q")
+    met = posts.join(heads.select("key", "head"), "key").filter("part != head.part")
     return met.select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
@@ -258,11 +258,15 @@ def _open_pairs(differences: DataFrame, percent: int) -> DataFrame:
     sized = outside.filter(f"({percent} * nx + 99) div 100 <= ({100 + percent} * cx) div {percent} - nx").withColumn("size", F.explode(sizes))
     inside = rows.select("a", "b", "part", "n", "common")
     by_size = sized.join(inside, (F.col("ax") == F.col("a")) & (F.col("size") == F.col("n")) & apart & _linked(F.least("cx", "common"), F.col("nx"), F.col("n"), percent))
-    items = settle(rows.select("extras", "a", "b", "part", "core", "n", "common").mapInArrow(_extra_rows, "item long, a long, b long, part long, core long, n long, common long"), "extras")
-    left = renamed(items.filter("part != core").drop("core")).withColumnRenamed("item", "ix")
-    met = left.join(items.drop("core"), (F.col("ax") == F.col("a")) & (F.col("ix") == F.col("item")) & apart)
-    shared = met.groupBy("a", "x", "b").agg(F.count("*").alias("more"), F.first("nx").alias("nx"), F.first("n").alias("n"), F.first("cx").alias("cx"), F.first("common").alias("common"))
-    by_item = shared.filter(_linked(F.least("cx", "common") + F.col("more"), F.col("nx"), F.col("n"), percent))
+    # with them: both must share so many that they meet in the rarest of either, counted per centre
+    items = rows.select("extras", "a", "b", "part", "core", "n", "common").mapInArrow(_extra_rows, "item long, a long, b long, part long, core long, n long, common long")
+    shared = items.join(items.groupBy("a", "item").agg(F.count("*").alias("f")).filter("f > 1"), ["a", "item"])
+    own = Window.partitionBy("a", "b")
+    ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("f", "item"))).withColumn("m", F.count("*").over(own))
+    need = F.expr(f"greatest(1, ({percent} * (n + ({percent} * n + 99) div 100) - {100 + percent} * common + {99 + percent}) div {100 + percent})")
+    rare = ranked.filter(F.col("rank") - F.col("m") + need <= 1).select("a", "item", "b", "part", "core")
+    left = rare.filter("part != core").select(F.col("a").alias("ax"), F.col("item").alias("ix"), F.col("b").alias("x"), F.col("part").alias("px"))
+    by_item = left.join(rare.select("a", "item", "b", "part"), (F.col("ax") == F.col("a")) & (F.col("ix") == F.col("item")) & apart)
     pairs = by_size.select("x", "b").unionByName(by_item.select("x", "b"))
     return pairs.select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b")).distinct()
 
@@ -293,7 +297,7 @@ def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: st
     links, parts = None, None
     for seed in range(spec.star_rounds):
         matched = _matching(_star(_labelled(posts, parts), seed), sigs, spec)
-        nearest = Window.partitionBy("b").orderBy(F.desc("hits"), "a")  # at most two heads for each posted coordinate
+        nearest = Window.partitionBy("b").orderBy(F.desc("hits"), "a")  # at most one head for each posted coordinate
         best = matched.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= spec.heads)
         found = confirm(settle(best.select("a", "b"), "pairs"))
         links = settle(found if links is None else found.unionByName(links), "links")
