@@ -8,6 +8,7 @@ rows by index. Reading is parallel by stripe.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
@@ -28,16 +29,34 @@ class TokenSpec:
     """``end_id`` closes each document. ``cached_words`` bounds what a worker remembers of words it has encoded."""
 
     end_id: int = 1
-    cached_words: int = 500_000
+    cached_words: int = 400_000
     stripe_bytes: int = 64 << 20
     index_stride: int = 1000
     compression: str = "zstd"
 
 
+# Fixed value: the ASCII part of the pattern by which the tokenizer cuts lower-cased text.
+_ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
+_CLOSING = b".,;:!?*#$%&|"
+
+
+def _cut(word: bytes) -> list[bytes]:
+    if b"<|" in word:
+        return [word]
+    if word.isascii():
+        return _ASCII_PIECES.findall(word.lower())
+    core = word.rstrip(_CLOSING)
+    if core != word and core and core.decode()[-1].isalpha():
+        return [core, word[len(core) :]]
+    return [word]
+
+
 class _Encoder:
     """Ids of texts by words between ASCII white space, which the tokenizer drops and never joins across.
 
-    Words repeat, so each is encoded once while it is remembered.
+    ASCII texts are lower-cased and cut where the tokenizer's own pattern cuts them, words of other texts so if they are
+    ASCII, else where punctuation follows a letter. Pieces and words repeat, so each is encoded once while it
+    is remembered; words that may hold a special token go to the library whole.
     """
 
     _loaded: dict[int, _Encoder] = {}
@@ -45,7 +64,10 @@ class _Encoder:
     def __init__(self, model: str, limit: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_str(model), limit, {}
+        self.tokenizer, self.limit, self.known, self.pieces = Tokenizer.from_str(model), limit, {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     @classmethod
     def of(cls, model: str, limit: int) -> _Encoder:
@@ -54,15 +76,41 @@ class _Encoder:
             cls._loaded[key] = cls(model, limit)
         return cls._loaded[key]
 
+    def _learn_together(self, pieces: list[bytes], at_once: int = 2000) -> None:
+        """Encode pieces that the tokenizer keeps whole, many in one text; the ids that close a word tell them apart.
+
+        Where a piece turns out to be more than one word, its text is left for one-by-one encoding.
+        """
+        for i in range(0, len(pieces), at_once):
+            part = pieces[i : i + at_once]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(part) and len(ids) == ends[-1]:
+                begin = 0
+                for p, end in zip(part, ends.tolist(), strict=True):
+                    self.pieces[p] = ids[begin:end].tobytes()
+                    begin = end
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        words = [t.split() for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        new = list(set().union(*words) - self.known.keys())
-        for w, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.known[w] = array("i", found.ids).tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        for memory in (self.known, self.pieces):
+            if len(memory) > self.limit:
+                memory.clear()
+        plain = [t.isascii() and b"<|" not in t for t in texts]
+        units = [_ASCII_PIECES.findall(t.lower()) if ascii_only else t.split() for t, ascii_only in zip(texts, plain, strict=True)]
+        words = set().union(*(u for u, ascii_only in zip(units, plain, strict=True) if not ascii_only))
+        new = {w: _cut(w) for w in words if w not in self.known}
+        wanted = set().union(*new.values(), *(u for u, ascii_only in zip(units, plain, strict=True) if ascii_only))
+        self._learn([p for p in wanted if p not in self.pieces])
+        for w, pieces in new.items():
+            self.known[w] = b"".join([self.pieces[p] for p in pieces])
+        return [b"".join(map((self.pieces if ascii_only else self.known).__getitem__, u)) for u, ascii_only in zip(units, plain, strict=True)]
+
+    def _learn(self, unseen: list[bytes]) -> None:
+        self._learn_together([p for p in unseen if (p.isascii() and b"<|" not in p) or p.decode().isalpha()])
+        rest = [p for p in unseen if p not in self.pieces]
+        for p, found in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False), strict=True):
+            self.pieces[p] = array("i", found.ids).tobytes()
 
 
 def encode(docs: DataFrame, model: str, spec: TokenSpec, id_column: str, text: str) -> DataFrame:
