@@ -7,6 +7,7 @@ estimates containment. The least hash is always kept, so that no text with words
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,20 +28,32 @@ class SketchSpec:
     digits: int = 10
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def shingle_hashes(text: Column, spec: SketchSpec) -> Column:
     """The hash of every run of ``words`` words; a text with fewer words has its whole sequence as the only one."""
-    words = F.filter(F.split(F.translate(text, _UPPER, _LOWER), WHITE), lambda w: w != "")
     shift = 64 - 4 * spec.digits
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - (spec.words - 1)))
-    hashes = F.transform(starts, lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(words, i, spec.words)), shift))
-    return F.when(F.size(words) > 0, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    def hashed(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - (spec.words - 1)))
+        hashes = F.transform(starts, lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(words, i, spec.words)), shift))
+        return F.when(F.size(words) > 0, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    return _let(F.filter(F.split(F.translate(text, _UPPER, _LOWER), WHITE), lambda w: w != ""), hashed)
 
 
 def sketch(hashes: Column, spec: SketchSpec) -> Column:
     """Ascending distinct kept hashes of an array column; null stays null."""
     bound = (1 << (4 * spec.digits)) // spec.one_in
-    kept = F.filter(hashes, lambda h: h < bound)
-    return F.array_sort(F.array_distinct(F.when(F.size(kept) > 0, kept).when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(kept)))
+
+    def never_empty(all_hashes: Column) -> Column:
+        least = F.filter(F.array(F.array_min(all_hashes)), lambda h: h.isNotNull())
+        return _let(F.filter(all_hashes, lambda h: h < bound), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(least))
+
+    return F.array_sort(F.array_distinct(_let(hashes, never_empty)))
 
 
 def printed(sketched: Column, spec: SketchSpec) -> Column:
@@ -85,7 +98,7 @@ def ring(keys: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def compare_with_edits(docs: DataFrame, spec: SketchSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id_column, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` for every row of ``docs``.
+    """``(id_column, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next id)`` for every row of ``docs``.
 
     The edited text has its last quarter of code points replaced by the first as many (or all) of the next document
     by id, after the last the first; a single document follows itself. Null texts count as empty, null ids come
@@ -97,10 +110,11 @@ def compare_with_edits(docs: DataFrame, spec: SketchSpec | None = None, id_colum
     rows = docs.select(F.col(id_column).alias("id"), body.alias("text"), F.length(body).alias("n"), F.xxhash64(body).alias("h"), F.xxhash64(F.col(id_column), body).alias("k"))
     keys = rows.select("id", "h", "k", "n").distinct()
     order = settle(ring(keys, ["id", "h", "k", "n"]).select("k", F.col("next_k").alias("next"), F.floor(F.col("n") / 4).cast("int").alias("need")), "ring")
-    # what each document hands to the one before it: its first code points and its sketch
+    # what each document hands to the one before it: its first code points, its sketch and its id; both joins
+    # use the same columns of the texts, so these are shuffled once
     own = rows.select("id", "text", "n", "k", sketch(shingle_hashes(F.col("text"), spec), spec).alias("print"))
     given = own.join(order.select(F.col("next").alias("k"), F.col("k").alias("to"), "need"), "k")
-    given = given.select(F.col("to").alias("k"), "need", F.substring("text", F.lit(1), F.col("need")).alias("head"), F.col("print").alias("next_print")).dropDuplicates(["k"])
+    given = given.select(F.col("to").alias("k"), "need", F.substring("text", F.lit(1), F.least("need", "n")).alias("head"), F.col("print").alias("next_print"), F.col("id").alias("next_id")).dropDuplicates(["k"])
     both = own.join(given, "k")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n") - F.col("need")), F.col("head"))
     both = both.withColumn("edited", edited)
@@ -113,4 +127,5 @@ def compare_with_edits(docs: DataFrame, spec: SketchSpec | None = None, id_colum
         printed(F.col("edited_print"), spec).alias("edited_fingerprint"),
         containment(F.col("print"), F.col("edited_print")).alias("near_edited"),
         containment(F.col("print"), F.col("next_print")).alias("near_next"),
+        F.col("next_id").alias(f"next_{id_column}"),
     )
