@@ -2,7 +2,8 @@
 
 A sketch keeps every shingle hash below ``2**bits * fraction``, whatever the length of the text, so sketches of parts
 merge by union and a short text is found inside a long one: the share of its kept hashes that the other has
-estimates containment. The least hash is always kept, so that no text with words has an empty sketch.
+estimates containment. The fraction is one unless a caller asks for less: containment is then exact at any length.
+With a smaller one a short text may keep no hash at all, and what it is contained in stays unknown.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ class SketchSpec:
     """One in ``one_in`` shingles of ``words`` words is kept, as a hash of ``digits`` hexadecimal digits."""
 
     words: int = 5
-    one_in: int = 8
+    one_in: int = 1
     digits: int = 10
 
 
@@ -46,14 +47,10 @@ def shingle_hashes(text: Column, spec: SketchSpec) -> Column:
 
 
 def sketch(hashes: Column, spec: SketchSpec) -> Column:
-    """Ascending distinct kept hashes of an array column; null stays null."""
+    """Ascending distinct kept hashes of an array column, none if all are above the bound; null stays null."""
     bound = (1 << (4 * spec.digits)) // spec.one_in
-
-    def never_empty(all_hashes: Column) -> Column:
-        least = F.filter(F.array(F.array_min(all_hashes)), lambda h: h.isNotNull())
-        return _let(F.filter(all_hashes, lambda h: h < bound), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(least))
-
-    return F.array_sort(F.array_distinct(_let(hashes, never_empty)))
+    kept = hashes if spec.one_in == 1 else F.filter(hashes, lambda h: h < bound)
+    return F.sort_array(F.array_distinct(kept))
 
 
 def printed(sketched: Column, spec: SketchSpec) -> Column:
@@ -66,10 +63,16 @@ def merged(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(a, b))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the smaller sketch's shingles that the other has; two empty ones are alike, one is not."""
+def containment(a: Column, b: Column, spec: SketchSpec | None = None) -> Column:
+    """Share of the smaller sketch's shingles that the other has, an estimate if only some are kept.
+
+    Of sketches that keep all, two empty ones are alike and one is not; of others an empty one says nothing: null.
+    """
     least = F.least(F.size(a), F.size(b))
-    return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).when(F.size(a) == F.size(b), 1.0).otherwise(0.0).cast("double")
+    share = F.when(least > 0, F.size(F.array_intersect(a, b)) / least)
+    if (spec or SketchSpec()).one_in == 1:
+        share = share.when(F.size(a) == F.size(b), 1.0).otherwise(0.0)
+    return share.cast("double")
 
 
 def in_order(rows: DataFrame, *columns: str) -> DataFrame:
@@ -110,22 +113,22 @@ def compare_with_edits(docs: DataFrame, spec: SketchSpec | None = None, id_colum
     rows = docs.select(F.col(id_column).alias("id"), body.alias("text"), F.length(body).alias("n"), F.xxhash64(body).alias("h"), F.xxhash64(F.col(id_column), body).alias("k"))
     keys = rows.select("id", "h", "k", "n").distinct()
     order = settle(ring(keys, ["id", "h", "k", "n"]).select("k", F.col("next_k").alias("next"), F.floor(F.col("n") / 4).cast("int").alias("need")), "ring")
-    # what each document hands to the one before it: its first code points, its sketch and its id; both joins
-    # use the same columns of the texts, so these are shuffled once
-    own = rows.select("id", "text", "n", "k", sketch(shingle_hashes(F.col("text"), spec), spec).alias("print"))
+    # each document's text goes to the one before it, as it is shorter than its hashes; both joins use the same
+    # columns of the texts, so these are shuffled once by their own key and once by that of the one before
+    own = rows.select("id", "text", "k")
     given = own.join(order.select(F.col("next").alias("k"), F.col("k").alias("to"), "need"), "k")
-    given = given.select(F.col("to").alias("k"), "need", F.substring("text", F.lit(1), F.least("need", "n")).alias("head"), F.col("print").alias("next_print"), F.col("id").alias("next_id")).dropDuplicates(["k"])
-    both = own.join(given, "k")
-    edited = F.concat(F.substring("text", F.lit(1), F.col("n") - F.col("need")), F.col("head"))
-    both = both.withColumn("edited", edited)
-    both = both.withColumn("edited_print", sketch(shingle_hashes(F.col("edited"), spec), spec))
+    given = given.select(F.col("to").alias("k"), "need", F.col("text").alias("next_text"), F.col("id").alias("next_id")).dropDuplicates(["k"])
+    n = F.length("text")
+    both = own.join(given, "k").withColumn("edited", F.concat(F.substring("text", F.lit(1), n - F.col("need")), F.substring("next_text", F.lit(1), F.col("need"))))
+    made = {to: sketch(shingle_hashes(F.col(c), spec), spec) for to, c in (("print", "text"), ("edited_print", "edited"), ("next_print", "next_text"))}
+    both = both.withColumns(made)
     return both.select(
         F.col("id").alias(id_column),
-        F.col("n").cast("long").alias("n_chars"),
+        n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         printed(F.col("print"), spec).alias("fingerprint"),
         printed(F.col("edited_print"), spec).alias("edited_fingerprint"),
-        containment(F.col("print"), F.col("edited_print")).alias("near_edited"),
-        containment(F.col("print"), F.col("next_print")).alias("near_next"),
+        containment(F.col("print"), F.col("edited_print"), spec).alias("near_edited"),
+        containment(F.col("print"), F.col("next_print"), spec).alias("near_next"),
         F.col("next_id").alias(f"next_{id_column}"),
     )

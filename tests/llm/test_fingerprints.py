@@ -82,3 +82,29 @@ def test_parts_merge_and_small_texts_are_contained(spark):
     row = spark.createDataFrame([(a, b, " ".join(words), small)], "a string, b string, c string, d string")
     got = row.select((merged(made("a"), made("b")) == made("c")).alias("same"), containment(made("d"), made("c")).alias("inside"), containment(made("d"), made("b")).alias("outside")).first()
     assert got.same and got.inside == 1.0 and got.outside == 0.0
+
+
+def test_short_texts_have_exact_containment(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(1, 30)))) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    for r in compare_with_edits(frame).collect():
+        _, _, edited, after = want[r.doc_id]
+        own = shingles(rows[r.doc_id][1])
+        assert (r.near_edited, r.near_next) == (share(own, shingles(edited)), share(own, shingles(after)))
+
+
+@pytest.mark.parametrize("one_in", [1, 2, 8])
+def test_short_parts_merge_to_the_sketch_of_the_whole(spark, one_in):
+    spec = SketchSpec(one_in=one_in)
+    rng = random.Random(6)
+    rows = []
+    for _ in range(200):
+        words = [f"v{rng.randrange(10_000)}" for _ in range(24)]
+        rows.append((" ".join(words[:9]), " ".join(words[5:]), " ".join(words)))
+    made = lambda c: sketch(shingle_hashes(F.col(c), spec), spec)
+    frame = spark.createDataFrame(rows, "a string, b string, c string")
+    got = frame.select((merged(made("a"), made("b")) == made("c")).alias("same"), containment(made("a"), made("c"), spec).alias("inside")).collect()
+    assert all(r.same for r in got) and {r.inside for r in got} - {None} == {1.0}
+    assert one_in > 1 or all(r.inside == 1.0 for r in got)
