@@ -115,8 +115,8 @@ class BoostSpec:
     seed: int = 42
     # Fraction of the training rows, the latest ones, that only decide when to stop.
     stop_share: float = 0.1
-    # MLlib has no patience: the fit ends at the first round that does not lower the error of those rows.
-    stop_tolerance: float = 0.0
+    # Rounds without a lower mean absolute error of those rows after which no later round is looked at.
+    patience: int = 50
 
 
 @dataclass(frozen=True)

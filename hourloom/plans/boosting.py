@@ -7,10 +7,12 @@ over the cluster. Filter to one series for a model of its own.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +34,7 @@ def model_inputs(df: DataFrame, target: str = TARGET) -> list[str]:
     return [c for c in df.columns if c not in HIDDEN and c != target]
 
 
-def boosted_trees(inputs: Sequence[str], target: str = TARGET, spec: BoostSpec = BoostSpec(), stop_column: str | None = None) -> Pipeline:
-    stopping = {"validationIndicatorCol": stop_column, "validationTol": spec.stop_tolerance} if stop_column else {}
+def boosted_trees(inputs: Sequence[str], target: str = TARGET, spec: BoostSpec = BoostSpec()) -> Pipeline:
     trees = GBTRegressor(
         featuresCol="_features",
         labelCol=target,
@@ -46,22 +47,60 @@ def boosted_trees(inputs: Sequence[str], target: str = TARGET, spec: BoostSpec =
         featureSubsetStrategy=str(spec.column_share),
         seed=spec.seed,
         checkpointInterval=10,
-        **stopping,
     )
     return Pipeline(stages=[VectorAssembler(inputCols=list(inputs), outputCol="_features", handleInvalid="keep"), trees])
 
 
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Trees to keep by the error after each, and whether ``patience`` rounds without a lower one were seen after it."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def keep_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first ``n`` trees."""
+    sc = SparkContext._active_spark_context
+    package, old = sc._jvm.org.apache.spark.ml.regression, model._java_obj
+    trees, weights = sc._gateway.new_array(package.DecisionTreeRegressionModel, n), sc._gateway.new_array(sc._jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = old.trees()[i], old.treeWeights()[i]
+    kept = GBTRegressionModel(package.GBTRegressionModel(model.uid, trees, weights, model.numFeatures))
+    kept._resetUid(model.uid)
+    model._copyValues(kept)
+    kept._transfer_params_to_java()
+    return kept
+
+
 def fit_boosted(train: DataFrame, target: str = TARGET, inputs: Sequence[str] | None = None, spec: BoostSpec = BoostSpec(), early_stop: bool = True, step: str = "hour") -> PipelineModel:
-    """Fit on complete rows; the latest rows of each series only decide when to stop."""
+    """Fit on complete rows; the latest rows of each series only decide how many trees are kept.
+
+    The trees kept end at the round of the least error of those rows that ``patience`` further rounds do not lower.
+    A fit of fewer trees is the beginning of a longer one, so the number fitted is doubled until such a round is
+    found or all ``n_trees`` are fitted.
+    """
     columns = list(inputs or model_inputs(train, target))
     ensure_checkpoints(train.sparkSession)
     rows = drop_null_any(train.select(KEY, TS, target, *columns))
-    stop = None
-    if early_stop and spec.stop_share > 0:
-        parts = split_ratio(rows, 1 - spec.stop_share, step)
-        rows = settle(parts.withColumn("_stop", F.col("split") == "validation").drop("split"), "train")
-        stop = "_stop"
-    return boosted_trees(columns, target, spec, stop).fit(rows)
+    if not early_stop or spec.stop_share <= 0:
+        return boosted_trees(columns, target, spec).fit(rows)
+    parts = split_ratio(rows, 1 - spec.stop_share, step)
+    rows = settle(parts.withColumn("_stop", F.col("split") == "validation").drop("split"), "train")
+    learned, held = rows.filter("not _stop"), rows.filter("_stop")
+    if held.isEmpty():
+        return boosted_trees(columns, target, spec).fit(learned)
+    n = min(spec.n_trees, 2 * spec.patience)
+    while True:
+        model = boosted_trees(columns, target, replace(spec, n_trees=n)).fit(learned)
+        assembler, trees = model.stages
+        kept, settled = best_round(trees.evaluateEachIteration(assembler.transform(held), "absolute"), spec.patience)
+        if settled or n == spec.n_trees:
+            return PipelineModel([assembler, keep_trees(trees, kept)])
+        n = min(spec.n_trees, 2 * n)
 
 
 def predict(model: PipelineModel, df: DataFrame, target: str = TARGET, extra: Sequence[str] = ()) -> DataFrame:

@@ -126,3 +126,37 @@ def test_morning_signal_uses_the_last_week(spark, outcomes, tmp_path):
     row = record.first()
     assert row["context"]["hours_analyzed"] == 168 and row["market"] == SPEC.market and row["strategy"].count("\n") == 2
     assert spark.read.json(f"{tmp_path}/morning_signal").count() == 1
+
+
+def test_best_round_waits():
+    assert boosting.best_round([5.0, 6.0, 4.0, 4.5, 4.4, 4.3, 1.0], 3) == (3, True)
+    assert boosting.best_round([5.0, 6.0, 4.0, 4.5, 4.4], 3) == (3, False)
+    assert boosting.best_round([3.0, 2.0, 1.0], 50) == (3, False)
+
+
+def test_fit_goes_on_after_a_round_without_gain(spark, tmp_path):
+    rng = random.Random(3)
+    rows = []
+    for h in range(900):
+        x, y = rng.random(), rng.random()
+        rows.append(("a", at(h), 20 * x + 10 * y + rng.gauss(0, 9), x, y))
+    df = spark.createDataFrame(rows, f"{KEY} string, {TS} timestamp_ntz, {TARGET} double, x double, y double")
+    whole_spec = BoostSpec(n_trees=60, max_depth=3, patience=20)
+    df.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    model = boosting.fit_boosted(df, spec=whole_spec)
+    stop = df.orderBy(F.desc(TS)).limit(90)
+
+    def error(m):
+        return boosting.predict(m, stop).agg(F.avg(F.abs("residual"))).first()[0]
+
+    whole = boosting.boosted_trees(["x", "y"], spec=whole_spec).fit(df.orderBy(TS).limit(810))
+    errors = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(stop), "absolute")
+    first_rise = next(i for i in range(1, 60) if errors[i] >= errors[i - 1])
+    kept = model.stages[-1].getNumTrees
+    assert kept > first_rise
+    assert error(model) < errors[first_rise - 1]
+    boosting.save_model(model, str(tmp_path / "m"), {"run_id": "a"}, spark)
+    loaded, _ = boosting.load_model(str(tmp_path / "m"), spark)
+    assert loaded.stages[-1].getNumTrees == kept and error(loaded) == pytest.approx(error(model))
+    assert sum(r["importance"] for r in boosting.feature_importance(model, spark).collect()) == pytest.approx(1.0)
