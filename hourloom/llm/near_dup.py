@@ -92,14 +92,15 @@ def _sums(sets: np.ndarray, edges: np.ndarray, seed: int) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], spec: NearSpec) -> Iterator[pa.RecordBatch]:
-    names = ["id", "n_shingles", "h1", "h2", "sig"]
+    names = ["id", "hash", "n_shingles", "h1", "h2", "sig"]
     for batch in batches:
         for s in text_slices(batch.column(1)):
             sets, edges = shingle_sets(s, spec.words)
             sig = signatures(sets, edges, spec.coordinates)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).slice(s.first, len(s)), pa.array(np.diff(edges)), pa.array(_sums(sets, edges, 0x5EED)), pa.array(_sums(sets, edges, 0xFACE)),
+                    batch.column(0).slice(s.first, len(s)), batch.column(2).slice(s.first, len(s)),
+                    pa.array(np.diff(edges)), pa.array(_sums(sets, edges, 0x5EED)), pa.array(_sums(sets, edges, 0xFACE)),
                     pa.array([x.tobytes() for x in sig], pa.binary()),
                 ],
                 names=names,
@@ -284,10 +285,27 @@ def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: st
     under a stand-in above all real ids (which stay below 2**62); its component is null unless a document
     with an id is in it, and it is kept only in the first case. Other columns are not read.
     """
-    spec = spec or NearSpec()
+    rows = _verdicts(docs, spec or NearSpec(), id_column, text)
+    real = F.lit(1 << 62)
+    return rows.select(
+        F.when(F.col("id") < real, F.col("id")).alias(id_column),
+        "n_shingles",
+        F.when(F.col("component") < real, F.col("component")).alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
+    )
+
+
+def _key(id_column: str, text: str) -> Column:
+    """The id as a number; a null one has a stand-in by its text."""
     stand_in = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 2).bitwiseOR(F.lit(1 << 62))
-    texts = docs.select(F.coalesce(F.col(id_column).cast("long"), stand_in).alias("id"), F.col(text).alias("text"))
-    sketch = settle(texts.select("id", "text").mapInArrow(lambda x: _sketches(x, spec), "id long, n_shingles long, h1 long, h2 long, sig binary"), "sketches")
+    return F.coalesce(F.col(id_column).cast("long"), stand_in)
+
+
+def _verdicts(docs: DataFrame, spec: NearSpec, id_column: str, text: str) -> DataFrame:
+    """``(id, hash, n_shingles, h1, h2, component)`` for every row: the key, a hash of its text and of its set."""
+    texts = docs.select(_key(id_column, text).alias("id"), F.col(text).alias("text"))
+    hashed = texts.select("id", "text", F.xxhash64("text").alias("hash"))
+    sketch = settle(hashed.mapInArrow(lambda x: _sketches(x, spec), "id long, hash long, n_shingles long, h1 long, h2 long, sig binary"), "sketches")
     filled = sketch.filter("n_shingles > 0")
     classes = settle(filled.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.min("sig").alias("sig")), "classes")
     sigs = classes.select("id", "sig")
@@ -312,16 +330,22 @@ def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: st
     of_class = classes.select("h1", "h2", "id").join(parts.select(F.col("node").alias("id"), "component"), "id", "left")
     of_class = of_class.select("h1", "h2", F.coalesce("component", "id").alias("component")).groupBy("h1", "h2").agg(F.min("component").alias("component"))
     rows = sketch.join(of_class, ["h1", "h2"], "left").withColumn("component", F.coalesce("component", "id"))
-    real = F.lit(1 << 62)
-    return rows.select(
-        F.when(F.col("id") < real, F.col("id")).alias(id_column),
-        "n_shingles",
-        F.when(F.col("component") < real, F.col("component")).alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
-    )
+    return rows.select("id", "hash", "n_shingles", "h1", "h2", "component")
 
 
 def drop_near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows without an id stay."""
-    verdict = near_duplicates(docs, spec, id_column, text).filter("not kept").select(F.col(id_column).alias("_dropped")).distinct()
-    return docs.join(verdict, docs[id_column] == verdict["_dropped"], "left_anti")
+    """One row of ``docs`` for each kept document: the one with the smallest id of its component.
+
+    Rows are told apart by id and text. Rows equal in both are one document, and so are rows of one id with the same
+    shingles, and null ids with the same text. Only texts that occur again under their id are shuffled for it.
+    """
+    rows = settle(_verdicts(docs, spec or NearSpec(), id_column, text), "verdicts")
+    pairs = rows.groupBy("id", "hash").agg(F.count("*").alias("n"), *(F.min(c).alias(c) for c in ("n_shingles", "h1", "h2", "component")))
+    by_set = ["id", "h1", "h2", F.when(F.col("n_shingles") == 0, F.col("hash"))]
+    pairs = pairs.withColumn("first", F.min("hash").over(Window.partitionBy(*by_set)))
+    pairs = settle(pairs.select("id", "hash", "n", ((F.col("id") == F.col("component")) & (F.col("hash") == F.col("first"))).alias("kept")), "kept")
+    marked = docs.withColumns({"_key": _key(id_column, text), "_hash": F.xxhash64(text)})
+    found = lambda which: pairs.filter(which).select(F.col("id").alias("_key"), F.col("hash").alias("_hash"))
+    single = marked.join(found("not kept or n > 1"), ["_key", "_hash"], "left_anti")
+    again = marked.join(found("kept and n > 1"), ["_key", "_hash"], "left_semi").dropDuplicates(["_key", "_hash"])
+    return single.unionByName(again).select(*docs.columns)

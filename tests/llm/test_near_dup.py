@@ -3,7 +3,7 @@ import re
 
 import pytest
 from hourloom.llm.graph import connected_components
-from hourloom.llm.near_dup import NearSpec, near_duplicates
+from hourloom.llm.near_dup import NearSpec, drop_near_duplicates, near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -90,3 +90,13 @@ def test_components_of_links(spark):
         up[y] = x
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: root(x) for a, b in pairs[:-2] if a != b for x in (a, b)}
+
+
+def test_one_row_of_each_class_stays(spark):
+    words = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    rows = [(3, words("a")), (5, words("a")), (5, words("u")), (5, words("u")), (5, words("u").upper()), (5, words("x"))]
+    rows += [(None, words("n")), (None, words("n")), (None, words("a")), (8, ""), (8, ""), (9, "")]
+    frame = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string").repartition(4)
+    got = sorted(((r.doc_id, r.text.lower()) for r in drop_near_duplicates(frame).collect()), key=str)
+    assert got == sorted([(3, words("a")), (5, words("u")), (5, words("x")), (None, words("n")), (8, ""), (9, "")], key=str)
+    assert drop_near_duplicates(frame.limit(0)).isEmpty()
