@@ -210,7 +210,7 @@ _SHOWN = [c for c in [*INTS, *DOUBLES] if c not in _HIDDEN]
 
 @query(
     "feature_columns",
-    f"WITH {H}, {features_sql('h')} " + " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS known FROM f" for c in _SHOWN),
+    f"WITH {MARKETS}, {features_sql('h')} " + " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS known FROM f" for c in _SHOWN),
 )
 def feature_columns(spark, sf_dir):
     table = features.build_features(markets(spark, sf_dir), SPEC)
@@ -221,7 +221,7 @@ def feature_columns(spark, sf_dir):
 
 @query(
     "leakage_lag_check",
-    f"""WITH {H}, f(severity, finding) AS (VALUES ('error', 'lag 6h is shorter than 24h'), ('warning', 'no lag 48h column'))
+    f"""WITH {MARKETS}, f(severity, finding) AS (VALUES ('error', 'lag 6h is shorter than 24h'), ('warning', 'no lag 48h column'))
 SELECT severity, finding, count(day_ahead_price) AS n_rows FROM h CROSS JOIN f GROUP BY ALL""",
 )
 def leakage_lag_check(spark, sf_dir):

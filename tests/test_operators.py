@@ -301,12 +301,13 @@ def test_context_and_strategy(spark):
     assert [b["bucket"] for b in row["bucket_summary"]] == ["off_peak_late", "off_peak_night", "peak", "shoulder", "weekend"]
     assert row["best_bucket"]["name"] == "off_peak_late" and row["risk_indicators"]["max_negative_streak"] == 0
     lines = row["strategy"].split("\n")
-    assert len(lines) == 3 and "BUY off_peak_late block, FULL SIZE" in lines[0] and "RATIONALE" in lines[1] and "Monitor" in lines[2]
+    assert len(lines) == 3 and lines[0].startswith("1. **POSITION**: BUY off_peak_late at full size") and "21.5 EUR/MWh" in lines[0]
+    assert "**RATIONALE**: 100.0%" in lines[1] and "**RISK**: drop the signal" in lines[2]
 
 
 def test_strategy_levels(spark):
     texts = [signals.rule_strategy(signals.trading_context(*_week(spark, level))).first()["strategy"] for level in (85.0, 50.0)]
-    assert "MEDIUM SIZE" in texts[0] and "HOLD/REDUCE" in texts[1] and "LOW CONFIDENCE" in texts[1]
+    assert "BUY off_peak_late at half size" in texts[0] and "**POSITION**: HOLD" in texts[1] and "few hours pay" in texts[1]
 
 
 def test_summaries(spark):
