@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import compression, fingerprints, licenses, mixing, near_dup, packing, suffix_dedup, token_store, toxicity, url_filter
+from hourloom.llm import compression, conversations, fingerprints, licenses, mixing, near_dup, packing, suffix_dedup, token_store, toxicity, url_filter
 from hourloom.llm.workers import share_package
 from hourloom.sources.workspace import fresh_folder
 
@@ -111,3 +111,9 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair_all(rows, conversations.damage(rows))
