@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import compression, conversations, fingerprints, licenses, mixing, near_dup, packing, suffix_dedup, token_store, toxicity, url_filter
+from hourloom.llm import compression, conversations, fingerprints, licenses, mixing, near_dup, packing, suffix_dedup, suffix_trees, token_store, toxicity, url_filter
 from hourloom.llm.workers import share_package
 from hourloom.sources.workspace import fresh_folder
 
@@ -113,6 +113,23 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.repeated_windows(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_suffix_trees"] = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM docs WHERE len(words) >= 13),
+windows AS (SELECT doc_id, i, array_to_string(words[i : i + 12], ' ') AS w FROM places),
+repeats AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range(13)) AS i FROM windows JOIN repeats USING (w) WHERE least < doc_id),
+spelled AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM docs),
+kept AS (SELECT s.doc_id, string_agg(s.word, ' ' ORDER BY s.i) AS body, count(*) AS n FROM spelled s ANTI JOIN gone g ON g.doc_id = s.doc_id AND g.i = s.i GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(len(d.words) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.body, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)"""
+
+
 @query
 def op13_conversation_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
