@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -15,3 +17,15 @@ def share_package(spark: SparkSession) -> None:
     paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
     if ROOT not in paths:
         environment["PYTHONPATH"] = ":".join([ROOT, *paths])
+
+
+@contextmanager
+def records_per_batch(spark: SparkSession, records: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for the jobs that run inside, where single rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, records)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
