@@ -9,9 +9,9 @@ from bindings.features import DOUBLES, INTS, features_sql
 from bindings.tables import FOLDS, folds_sql
 from hourloom.config import BoostSpec, FeatureSpec, JobSpec
 from hourloom.operators import baseline
-from hourloom.operators.features import build_features, lag_features
+from hourloom.operators.features import build_features, lag_features, lag_name
 from hourloom.plans import boosting, training
-from hourloom.sources.workspace import fresh_folder
+from hourloom.sources.workspace import fresh_folder, settle
 
 LAGGED = """l AS (SELECT a.*, b.day_ahead_price AS lag FROM t a LEFT JOIN t b ON a.series_key = b.series_key AND b.ts = a.ts - INTERVAL 168 HOUR)"""
 
@@ -127,27 +127,51 @@ def checked(predictions, *columns):
     return predictions.select(KEY, TS, "actual", *columns, F.coalesce(agrees, F.lit(False)).alias("residual_agrees"))
 
 
-@query("gbt_fit_predict", f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, true AS residual_agrees FROM c")
+def with_flag(rows, name, first, second, where="true"):
+    """Add to every row whether, over its series, the mean of ``first`` is below that of ``second``."""
+    means = rows.filter(where).groupBy(KEY).agg(F.avg(first).alias("_a"), F.avg(second).alias("_b"))
+    return rows.join(means.select(KEY, (F.col("_a") < F.col("_b")).alias(name)), KEY)
+
+
+@query("gbt_fit_predict", f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, true AS residual_agrees, true AS beats_level FROM c")
 def gbt_fit_predict(spark, sf_dir):
     rows = stored_features(spark, sf_dir).na.drop("any")
-    return checked(boosting.predict(boosting.fit_boosted(rows, spec=BOOST), rows))
+    out = settle(boosting.predict(boosting.fit_boosted(rows, spec=BOOST), rows), "predicted")
+    level = out.groupBy(KEY).agg(F.avg("actual").alias("_level"))
+    judged = with_flag(out.join(level, KEY), "beats_level", F.abs("residual"), F.abs(F.col("actual") - F.col("_level")))
+    return checked(judged, "beats_level")
+
+
+NAIVE = lag_name(168, TARGET)
 
 
-@query("train_improved", f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, split, true AS residual_agrees FROM c")
+@query("train_improved", f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, split, true AS residual_agrees, true AS beats_naive FROM c")
 def train_improved(spark, sf_dir):
-    _, out = boosting.train_improved(stored_features(spark, sf_dir), spec=BOOST)
-    return checked(out, "split")
+    _, out = boosting.train_improved(stored_features(spark, sf_dir), spec=BOOST, extra=[NAIVE])
+    out = settle(out, "predicted")
+    later = F.col("split") == "validation"
+    return checked(with_flag(out, "beats_naive", F.abs("residual"), F.abs(F.col("actual") - F.col(NAIVE)), later), "split", "beats_naive")
 
 
-_MODEL_INPUTS = [c for c in _INPUTS if c != TARGET]
+_MODEL_INPUTS = [*[c for c in _INPUTS if c != TARGET], boosting.LEVEL]
 
 
-@query("feature_importance", "SELECT unnest([" + ", ".join(f"'{c}'" for c in _MODEL_INPUTS) + "]) AS feature, true AS is_share, true AS sums_to_one")
+@query(
+    "feature_importance",
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in _MODEL_INPUTS) + "]) AS feature, true AS is_share, true AS sums_to_one, true AS agrees_with_trees",
+)
 def feature_importance(spark, sf_dir):
+    """Shares recomputed from the node table; stage by stage they must be those that the trees themselves report."""
     model = boosting.fit_boosted(stored_features(spark, sf_dir), spec=BOOST)
-    rows = boosting.feature_importance(model, spark)
+    nodes = boosting.tree_nodes(model, spark)
+    rows = settle(boosting.importance_from_nodes(nodes, model.inputs), "importance")
     total = rows.agg(F.sum("importance")).scalar()
-    return rows.select("feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-6).alias("sums_to_one"))
+    reported = [(i, c, float(v)) for i, stage in enumerate(model.stages) for c, v in zip(model.inputs, stage.featureImportances.toArray(), strict=True)]
+    reported = spark.createDataFrame(reported, "stage int, feature string, reported double")
+    both = boosting.importance_from_nodes(nodes, model.inputs, ["stage"]).join(reported, ["stage", "feature"])
+    agrees = both.groupBy("feature").agg(F.bool_and(F.abs(F.col("importance") - F.col("reported")) < 1e-9).alias("agrees_with_trees"))
+    flags = rows.select("feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-6).alias("sums_to_one"))
+    return flags.join(agrees, "feature")
 
 
 @query(
@@ -162,7 +186,10 @@ def importance_share(spark, sf_dir):
     return boosting.importance_share(li.groupBy(name).agg(F.sum("l_extendedprice").alias("importance")))
 
 
-@query("model_save_load", f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, true AS residual_agrees, true AS same_as_fitted, 'run1' AS run_id FROM c")
+@query(
+    "model_save_load",
+    f"WITH {COMPLETE} SELECT series_key, ts, {r('actual=day_ahead_price')}, true AS residual_agrees, true AS same_as_fitted, true AS nodes_agree, 'run1' AS run_id FROM c",
+)
 def model_save_load(spark, sf_dir):
     rows = stored_features(spark, sf_dir).na.drop("any")
     path = fresh_folder(spark, "model")
@@ -170,19 +197,24 @@ def model_save_load(spark, sf_dir):
     boosting.save_model(fitted, path, {"run_id": "run1", "model_type": "gbt"}, spark)
     model, metadata = boosting.load_model(path, spark)
     before = boosting.predict(fitted, rows).select(KEY, TS, F.col("predicted").alias("fitted"))
-    both = boosting.predict(model, rows).join(before, [KEY, TS])
+    walked = boosting.predict_from_nodes(boosting.tree_nodes(model, spark), model, rows).select(KEY, TS, F.col("predicted").alias("walked"))
+    both = boosting.predict(model, rows).join(before, [KEY, TS]).join(walked, [KEY, TS])
     same = (F.abs(F.col("predicted") - F.col("fitted")) < 1e-9).alias("same_as_fitted")
-    return checked(both, same, F.lit(metadata["run_id"]).alias("run_id"))
+    nodes = (F.abs(F.col("predicted") - F.col("walked")) < 1e-9).alias("nodes_agree")
+    return checked(both, same, nodes, F.lit(metadata["run_id"]).alias("run_id"))
 
 
 @query(
     "run_training",
     f"""WITH {COMPLETE}, v AS (SELECT series_key, day_ahead_price AS actual, lag_168h_day_ahead_price AS predicted FROM c WHERE split = 'validation'),
 s AS (SELECT series_key, {SCORES} FROM v GROUP BY 1)
-SELECT series_key, 'baseline' AS model, n_samples, {r('mae')}, true AS ordered FROM s UNION ALL SELECT series_key, 'improved', n_samples, NULL, true FROM s""",
+SELECT series_key, 'baseline' AS model, n_samples, {r('mae')}, true AS ordered, true AS improved_beats_naive FROM s
+UNION ALL SELECT series_key, 'improved', n_samples, NULL, true, true FROM s""",
 )
 def run_training(spark, sf_dir):
     outcomes = training.run_training(stored_features(spark, sf_dir), JOB)
-    rows = training.comparison(outcomes)
+    rows = settle(training.comparison(outcomes), "comparison")
     naive = F.when(F.col("model") == "baseline", F.col("mae")).alias("mae")
-    return rows.select(KEY, "model", "n_samples", naive, (F.col("rmse") >= F.col("mae")).alias("ordered"))
+    mae = lambda name: F.max(F.when(F.col("model") == name, F.col("mae")))
+    beats = rows.groupBy(KEY).agg((mae("improved") < mae("baseline")).alias("improved_beats_naive"))
+    return rows.join(beats, KEY).select(KEY, "model", "n_samples", naive, (F.col("rmse") >= F.col("mae")).alias("ordered"), "improved_beats_naive")

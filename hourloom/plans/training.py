@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from hourloom.operators.baseline import assign_folds, cv_baseline_predictions, c
 from hourloom.operators.evaluation import baseline_improvement, regression_metrics
 from hourloom.operators.tables import drop_null_any, union_all
 from hourloom.plans.boosting import (
+    BoostedModel,
     feature_importance,
     fit_boosted,
     model_inputs,
@@ -35,7 +35,7 @@ class Outcome:
     kind: str
     predictions: DataFrame | None = None
     metrics: DataFrame | None = None
-    model: PipelineModel | None = None
+    model: BoostedModel | None = None
     importance: DataFrame | None = None
     errors: list[str] = field(default_factory=list)
 

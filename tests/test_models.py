@@ -134,29 +134,87 @@ def test_best_round_waits():
     assert boosting.best_round([3.0, 2.0, 1.0], 50) == (3, False)
 
 
-def test_fit_goes_on_after_a_round_without_gain(spark, tmp_path):
+def noisy(spark, tmp_path, n=900):
+    """Written once, so that every fit sees the same partitions."""
     rng = random.Random(3)
     rows = []
-    for h in range(900):
+    for h in range(n):
         x, y = rng.random(), rng.random()
         rows.append(("a", at(h), 20 * x + 10 * y + rng.gauss(0, 9), x, y))
     df = spark.createDataFrame(rows, f"{KEY} string, {TS} timestamp_ntz, {TARGET} double, x double, y double")
-    whole_spec = BoostSpec(n_trees=60, max_depth=3, patience=20)
     df.write.parquet(str(tmp_path / "rows"))
-    df = spark.read.parquet(str(tmp_path / "rows"))
-    model = boosting.fit_boosted(df, spec=whole_spec)
-    stop = df.orderBy(F.desc(TS)).limit(90)
+    return spark.read.parquet(str(tmp_path / "rows"))
 
-    def error(m):
-        return boosting.predict(m, stop).agg(F.avg(F.abs("residual"))).first()[0]
 
-    whole = boosting.boosted_trees(["x", "y"], spec=whole_spec).fit(df.orderBy(TS).limit(810))
-    errors = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(stop), "absolute")
-    first_rise = next(i for i in range(1, 60) if errors[i] >= errors[i - 1])
-    kept = model.stages[-1].getNumTrees
+def test_fit_goes_on_after_a_round_without_gain(spark, tmp_path):
+    spec = BoostSpec(n_trees=60, max_depth=3, patience=20)
+    df = noisy(spark, tmp_path)
+    model = boosting.fit_boosted(df, spec=spec)
+    kept, settled = boosting.best_round(model.errors, spec.patience)
+    assert model.n_trees == kept and (settled or len(model.errors) == spec.n_trees)
+    first_rise = next(i for i in range(1, len(model.errors)) if model.errors[i] >= model.errors[i - 1])
     assert kept > first_rise
-    assert error(model) < errors[first_rise - 1]
+    stop = df.orderBy(F.desc(TS)).limit(90)
+    error = boosting.predict(model, stop).agg(F.avg(F.abs("residual"))).first()[0]
+    assert error == pytest.approx(min(model.errors), rel=0.02)  # but for the level, which stop rows see alike
     boosting.save_model(model, str(tmp_path / "m"), {"run_id": "a"}, spark)
     loaded, _ = boosting.load_model(str(tmp_path / "m"), spark)
-    assert loaded.stages[-1].getNumTrees == kept and error(loaded) == pytest.approx(error(model))
-    assert sum(r["importance"] for r in boosting.feature_importance(model, spark).collect()) == pytest.approx(1.0)
+    assert loaded.n_trees == kept and boosting.predict(loaded, stop).agg(F.avg(F.abs("residual"))).first()[0] == pytest.approx(error)
+
+
+def test_stages_go_on_where_the_last_one_stopped(spark, tmp_path):
+    """Rounds after the first stage are fitted to its residuals, and none is fitted twice but in a stage that is cut."""
+    df = noisy(spark, tmp_path, 400)
+    fits = []
+    fit = boosting.GBTRegressor.fit
+
+    def counted(self, rows):
+        fits.append(self.getMaxIter())
+        return fit(self, rows)
+
+    spec = BoostSpec(n_trees=24, learning_rate=0.02, max_depth=2, patience=6)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(boosting.GBTRegressor, "fit", counted)
+        model = boosting.fit_boosted(df, spec=spec)
+    tried = len(model.errors)
+    assert tried <= spec.n_trees and fits[0] == 6 and sum(fits) - tried < max(fits) + 1
+    out = boosting.predict(model, df)
+    assert out.agg(F.avg(F.abs("residual"))).first()[0] < df.agg(F.avg(F.abs(F.col(TARGET) - 15))).first()[0]
+    nodes = boosting.tree_nodes(model, spark)
+    assert {r["stage"] for r in nodes.select("stage").distinct().collect()} == set(range(len(model.stages)))
+    walked = boosting.predict_from_nodes(nodes, model, df).select(KEY, TS, F.col("predicted").alias("walked"))
+    assert out.join(walked, [KEY, TS]).filter(F.abs(F.col("predicted") - F.col("walked")) > 1e-9).isEmpty()
+    per_stage = boosting.importance_from_nodes(nodes, model.inputs, ["stage"]).collect()
+    for i, stage in enumerate(model.stages):
+        shares = {r["feature"]: r["importance"] for r in per_stage if r["stage"] == i}
+        assert [shares[c] for c in model.inputs] == pytest.approx(list(stage.featureImportances.toArray()))
+
+
+def test_series_of_different_scale_are_both_fitted(spark, tmp_path):
+    """Without the level a shared model cannot tell the series apart: their inputs are alike."""
+    rng = random.Random(8)
+    rows = [(key, at(h), base * (1 + 0.2 * x) + rng.gauss(0, base / 100), x) for h in range(400) for key, base in (("small", 10.0), ("large", 1000.0)) for x in [rng.random()]]
+    df = spark.createDataFrame(rows, f"{KEY} string, {TS} timestamp_ntz, {TARGET} double, x double")
+    model, out = boosting.train_improved(df, spec=BoostSpec(n_trees=40, learning_rate=0.2, max_depth=4, min_child_rows=5))
+    later = out.filter("split = 'validation'").groupBy(KEY).agg(F.avg(F.abs("residual")).alias("mae"), F.avg("actual").alias("level")).collect()
+    assert len(later) == 2 and all(r["mae"] < 0.06 * r["level"] for r in later)
+    assert model.inputs[-1] == boosting.LEVEL
+    strange = df.filter(f"{KEY} = 'small'").limit(3).withColumn(KEY, F.lit("new"))
+    assert boosting.predict(model, strange).filter("predicted is null").isEmpty()
+
+
+def test_no_row_sees_its_own_outcome_in_its_level(spark):
+    rows = [("a", at(h), float(h), 1.0) for h in range(50)]
+    df = spark.createDataFrame(rows, f"{KEY} string, {TS} timestamp_ntz, {TARGET} double, x double")
+    row = boosting.series_levels(df).first()
+    fold = {r["f"]: r for r in df.groupBy(boosting._level_fold().alias("f")).agg(F.sum(TARGET).alias("s"), F.count("*").alias("n")).collect()}
+    assert row[boosting.LEVEL] == pytest.approx(24.5)
+    for f, r in fold.items():
+        assert row["_others"][f] == pytest.approx((1225.0 - r["s"]) / (50 - r["n"]))
+
+
+def test_unknown_inputs_have_no_walked_prediction(spark, table, outcomes):
+    model = outcomes["improved"].model
+    rows = table.na.drop("any").limit(50).withColumn("forecast_load", F.when(F.hour(TS) < 12, F.col("forecast_load")))
+    out = boosting.predict_from_nodes(boosting.tree_nodes(model, spark), model, rows)
+    assert out.count() == 50 and out.filter((F.hour(TS) < 12) == F.col("predicted").isNull()).isEmpty()
