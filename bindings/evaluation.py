@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
-from bindings.base import KEY, MODEL_LAG, P, PM, ROUNDED_SCORES, SCORES, predictions, query, r
+from bindings.base import KEY, MODEL_LAG, P, PM, ROUNDED_SCORES, SCORES, TYPES, predictions, query, r
+from bindings.features import DOUBLES, INTS, features_sql
+from bindings.models import BOOST, COMPLETE, JOB, stored_features
+from hourloom.config import DRIVERS
 from hourloom.operators import evaluation as ev
+from hourloom.operators.baseline import split_ratio
+from hourloom.plans.boosting import fit_boosted, missing_driver_stress, model_inputs
+from hourloom.plans.validation import run_validation as validate
 
 DOW = "(isodow(ts) - 1)"
 
@@ -133,24 +140,77 @@ def prediction_comparison(spark, sf_dir):
     return ev.prediction_comparison(predictions(spark, sf_dir), predictions(spark, sf_dir, MODEL_LAG))
 
 
-@query("stress_missing_driver")
-def stress_missing_driver(spark, sf_dir):
-    from bindings.models import BOOST, stored_features
-    from hourloom.operators.baseline import split_ratio
-    from hourloom.plans.boosting import fit_boosted, missing_driver_stress, model_inputs
+# --- the boosted model under stress ------------------------------------------------
+# SQL cannot repeat the fit: it states the scored rows, regimes, scenarios, medians and all numbers of the naive model.
+
+_SCENARIOS = {"baseline": "NULL", **{f"missing_{d}": f"quantile_cont({d}, 0.5)" for d in DRIVERS}}
+
+
+def _scenario_sql(source: str, columns: str) -> str:
+    """One row per series and scenario with the median that stands in for the driver."""
+    parts = [f"SELECT series_key, '{name}' AS scenario, count(*) AS n, CAST({median} AS DOUBLE) AS replaced_by FROM {source} GROUP BY 1" for name, median in _SCENARIOS.items()]
+    return f"SELECT series_key, {columns} FROM ({' UNION ALL '.join(parts)})"
 
+
+@query(
+    "stress_missing_driver",
+    f"""WITH {COMPLETE}, v AS (SELECT * FROM c WHERE split = 'validation')
+{_scenario_sql('v', f"scenario, n AS n_samples, {r('replaced_by')}, true AS ordered, CAST(CASE WHEN scenario = 'baseline' THEN 0.0 END AS DOUBLE) AS degradation_of_baseline")}""",
+)
+def stress_missing_driver(spark, sf_dir):
     rows = stored_features(spark, sf_dir)
     inputs = model_inputs(rows)
     parted = split_ratio(rows.na.drop("any"))
     model = fit_boosted(parted.filter("split = 'train'"), inputs=inputs, spec=BOOST)
-    return missing_driver_stress(model, parted.filter("split = 'validation'").drop("split"))
+    out = missing_driver_stress(model, parted.filter("split = 'validation'").drop("split"))
+    own = F.when(F.col("scenario") == "baseline", F.col("mae_degradation_pct")).alias("degradation_of_baseline")
+    return out.select(KEY, "scenario", "n_samples", "replaced_by", (F.col("rmse") >= F.col("mae")).alias("ordered"), own)
 
 
-@query("run_validation")
-def run_validation(spark, sf_dir):
-    from bindings.models import JOB, stored_features
-    from hourloom.plans.validation import run_validation as validate
+_NUMBERS = ("mae", "rmse", "smape", "r2")
+
+
+def _long(section: str, name: str, values: dict[str, str], source: str) -> str:
+    """Rows of the report: one per metric; what depends on the trees has no value in SQL."""
+    return " UNION ALL ".join(f"SELECT series_key, '{section}' AS section, {name} AS name, '{m}' AS metric, CAST({v} AS DOUBLE) AS value FROM {source}" for m, v in values.items())
+
 
-    return validate(stored_features(spark, sf_dir), JOB)
+_KNOWN = {m: m for m in (*_NUMBERS, "n_samples")}
+_TREES = {**dict.fromkeys(_NUMBERS, "NULL"), "n_samples": "n_samples"}
+_DEGRADED = {**_TREES, "replaced_by": "replaced_by", "mae_degradation_pct": "NULL"}
+_HOUR = "'hour_' || lpad(CAST(hour(ts) AS VARCHAR), 2, '0')"
+_REPORT = [
+    _long("overall", "'baseline'", _KNOWN, "s"),
+    _long("overall", "'improved'", _TREES, "s"),
+    _long("improvement", "'all'", {f"{n}_improvement_pct": "NULL" for n in ("mae", "rmse", "smape")}, "s"),
+    _long("hour_baseline", "bucket", _KNOWN, "hours"),
+    _long("hour_improved", "bucket", _TREES, "hours"),
+    _long("weekday_weekend", "regime", _TREES, "ends"),
+    _long("volatility", "regime", {**_TREES, "n_days": "n_days"}, "calm"),
+    _long("missing_driver", "scenario", _DEGRADED, "stress"),
+    _long("leakage", "'all'", {"issues": "0"}, "s"),
+]
 
 
+@query(
+    "run_validation",
+    f"""WITH {TYPES}, {features_sql('t')}, ready AS (SELECT * FROM f WHERE day_ahead_price IS NOT NULL),
+borders AS (SELECT series_key, max(ts) - INTERVAL {JOB.validation_days} DAY AS border FROM ready GROUP BY 1),
+v AS (SELECT ready.*, day_ahead_price AS actual, lag_168h_day_ahead_price AS predicted FROM ready JOIN borders USING (series_key)
+  WHERE ts >= border AND {' AND '.join(f'{c} IS NOT NULL' for c in (*INTS, *DOUBLES))}),
+s AS (SELECT series_key, {SCORES} FROM v GROUP BY 1),
+hours AS (SELECT series_key, {_HOUR} AS bucket, {SCORES} FROM v GROUP BY 1, 2),
+ends AS (SELECT series_key, CASE WHEN {DOW} >= 5 THEN 'weekend' ELSE 'weekday' END AS regime, count(*) AS n_samples FROM v GROUP BY 1, 2),
+days AS (SELECT series_key, CAST(ts AS DATE) AS day, count(*) AS n, stddev_samp(actual) AS std FROM v GROUP BY 1, 2),
+limits AS (SELECT series_key, quantile_cont(std, 0.75) AS top FROM days GROUP BY 1),
+calm AS (SELECT series_key, CASE WHEN std > top THEN 'high_volatility' ELSE 'low_volatility' END AS regime, sum(n) AS n_samples, count(*) AS n_days
+  FROM days JOIN limits USING (series_key) WHERE std IS NOT NULL GROUP BY 1, 2),
+stress AS ({_scenario_sql('v', 'scenario, n AS n_samples, replaced_by')}),
+rows AS ({" UNION ALL ".join(_REPORT)})
+SELECT series_key, section, name, metric, {r('value')} FROM rows""",
+)
+def run_validation(spark, sf_dir):
+    out = validate(stored_features(spark, sf_dir), JOB)
+    of_trees = (F.col("section").isin("hour_improved", "weekday_weekend", "volatility", "missing_driver") | ((F.col("section") == "overall") & (F.col("name") == "improved"))) & F.col("metric").isin(*_NUMBERS, "mae_degradation_pct")
+    hidden = of_trees | (F.col("section") == "improvement")
+    return out.withColumn("value", F.when(~hidden, F.col("value")))

@@ -6,9 +6,9 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from bindings.base import COSTS, KEY, MARGINAL, MARKETS, PM, RULES, TARGET, TS, VALUES, markets, predictions, query, r, table
+from bindings.base import COSTS, KEY, MARGINAL, MARKETS, PM, RULES, SCORES, TARGET, TS, VALUES, markets, predictions, query, r, table
 from bindings.features import DOUBLES, INTS, features_sql
-from bindings.models import JOB, stored_features
+from bindings.models import COMPLETE, JOB, stored_features
 from bindings.regularize import ZONE, grid_sql
 from bindings.signals import side_sql
 from bindings.tables import ffill_rows_sql
@@ -63,11 +63,39 @@ def job_prepare(spark, sf_dir):
     return jobs.prepare(raw, spec, fresh_folder(spark, "prepare"), "run1", fail_fast=False).features
 
 
-@query("job_eval")
+EVAL_FOLDS = FoldSpec(train_days=14, test_days=2, n_splits=3)
+
+
+def _hourly_folds_sql(source: str, spec: FoldSpec) -> str:
+    """Fold dates of hourly series over whole days; folds without train or test rows are dropped before numbering."""
+    day = "INTERVAL 1 DAY"
+    return f"""span AS (SELECT series_key, min(ts) AS a, max(ts) AS b, floor(epoch(max(ts) - min(ts)) / 86400) AS total FROM {source} GROUP BY 1),
+sized AS (SELECT *, least({spec.train_days}, floor(total / 2)) AS train FROM span),
+planned AS (SELECT *, i, a + CAST(i * greatest(floor((total - train - {spec.test_days}) / {spec.n_splits - 1}), {spec.test_days}) AS INTEGER) * {day} AS train_start
+  FROM sized, (SELECT unnest(range({spec.n_splits})) AS i)),
+dated AS (SELECT series_key, i, train_start, train_start + CAST(train AS INTEGER) * {day} AS test_start,
+  train_start + CAST(train + {spec.test_days} AS INTEGER) * {day} AS test_end, b FROM planned
+  WHERE train_start + CAST(train + {spec.test_days} AS INTEGER) * {day} <= b),
+folds AS (SELECT series_key, CAST(row_number() OVER (PARTITION BY series_key ORDER BY i) - 1 AS INTEGER) AS split, train_start, test_start, test_end FROM dated o
+  WHERE EXISTS (SELECT 1 FROM {source} x WHERE x.series_key = o.series_key AND x.ts >= train_start AND x.ts < test_start)
+    AND EXISTS (SELECT 1 FROM {source} x WHERE x.series_key = o.series_key AND x.ts >= test_start AND x.ts < test_end))"""
+
+
+@query(
+    "job_eval",
+    f"""WITH {COMPLETE}, {_hourly_folds_sql('f', EVAL_FOLDS)},
+tested AS (SELECT c.series_key, folds.split, day_ahead_price AS actual, lag_168h_day_ahead_price AS predicted FROM c JOIN folds ON c.series_key = folds.series_key AND ts >= test_start AND ts < test_end),
+learned AS (SELECT DISTINCT folds.split FROM c JOIN folds ON c.series_key = folds.series_key AND ts >= train_start AND ts < test_start),
+scores AS (SELECT series_key, split, {SCORES} FROM tested GROUP BY 1, 2),
+means AS (SELECT series_key, 'baseline' AS model, avg(mae) AS mae, avg(rmse) AS rmse, avg(smape) AS smape, avg(r2) AS r2, count(*) AS n_folds FROM scores GROUP BY 1
+  UNION ALL SELECT series_key, 'improved', NULL, NULL, NULL, NULL, count(*) FROM scores WHERE split IN (SELECT split FROM learned) GROUP BY 1)
+SELECT series_key, model, {r('mae', 'rmse', 'smape', 'r2')}, n_folds, true AS ordered FROM means""",
+)
 def job_eval(spark, sf_dir):
-    spec = replace(JOB, folds=FoldSpec(train_days=14, test_days=2, n_splits=3))
-    per_fold, means = training.run_eval(stored_features(spark, sf_dir), spec)
-    return means
+    spec = replace(JOB, folds=EVAL_FOLDS)
+    _, means = training.run_eval(stored_features(spark, sf_dir), spec)
+    naive = {m: F.when(F.col("model") == "baseline", F.col(m)) for m in ("mae", "rmse", "smape", "r2")}
+    return means.withColumn("ordered", F.col("rmse") >= F.col("mae")).withColumns(naive)
 
 
 JOB_COSTS = COSTS

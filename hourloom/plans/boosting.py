@@ -329,7 +329,7 @@ def load_model(path: str, spark: SparkSession) -> tuple[BoostedModel, dict]:
 
 
 def missing_driver_stress(model: BoostedModel, test: DataFrame, target: str = TARGET, drivers: Sequence[str] = DRIVERS) -> DataFrame:
-    """Metrics when one driver is replaced by its median, and the MAE change in percent.
+    """Metrics when one driver is replaced by its median (``replaced_by``), and the MAE change in percent.
 
     All scenarios are scored in one pass: each row appears once per scenario.
     """
@@ -340,11 +340,11 @@ def missing_driver_stress(model: BoostedModel, test: DataFrame, target: str = TA
     stats = medians.groupBy(KEY).agg(*[F.max(F.when(F.col("_driver") == d, F.col("value"))).alias(f"_m_{d}") for d in present])
     names = ["baseline", *[f"missing_{d}" for d in present]]
     wide = attach_summary(rows, stats).withColumn("scenario", F.explode(F.array(*[F.lit(n) for n in names])))
-    wide = wide.withColumns(
-        {d: F.when(F.col("scenario") == f"missing_{d}", F.col(f"_m_{d}")).otherwise(F.col(d)) for d in present}
-    ).drop(*[f"_m_{d}" for d in present])
-    scored = predict(model, wide, target, ["scenario"])
-    metrics = scored.groupBy(KEY, "scenario").agg(*score_columns(F.col("actual"), F.col("predicted")))
+    gone = {d: F.col("scenario") == f"missing_{d}" for d in present}
+    wide = wide.withColumn("_median", F.coalesce(F.lit(None).cast("double"), *[F.when(gone[d], F.col(f"_m_{d}")) for d in present]))
+    wide = wide.withColumns({d: F.when(gone[d], F.col("_median")).otherwise(F.col(d)) for d in present}).drop(*[f"_m_{d}" for d in present])
+    scored = predict(model, wide, target, ["scenario", "_median"])
+    metrics = scored.groupBy(KEY, "scenario").agg(*score_columns(F.col("actual"), F.col("predicted")), F.max("_median").alias("replaced_by"))
     # At most one row per scenario and series: the baseline is found inside the group.
     base = F.max(F.when(F.col("scenario") == "baseline", F.col("mae"))).over(Window.partitionBy(KEY))
     return metrics.withColumn("mae_degradation_pct", -improvement_pct(base, F.col("mae")))
