@@ -6,15 +6,18 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from bindings.base import COSTS, KEY, MARGINAL, MARKETS, PM, RULES, SCORES, TARGET, TS, VALUES, markets, predictions, query, r, table
+from bindings.base import COSTS, KEY, MARGINAL, MARKETS, PM, RULES, SCORES, TARGET, TS, TYPES, VALUES, by_type, markets, predictions, query, r, table
 from bindings.features import DOUBLES, INTS, features_sql
 from bindings.models import COMPLETE, JOB, stored_features
 from bindings.regularize import ZONE, grid_sql
 from bindings.signals import side_sql
 from bindings.tables import ffill_rows_sql
-from hourloom.config import FoldSpec, JobSpec
+from hourloom.config import FoldSpec, JobSpec, QualityLimits
 from hourloom.functions.clock import hour_start, plus_hours
 from hourloom.plans import jobs, training
+from hourloom.plans.ingest import Source, Span, newest_run, publish, published_table, run_ingest
+from hourloom.sources.files import SourceMissing
+from hourloom.sources.sinks import write_series
 from hourloom.sources.workspace import fresh_folder
 
 LOCAL_HOURS = 1  # the tables' month is winter time: local clock = UTC + 1 h
@@ -35,21 +38,52 @@ def normalize_series(spark, sf_dir):
     return jobs.normalize_prices(_price_events(spark, sf_dir), ZONE, "event_id")
 
 
-def _drivers(spark, sf_dir):
-    return markets(spark, sf_dir).select(KEY, TS, *VALUES[1:]).na.drop("all", subset=list(VALUES[1:]))
+SPAN = Span("2024-01-05", "2024-01-19", ZONE)
+IN_SPAN = "ts >= TIMESTAMP '2024-01-04 23:00:00' AND ts < TIMESTAMP '2024-01-19 23:00:00'"
+INGEST = JobSpec(limits=replace(QualityLimits(), critical_missing_pct=90.0))
+BROKEN = ("view", "click")  # series whose prices the cached run has lost
 
 
-_DRIVER_ROWS = f"v0 AS (SELECT series_key, ts, {', '.join(VALUES[1:])} FROM h WHERE coalesce({', '.join(VALUES[1:])}) IS NOT NULL)"
+def _typed(spark, sf_dir, *columns):
+    return by_type(spark, sf_dir).select(KEY, TS, *columns)
+
+
+def _cached_run(spark, sf_dir):
+    """A folder with one published run of prices and one that was never published."""
+    folder = fresh_folder(spark, "ingest")
+    lost = F.when(~F.col(KEY).isin(*BROKEN), F.col(TARGET) + 1).alias(TARGET)
+    prices = jobs.normalize_prices(_typed(spark, sf_dir, TARGET)).select(KEY, TS, lost)
+    write_series(prices, f"{folder}/prices", "r1")
+    publish(spark, folder, "r1", Span("2024-01-01", "2024-01-31"), ["prices"])
+    write_series(prices.withColumn(TARGET, F.lit(-1.0)), f"{folder}/prices", "r2")
+    return folder
 
 
 @query(
     "job_ingest",
-    f"""WITH {MARKETS}, h0 AS (SELECT series_key, ts, day_ahead_price FROM h WHERE day_ahead_price IS NOT NULL), {grid_sql('h0')}, {_DRIVER_ROWS}, {grid_sql('v0', 'v')}
-SELECT series_key, ts, {r(*VALUES)} FROM g FULL JOIN v USING (series_key, ts)""",
+    f"""WITH {TYPES}, p0 AS (SELECT series_key, ts, day_ahead_price FROM t), {grid_sql('p0', 'p')}, v0 AS (SELECT series_key, ts, {', '.join(VALUES[1:])} FROM t), {grid_sql('v0', 'v')},
+c AS (SELECT series_key, ts, CASE WHEN series_key NOT IN {BROKEN} THEN day_ahead_price + 1 END AS day_ahead_price FROM p WHERE {IN_SPAN}),
+good AS (SELECT series_key FROM c GROUP BY 1 HAVING 100.0 * count(*) FILTER (WHERE day_ahead_price IS NULL) / count(*) <= 90),
+l AS (SELECT * FROM p WHERE {IN_SPAN} AND series_key NOT IN (SELECT series_key FROM good)),
+fair AS (SELECT series_key FROM l GROUP BY 1 HAVING 100.0 * count(*) FILTER (WHERE day_ahead_price IS NULL) / count(*) <= 90),
+prices AS (SELECT *, 'cache' AS price_source FROM c WHERE series_key IN (SELECT series_key FROM good) UNION ALL SELECT *, 'local' FROM l WHERE series_key IN (SELECT series_key FROM fair)),
+dr AS (SELECT * FROM v WHERE {IN_SPAN}),
+drivers AS (SELECT * FROM dr WHERE series_key IN (SELECT series_key FROM dr GROUP BY 1 HAVING 100.0 * count(*) FILTER (WHERE forecast_load IS NULL) / count(*) <= 90))
+SELECT series_key, ts, {r(*VALUES)}, price_source, count(*) OVER () > 0 AS published FROM prices FULL JOIN drivers USING (series_key, ts)""",
 )
 def job_ingest(spark, sf_dir):
-    prices = markets(spark, sf_dir).select(KEY, TS, TARGET).na.drop()
-    return jobs.ingest(prices, _drivers(spark, sf_dir))
+    """Prices of three series come from the published run, of two from raw rows; drivers from the second reader."""
+    folder = _cached_run(spark, sf_dir)
+
+    def nothing():
+        raise SourceMissing("no payload has landed")
+
+    raw_prices = Source("local", lambda: _typed(spark, sf_dir, F.col(TARGET).alias("Price EUR")), raw=True)
+    raw_drivers = Source("local", lambda: _typed(spark, sf_dir, *VALUES[1:]), raw=True)
+    done = run_ingest(spark, folder, [raw_prices], [Source("landed", nothing), raw_drivers], SPAN, "r3", INGEST)
+    served = done.prices.select(KEY, TS, F.col("source").alias("price_source"))
+    again = published_table(spark, folder, "combined", span=SPAN)  # the newest published run, cut to the span
+    return again.join(served, [KEY, TS], "left").withColumn("published", F.lit(newest_run(spark, folder, "combined") == "r3"))
 
 
 @query(

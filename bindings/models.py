@@ -11,6 +11,7 @@ from hourloom.config import BoostSpec, FeatureSpec, JobSpec
 from hourloom.operators import baseline
 from hourloom.operators.features import build_features, lag_features, lag_name
 from hourloom.plans import boosting, training
+from hourloom.sources.files import SourceMissing
 from hourloom.sources.workspace import fresh_folder, settle
 
 LAGGED = """l AS (SELECT a.*, b.day_ahead_price AS lag FROM t a LEFT JOIN t b ON a.series_key = b.series_key AND b.ts = a.ts - INTERVAL 168 HOUR)"""
@@ -212,7 +213,15 @@ SELECT series_key, 'baseline' AS model, n_samples, {r('mae')}, true AS ordered,
 UNION ALL SELECT series_key, 'improved', n_samples, NULL, true, true FROM s""",
 )
 def run_training(spark, sf_dir):
-    outcomes = training.run_training(stored_features(spark, sf_dir), JOB)
+    cache, table = fresh_folder(spark, "features"), features(spark, sf_dir)
+    table.limit(0).write.parquet(f"{cache}/run_id=2024-01-01")  # an older run that must not be taken
+    table.write.parquet(f"{cache}/run_id=2024-02-01")
+
+    def no_local_files():
+        raise SourceMissing("no raw folder")
+
+    source, outcomes = training.train_from_files(spark, cache, no_local_files, JOB)
+    assert source == "cache"
     rows = settle(training.comparison(outcomes), "comparison")
     naive = F.when(F.col("model") == "baseline", F.col("mae")).alias("mae")
     mae = lambda name: F.max(F.when(F.col("model") == name, F.col("mae")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from hourloom.plans.boosting import (
     save_model,
     train_improved,
 )
+from hourloom.sources.files import load_features
 from hourloom.sources.sinks import write_csv, write_json, write_metrics
 from hourloom.sources.workspace import settle
 
@@ -73,6 +75,18 @@ def run_training(features: DataFrame, spec: JobSpec = JobSpec(), which: str = "b
     return out
 
 
+def train_from_files(
+    spark: SparkSession, cache: str, local: Callable[[], DataFrame] | None = None, spec: JobSpec = JobSpec(), which: str = "both", target: str = TARGET, step: str = "hour"
+) -> tuple[str, dict[str, Outcome]]:
+    """Train on the local feature table if its files are there, else on the newest cached run; the name of the source comes along.
+
+    Raises ``SourceMissing`` where there is neither. The table is written once: models read it many times.
+    """
+    name, features = load_features(spark, local, cache, target)
+    known = features.drop("run_id", "source")
+    return name, run_training(settle(known, "features") if name == "local" else known, spec, which, target, step)
+
+
 def comparison(outcomes: dict[str, Outcome]) -> DataFrame:
     """Both models on the stamps both have predicted in the validation split, one row per series and model."""
     done = {k: o for k, o in outcomes.items() if o.success}
