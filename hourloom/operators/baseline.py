@@ -13,9 +13,10 @@ from hourloom.functions.scores import score_columns
 from hourloom.operators.features import lag_features, lag_name
 from hourloom.operators.pieces import PIECE, SLOT, attach_summary, number_rows
 from hourloom.operators.tables import drop_null_any
-from hourloom.sources.workspace import settle
+from hourloom.sources.workspace import settle_counted
 
 METRICS = ("mae", "rmse", "smape", "r2")
+FOLD_BOUNDS = ("train_start", "train_end", "test_start", "test_end")
 
 
 # --- naive forecast ----------------------------------------------------------
@@ -74,10 +75,18 @@ def split_last_days(df: DataFrame, days: int = 30) -> DataFrame:
 
 def planned_folds(df: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
     """Fold bounds per series from its first and last stamp; short series get one 80/20 row split."""
+    return _planned(df, *_bounds(df, spec), spec)
+
+
+def _bounds(df: DataFrame, spec: FoldSpec) -> tuple[DataFrame, int]:
+    """First and last stamp of every series with the days to train on and those left over; and how many series are short."""
     bounds = df.groupBy(KEY).agg(F.min(TS).alias("first"), F.max(TS).alias("last"))
     total = F.floor((micros("last") - micros("first")) / DAY_MICROS)
     sized = bounds.withColumn("total", total).withColumn("train", F.least(F.lit(spec.train_days), F.floor(F.col("total") / 2)))
-    sized = settle(sized.withColumn("free", F.col("total") - F.col("train") - spec.test_days), "bounds")
+    return settle_counted(sized.withColumn("free", F.col("total") - F.col("train") - spec.test_days), "bounds", F.col("free") <= 0)
+
+
+def _planned(df: DataFrame, sized: DataFrame, n_short: int, spec: FoldSpec) -> DataFrame:
     step = F.col("free")
     if spec.n_splits > 1:
         step = F.greatest(F.floor(F.col("free") / (spec.n_splits - 1)), F.lit(spec.test_days))
@@ -90,11 +99,10 @@ def planned_folds(df: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
         .withColumn("test_end", plus_days(F.col("test_start"), spec.test_days))
         .filter("test_end <= last")
     )
-    columns = [KEY, "plan", "train_start", "train_end", "test_start", "test_end"]
-    short = sized.filter("free <= 0")
-    if short.isEmpty():
+    columns = [KEY, "plan", *FOLD_BOUNDS]
+    if not n_short:
         return rolled.select(columns)
-    return rolled.select(columns).unionByName(_row_split(df, short).select(columns))
+    return rolled.select(columns).unionByName(_row_split(df, sized.filter("free <= 0")).select(columns))
 
 
 def _row_split(df: DataFrame, short: DataFrame) -> DataFrame:
@@ -131,18 +139,40 @@ def assign_folds(df: DataFrame, folds: DataFrame, label: str = "split") -> DataF
     )
 
 
+def _fold_sizes(df: DataFrame, sized: DataFrame, planned: DataFrame) -> DataFrame:
+    """``series_key, plan, train_rows, test_rows`` from running totals, without a row being copied into its folds.
+
+    Folds begin and end whole days after the first stamp, so rows are counted by such days once, and a fold's size is the
+    difference of two totals. Bounds off those days (of a short series' row split) are counted at their own instant.
+    """
+    first = sized.select(KEY, F.col("first").alias("_first"))
+    since = lambda c: micros(c) - micros("_first")
+    edges = planned.select(KEY, "plan", F.inline(F.array(*[F.struct(F.lit(c).alias("bound"), F.col(c).alias("at")) for c in FOLD_BOUNDS])))
+    edges = attach_summary(edges, first).select(KEY, "plan", "bound", since("at").alias("since"))
+    odd = edges.filter(F.col("since") % DAY_MICROS != 0).groupBy(KEY).agg(F.array_sort(F.collect_set("since")).alias("_odd"))  # of short series
+    rows = attach_summary(df.select(KEY, TS), first).join(odd, KEY, "left").select(KEY, since(TS).alias("since"), "_odd")
+    day = F.floor(F.col("since") / DAY_MICROS) * DAY_MICROS
+    cut = F.array_max(F.filter("_odd", lambda o: (o <= F.col("since")) & (o > day)))
+    counts = rows.groupBy(KEY, F.coalesce(cut, day).cast("long").alias("since")).agg(F.count("*").alias("n"))
+    # a series' days and bounds in one short list; a bound comes before the rows of its instant
+    both = counts.select(KEY, "since", "n", F.lit(None).cast("int").alias("plan"), F.lit(None).cast("string").alias("bound")).unionByName(
+        edges.select(KEY, F.col("since").cast("long"), F.lit(0).cast("long").alias("n"), F.col("plan").cast("int"), "bound")
+    )
+    order = Window.partitionBy(KEY).orderBy("since", F.col("plan").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    totals = both.withColumn("total", F.sum("n").over(order)).filter("plan is not null").groupBy(KEY, "plan")
+    at = lambda name: F.max(F.when(F.col("bound") == name, F.col("total")))
+    return totals.agg((at("train_end") - at("train_start")).alias("train_rows"), (at("test_end") - at("test_start")).alias("test_rows"))
+
+
 def cv_folds(df: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
     """Folds that have both train and test rows, numbered from 0, with their row counts."""
-    planned = planned_folds(df, spec)
-    counts = assign_folds(df.select(KEY, TS), planned, "plan").groupBy(KEY, "plan").agg(
-        F.count(F.when(F.col("role") == "train", 1)).alias("train_rows"),
-        F.count(F.when(F.col("role") == "test", 1)).alias("test_rows"),
-    )
-    full = planned.join(counts.filter("train_rows > 0 and test_rows > 0"), [KEY, "plan"])
+    sized, n_short = _bounds(df, spec)
+    planned = _planned(df, sized, n_short, spec)
+    sizes = _fold_sizes(df, sized, planned)
+    full = planned.join(sizes.filter("train_rows > 0 and test_rows > 0"), [KEY, "plan"])
     number = F.row_number().over(Window.partitionBy(KEY).orderBy("plan")) - 1
-    bounds = ("train_start", "train_end", "test_start", "test_end")
-    folds = settle(full.select(KEY, number.alias("split"), *bounds, "train_rows", "test_rows"), "folds")
-    if folds.isEmpty():
+    folds, n = settle_counted(full.select(KEY, number.alias("split"), *FOLD_BOUNDS, "train_rows", "test_rows"), "folds")
+    if not n:
         raise ValueError("no fold has both train and test rows")
     return folds
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,6 +34,13 @@ def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_counted(df: DataFrame, name: str, where: Column | None = None) -> tuple[DataFrame, int]:
+    """``settle``, and the number of rows (for which ``where`` holds), observed while they are written: no further job."""
+    seen = Observation()
+    rows = settle(df.observe(seen, F.count(F.lit(1) if where is None else F.when(where, 1)).alias("n")), name)
+    return rows, seen.get["n"]
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Iterative fits checkpoint to the shared folder; set it where the session has none."""
     if spark.sparkContext.getCheckpointDir() is None:

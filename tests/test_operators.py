@@ -1,5 +1,6 @@
 """Operators on small literal series."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -211,6 +212,19 @@ def test_folds_fall_back_to_one_row_split(spark):
     assert len(folds) == 1 and (folds[0]["train_rows"], folds[0]["test_rows"]) == (8, 2)
 
 
+def test_fold_sizes_equal_counted_rows(spark):
+    """Many series, odd first stamps, missing days, a short series beside long ones."""
+    rng = random.Random(4)
+    rows = [(key, datetime(2024, 1, 1, begin, 30) + timedelta(hours=h), 1.0) for key, begin, hours in (("a", 5, 2400), ("b", 23, 900), ("short", 2, 60)) for h in range(0, hours, 3) if rng.random() < 0.6]
+    df = spark.createDataFrame(rows, f"{KEY} string, {TS} timestamp_ntz, x double")
+    folds = baseline.cv_folds(df, FoldSpec(train_days=20, test_days=3, gap_days=2, n_splits=6)).collect()
+    assert {f[KEY] for f in folds} == {"a", "b", "short"}
+    for f in folds:
+        mine = [t for k, t, _ in rows if k == f[KEY]]
+        assert f["train_rows"] == sum(f["train_start"] <= t < f["train_end"] for t in mine)
+        assert f["test_rows"] == sum(f["test_start"] <= t < f["test_end"] for t in mine)
+
+
 def test_fold_gap_and_empty_folds(spark):
     sparse = series(spark, [(24 * d, float(d)) for d in range(200) if not 120 <= d < 160], [TARGET])
     folds = baseline.cv_folds(sparse, FoldSpec(train_days=30, test_days=7, gap_days=2, n_splits=10)).orderBy("split").collect()
