@@ -15,6 +15,7 @@ from hourloom.operators.tables import outer_join_sources, time_range
 from hourloom.plans.jobs import normalize_drivers, normalize_prices
 from hourloom.sources.files import SourceMissing, first_acceptable, read_cached
 from hourloom.sources.sinks import write_json, write_series
+from hourloom.sources.workspace import work_scope
 
 log = logging.getLogger(__name__)
 
@@ -146,7 +147,8 @@ def run_ingest(
     """Choose a source for both tables, join them on every stamp either has, write all three and publish the run.
 
     Sources are tried in the order given, after the published runs of ``folder`` that cover the span (unless ``refresh``)
-    and before its newest run of any range. Raw rows are normalised to UTC hours first. Tables are read back from what was written.
+    and before its newest run of any range. Raw rows are normalised to UTC hours first. Tables are read back from what was written;
+    no work table outlives the job.
     """
     limit, names = spec.limits.critical_missing_pct, spec.features.drivers
     ahead = (lambda t: []) if refresh else (lambda t: [cached(spark, folder, t, span)])
@@ -154,16 +156,17 @@ def run_ingest(
     def chosen(table: str, given: Sequence[Source], normalize, critical: str) -> DataFrame:
         return resolve([*ahead(table), *given, stale(spark, folder, table)], normalize, span, critical, limit)
 
-    parts = {
-        "prices": chosen("prices", prices, lambda df: normalize_prices(df, target=spec.features.target), spec.features.target),
-        "drivers": chosen("drivers", drivers, lambda df: normalize_drivers(df, drivers=names), names[0]),
+    given = {
+        "prices": (prices, lambda df: normalize_prices(df, target=spec.features.target), spec.features.target),
+        "drivers": (drivers, lambda df: normalize_drivers(df, drivers=names), names[0]),
     }
     written = {}
-    for table, rows in parts.items():
-        written[table] = _stored(spark, rows, folder, table, run_id)
-    joined = outer_join_sources([written[t].drop("source") for t in ("prices", "drivers")])
-    written["combined"] = _stored(spark, joined, folder, "combined", run_id)
-    publish(spark, folder, run_id, span, TABLES)
+    with work_scope():
+        for table, parts in given.items():
+            written[table] = _stored(spark, chosen(table, *parts), folder, table, run_id)
+        joined = outer_join_sources([written[t].drop("source") for t in ("prices", "drivers")])
+        written["combined"] = _stored(spark, joined, folder, "combined", run_id)
+        publish(spark, folder, run_id, span, TABLES)
     return Ingested(run_id, **written)
 
 

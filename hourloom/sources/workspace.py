@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from pathlib import Path
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; without it, in local mode alone, a folder of the warehouse."""
@@ -20,7 +31,37 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared root that no other run uses, grouped by application for later removal."""
-    return f"{shared_root(spark)}/hourloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/hourloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if (owned := _owned.get()) is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def work_scope() -> Iterator[list[str]]:
+    """Own the work folders made inside and remove them at the end, also after a failure.
+
+    For jobs whose results are read back from tables of their own: nothing that is used later may depend on a folder of the
+    scope. Scopes nest; an inner one owns its folders alone.
+    """
+    owned: list[str] = []
+    token = _owned.set(owned)
+    try:
+        yield owned
+    finally:
+        _owned.reset(token)
+        for path in owned:
+            remove_folder(path)
+
+
+def remove_folder(path: str) -> None:
+    """Delete a folder if it is there, on any store that Arrow knows; elsewhere it stays, with a warning."""
+    try:
+        store, inner = fs.FileSystem.from_uri(path if "://" in path else Path(path.removeprefix("file:")).absolute().as_uri())
+        if store.get_file_info(inner).type == fs.FileType.Directory:
+            store.delete_dir(inner)
+    except (pa.ArrowException, OSError) as problem:
+        log.warning("work folder %s stays: %s", path, problem)
 
 
 def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

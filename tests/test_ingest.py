@@ -1,5 +1,7 @@
 """The ingest job: which source serves, what is written, when a run counts."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from hourloom.config import DRIVERS, KEY, TARGET, TS, JobSpec, QualityLimits
 from hourloom.plans import ingest
 from hourloom.plans.ingest import Source, Span
 from hourloom.sources.files import SourceMissing
+from hourloom.sources.workspace import remove_folder, settle, shared_root, work_scope
 from tests.helpers import series
 
 SPAN = Span("2024-01-01", "2024-01-02")
@@ -76,3 +79,30 @@ def test_nothing_acceptable(spark, tmp_path):
         run(spark, tmp_path, [Source("local", lambda: prices(spark, 1.0, missing=range(48)), raw=True)])
     with pytest.raises(SourceMissing):
         ingest.newest_run(spark, str(tmp_path), "prices")
+
+
+def _work_folders(spark):
+    root = Path(shared_root(spark)) / "hourloom"
+    return {p for p in root.glob("*/*") if p.is_dir()}
+
+
+def test_no_work_table_outlives_the_job(spark, tmp_path):
+    before = _work_folders(spark)
+    done = run(spark, tmp_path, [Source("local", lambda: prices(spark, 10.0), raw=True)])
+    assert _work_folders(spark) == before and done.combined.count() == 48
+    with pytest.raises(SourceMissing):
+        run(spark, tmp_path / "other", [Source("local", lambda: prices(spark, 1.0, missing=range(48)), raw=True)])
+    assert _work_folders(spark) == before
+
+
+def test_scopes_own_what_is_made_inside(spark):
+    kept = settle(spark.range(3).toDF("x"), "kept")
+    with work_scope() as outer:
+        settle(spark.range(3).toDF("x"), "outer")
+        with work_scope() as inner:
+            mine = settle(spark.range(4).toDF("x"), "inner")
+            assert mine.count() == 4 and len(inner) == 1
+        assert len(outer) == 1 and not Path(inner[0]).exists() and Path(outer[0]).exists()
+    assert not Path(outer[0]).exists() and kept.count() == 3
+    remove_folder(outer[0])
+    remove_folder("nosuchstore://somewhere/x")
