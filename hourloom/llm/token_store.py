@@ -8,6 +8,7 @@ rows by index. Reading is parallel by stripe.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -35,11 +36,30 @@ class TokenSpec:
     compression: str = "zstd"
 
 
-# Fixed value: the ASCII part of the pattern by which the tokenizer cuts lower-cased text.
+# How the tokenizer that words can be encoded one by one for prepares and cuts a text, as its file says.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _PIECES}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# The ASCII part of that pattern, for lower-cased text.
 _ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
 _CLOSING = b".,;:!?*#$%&|"
 
 
+def goes_by_words(model: dict) -> bool:
+    """Whether words between ASCII white space may be encoded one by one: the file prepares and cuts texts as above, and its special tokens begin with ``<|``."""
+    marked = all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["normalized"] or t["single_word"]) for t in model.get("added_tokens") or [])
+    kind = model["model"]
+    whole = kind.get("type") == "BPE" and kind.get("end_of_word_suffix") == "</w>" and not kind.get("dropout")
+    plain = model.get("post_processor") is None and model.get("truncation") is None and model.get("padding") is None
+    return marked and whole and plain and model.get("normalizer") == _NORMALIZER and model.get("pre_tokenizer") == _PRE_TOKENIZER
+
+
 def _cut(word: bytes) -> list[bytes]:
     if b"<|" in word:
         return [word]
@@ -56,7 +76,7 @@ class _Encoder:
 
     ASCII texts are lower-cased and cut where the tokenizer's own pattern cuts them, words of other texts so if they are
     ASCII, else where punctuation follows a letter. Pieces and words repeat, so each is encoded once while it
-    is remembered; words that may hold a special token go to the library whole.
+    is remembered; words that may hold a special token go to the library whole. So do all texts of any other tokenizer. So do the texts of any other tokenizer.
     """
 
     _loaded: dict[int, _Encoder] = {}
@@ -65,6 +85,7 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.known, self.pieces = Tokenizer.from_str(model), limit, {}, {}
+        self.by_words = goes_by_words(json.loads(model))
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -93,6 +114,9 @@ class _Encoder:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        if not self.by_words:
+            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            return [array("i", x.ids).tobytes() for x in found]
         for memory in (self.known, self.pieces):
             if len(memory) > self.limit:
                 memory.clear()

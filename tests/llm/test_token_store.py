@@ -1,11 +1,13 @@
+import json
 import random
 import struct
 import uuid
 import zlib
+from pathlib import Path
 
 import public_tokenizers
 import pyarrow.orc
-from hourloom.llm.token_store import TokenSpec, read_tokens, token_report, write_tokens
+from hourloom.llm.token_store import TokenSpec, goes_by_words, read_tokens, token_report, write_tokens
 from tokenizers import Tokenizer
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -54,3 +56,30 @@ def test_null_ids_repeated_rows_and_empty_table(spark, tmp_path):
     assert [r.n_tokens for r in sorted(got, key=lambda r: r.start)][:2] == [2, 2]
     write_tokens(frame.limit(0), f"{tmp_path}/b", MODEL)
     assert token_report(read_tokens(spark, f"{tmp_path}/b")).count() == 0
+
+
+def test_any_other_tokenizer_gets_whole_texts(spark, tmp_path):
+    """A file that cuts texts otherwise has its own ids, not those of the words one by one."""
+    model = json.loads(Path(MODEL).read_text())
+    assert goes_by_words(model)
+    model["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}
+    model["normalizer"] = None
+    assert not goes_by_words(model)
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(model))
+    rows = [r for r in corpus()[:60]]
+    write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_path}/o", str(other))
+    library = Tokenizer.from_file(str(other))
+    got = {r.doc_id: r.ids for r in read_tokens(spark, f"{tmp_path}/o").collect()}
+    assert got == {i: [*library.encode(t or "", add_special_tokens=False).ids, 1] for i, t in rows}
+
+
+def test_a_very_long_text(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(1, " ".join(rng.choice(["Word", "it's", "naïve", "10,5", "<|x", "q" * 30]) for _ in range(500_000))), (2, "short"), (3, None)]
+    write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_path}/l", MODEL)
+    library = Tokenizer.from_file(MODEL)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_report(read_tokens(spark, f"{tmp_path}/l")).collect()}
+    for i, t in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
+        assert got[i] == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
