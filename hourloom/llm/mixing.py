@@ -160,12 +160,14 @@ def mix_report(docs: DataFrame, spec: MixSpec | None = None, id_column: str = "d
     """``(id_column, size, source_size, target, taken)`` for every row of ``docs``; reruns agree.
 
     Null and empty texts have size 0 and nothing is taken of them. A null source is a source of its own, the
-    last one. Rows that are equal in id and text are interchangeable: which of them has which share is open.
+    last one. Rows that are equal in id and text are interchangeable: which of them has which share is open. Other
+    columns are not read, and an empty table has no rows.
     """
     spec = spec or MixSpec()
-    rows = settle(_sized(docs, spec, id_column, source, text).select(F.col(id_column), "_size", "_source", "_place"), "sizes")
+    inner = docs.select(F.col(id_column).alias("c0"), F.col(source).alias("c1"), F.col(text).alias("c2"))
+    rows = settle(_sized(inner, spec, "c0", "c1", "c2").select("c0", "_size", "_source", "_place"), "sizes")
     plan, shards = quotas(rows, spec)
-    return _placed(rows, plan, shards, id_column).select(id_column, F.col("_size").alias("size"), "source_size", "target", "taken")
+    return _placed(rows, plan, shards, "c0").select(F.col("c0").alias(id_column), F.col("_size").alias("size"), "source_size", "target", "taken")
 
 
 def mix(docs: DataFrame, spec: MixSpec | None = None, id_column: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:

@@ -107,20 +107,26 @@ def rule_keys(host: Column, path: Column, shapes: Sequence[tuple[int, int]]) ->
     return F.transform(F.sort_array(joined, asc=False), lambda x: x.key)
 
 
+RESULTS = ("_host", "_path", "_rule", "_verdict")
+
+
 def filter_urls(pages: DataFrame, rules: DataFrame, listed_hosts: DataFrame, spec: CascadeSpec | None = None, url: str = "url") -> DataFrame:
-    """``pages`` with _host, _path, _rule and _verdict.
+    """``pages`` with _host, _path, _rule and _verdict, which replace columns of these names; all others stay as they are.
 
     ``rules``: host, path, verdict (allow or block); a rule fits its host and all subdomains where the url's path starts
     with the rule's, and the longest fitting rule decides. Urls without a rule are blocked if their host is one
     of ``listed_hosts`` (a column ``key``), else allowed. Null urls and urls without ``://`` have an empty host and path
     and are allowed unless the empty host is listed. Of a rule given as both, block counts.
+    Repeated rows stay and get the same answer.
     """
+    given = [c for c in pages.columns if c not in RESULTS]
+    pages = pages.select(F.col(url).alias("url"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(given)))
     spec = spec or CascadeSpec()
     rules = rules.select(F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").filter("host is not null")
     shapes = [(r.n, r.q) for r in rules.select(F.size(F.split("host", r"\.")).alias("n"), F.length("path").alias("q")).distinct().limit(spec.max_shapes + 1).collect()]
     if len(shapes) > spec.max_shapes:
         raise ValueError(f"rules have more than {spec.max_shapes} forms")
-    located = pages.withColumns({"_host": host_of(F.col(url)), "_path": path_of(F.col(url))})
+    located = pages.withColumns({"_host": host_of(F.col("url")), "_path": path_of(F.col("url"))})
     keys = rule_keys(F.col("_host"), F.col("_path"), shapes) if shapes else F.array().cast("array<string>")
     universe = settle(located.select("_host", "_path").distinct().select(F.explode(keys).alias("key")).distinct(), "keys")
     known = {v: Cascade(universe, rules.filter(F.col("verdict") == v).select(F.concat("host", "path").alias("key")), spec) for v in ("block", "allow")}
@@ -130,7 +136,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed_hosts: DataFrame, spe
     by_rule = F.when(known["block"].contains(F.col("_rule")), "block").otherwise("allow")
     by_host = F.when(hosts.contains(F.col("_host")), "block").otherwise("allow")
     out = located.withColumn("_keys", keys).withColumn("_fitting", fitting).withColumn("_rule", rule)
-    return out.withColumn("_verdict", F.when(F.col("_rule").isNotNull(), by_rule).otherwise(by_host)).drop("_keys", "_fitting")
+    out = out.withColumn("_verdict", F.when(F.col("_rule").isNotNull(), by_rule).otherwise(by_host))
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(given)), *RESULTS)
 
 
 def hosts_with_words(pages: DataFrame, words: Sequence[str], url: str = "url") -> DataFrame:

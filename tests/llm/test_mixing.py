@@ -82,3 +82,12 @@ def test_empty_table(spark):
     assert mix_report(frame).count() == 0
     assert mix(frame).count() == 0
     assert mix_report(spark.createDataFrame([(1, None, None)], frame.schema)).collect()[0].taken == 0
+
+
+def test_columns_with_clashing_names(spark):
+    rows = [(i, f"s{i % 3}", "word " * (i + 1), 1.5, "x", i, 2) for i in range(20)]
+    plain = spark.createDataFrame([r[:3] for r in rows], "doc_id long, source string, text string")
+    named = spark.createDataFrame(rows, "doc_id long, source string, text string, _size double, _source string, _place int, c0 int")
+    got, want = (sorted(map(str, mix_report(x).collect())) for x in (named, plain))
+    assert got == want
+    assert {(r["_size"], r["_source"], r["c0"]) for r in mix(named).collect()} <= {(1.5, "x", 2)}

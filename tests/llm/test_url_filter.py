@@ -51,3 +51,12 @@ def test_empty_inputs(spark):
     some = spark.createDataFrame([(1, "http://a.net/es/")], none.schema)
     row = filter_urls(some, rule_table(spark, []), hosts_with_words(some, ["spam"])).first()
     assert (row._host, row._rule, row._verdict) == ("a.net", None, "allow")
+
+
+def test_columns_with_clashing_names_stay(spark):
+    rows = [(1, "http://a.com/x", "k", 2, "h"), (1, "http://a.com/x", "k", 2, "h"), (2, None, "l", 3, "i")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, _keys string, _fitting int, _host string")
+    rules = rule_table(spark, [("block", "com", "/")])
+    out = filter_urls(pages, rules, spark.createDataFrame([], "key string"))
+    got = sorted((r["page_id"], r["_keys"], r["_fitting"], r["_host"], r["_verdict"]) for r in out.collect())
+    assert got == [(1, "k", 2, "a.com", "block")] * 2 + [(2, "l", 3, "", "allow")]
