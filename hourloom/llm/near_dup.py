@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from hourloom.llm.graph import connected_components
 from hourloom.llm.textbytes import TextSlice, mixed, owners, text_slices, windows
+from hourloom.llm.workers import records_per_batch
 from hourloom.sources.workspace import settle
 
 _U = np.uint64
@@ -303,6 +304,11 @@ def _key(id_column: str, text: str) -> Column:
 
 def _verdicts(docs: DataFrame, spec: NearSpec, id_column: str, text: str) -> DataFrame:
     """``(id, hash, n_shingles, h1, h2, component)`` for every row: the key, a hash of its text and of its set."""
+    with records_per_batch(docs.sparkSession, 512):  # a row holds a text, or the whole sets of a pair
+        return _classified(docs, spec, id_column, text)
+
+
+def _classified(docs: DataFrame, spec: NearSpec, id_column: str, text: str) -> DataFrame:
     texts = docs.select(_key(id_column, text).alias("id"), F.col(text).alias("text"))
     hashed = texts.select("id", "text", F.xxhash64("text").alias("hash"))
     sketch = settle(hashed.mapInArrow(lambda x: _sketches(x, spec), "id long, hash long, n_shingles long, h1 long, h2 long, sig binary"), "sketches")
@@ -344,8 +350,9 @@ def drop_near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_colum
     by_set = ["id", "h1", "h2", F.when(F.col("n_shingles") == 0, F.col("hash"))]
     pairs = pairs.withColumn("first", F.min("hash").over(Window.partitionBy(*by_set)))
     pairs = settle(pairs.select("id", "hash", "n", ((F.col("id") == F.col("component")) & (F.col("hash") == F.col("first"))).alias("kept")), "kept")
-    marked = docs.withColumns({"_key": _key(id_column, text), "_hash": F.xxhash64(text)})
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    marked = docs.select(*(F.col(c).alias(a) for c, a in own.items()), _key(id_column, text).alias("_key"), F.xxhash64(text).alias("_hash"))
     found = lambda which: pairs.filter(which).select(F.col("id").alias("_key"), F.col("hash").alias("_hash"))
     single = marked.join(found("not kept or n > 1"), ["_key", "_hash"], "left_anti")
     again = marked.join(found("kept and n > 1"), ["_key", "_hash"], "left_semi").dropDuplicates(["_key", "_hash"])
-    return single.unionByName(again).select(*docs.columns)
+    return single.unionByName(again).select(*(F.col(a).alias(c) for c, a in own.items()))

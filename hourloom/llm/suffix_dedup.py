@@ -33,6 +33,7 @@ from hourloom.sources.workspace import settle
 
 _U = np.uint64
 _LAST = (1 << 63) - 1
+BLOCK_BYTES = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -133,7 +134,7 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     context = TaskContext.get()
     block = (context.partitionId() if context else 0) << 32
     for batch in batches:
-        for s in text_slices(batch.column(0)):
+        for s in text_slices(batch.column(0), BLOCK_BYTES):
             rows = batch.slice(s.first, len(s))
             body = _pack(dict(zip(rows.schema.names, rows.columns, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([len(s.data)]), pa.array([body], pa.binary())], names=["block", "raw", "body"])

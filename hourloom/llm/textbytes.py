@@ -1,4 +1,4 @@
-"""Vectorised views of Arrow text: words, hashes and counts per document, a few megabytes at a time."""
+"""Vectorised views of Arrow text: words, hashes and counts per document, about a megabyte at a time."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -100,3 +100,10 @@ def test_one_row_of_each_class_stays(spark):
     got = sorted(((r.doc_id, r.text.lower()) for r in drop_near_duplicates(frame).collect()), key=str)
     assert got == sorted([(3, words("a")), (5, words("u")), (5, words("x")), (None, words("n")), (8, ""), (9, "")], key=str)
     assert drop_near_duplicates(frame.limit(0)).isEmpty()
+
+
+def test_columns_with_clashing_names_stay(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text, 7.5, "h", 3), (2, text, 8.5, "i", 4), (3, "something else entirely that is long enough to be kept", 9.5, "j", 5)]
+    out = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, _key double, _hash string, c0 int"))
+    assert sorted(tuple(r) for r in out.collect()) == [rows[0], rows[2]]
