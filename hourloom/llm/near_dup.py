@@ -10,11 +10,10 @@
    coordinates, and confirm those pairs. Groups of copies collapse here with a number of pairs that grows
    with their size, not its square.
 4. Lists that still hold several components get a centre, their member with most links, and every member its
-   exact difference from it. Two members share at most what the lesser of them shares with the centre plus
-   what both have beyond it, so pairs are sought among members whose sizes allow a link without more, and
-   by an inverted join over the rarest shingles beyond the centre. Members of a large group of copies that are not
-   linked with it are told so by their few own shingles, not by a comparison with each copy. No list is cut
-   and no pair that can be linked is dropped.
+   delta, the shingles that it and the centre do not share. Members close enough to the list's hub are linked with
+   it by the sizes of their deltas alone. For all others pairs are sought by an inverted join over the rarest items of
+   their deltas, of which two linked sets share more the farther they are from the centre: members that only differ
+   from the centre, each in its own way, meet nobody. No list is cut and no pair that can be linked is dropped.
 5. Pairs with too few equal coordinates in the whole signature (a chance of 1e-7 for a linked pair) are
    dropped; the rest is confirmed by intersecting whole sets.
 """
@@ -192,21 +191,20 @@ class _Confirmer:
         return self._with_sets(pairs.select("a", "b")).select("a", "b", "items_a", "items_b").mapInArrow(linked, "a long, b long").distinct()
 
     def differences(self, members: DataFrame) -> DataFrame:
-        """For rows ``(a, b, part, core)`` of a centre a and a member b: b's size n, the number ``common`` it shares with a, and its ``extras``."""
+        """For rows ``(a, b, part, core)`` of a centre a and a member b: b's size n, and the ``delta`` items of ``s`` that one of both has alone."""
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sizes, common, extras = [], [], []
+                sizes, deltas = [], []
                 for x, y in zip(batch.column(4), batch.column(5), strict=True):
                     p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                    own = q[np.isin(q, p, assume_unique=True, invert=True)]
-                    sizes.append((len(p), len(q)))
-                    common.append(len(q) - len(own))
-                    extras.append(own.tobytes())
-                columns = [*batch.columns[:4], pa.array([x for x, _ in sizes], pa.int64()), pa.array([y for _, y in sizes], pa.int64()), pa.array(common, pa.int64()), pa.array(extras, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "part", "core", "size_a", "n", "common", "extras"])
-
-        schema = "a long, b long, part long, core long, size_a long, n long, common long, extras binary"
+                    delta = np.setxor1d(p, q, assume_unique=True)
+                    sizes.append((len(q), len(delta)))
+                    deltas.append(delta.tobytes())
+                columns = [*batch.columns[:4], pa.array([x for x, _ in sizes], pa.int64()), pa.array([y for _, y in sizes], pa.int64()), pa.array(deltas, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "part", "core", "n", "s", "delta"])
+
+        schema = "a long, b long, part long, core long, n long, s long, delta binary"
         return self._with_sets(members).select("a", "b", "part", "core", "items_a", "items_b").mapInArrow(compare, schema)
 
 
@@ -238,44 +236,50 @@ def _open_members(posts: DataFrame, links: DataFrame | None) -> DataFrame:
     return rows.select(F.col("c.id").alias("a"), F.col("id").alias("b"), "part", F.col("c.part").alias("core")).distinct()
 
 
-def _extra_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each shingle that a member has beyond its centre."""
+def _delta_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each item in which a member and its centre differ."""
     for batch in batches:
-        extras = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]
-        if extras:
-            at = pa.array(np.repeat(np.arange(len(extras)), [len(x) for x in extras]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(extras)), *(c.take(at) for c in batch.columns[1:])], names=["item", "a", "b", "part", "core", "n", "common"])
-
-
-def _open_pairs(differences: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one centre, in different components, that can be linked by what they share with and beyond it."""
-    part = F.when(_linked(F.col("common"), F.col("size_a"), F.col("n"), percent), F.col("core")).otherwise(F.col("part"))
-    rows = differences.withColumn("part", part)
-    names = {"b": "x", "part": "px", "n": "nx", "common": "cx"}
-    renamed = lambda df: df.withColumnsRenamed({**names, "a": "ax"})
-    outside = renamed(rows.filter("part != core").select("a", "b", "part", "n", "common"))
-    apart = F.col("px") != F.col("part")
-    # without shingles beyond the centre: only sizes up to a bound can do
-    sizes = F.sequence(F.expr(f"({percent} * nx + 99) div 100"), F.expr(f"({100 + percent} * cx) div {percent} - nx"))
-    sized = outside.filter(f"({percent} * nx + 99) div 100 <= ({100 + percent} * cx) div {percent} - nx").withColumn("size", F.explode(sizes))
-    inside = rows.select("a", "b", "part", "n", "common")
-    by_size = sized.join(inside, (F.col("ax") == F.col("a")) & (F.col("size") == F.col("n")) & apart & _linked(F.least("cx", "common"), F.col("nx"), F.col("n"), percent))
-    # with them: both must share so many that they meet in the rarest of either, counted per centre
-    items = rows.select("extras", "a", "b", "part", "core", "n", "common").mapInArrow(_extra_rows, "item long, a long, b long, part long, core long, n long, common long")
+        deltas = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]
+        if deltas:
+            at = pa.array(np.repeat(np.arange(len(deltas)), [len(x) for x in deltas]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(deltas)), *(c.take(at) for c in batch.columns[1:])], names=["item", *batch.schema.names[1:]])
+
+
+def _with_hub(differences: DataFrame, percent: int) -> DataFrame:
+    """``differences`` with their ``excess``, the list's hub, and whether a member is linked with it by excess alone.
+
+    Sets differ in s + s' - 2 o items if o is what their deltas share, so they are linked if and only if their excesses,
+    (100 + percent) s - (100 - percent) n, add up to at most 2 (100 + percent) o. With a sum of at most zero
+    they are linked whatever they share, and then both are linked with the hub, the member of least excess.
+    """
+    rows = differences.withColumn("excess", F.lit(100 + percent) * F.col("s") - F.lit(100 - percent) * F.col("n"))
+    hubs = rows.groupBy("a").agg(F.min(F.struct("excess", "b")).alias("hub"))
+    return rows.join(hubs, "a").withColumn("near", F.col("excess") + F.col("hub.excess") <= 0)
+
+
+def _open_pairs(hubbed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one centre, in different components, whose deltas can share enough: they meet in the rarest items of either.
+
+    A pair is met from its member of larger excess, which is not linked with the hub. What it has to share grows with both excesses, so
+    members far from the centre post only their own rarest differences, and none is paired for its size.
+    """
+    rows = hubbed.withColumn("part", F.when(F.col("near"), F.col("core")).otherwise(F.col("part")))
+    outside = rows.filter("part != core").groupBy("a").agg(F.min("excess").alias("outer"))
+    unit = 2 * (100 + percent)
+    share = lambda x: F.greatest(F.lit(1), F.ceil((F.col("excess") + x) / F.lit(unit)))
+    rows = rows.join(outside, "a").withColumns({"posted": share(F.greatest("outer", "excess")), "sought": share(F.col("hub.excess"))})
+    kept = ["a", "b", "part", "core", "s", "excess", "posted", "sought"]
+    items = rows.filter("s >= posted or part != core").select("delta", *kept).mapInArrow(_delta_rows, "item long, " + ", ".join(f"{c} long" for c in kept))
     shared = items.join(items.groupBy("a", "item").agg(F.count("*").alias("f")).filter("f > 1"), ["a", "item"])
     own = Window.partitionBy("a", "b")
     ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("f", "item"))).withColumn("m", F.count("*").over(own))
-    need = F.expr(f"greatest(1, ({percent} * (n + ({percent} * n + 99) div 100) - {100 + percent} * common + {99 + percent}) div {100 + percent})")
-    rare = ranked.filter(F.col("rank") - F.col("m") + need <= 1).select("a", "item", "b", "part", "core")
-    left = rare.filter("part != core").select(F.col("a").alias("ax"), F.col("item").alias("ix"), F.col("b").alias("x"), F.col("part").alias("px"))
-    by_item = left.join(rare.select("a", "item", "b", "part"), (F.col("ax") == F.col("a")) & (F.col("ix") == F.col("item")) & apart)
-    pairs = by_size.select("x", "b").unionByName(by_item.select("x", "b"))
-    return pairs.select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b")).distinct()
-
-
-def _linked(common: Column, x: Column, y: Column, percent: int) -> Column:
-    """Whether sets of sizes x and y with ``common`` items in both are similar enough."""
-    return F.lit(100 + percent) * common >= F.lit(percent) * (x + y)
+    # items that no other member has come first in the order of rarity
+    sought = ranked.filter("part != core and rank - m + sought <= 1").select(*(F.col(c).alias(f"x_{c}") for c in ("a", "item", "b", "part", "s", "excess")))
+    posted = ranked.filter("rank - m + posted <= 1").select("a", "item", "b", "part", "s", "excess")
+    earlier = F.struct("excess", "b") < F.struct("x_excess", "x_b")
+    enough = F.col("excess") + F.col("x_excess") <= F.lit(unit) * F.least("s", "x_s")
+    met = sought.join(posted, (F.col("x_a") == F.col("a")) & (F.col("x_item") == F.col("item")) & (F.col("x_part") != F.col("part")) & earlier & enough)
+    return met.select(F.least("x_b", "b").alias("a"), F.greatest("x_b", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -327,10 +331,10 @@ def _classified(docs: DataFrame, spec: NearSpec, id_column: str, text: str) -> D
         links = settle(found if links is None else found.unionByName(links), "links")
         parts = connected_components(links)
     members = _open_members(_labelled(posts, parts), links)
-    differences = settle(confirm.differences(members), "differences")
-    to_centre = differences.filter(_linked(F.col("common"), F.col("size_a"), F.col("n"), spec.percent) & (F.col("a") != F.col("b"))).select("a", "b")
-    rest = settle(_matching(_open_pairs(differences, spec.percent), sigs, spec).select("a", "b"), "rest")
-    found = to_centre if rest.isEmpty() else to_centre.unionByName(confirm(rest))
+    hubbed = settle(_with_hub(settle(confirm.differences(members), "differences"), spec.percent), "hubs")
+    to_hub = hubbed.filter("near and b != hub.b").select(F.col("hub.b").alias("a"), "b").distinct()
+    rest = settle(_matching(_open_pairs(hubbed, spec.percent), sigs, spec).select("a", "b"), "rest")
+    found = to_hub if rest.isEmpty() else to_hub.unionByName(confirm(rest))
     parts = connected_components(found if links is None else links.unionByName(found))
 
     of_class = classes.select("h1", "h2", "id").join(parts.select(F.col("node").alias("id"), "component"), "id", "left")

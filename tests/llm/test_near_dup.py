@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from hourloom.llm import near_dup
 from hourloom.llm.graph import connected_components
 from hourloom.llm.near_dup import NearSpec, drop_near_duplicates, near_duplicates
 
@@ -107,3 +108,37 @@ def test_columns_with_clashing_names_stay(spark):
     rows = [(1, text, 7.5, "h", 3), (2, text, 8.5, "i", 4), (3, "something else entirely that is long enough to be kept", 9.5, "j", 5)]
     out = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, _key double, _hash string, c0 int"))
     assert sorted(tuple(r) for r in out.collect()) == [rows[0], rows[2]]
+
+
+def test_copies_changed_each_in_its_own_way_meet_nobody(spark, monkeypatch):
+    """A large group around one text whose members are linked with the centre at best: pairs grow with it, not with its square."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    made = []
+    pairs = near_dup._open_pairs
+    monkeypatch.setattr(near_dup, "_open_pairs", lambda rows, percent: made.append(pairs(rows, percent)) or made[-1])
+    for n in (100, 200):
+        rows = [(0, " ".join(base))]
+        for i in range(1, n):
+            words = list(base)
+            for k in rng.sample(range(100), 3):
+                words[k] = f"x{i}_{k}"
+            rows.append((i, " ".join(words)))
+        got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert made[-1].count() <= n
+        assert got == expected_components(rows)
+
+
+def expected_components(rows, width=5, percent=80):
+    sets = {i: {tuple(w[k : k + width]) for w in [t.split()] for k in range(len(w) - width + 1)} for i, t in rows}
+    component = {i: i for i in sets}
+    changed = True
+    links = [(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    while changed:
+        changed = False
+        for i, j in links:
+            low = min(component[i], component[j])
+            if component[i] != low or component[j] != low:
+                component[i] = component[j] = low
+                changed = True
+    return component
