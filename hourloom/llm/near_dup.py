@@ -34,6 +34,7 @@ from hourloom.llm.workers import records_per_batch
 from hourloom.sources.workspace import settle
 
 _U = np.uint64
+SLICE = 1 << 20  # bytes of text that a worker turns into sets at once
 
 
 @dataclass(frozen=True)
@@ -94,7 +95,7 @@ def _sums(sets: np.ndarray, edges: np.ndarray, seed: int) -> np.ndarray:
 def _sketches(batches: Iterator[pa.RecordBatch], spec: NearSpec) -> Iterator[pa.RecordBatch]:
     names = ["id", "hash", "n_shingles", "h1", "h2", "sig"]
     for batch in batches:
-        for s in text_slices(batch.column(1)):
+        for s in text_slices(batch.column(1), SLICE):
             sets, edges = shingle_sets(s, spec.words)
             sig = signatures(sets, edges, spec.coordinates)
             yield pa.RecordBatch.from_arrays(
@@ -109,7 +110,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], spec: NearSpec) -> Iterator[pa.
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for s in text_slices(batch.column(1)):
+        for s in text_slices(batch.column(1), SLICE):
             sets, edges = shingle_sets(s, width)
             raw = [sets[edges[i] : edges[i + 1]].tobytes() for i in range(len(s))]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), pa.array(raw, pa.binary())], names=["id", "items"])
@@ -331,7 +332,7 @@ def _classified(docs: DataFrame, spec: NearSpec, id_column: str, text: str) -> D
         links = settle(found if links is None else found.unionByName(links), "links")
         parts = connected_components(links)
     members = _open_members(_labelled(posts, parts), links)
-    hubbed = settle(_with_hub(settle(confirm.differences(members), "differences"), spec.percent), "hubs")
+    hubbed = _with_hub(settle(confirm.differences(members), "differences"), spec.percent)
     to_hub = hubbed.filter("near and b != hub.b").select(F.col("hub.b").alias("a"), "b").distinct()
     rest = settle(_matching(_open_pairs(hubbed, spec.percent), sigs, spec).select("a", "b"), "rest")
     found = to_hub if rest.isEmpty() else to_hub.unionByName(confirm(rest))
