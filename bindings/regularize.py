@@ -78,7 +78,7 @@ def interpolation_sql(source: str, columns, limit: int = 6, name: str = "filled"
     f"WITH {SPARSE}, {grid_sql('x')}, {interpolation_sql('g', VALUES[:2])} SELECT series_key, ts, {r(*VALUES[:2])} FROM filled",
 )
 def interpolate_linear(spark, sf_dir):
-    return reg.interpolate(reg.complete_hours(sparse_users(spark, sf_dir).select(KEY, TS, *VALUES[:2])), VALUES[:2], 6)
+    return reg.interpolate_hours(sparse_users(spark, sf_dir).select(KEY, TS, *VALUES[:2]), VALUES[:2], 6)
 
 
 @query(
@@ -89,8 +89,7 @@ k AS (SELECT *, max(CASE WHEN day_ahead_price IS NOT NULL THEN rn END) OVER w AS
 SELECT series_key, ts, {r('day_ahead_price=CASE WHEN rn - s <= 2 THEN v END')} FROM k""",
 )
 def ffill_limit(spark, sf_dir):
-    grid = reg.complete_hours(by_user(spark, sf_dir).select(KEY, TS, TARGET))
-    return reg.fill_forward(grid, [TARGET], 2)
+    return reg.fill_forward_hours(by_user(spark, sf_dir).select(KEY, TS, TARGET), [TARGET], 2)
 
 
 def _repeated(spark, sf_dir):

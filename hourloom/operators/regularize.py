@@ -19,6 +19,7 @@ from hourloom.functions.clock import (
 from hourloom.operators.pieces import FAR, PIECE, PIECE_SLOTS, SLOT, attach_summary, carry, in_piece, placed, with_slot
 
 GRID_BLOCK = PIECE_SLOTS
+ROW, AT = "_row", "_at"
 
 
 # --- duplicates --------------------------------------------------------------
@@ -74,13 +75,48 @@ def hour_grid(bounds: DataFrame) -> DataFrame:
     )
 
 
+def _with_gaps(df: DataFrame, no_key: Column | None = None) -> DataFrame:
+    """Rows on the hourly grid of their series (anchored at its first stamp), and a marker without values at the start of every block.
+
+    Adds the step on the grid, the block as the piece, whether it is a row, and ``_until``, the step of what comes next.
+    What lies between two of them follows from their steps, so hours without a row are neither shuffled nor sorted.
+    Rows without a key are on no grid: their series has markers only, in blocks of its own.
+    """
+    at = micros(TS)
+    bounds = df.groupBy(KEY).agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
+    rest = [c for c in df.columns if c not in (KEY, TS)]
+    hours = F.floor((F.col("_last") - F.col("_first")) / HOUR_MICROS).cast("bigint")
+    blocks = bounds.select(KEY, "_first", hours.alias("_hours"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(hours / GRID_BLOCK))).alias("_block"))
+    markers = blocks.withColumn(SLOT, F.col("_block") * GRID_BLOCK)
+    past = at - F.col("_first")
+    rows = attach_summary(df, bounds).filter(past % HOUR_MICROS == 0).withColumns({SLOT: F.floor(past / HOUR_MICROS).cast("bigint"), "_hours": hours})
+    rows = rows.withColumn("_block", F.floor(F.col(SLOT) / GRID_BLOCK).cast("bigint"))
+    place = [KEY, "_first", "_hours", "_block", SLOT]
+    both = rows.select(*place, F.lit(True).alias(ROW), *rest).unionByName(markers.select(*place, F.lit(False).alias(ROW)), allowMissingColumns=True)
+    end = F.least((F.col("_block") + 1) * GRID_BLOCK, F.col("_hours") + 1)
+    piece = F.when(F.col(KEY).isNull(), -1 - F.col("_block")).otherwise(F.col("_block"))
+    both = both.withColumns({"_end": end, PIECE: piece, KEY: F.col(KEY) if no_key is None else F.coalesce(KEY, no_key)})
+    ahead = F.lead(SLOT).over(Window.partitionBy(KEY, PIECE).orderBy(SLOT, ROW))
+    return both.withColumn("_until", F.coalesce(ahead, "_end")).drop("_hours", "_block", "_end")
+
+
+def _filled_hours(gaps: DataFrame, names: Sequence[str], cells: dict[str, Column]) -> DataFrame:
+    """``names`` for every step up to the next row: a row's own values at its step, NULL after it; ``cells`` instead where given."""
+    stands = F.col(ROW) | (F.col("_until") > F.col(SLOT))
+    steps = F.when(stands, F.sequence(SLOT, F.greatest(F.col("_until") - 1, F.col(SLOT))))
+    hours = gaps.withColumn(AT, F.explode(steps))
+    own = {c: F.when(F.col(ROW) & (F.col(AT) == F.col(SLOT)), F.col(c)) for c in names if c not in (KEY, TS)}
+    hours = hours.withColumns({TS: from_micros(F.col("_first") + F.col(AT) * HOUR_MICROS), **own})
+    return hours.withColumns(cells).select(KEY, TS, *own)
+
+
 def complete_hours(df: DataFrame) -> DataFrame:
     """Every hour between the first and last stamp of a series; gaps are NULL rows.
 
-    The grid is anchored at the first stamp, so rows off that grid vanish.
+    The grid is anchored at the first stamp, so rows off that grid vanish. Each row emits the hours up to the next one:
+    the work before that grows with the rows given, not with the hours.
     """
-    bounds = df.groupBy(KEY).agg(F.min(micros(TS)).alias("_first"), F.max(micros(TS)).alias("_last"))
-    return reindex(df, hour_grid(bounds))
+    return _filled_hours(_with_gaps(df), df.columns, {})
 
 
 def reindex(df: DataFrame, grid: DataFrame) -> DataFrame:
@@ -153,29 +189,51 @@ def interpolate(
     the last known value repeat it up to the same limit; leading cells stay NULL.
     ``strict`` leaves gaps longer than ``limit``, and open ends, untouched.
     """
+    out = _neighbours(placed(df, mode, step), columns, SLOT)
+    return out.withColumns({c: _line(c, F.col(SLOT), limit, strict) for c in columns}).select(*df.columns)
+
+
+def _neighbours(df: DataFrame, columns: Sequence[str], *order: str) -> DataFrame:
+    """Value and slot of the last known cell up to each row (``_pv_``, ``_ps_``) and of the first one after it (``_nv_``, ``_ns_``).
+
+    All windows are over one order and come before the join with the summaries, so a piece is sorted once.
+    """
+    back = Window.partitionBy(KEY, PIECE).orderBy(*order).rowsBetween(FAR, 0)
+    ahead = f"IGNORE NULLS OVER (PARTITION BY {KEY}, {PIECE} ORDER BY {', '.join(order)})"
+    inside = {}
+    for c in columns:
+        inside[f"_pv_{c}"] = F.last(c, ignorenulls=True).over(back)
+        inside[f"_ps_{c}"] = F.last(_known_at(c), ignorenulls=True).over(back)
+        inside[f"_nv_{c}"] = F.expr(f"lead(`{c}`) {ahead}")
+        inside[f"_ns_{c}"] = F.expr(f"lead(CASE WHEN `{c}` IS NOT NULL THEN {SLOT} END) {ahead}")
     before = {f"_bv_{c}": F.max_by(c, _known_at(c)) for c in columns} | {f"_bs_{c}": F.max(_known_at(c)) for c in columns}
     after = {f"_av_{c}": F.min_by(c, _known_at(c)) for c in columns} | {f"_as_{c}": F.min(_known_at(c)) for c in columns}
-    out = carry(placed(df, mode, step), before=before, after=after)
-    back = in_piece().rowsBetween(FAR, 0)
-    ahead = Window.partitionBy(KEY, PIECE).orderBy(F.desc(SLOT)).rowsBetween(FAR, 0)
-
-    def known(w: WindowSpec, side: str, name: str) -> dict[str, Column]:
-        found = {}
-        for c in columns:
-            found[f"_{name}v_{c}"] = F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_{side}v_{c}"))
-            found[f"_{name}s_{c}"] = F.coalesce(F.last(_known_at(c), ignorenulls=True).over(w), F.col(f"_{side}s_{c}"))
-        return found
-
-    out = out.withColumns(known(back, "b", "p")).withColumns(known(ahead, "a", "n"))
-
-    def line(c: str) -> Column:
-        pv, ps, nv, ns = (F.col(f"_{n}_{c}") for n in ("pv", "ps", "nv", "ns"))
-        gone = F.col(SLOT) - ps
-        between = pv + (nv - pv) * gone / (ns - ps)
-        fill = F.when(ns - ps - 1 <= limit, between) if strict else F.when(gone <= limit, F.coalesce(between, pv))
-        return F.when(F.col(c).isNotNull(), F.col(c)).otherwise(fill)
-
-    return out.withColumns({c: line(c) for c in columns}).select(*df.columns)
+    out = carry(df.withColumns(inside), before=before, after=after)
+    sides = [(near + kind, far + kind) for near, far in (("_p", "_b"), ("_n", "_a")) for kind in "vs"]
+    return out.withColumns({f"{x}_{c}": F.coalesce(f"{x}_{c}", f"{y}_{c}") for c in columns for x, y in sides})
+
+
+def _line(c: str, at: Column, limit: int, strict: bool) -> Column:
+    pv, ps, nv, ns = (F.col(f"_{n}_{c}") for n in ("pv", "ps", "nv", "ns"))
+    gone = at - ps
+    between = pv + (nv - pv) * gone / (ns - ps)
+    fill = F.when(ns - ps - 1 <= limit, between) if strict else F.when(gone <= limit, F.coalesce(between, pv))
+    return F.when(F.col(c).isNotNull(), F.col(c)).otherwise(fill)
+
+
+def interpolate_hours(df: DataFrame, columns: Sequence[str], limit: int = 6, strict: bool = False) -> DataFrame:
+    """``interpolate`` of ``complete_hours``, without a grid before the result: neighbours are sought among the rows given.
+
+    Rows without a key form a series named '', whose cells are NULL.
+    """
+    known = _neighbours(_with_gaps(df, F.lit("")), columns, SLOT, ROW)
+    return _filled_hours(known, df.columns, {c: _line(c, F.col(AT), limit, strict) for c in columns})
+
+
+def fill_forward_hours(df: DataFrame, columns: Sequence[str], limit: int) -> DataFrame:
+    """``fill_forward`` of ``complete_hours`` over at most ``limit`` hours, sought among the rows given like ``interpolate_hours``."""
+    known = _neighbours(_with_gaps(df, F.lit("")), columns, SLOT, ROW)
+    return _filled_hours(known, df.columns, {c: F.when(F.col(AT) - F.col(f"_ps_{c}") <= limit, F.col(f"_pv_{c}")) for c in columns})
 
 
 # --- time zones --------------------------------------------------------------

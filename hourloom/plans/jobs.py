@@ -15,7 +15,7 @@ from hourloom.operators.regularize import (
     complete_hours,
     dedupe_mean,
     fill_forward,
-    interpolate,
+    interpolate_hours,
     localize_to_utc,
     resample_first,
     trim_to_valid,
@@ -66,9 +66,9 @@ def regular_raw(df: DataFrame, columns: list[str], max_gap: int = 6, tie: str |
     ``tie`` orders rows of one stamp; without it the smallest value of a column comes first, so reruns agree.
     """
     if tie:
-        return interpolate(resample_first(df, columns, tie=tie), columns, max_gap)
+        return interpolate_hours(resample_first(df, columns, fill_grid=False, tie=tie), columns, max_gap)
     unique = df.groupBy(KEY, TS).agg(*[F.min(c).alias(c) for c in columns])
-    return interpolate(resample_first(unique, columns), columns, max_gap)
+    return interpolate_hours(resample_first(unique, columns, fill_grid=False), columns, max_gap)
 
 
 def local_features(spark: SparkSession, folder: str, spec: JobSpec = JobSpec()) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from bindings import base
 from hourloom.config import KEY, TS
 from hourloom.operators import features, pieces, regularize, signals
 from hourloom.operators.baseline import split_ratio
@@ -85,6 +86,35 @@ def test_interpolation_across_pieces(spark, tiny_pieces):
     assert all(abs(got[at(h)] - h) < 1e-9 for h in range(361))
 
 
+@pytest.fixture
+def ragged(spark, gappy):
+    """With repeated stamps of equal rows, a row off the grid, a one-row series and rows without a key."""
+    more = [("big", at(3), 1.0, 2.0), ("big", at(3), 1.0, 2.0), ("small", at(5.5), 9.0, 9.0), ("one", at(7), None, 4.0), (None, at(0), 1.0, 1.0), (None, at(80), 2.0, 2.0)]
+    return gappy.filter(~((F.col(KEY) == "big") & (F.col(TS) == F.lit(at(3))))).unionByName(spark.createDataFrame(more, gappy.schema))
+
+
+def test_hours_between_rows_equal_a_joined_grid(ragged, monkeypatch):
+    monkeypatch.setattr(regularize, "GRID_BLOCK", 37)
+    at_micros = regularize.micros(TS)
+    grid = regularize.hour_grid(ragged.groupBy(KEY).agg(F.min(at_micros).alias("_first"), F.max(at_micros).alias("_last")))
+    same(regularize.complete_hours(ragged), regularize.reindex(ragged, grid))
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_fills_without_a_grid_equal_fills_of_the_grid(ragged, monkeypatch, strict):
+    monkeypatch.setattr(regularize, "GRID_BLOCK", 37)
+    grid = regularize.complete_hours(ragged)
+    same(regularize.interpolate_hours(ragged, ["price", "load"], 2, strict), regularize.interpolate(grid, ["price", "load"], 2, strict))
+    same(regularize.fill_forward_hours(ragged, ["price"], 2), regularize.fill_forward(grid, ["price"], 2, mode="time"))
+
+
+@pytest.mark.parametrize("name", ["interpolate_linear", "ffill_limit", "hourly_grid"])
+def test_hours_are_made_after_all_shuffles_and_sorts(spark, name):
+    plan = base.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    made = plan.index("Generate explode(")
+    assert all(plan.index(x) > made for x in ("Exchange", "Sort", "Window"))
+
+
 def test_streak_spans_pieces(spark, tiny_pieces):
     rows = [("a", at(h), -1.0 if 20 <= h < 220 else 1.0) for h in range(400)]
     df = spark.createDataFrame(rows, f"{KEY} string, {TS} timestamp_ntz, clean_spark_spread double")
