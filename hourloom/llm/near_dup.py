@@ -108,12 +108,11 @@ def _sketches(batches: Iterator[pa.RecordBatch], spec: NearSpec) -> Iterator[pa.
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for s in text_slices(batch.column(1), SLICE):
-            sets, edges = shingle_sets(s, width)
-            raw = [sets[edges[i] : edges[i + 1]].tobytes() for i in range(len(s))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), pa.array(raw, pa.binary())], names=["id", "items"])
+def _each_set(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """The shingle set of every text of a column; sets of one slice of it are held at a time."""
+    for s in text_slices(column, SLICE):
+        sets, edges = shingle_sets(s, width)
+        yield from (sets[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True))
 
 
 def _matrix(column: pa.Array, coordinates: int) -> np.ndarray:
@@ -157,48 +156,49 @@ def _matching(pairs: DataFrame, sigs: DataFrame, spec: NearSpec) -> DataFrame:
 
 
 class _Confirmer:
-    """Confirms pairs on whole sets; the sets of texts that were candidates before are kept in written tables."""
+    """Confirms pairs on whole sets, made anew from the texts of a pair: a text takes less room than its set.
+
+    The texts that were candidates before are kept in written tables.
+    """
 
     def __init__(self, texts: DataFrame, spec: NearSpec):
         self.texts, self.spec, self.kept = texts, spec, None
 
-    def _with_sets(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` with items_a and items_b, their whole sets."""
-        width = self.spec.words
+    def _with_texts(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` with text_a and text_b."""
         wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         if self.kept is not None:
             wanted = settle(wanted.join(self.kept.select("id"), "id", "left_anti"), "wanted")
         if self.kept is None or not wanted.isEmpty():
-            chosen = self.texts.join(wanted, "id", "left_semi").select("id", "text")
-            more = settle(chosen.mapInArrow(lambda x: _sets(x, width), "id long, items binary"), "sets")
+            more = settle(self.texts.join(wanted, "id", "left_semi").select("id", "text"), "texts")
             self.kept = more if self.kept is None else self.kept.unionByName(more)
-        with_b = pairs.join(self.kept.select(F.col("id").alias("b"), F.col("items").alias("items_b")), "b")
-        return with_b.join(self.kept.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a")
+        with_b = pairs.join(self.kept.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+        return with_b.join(self.kept.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """The linked pairs ``(a, b)`` among ``pairs``."""
-        percent = self.spec.percent
+        percent, width = self.spec.percent, self.spec.words
 
         def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = []
-                for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                    p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                for p, q in zip(_each_set(batch.column(2), width), _each_set(batch.column(3), width), strict=True):
                     both = len(np.intersect1d(p, q, assume_unique=True))
                     keep.append(100 * both >= percent * (len(p) + len(q) - both))
                 mask = pa.array(keep, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-        return self._with_sets(pairs.select("a", "b")).select("a", "b", "items_a", "items_b").mapInArrow(linked, "a long, b long").distinct()
+        return self._with_texts(pairs.select("a", "b")).select("a", "b", "text_a", "text_b").mapInArrow(linked, "a long, b long").distinct()
 
     def differences(self, members: DataFrame) -> DataFrame:
         """For rows ``(a, b, part, core)`` of a centre a and a member b: b's size n, and the ``delta`` items of ``s`` that one of both has alone."""
 
+        width = self.spec.words
+
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 sizes, deltas = [], []
-                for x, y in zip(batch.column(4), batch.column(5), strict=True):
-                    p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                for p, q in zip(_each_set(batch.column(4), width), _each_set(batch.column(5), width), strict=True):
                     delta = np.setxor1d(p, q, assume_unique=True)
                     sizes.append((len(q), len(delta)))
                     deltas.append(delta.tobytes())
@@ -206,7 +206,7 @@ class _Confirmer:
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "part", "core", "n", "s", "delta"])
 
         schema = "a long, b long, part long, core long, n long, s long, delta binary"
-        return self._with_sets(members).select("a", "b", "part", "core", "items_a", "items_b").mapInArrow(compare, schema)
+        return self._with_texts(members).select("a", "b", "part", "core", "text_a", "text_b").mapInArrow(compare, schema)
 
 
 def _labelled(posts: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -262,7 +262,8 @@ def _open_pairs(hubbed: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of one centre, in different components, whose deltas can share enough: they meet in the rarest items of either.
 
     A pair is met from its member of larger excess, which is not linked with the hub. What it has to share grows with both excesses, so
-    members far from the centre post only their own rarest differences, and none is paired for its size.
+    members far from the centre post only their own rarest differences, and none is paired for its size. The items in which a pair has met
+    are counted: where it has to share more than its members have left unposted, it must have met in the others.
     """
     rows = hubbed.withColumn("part", F.when(F.col("near"), F.col("core")).otherwise(F.col("part")))
     outside = rows.filter("part != core").groupBy("a").agg(F.min("excess").alias("outer"))
@@ -275,12 +276,15 @@ def _open_pairs(hubbed: DataFrame, percent: int) -> DataFrame:
     own = Window.partitionBy("a", "b")
     ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("f", "item"))).withColumn("m", F.count("*").over(own))
     # items that no other member has come first in the order of rarity
-    sought = ranked.filter("part != core and rank - m + sought <= 1").select(*(F.col(c).alias(f"x_{c}") for c in ("a", "item", "b", "part", "s", "excess")))
-    posted = ranked.filter("rank - m + posted <= 1").select("a", "item", "b", "part", "s", "excess")
+    sought = ranked.filter("part != core and rank - m + sought <= 1").select(*(F.col(c).alias(f"x_{c}") for c in ("a", "item", "b", "part", "s", "excess", "sought")))
+    posted = ranked.filter("rank - m + posted <= 1").select("a", "item", "b", "part", "s", "excess", "posted")
     earlier = F.struct("excess", "b") < F.struct("x_excess", "x_b")
     enough = F.col("excess") + F.col("x_excess") <= F.lit(unit) * F.least("s", "x_s")
     met = sought.join(posted, (F.col("x_a") == F.col("a")) & (F.col("x_item") == F.col("item")) & (F.col("x_part") != F.col("part")) & earlier & enough)
-    return met.select(F.least("x_b", "b").alias("a"), F.greatest("x_b", "b").alias("b")).distinct()
+    # a member that posts for t items leaves out its t - 1 last ones: a pair that has to share n has met in n - t + 1
+    need = share(F.col("x_excess")) - F.greatest("x_sought", "posted") + 1
+    pairs = met.groupBy("a", "x_b", "b").agg(F.count("*").alias("n"), F.min(need).alias("need")).filter("n >= need")
+    return pairs.select(F.least("x_b", "b").alias("a"), F.greatest("x_b", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:

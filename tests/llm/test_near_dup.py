@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hourloom.llm import near_dup
 from hourloom.llm.graph import connected_components
@@ -142,3 +143,13 @@ def expected_components(rows, width=5, percent=80):
                 component[i] = component[j] = low
                 changed = True
     return component
+
+
+@pytest.mark.parametrize("shared, made", [(5, []), (9, []), (10, [(1, 2)])])
+def test_a_pair_is_made_only_if_it_met_in_as_many_items_as_a_link_takes(spark, shared, made):
+    """Members of 77 shingles that differ from the centre in 12 and 24 are linked if and only if they share 10 of these."""
+    near = list(range(12))
+    far = [*range(shared), *range(100, 124 - shared)]
+    rows = [(0, b, b, 0, 77, len(x), np.array(x, np.int64).tobytes()) for b, x in enumerate([[], near, far])]
+    differences = spark.createDataFrame(rows, "a long, b long, part long, core long, n long, s long, delta binary")
+    assert [tuple(r) for r in near_dup._open_pairs(near_dup._with_hub(differences, 80), 80).collect()] == made
