@@ -48,7 +48,10 @@ _PRE_TOKENIZER = {
 }
 # The ASCII part of that pattern, for lower-cased text.
 _ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
+# Words that are not all ASCII stay whole, the others are cut by that pattern.
+_UNITS = re.compile(rb"[^\x09-\x0d\x20\x80-\xff]*[\x80-\xff][^\x09-\x0d\x20]*|" + _ASCII_PIECES.pattern)
 _CLOSING = b".,;:!?*#$%&|"
+_PRINTABLE = re.compile(rb"[!-~]+")
 
 
 def goes_by_words(model: dict) -> bool:
@@ -74,9 +77,9 @@ def _cut(word: bytes) -> list[bytes]:
 class _Encoder:
     """Ids of texts by words between ASCII white space, which the tokenizer drops and never joins across.
 
-    ASCII texts are lower-cased and cut where the tokenizer's own pattern cuts them, words of other texts so if they are
-    ASCII, else where punctuation follows a letter. Pieces and words repeat, so each is encoded once while it
-    is remembered; words that may hold a special token go to the library whole. So do all texts of any other tokenizer. So do the texts of any other tokenizer.
+    Texts are lower-cased in A-Z and their ASCII words cut where the tokenizer's own pattern cuts them, other words where punctuation
+    follows a letter. Pieces and words repeat, so each is encoded once while it is remembered; words of texts
+    that may hold a special token go to the library as they stand. So do all texts of any other tokenizer.
     """
 
     _loaded: dict[int, _Encoder] = {}
@@ -84,8 +87,11 @@ class _Encoder:
     def __init__(self, model: str, limit: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known, self.pieces = Tokenizer.from_str(model), limit, {}, {}
-        self.by_words = goes_by_words(json.loads(model))
+        self.tokenizer, self.limit, self.pieces = Tokenizer.from_str(model), limit, {}
+        plan = json.loads(model)
+        self.by_words = goes_by_words(plan)
+        # pieces of printable lower-case ASCII are what the normalizer and the cutting would leave of them: the same merges, without both
+        self.merges = Tokenizer.from_str(json.dumps(plan | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}})) if self.by_words else None
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -97,14 +103,14 @@ class _Encoder:
             cls._loaded[key] = cls(model, limit)
         return cls._loaded[key]
 
-    def _learn_together(self, pieces: list[bytes], at_once: int = 2000) -> None:
+    def _learn_together(self, tokenizer, pieces: list[bytes], at_once: int = 2000) -> None:
         """Encode pieces that the tokenizer keeps whole, many in one text; the ids that close a word tell them apart.
 
         Where a piece turns out to be more than one word, its text is left for one-by-one encoding.
         """
         for i in range(0, len(pieces), at_once):
             part = pieces[i : i + at_once]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.int32)
+            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.int32)
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(part) and len(ids) == ends[-1]:
                 begin = 0
@@ -117,21 +123,23 @@ class _Encoder:
         if not self.by_words:
             found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             return [array("i", x.ids).tobytes() for x in found]
-        for memory in (self.known, self.pieces):
-            if len(memory) > self.limit:
-                memory.clear()
-        plain = [t.isascii() and b"<|" not in t for t in texts]
-        units = [_ASCII_PIECES.findall(t.lower()) if ascii_only else t.split() for t, ascii_only in zip(texts, plain, strict=True)]
-        words = set().union(*(u for u, ascii_only in zip(units, plain, strict=True) if not ascii_only))
-        new = {w: _cut(w) for w in words if w not in self.known}
-        wanted = set().union(*new.values(), *(u for u, ascii_only in zip(units, plain, strict=True) if ascii_only))
-        self._learn([p for p in wanted if p not in self.pieces])
-        for w, pieces in new.items():
-            self.known[w] = b"".join([self.pieces[p] for p in pieces])
-        return [b"".join(map((self.pieces if ascii_only else self.known).__getitem__, u)) for u, ascii_only in zip(units, plain, strict=True)]
+        if len(self.pieces) > self.limit:
+            self.pieces.clear()
+        units = [t.split() if b"<|" in t else (_ASCII_PIECES if t.isascii() else _UNITS).findall(t.lower()) for t in texts]
+        new = [u for u in set().union(*units) if u not in self.pieces]
+        marked = {u for t, us in zip(texts, units, strict=True) if b"<|" in t for u in us}
+        parts = {u: _cut(u) for u in new if u in marked or not u.isascii()}
+        whole = [u for u in new if u not in parts]
+        self._learn(list(set(whole).union(*parts.values()) - self.pieces.keys()) if parts else whole)
+        for u, cut in parts.items():
+            if cut != [u]:
+                self.pieces[u] = b"".join([self.pieces[p] for p in cut])
+        return [b"".join(map(self.pieces.__getitem__, us)) for us in units]
 
     def _learn(self, unseen: list[bytes]) -> None:
-        self._learn_together([p for p in unseen if (p.isascii() and b"<|" not in p) or p.decode().isalpha()])
+        plain = [p for p in unseen if p.isascii() and b"<|" not in p]
+        self._learn_together(self.merges, plain if _PRINTABLE.fullmatch(b"".join(plain) or b"-") else [p for p in plain if _PRINTABLE.fullmatch(p)])
+        self._learn_together(self.tokenizer, [p for p in unseen if p not in self.pieces and (p.isascii() and b"<|" not in p or p.decode().isalpha())])
         rest = [p for p in unseen if p not in self.pieces]
         for p, found in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False), strict=True):
             self.pieces[p] = array("i", found.ids).tobytes()
