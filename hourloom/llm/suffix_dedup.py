@@ -34,6 +34,9 @@ from hourloom.sources.workspace import settle
 _U = np.uint64
 _LAST = (1 << 63) - 1
 BLOCK_BYTES = 1 << 21
+_ZSTD = pa.Codec("zstd")
+_CHUNK = (np.int32, np.uint64, np.uint64, np.int64, np.int64, np.int64, np.uint8)  # index, key, chunk, least, most, size; all texts
+_ANSWER = (np.int32, np.int64, np.int64, np.int64)  # index, from, windows, least
 
 
 @dataclass(frozen=True)
@@ -130,6 +133,24 @@ def _unpack(body: bytes) -> pa.Table:
     return pa.ipc.open_stream(body).read_all().combine_chunks()
 
 
+def _frame(*arrays: np.ndarray, squeeze: bool = False) -> bytes:
+    """Arrays one after the other behind their sizes: what a block sends to a bucket is small, and there are many of them."""
+    raw = np.array([x.nbytes for x in arrays], np.int64).tobytes() + b"".join([x.tobytes() for x in arrays])
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True) if squeeze else raw
+
+
+def _unframe(body: bytes, *types: type, squeezed: bool = False) -> list[np.ndarray]:
+    raw = memoryview(_ZSTD.decompress(body[8:], int.from_bytes(body[:8], "little"), asbytes=True) if squeezed else body)
+    ends = 8 * len(types) + np.cumsum([0, *np.frombuffer(raw, np.int64, len(types)).tolist()])
+    return [np.frombuffer(raw[a:b], kind) for a, b, kind in zip(ends[:-1], ends[1:], types, strict=True)]
+
+
+def _together(bodies: list[bytes], *types: type, squeezed: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """The arrays of all frames, each joined, and the number of rows of each frame."""
+    parts = [_unframe(x, *types, squeezed=squeezed) for x in bodies]
+    return [np.concatenate(x) for x in zip(*parts, strict=True)], np.array([len(x[0]) for x in parts], np.int64)
+
+
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     context = TaskContext.get()
     block = (context.partitionId() if context else 0) << 32
@@ -153,8 +174,7 @@ class _Runs:
     def __init__(self, s: TextSlice, spec: RepeatSpec):
         n, k, length = len(s.data), spec.print_bytes, spec.length
         self.sums = s.prefix_codes(s.data)
-        at = np.arange(max(0, n - k + 1))
-        least = s.range_hashes(self.sums, at, at + k)
+        least = s.spread_hashes(self.sums, k)
         wide, reach = 1, length - k + 1  # substrings in a window
         while wide * 2 <= reach:
             least = np.minimum(least[: len(least) - wide], least[wide:]) if len(least) > wide else least[:0]
@@ -198,24 +218,24 @@ def _key_rows(batches: Iterator[pa.RecordBatch], spec: RepeatSpec, buckets: int)
     for batch in batches:
         for block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             runs = _Runs(_only_slice(_unpack(body)), spec)
-            _, one = np.unique(runs.chunk, return_index=True)
-            repeated = np.bincount(np.searchsorted(keys := np.unique(runs.key), runs.key), minlength=len(keys)) > 1
-            keys, chunks = np.unique(runs.key[one], return_counts=True)
-            many = np.minimum(np.maximum(chunks, 1 + repeated), 65535).astype(np.uint16)
-            parts = _cuts(_bucket(keys, buckets))
-            bodies = [_pack({"p": keys[a:b].astype(np.uint32), "n": many[a:b]}) for _, a, b in parts]
+            keys, of, n = np.unique(runs.key, return_inverse=True, return_counts=True)
+            again = np.flatnonzero(n[of] > 1)  # only there a key can have several chunks
+            _, one = np.unique(runs.chunk[again], return_index=True)
+            chunks = np.bincount(of[again[one]], minlength=len(keys))
+            many = np.minimum(np.maximum(chunks, np.minimum(n, 2)), 65535).astype(np.uint16)
+            prints, parts = keys.astype(np.uint32), _cuts(_bucket(keys, buckets))
+            bodies = [_frame(prints[a:b], many[a:b]) for _, a, b in parts]
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(parts), pa.int64()), pa.array([x[0] for x in parts], pa.int64()), pa.array(bodies, pa.binary())], names=["block", "bucket", "body"])
 
 
 def _key_marks(table: pa.Table, spec: RepeatSpec) -> pa.Table:
     """For each block: 0 for keys seen once, 1 for repeated ones, 2 for those with too many chunks for a task."""
-    parts = [_unpack(x) for x in table.column("body").to_pylist()]
-    prints, many = (np.concatenate([x.column(c).to_numpy() for x in parts]) for c in ("p", "n"))
+    (prints, many), rows = _together(table.column("body").to_pylist(), np.uint32, np.uint16)
     _, at = np.unique(prints, return_inverse=True)
     total = np.bincount(at, weights=many)[at]
     marks = ((total > 1).astype(np.uint8) + (total > spec.heavy)).astype(np.uint8)
-    edges = np.cumsum([0, *(x.num_rows for x in parts)])
-    bodies = [_pack({"m": marks[edges[i] : edges[i + 1]]}) for i in range(len(parts))]
+    edges = np.concatenate([[0], np.cumsum(rows)])
+    bodies = [marks[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "body": pa.array(bodies, pa.binary())})
 
 
@@ -224,9 +244,9 @@ class _Chunks:
 
     def __init__(self, s: TextSlice, marks: list, spec: RepeatSpec):
         runs = _Runs(s, spec)
-        keys = np.unique(runs.key)
-        mark = np.concatenate([_unpack(x["body"]).column("m").to_numpy() for x in sorted(marks, key=lambda x: x["bucket"])]) if marks else np.zeros(0, np.uint8)
-        mark = mark[np.searchsorted(keys, runs.key)] if len(keys) else mark[:0]
+        keys, of = np.unique(runs.key, return_inverse=True)
+        mark = np.frombuffer(b"".join([x["body"] for x in sorted(marks, key=lambda x: x["bucket"])]) if marks else b"", np.uint8)
+        mark = mark[of] if len(keys) else mark[:0]
         whole, single = mark == 1, mark == 2
         at = _ranges(runs.start[single], runs.count[single])
         window = s.range_hashes(runs.sums, at, at + spec.length)
@@ -256,25 +276,20 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch], spec: RepeatSpec, buckets: in
             for bucket, a, b in _cuts(_bucket(c.key[c.first][by_key], buckets)):
                 use = by_key[a:b]
                 begin, size = c.start[c.first[use]], c.count[c.first[use]] + spec.length - 1
-                text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(use), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(s.data[_ranges(begin, size)])])
-                out.append((block, bucket, _pack({"index": use.astype(np.int32), "key": c.key[c.first[use]], "chunk": c.chunk[c.first[use]], "least": least[use], "most": most[use], "text": text})))
+                text = s.data[_ranges(begin, size)]
+                out.append((block, bucket, _frame(use.astype(np.int32), c.key[c.first[use]], c.chunk[c.first[use]], least[use], most[use], size.astype(np.int64), text, squeeze=True)))
             blocks, at_bucket, bodies = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(at_bucket, pa.int64()), pa.array(bodies, pa.binary())], names=names)
 
 
 def _least_ids(table: pa.Table, spec: RepeatSpec) -> pa.Table:
     """For each block that sent chunks: runs of windows with the least id that has them, where a smaller one than its largest."""
-    parts = [_unpack(x) for x in table.column("body").to_pylist()]
-    all_rows = pa.concat_tables(parts).combine_chunks()
-    owner = np.repeat(np.arange(len(parts)), [x.num_rows for x in parts])
-    index, key, chunk, least, most = (all_rows.column(c).to_numpy() for c in ("index", "key", "chunk", "least", "most"))
+    (index, key, chunk, least, most, length, data), sent = _together(table.column("body").to_pylist(), *_CHUNK, squeezed=True)
+    owner = np.repeat(np.arange(len(sent)), sent)
     _, first, entry = np.unique(chunk, return_index=True, return_inverse=True)
     low = np.full(len(first), _LAST)
     np.minimum.at(low, entry, least)
-    text = all_rows.column("text").combine_chunks()
-    text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
-    edges = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
-    data = np.frombuffer(text.buffers()[2], np.uint8)
+    edges = np.concatenate([[0], np.cumsum(length)])
     begin, size = edges[first], edges[first + 1] - edges[first]
     # entries whose key stands for several chunks are sorted, some keys at a time
     by_key = np.argsort(key[first], kind="stable")
@@ -313,7 +328,7 @@ def _least_ids(table: pa.Table, spec: RepeatSpec) -> pa.Table:
     pick, row = pick[smaller], row[smaller]
     cuts = _cuts(owner[row])
     blocks = table.column("block").to_pylist()
-    bodies = [_pack({"index": index[row[a:b]], "from": from_window[pick[a:b]], "windows": windows[pick[a:b]], "least": value[pick[a:b]]}) for _, a, b in cuts]
+    bodies = [_frame(index[row[a:b]], from_window[pick[a:b]], windows[pick[a:b]], value[pick[a:b]], squeeze=True) for _, a, b in cuts]
     return pa.table({"block": pa.array([blocks[x[0]] for x in cuts], pa.int64()), "body": pa.array(bodies, pa.binary())})
 
 
@@ -327,8 +342,7 @@ def _covered(table: pa.Table, marks: list | None, answers: list | None, spec: Re
     if answers:
         c = _Chunks(s, marks, spec)
         start, index = c.start, c.index
-        found = pa.concat_tables([_unpack(x["body"]) for x in answers]).combine_chunks()
-        at, begin, windows, least = (found.column(c).to_numpy() for c in ("index", "from", "windows", "least"))
+        (at, begin, windows, least), _ = _together([x["body"] for x in answers], *_ANSWER, squeezed=True)
         order = np.argsort(at, kind="stable")
         lo, hi = np.searchsorted(at[order], index), np.searchsorted(at[order], index, side="right")
         pick, place = order[_ranges(lo, hi - lo)], np.repeat(np.arange(len(index)), hi - lo)

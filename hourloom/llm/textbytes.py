@@ -75,6 +75,12 @@ class TextSlice:
     def range_hashes(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((sums[end] - sums[begin]) * _powers(len(sums))[1][begin])
 
+    @staticmethod
+    def spread_hashes(sums: np.ndarray, width: int) -> np.ndarray:
+        """The hashes of all ranges of ``width`` bytes, as ``range_hashes`` has them."""
+        n = max(0, len(sums) - width)
+        return mixed((sums[width:] - sums[:n]) * _powers(len(sums))[1][:n])
+
     def white(self) -> np.ndarray:
         return _WHITE[self.data]
 
