@@ -64,3 +64,10 @@ def test_filter_keeps_columns_and_clean_text(spark):
 
 def test_empty_table(spark):
     assert quality_signals(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_text_goes_to_python_once_and_failed_rows_do_not_return(spark):
+    out = quality_filter(spark.createDataFrame([(1, "x", "en")], "doc_id long, text string, lang string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    sent = plan[plan.index("MapInArrow") :]
+    assert len(set(re.findall(r"text#(\d+) AS (k\d+|t)#", sent))) == 1 and "Filter" not in plan

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from hourloom.llm import suffix_dedup
 from hourloom.llm.suffix_dedup import RepeatSpec, remove_repeats, repeated_spans, suffix_order, window_classes
 
 
@@ -77,3 +78,12 @@ def test_suffixes_sort_like_strings():
             by_text = {}
             assert all(by_text.setdefault(raw[i : i + 50], c) == c for i, c in zip(starts, classes, strict=True))
             assert len(by_text) == len(set(classes.tolist()))
+
+
+def test_frames_return_what_they_were_given():
+    rows = (np.array([3, 1], np.int32), np.array([2**63, 5], np.uint64), np.array([], np.uint8))
+    for squeeze in (False, True):
+        bodies = [suffix_dedup._frame(*rows, squeeze=squeeze), suffix_dedup._frame(*rows, squeeze=squeeze)]
+        got, sizes = suffix_dedup._together(bodies, np.int32, np.uint64, np.uint8, squeezed=squeeze)
+        assert [x.tolist() for x in got] == [[3, 1, 3, 1], [2**63, 5, 2**63, 5], []] and sizes.tolist() == [2, 2]
+    assert len(suffix_dedup._frame(np.arange(3, dtype=np.uint32), np.ones(3, np.uint16))) == 2 * 8 + 3 * 6
