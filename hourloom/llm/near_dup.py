@@ -14,8 +14,9 @@
    it by the sizes of their deltas alone. For all others pairs are sought by an inverted join over the rarest items of
    their deltas, of which two linked sets share more the farther they are from the centre: members that only differ
    from the centre, each in its own way, meet nobody. No list is cut and no pair that can be linked is dropped.
-5. Pairs with too few equal coordinates in the whole signature (a chance of 1e-7 for a linked pair) are
-   dropped; the rest is confirmed by intersecting whole sets.
+5. These pairs are confirmed by intersecting whole sets: a few of each two components first, the others where none
+   of these was linked. Pairs of a star round with too few equal coordinates in the whole signature (a chance
+   of 1e-7 for a linked pair) are not confirmed.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from hourloom.sources.workspace import settle
 
 _U = np.uint64
 SLICE = 1 << 20  # bytes of text that a worker turns into sets at once
+BLOCK, BLOCKS = 1 << 15, 1 << 10  # bits of one of Spark's bitmaps, and how many of them a filter has at most
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,7 @@ class NearSpec:
     match_threshold: int = 33
     star_rounds: int = 1
     heads: int = 2
+    tries: int = 4
 
 
 def shingle_sets(s: TextSlice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,6 +158,19 @@ def _matching(pairs: DataFrame, sigs: DataFrame, spec: NearSpec) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(count, "a long, b long, hits long")
 
 
+def _narrowed(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose id is in ``wanted``, and some others: those whose hash is marked in bitmaps of 4 MB at most.
+
+    Every task gets the bitmaps, so texts that are no candidates stay where they are, however many ids are wanted.
+    """
+    spot = F.pmod(F.xxhash64("id"), F.lit(BLOCK * BLOCKS))
+    block, bit = F.shiftright(spot, 15), F.pmod(spot, F.lit(BLOCK))
+    marks = wanted.select(block.alias("_block"), bit.alias("bit")).groupBy("_block").agg(F.bitmap_construct_agg("bit").alias("_marks"))
+    byte = F.conv(F.hex(F.substring("_marks", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1
+    return rows.join(F.broadcast(marks), (block == F.col("_block")) & marked).select(*rows.columns)
+
+
 class _Confirmer:
     """Confirms pairs on whole sets, made anew from the texts of a pair: a text takes less room than its set.
 
@@ -170,7 +186,7 @@ class _Confirmer:
         if self.kept is not None:
             wanted = settle(wanted.join(self.kept.select("id"), "id", "left_anti"), "wanted")
         if self.kept is None or not wanted.isEmpty():
-            more = settle(self.texts.join(wanted, "id", "left_semi").select("id", "text"), "texts")
+            more = settle(_narrowed(self.texts, wanted).join(wanted, "id", "left_semi").select("id", "text"), "texts")
             self.kept = more if self.kept is None else self.kept.unionByName(more)
         with_b = pairs.join(self.kept.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         return with_b.join(self.kept.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -247,44 +263,71 @@ def _delta_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_hub(differences: DataFrame, percent: int) -> DataFrame:
-    """``differences`` with their ``excess``, the list's hub, and whether a member is linked with it by excess alone.
+    """``differences`` with their ``excess``, the list's hub, whether a member is linked with it by excess alone, and the least excess of those that are not.
 
     Sets differ in s + s' - 2 o items if o is what their deltas share, so they are linked if and only if their excesses,
     (100 + percent) s - (100 - percent) n, add up to at most 2 (100 + percent) o. With a sum of at most zero
     they are linked whatever they share, and then both are linked with the hub, the member of least excess.
+    ``outer`` is null where all members are in the centre's component or linked with the hub.
     """
     rows = differences.withColumn("excess", F.lit(100 + percent) * F.col("s") - F.lit(100 - percent) * F.col("n"))
-    hubs = rows.groupBy("a").agg(F.min(F.struct("excess", "b")).alias("hub"))
-    return rows.join(hubs, "a").withColumn("near", F.col("excess") + F.col("hub.excess") <= 0)
+    small = rows.select("a", "b", "part", "core", "excess")
+    near = F.col("excess") + F.col("hub.excess") <= 0
+    hubs = small.join(small.groupBy("a").agg(F.min(F.struct("excess", "b")).alias("hub")), "a")
+    hubs = hubs.groupBy("a").agg(F.min("hub").alias("hub"), F.min(F.when(~near & (F.col("part") != F.col("core")), F.col("excess"))).alias("outer"))
+    return rows.join(hubs, "a").withColumn("near", near)
 
 
-def _open_pairs(hubbed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one centre, in different components, whose deltas can share enough: they meet in the rarest items of either.
+def _met(hubbed: DataFrame, percent: int) -> DataFrame:
+    """Rows ``(a, x_b, b)``, one for each item in which two members of one centre and of different components meet.
 
     A pair is met from its member of larger excess, which is not linked with the hub. What it has to share grows with both excesses, so
-    members far from the centre post only their own rarest differences, and none is paired for its size. The items in which a pair has met
-    are counted: where it has to share more than its members have left unposted, it must have met in the others.
+    members far from the centre post only their own rarest differences, and none is paired for its size. ``left`` counts a member's items from
+    this one on, in the order of rarity: a linked pair has all that it shares left where it first meets, and rows with fewer are not made.
     """
-    rows = hubbed.withColumn("part", F.when(F.col("near"), F.col("core")).otherwise(F.col("part")))
-    outside = rows.filter("part != core").groupBy("a").agg(F.min("excess").alias("outer"))
+    rows = hubbed.filter("outer is not null").withColumn("part", F.when(F.col("near"), F.col("core")).otherwise(F.col("part")))
     unit = 2 * (100 + percent)
     share = lambda x: F.greatest(F.lit(1), F.ceil((F.col("excess") + x) / F.lit(unit)))
-    rows = rows.join(outside, "a").withColumns({"posted": share(F.greatest("outer", "excess")), "sought": share(F.col("hub.excess"))})
-    kept = ["a", "b", "part", "core", "s", "excess", "posted", "sought"]
-    items = rows.filter("s >= posted or part != core").select("delta", *kept).mapInArrow(_delta_rows, "item long, " + ", ".join(f"{c} long" for c in kept))
+    rows = rows.withColumns({"posted": share(F.greatest("outer", "excess")), "sought": share(F.col("hub.excess"))}).filter("s >= posted or part != core")
+    items = rows.select("delta", "a", "b").mapInArrow(_delta_rows, "item long, a long, b long")
     shared = items.join(items.groupBy("a", "item").agg(F.count("*").alias("f")).filter("f > 1"), ["a", "item"])
     own = Window.partitionBy("a", "b")
-    ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("f", "item"))).withColumn("m", F.count("*").over(own))
     # items that no other member has come first in the order of rarity
-    sought = ranked.filter("part != core and rank - m + sought <= 1").select(*(F.col(c).alias(f"x_{c}") for c in ("a", "item", "b", "part", "s", "excess", "sought")))
-    posted = ranked.filter("rank - m + posted <= 1").select("a", "item", "b", "part", "s", "excess", "posted")
+    place = F.count("*").over(own) - F.row_number().over(own.orderBy("f", "item")) + 1
+    ranked = shared.join(rows.select("a", "b", "part", "core", "excess", "posted", "sought"), ["a", "b"]).withColumn("left", place)
+    ranked = settle(ranked.filter("left >= posted or (part != core and left >= sought)"), "ranked")
+    sought = ranked.filter("part != core and left >= sought").select(*(F.col(c).alias(f"x_{c}") for c in ("a", "item", "b", "part", "excess", "sought", "left")))
+    posted = ranked.filter("left >= posted").select("a", "item", "b", "part", "excess", "posted", "left")
     earlier = F.struct("excess", "b") < F.struct("x_excess", "x_b")
-    enough = F.col("excess") + F.col("x_excess") <= F.lit(unit) * F.least("s", "x_s")
+    enough = F.col("excess") + F.col("x_excess") <= F.lit(unit) * F.least("left", "x_left")
     met = sought.join(posted, (F.col("x_a") == F.col("a")) & (F.col("x_item") == F.col("item")) & (F.col("x_part") != F.col("part")) & earlier & enough)
-    # a member that posts for t items leaves out its t - 1 last ones: a pair that has to share n has met in n - t + 1
-    need = share(F.col("x_excess")) - F.greatest("x_sought", "posted") + 1
-    pairs = met.groupBy("a", "x_b", "b").agg(F.count("*").alias("n"), F.min(need).alias("need")).filter("n >= need")
-    return pairs.select(F.least("x_b", "b").alias("a"), F.greatest("x_b", "b").alias("b")).distinct()
+    return met.select("a", "x_b", "b")
+
+
+def _open_pairs(hubbed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one centre, in different components, whose deltas can share enough: they have met with so many items left."""
+    return _met(hubbed, percent).select(F.least("x_b", "b").alias("a"), F.greatest("x_b", "b").alias("b")).distinct()
+
+
+def _confirmed(pairs: DataFrame, parts: DataFrame | None, confirm: _Confirmer, tries: int) -> DataFrame | None:
+    """Links among ``pairs`` that connect all components which the linked ones of them connect.
+
+    One link between two components is enough: ``tries`` pairs of each two are confirmed first, the others only where these are not linked.
+    """
+    if parts is not None:
+        for c in ("a", "b"):
+            pairs = pairs.join(parts.select(F.col("node").alias(c), F.col("component").alias(f"part_{c}")), c, "left")
+    part_a, part_b = (F.lit(None) if parts is None else F.col(f"part_{c}") for c in ("a", "b"))
+    part_a, part_b = F.coalesce(part_a, F.col("a")), F.coalesce(part_b, F.col("b"))
+    pairs = settle(pairs.select("a", "b", F.least(part_a, part_b).alias("p"), F.greatest(part_a, part_b).alias("q")), "open")
+    if pairs.isEmpty():
+        return None
+    place = F.row_number().over(Window.partitionBy("p", "q").orderBy(F.xxhash64("a", "b"), "a", "b"))
+    first = settle(pairs.withColumn("place", place).filter(F.col("place") <= tries).drop("place"), "first")
+    found = settle(confirm(first), "found")
+    linked = first.join(found, ["a", "b"]).select("p", "q").distinct()
+    rest = settle(pairs.join(linked, ["p", "q"], "left_anti").join(first, ["a", "b"], "left_anti").select("a", "b"), "rest")
+    return found if rest.isEmpty() else found.unionByName(confirm(rest))
 
 
 def near_duplicates(docs: DataFrame, spec: NearSpec | None = None, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -336,10 +379,10 @@ def _classified(docs: DataFrame, spec: NearSpec, id_column: str, text: str) -> D
         links = settle(found if links is None else found.unionByName(links), "links")
         parts = connected_components(links)
     members = _open_members(_labelled(posts, parts), links)
-    hubbed = _with_hub(settle(confirm.differences(members), "differences"), spec.percent)
+    hubbed = settle(_with_hub(settle(confirm.differences(members), "differences"), spec.percent), "hubbed")
     to_hub = hubbed.filter("near and b != hub.b").select(F.col("hub.b").alias("a"), "b").distinct()
-    rest = settle(_matching(_open_pairs(hubbed, spec.percent), sigs, spec).select("a", "b"), "rest")
-    found = to_hub if rest.isEmpty() else to_hub.unionByName(confirm(rest))
+    more = _confirmed(_open_pairs(hubbed, spec.percent), parts, confirm, spec.tries)
+    found = to_hub if more is None else to_hub.unionByName(more)
     parts = connected_components(found if links is None else links.unionByName(found))
 
     of_class = classes.select("h1", "h2", "id").join(parts.select(F.col("node").alias("id"), "component"), "id", "left")

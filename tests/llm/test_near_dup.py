@@ -153,3 +153,37 @@ def test_a_pair_is_made_only_if_it_met_in_as_many_items_as_a_link_takes(spark, s
     rows = [(0, b, b, 0, 77, len(x), np.array(x, np.int64).tobytes()) for b, x in enumerate([[], near, far])]
     differences = spark.createDataFrame(rows, "a long, b long, part long, core long, n long, s long, delta binary")
     assert [tuple(r) for r in near_dup._open_pairs(near_dup._with_hub(differences, 80), 80).collect()] == made
+
+
+@pytest.mark.parametrize("shared, rows", [(5, 0), (9, 0), (10, 1), (12, 3)])
+def test_members_meet_only_in_items_with_enough_left_to_share(spark, shared, rows):
+    """Those of 77 shingles that differ from the centre in 12 and 24 meet where 10 shared items are left: not in each of the rarest."""
+    far = [*range(shared), *range(100, 124 - shared)]
+    members = [(0, b, b, 0, 77, len(x), np.array(x, np.int64).tobytes()) for b, x in enumerate([[], [*range(12)], far])]
+    differences = spark.createDataFrame(members, "a long, b long, part long, core long, n long, s long, delta binary")
+    assert near_dup._met(near_dup._with_hub(differences, 80), 80).count() == rows
+
+
+def test_few_texts_that_are_no_candidates_are_shuffled(spark):
+    texts = spark.range(-20_000, 20_000).select("id", near_dup.F.lit("some text").alias("text"))
+    wanted = [*range(-20_000, 20_000, 40), 1 << 62]
+    ids = {r.id for r in near_dup._narrowed(texts, spark.createDataFrame([(i,) for i in wanted], "id long")).collect()}
+    assert ids >= set(wanted[:-1])
+    assert len(ids) < 1100
+    assert near_dup._narrowed(texts, spark.createDataFrame([], "id long")).isEmpty()
+
+
+@pytest.mark.parametrize("links", [set(range(1, 51)), {17}, set()])
+def test_two_linked_components_are_not_compared_member_by_member(spark, links):
+    parts = spark.createDataFrame([(i, 1) for i in range(1, 51)], "node long, component long")
+    pairs = spark.createDataFrame([(i, 100) for i in range(1, 51)], "a long, b long")
+    asked = []
+
+    def confirm(some):
+        asked.append(some.count())
+        return some.filter(some.a.isin([*links] or [0])).select("a", "b")
+
+    found = near_dup._confirmed(pairs, parts, confirm, 4)
+    assert {r.a for r in found.collect()} <= links and (found.count() > 0) == bool(links)
+    assert asked in ([[4], [4, 46]] if links == {17} else [[4]] if links else [[4, 46]])
+    assert near_dup._confirmed(pairs.limit(0), parts, confirm, 4) is None
