@@ -186,7 +186,8 @@ class _Confirmer:
         if self.kept is not None:
             wanted = settle(wanted.join(self.kept.select("id"), "id", "left_anti"), "wanted")
         if self.kept is None or not wanted.isEmpty():
-            more = settle(_narrowed(self.texts, wanted).join(wanted, "id", "left_semi").select("id", "text"), "texts")
+            # an inner join (ids are wanted once): Spark would put a semi join before the filter, and shuffle all texts
+            more = settle(_narrowed(self.texts, wanted).join(wanted, "id").select("id", "text"), "texts")
             self.kept = more if self.kept is None else self.kept.unionByName(more)
         with_b = pairs.join(self.kept.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         return with_b.join(self.kept.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
