@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.llm import compression, mixing, near_dup, packing, suffix_dedup
-from hourloom.llm.workers import records_per_batch, share_package
+from hourloom.llm.workers import BYTES, ROWS, records_per_batch, share_package
 from hourloom.sources.workspace import fresh_folder
 
-BATCH_ROWS = 512  # of texts that a Python worker gets at once, and its executor holds for it
+BATCH_ROWS, BATCH_BYTES = 512, 1 << 20  # of texts that a Python worker gets at once, and its executor holds for it
 
 
 def small_batches(spark: SparkSession) -> None:
     """From now on texts go to Python in small batches: a stage returns rows that are only computed when they are written."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set(ROWS, BATCH_ROWS)
+    spark.conf.set(BYTES, BATCH_BYTES)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage's rows are written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    with records_per_batch(spark, BATCH_ROWS):
+    with records_per_batch(spark, BATCH_ROWS, BATCH_BYTES):
         for name, stage in STAGES:
             path = fresh_folder(spark, name.replace(" ", "-"))
             stage(spark, docs, sf_dir).write.parquet(path)

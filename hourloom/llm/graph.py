@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.sources.workspace import settle
+from hourloom.sources.workspace import settle_narrow
 
 
 def _is_star_forest(edges: DataFrame) -> bool:
@@ -34,7 +34,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     and self links say nothing and are left out.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
-    edges = settle(edges, "links")
+    edges = settle_narrow(edges, "links")
     while not _is_star_forest(edges):
-        edges = settle(_small_star(_large_star(edges)), "stars")
+        edges = settle_narrow(_small_star(_large_star(edges)), "stars")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from hourloom.llm.graph import connected_components
 from hourloom.llm.textbytes import TextSlice, mixed, owners, text_slices, windows
 from hourloom.llm.workers import records_per_batch
-from hourloom.sources.workspace import settle
+from hourloom.sources.workspace import settle, settle_narrow
 
 _U = np.uint64
-SLICE = 1 << 20  # bytes of text that a worker turns into sets at once
+SLICE = 1 << 18  # bytes of text that a worker turns into sets at once
 BLOCK, BLOCKS = 1 << 15, 1 << 10  # bits of one of Spark's bitmaps, and how many of them a filter has at most
 
 
@@ -184,7 +184,7 @@ class _Confirmer:
         """``pairs`` with text_a and text_b."""
         wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         if self.kept is not None:
-            wanted = settle(wanted.join(self.kept.select("id"), "id", "left_anti"), "wanted")
+            wanted = settle_narrow(wanted.join(self.kept.select("id"), "id", "left_anti"), "wanted")
         if self.kept is None or not wanted.isEmpty():
             # an inner join (ids are wanted once): Spark would put a semi join before the filter, and shuffle all texts
             more = settle(_narrowed(self.texts, wanted).join(wanted, "id").select("id", "text"), "texts")
@@ -320,14 +320,14 @@ def _confirmed(pairs: DataFrame, parts: DataFrame | None, confirm: _Confirmer, t
             pairs = pairs.join(parts.select(F.col("node").alias(c), F.col("component").alias(f"part_{c}")), c, "left")
     part_a, part_b = (F.lit(None) if parts is None else F.col(f"part_{c}") for c in ("a", "b"))
     part_a, part_b = F.coalesce(part_a, F.col("a")), F.coalesce(part_b, F.col("b"))
-    pairs = settle(pairs.select("a", "b", F.least(part_a, part_b).alias("p"), F.greatest(part_a, part_b).alias("q")), "open")
+    pairs = settle_narrow(pairs.select("a", "b", F.least(part_a, part_b).alias("p"), F.greatest(part_a, part_b).alias("q")), "open")
     if pairs.isEmpty():
         return None
     place = F.row_number().over(Window.partitionBy("p", "q").orderBy(F.xxhash64("a", "b"), "a", "b"))
-    first = settle(pairs.withColumn("place", place).filter(F.col("place") <= tries).drop("place"), "first")
-    found = settle(confirm(first), "found")
+    first = settle_narrow(pairs.withColumn("place", place).filter(F.col("place") <= tries).drop("place"), "first")
+    found = settle_narrow(confirm(first), "found")
     linked = first.join(found, ["a", "b"]).select("p", "q").distinct()
-    rest = settle(pairs.join(linked, ["p", "q"], "left_anti").join(first, ["a", "b"], "left_anti").select("a", "b"), "rest")
+    rest = settle_narrow(pairs.join(linked, ["p", "q"], "left_anti").join(first, ["a", "b"], "left_anti").select("a", "b"), "rest")
     return found if rest.isEmpty() else found.unionByName(confirm(rest))
 
 
@@ -376,8 +376,8 @@ def _classified(docs: DataFrame, spec: NearSpec, id_column: str, text: str) -> D
         matched = _matching(_star(_labelled(posts, parts), seed), sigs, spec)
         nearest = Window.partitionBy("b").orderBy(F.desc("hits"), "a")  # at most one head for each posted coordinate
         best = matched.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= spec.heads)
-        found = confirm(settle(best.select("a", "b"), "pairs"))
-        links = settle(found if links is None else found.unionByName(links), "links")
+        found = confirm(settle_narrow(best.select("a", "b"), "pairs"))
+        links = settle_narrow(found if links is None else found.unionByName(links), "links")
         parts = connected_components(links)
     members = _open_members(_labelled(posts, parts), links)
     hubbed = settle(_with_hub(settle(confirm.differences(members), "differences"), spec.percent), "hubbed")

@@ -164,8 +164,9 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """begin[0] ... begin[0] + size[0] - 1, begin[1] ..."""
-    total = np.cumsum(size)
-    return np.arange(total[-1] if len(total) else 0) + np.repeat(begin - (total - size), size)
+    out = np.repeat(begin - (np.cumsum(size) - size), size)
+    out += np.arange(len(out))
+    return out
 
 
 class _Runs:
@@ -181,9 +182,9 @@ class _Runs:
             wide *= 2
         shift = reach - wide
         least = np.minimum(least[: len(least) - shift], least[shift:]) if len(least) > shift else least[:0]
-        ends = np.repeat(s.edges[1:], np.diff(s.edges))
-        windows = np.flatnonzero(np.arange(len(least)) + length <= ends[: len(least)])
+        windows = _ranges(s.edges[:-1], np.maximum(np.diff(s.edges) - length + 1, 0))
         key = least[windows]
+        del least
         new = np.ones(len(windows), bool)
         new[1:] = (key[1:] != key[:-1]) | (windows[1:] != windows[:-1] + 1)
         first = np.flatnonzero(new)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 21
+LEAST_POWERS = (1 << 19) + 1
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -18,9 +19,9 @@ _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every input bit moves every output bit."""
-    x = x.astype(np.uint64, copy=True)
+def mixed(x: np.ndarray, copy: bool = True) -> np.ndarray:
+    """A 64-bit finaliser: every input bit moves every output bit. Without ``copy`` an array of unsigned 64-bit numbers is changed itself."""
+    x = x.astype(np.uint64, copy=copy)
     x ^= x >> _U(30)
     x *= _U(0xBF58476D1CE4E5B9)
     x ^= x >> _U(27)
@@ -41,7 +42,7 @@ def _powers_of(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = SLICE_BYTES + 1
+    size = LEAST_POWERS
     while size < n:
         size *= 2
     return _powers_of(size)
@@ -69,7 +70,12 @@ class TextSlice:
 
     def prefix_codes(self, data: np.ndarray) -> np.ndarray:
         """Running sums of byte codes times powers: the hash of any range is a difference."""
-        return np.concatenate([[_U(0)], np.cumsum(_BYTE_CODES[data] * _powers(len(data) + 1)[0][: len(data)])])
+        sums = np.zeros(len(data) + 1, np.uint64)
+        own = sums[1:]  # made in place: a block has many bytes
+        np.take(_BYTE_CODES, data, out=own, mode="clip")
+        own *= _powers(len(data) + 1)[0][: len(data)]
+        np.cumsum(own, out=own)
+        return sums
 
     @staticmethod
     def range_hashes(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -79,7 +85,9 @@ class TextSlice:
     def spread_hashes(sums: np.ndarray, width: int) -> np.ndarray:
         """The hashes of all ranges of ``width`` bytes, as ``range_hashes`` has them."""
         n = max(0, len(sums) - width)
-        return mixed((sums[width:] - sums[:n]) * _powers(len(sums))[1][:n])
+        found = sums[width:] - sums[:n]
+        found *= _powers(len(sums))[1][:n]
+        return mixed(found, copy=False)
 
     def white(self) -> np.ndarray:
         return _WHITE[self.data]

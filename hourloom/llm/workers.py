@@ -19,13 +19,18 @@ def share_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = ":".join([ROOT, *paths])
 
 
+ROWS, BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 @contextmanager
-def records_per_batch(spark: SparkSession, records: int) -> Iterator[None]:
-    """Arrow batches of at most so many rows for the jobs that run inside, where single rows are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, records)
+def records_per_batch(spark: SparkSession, records: int, size: int | None = None) -> Iterator[None]:
+    """Arrow batches of at most so many rows for the jobs that run inside, where single rows are large; with ``size``, that end where they have so many bytes."""
+    wanted = {ROWS: records} | ({} if size is None else {BYTES: size})
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)

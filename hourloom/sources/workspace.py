@@ -75,6 +75,15 @@ def settle(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_narrow(df: DataFrame, name: str) -> DataFrame:
+    """``settle`` for rows of a few numbers: a sixteenth of the shuffle's partitions write them, four at least.
+
+    A partition that adaptive execution has not merged with others is a file of its own, and for each file on a local disk
+    Hadoop starts several processes (``chmod``). The partitions of a writer are taken one after another, so it needs no more memory.
+    """
+    return settle(df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)), name)
+
+
 def settle_counted(df: DataFrame, name: str, where: Column | None = None) -> tuple[DataFrame, int]:
     """``settle``, and the number of rows (for which ``where`` holds), observed while they are written: no further job."""
     seen = Observation()

@@ -1,11 +1,15 @@
 import random
 import re
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hourloom.llm import near_dup
 from hourloom.llm.graph import connected_components
 from hourloom.llm.near_dup import NearSpec, drop_near_duplicates, near_duplicates
+from hourloom.sources import workspace
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -187,3 +191,38 @@ def test_two_linked_components_are_not_compared_member_by_member(spark, links):
     assert {r.a for r in found.collect()} <= links and (found.count() > 0) == bool(links)
     assert asked in ([[4], [4, 46]] if links == {17} else [[4]] if links else [[4, 46]])
     assert near_dup._confirmed(pairs.limit(0), parts, confirm, 4) is None
+
+
+def test_tables_of_ids_are_few_files(spark):
+    """Small partitions that adaptive execution leaves as they are: each would be a file, and each file starts processes on a local disk."""
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    rows, files = corpus(8), {}
+    with workspace.work_scope() as folders:
+        try:
+            for k, v in conf.items():
+                spark.conf.set(k, v)
+            got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), NearSpec(words=4)).collect()}
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        for f in folders:
+            name = Path(f.removeprefix("file:")).name.split("-")[0]
+            files[name] = max(files.get(name, 0), len([*Path(f.removeprefix("file:")).glob("*.parquet")]))
+    assert got == {i: c for i, (_, c) in brute(rows, 4).items()}
+    ids = {"pairs", "links", "stars", "open", "first", "found", "rest", "wanted"}
+    assert ids <= set(files) and all(files[x] <= 4 for x in ids)
+
+
+def test_sets_of_many_texts_are_made_some_at_a_time():
+    text = " ".join(f"w{i}" for i in range(1500))
+    column = pa.array([text] * 200)
+    list(near_dup._each_set(column, 5))  # tables that stay are made
+    tracemalloc.start()
+    try:
+        sizes = [len(x) for x in near_dup._each_set(column, 5)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sizes == [1496] * 200
+    assert peak < 12 * len(text) * len(column)

@@ -1,8 +1,10 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 from hourloom.llm import queries
 from hourloom.llm.compression import Bands
+from hourloom.llm.workers import records_per_batch
 from tests.llm import test_compression, test_near_dup, test_suffix_dedup
 from tests.llm.test_mixing import WORD, capped_targets
 
@@ -68,3 +70,15 @@ def test_all_are_registered():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(queries.ORACLES) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "repeated passages", "source mix", "packing"]
+
+
+def test_long_texts_go_to_python_a_megabyte_at_a_time(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    texts = spark.range(40, numPartitions=1).selectExpr("repeat('x', 100000) as text")
+    with records_per_batch(spark, 10_000, 1 << 30):
+        corpus_pipeline.small_batches(spark)
+        got = texts.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 40 and max(r.size for r in got) < 1_300_000

@@ -1,10 +1,13 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hourloom.llm import suffix_dedup
 from hourloom.llm.suffix_dedup import RepeatSpec, remove_repeats, repeated_spans, suffix_order, window_classes
+from hourloom.llm.textbytes import text_slices
 
 
 def brute(rows, length):
@@ -87,3 +90,18 @@ def test_frames_return_what_they_were_given():
         got, sizes = suffix_dedup._together(bodies, np.int32, np.uint64, np.uint8, squeezed=squeeze)
         assert [x.tolist() for x in got] == [[3, 1, 3, 1], [2**63, 5, 2**63, 5], []] and sizes.tolist() == [2, 2]
     assert len(suffix_dedup._frame(np.arange(3, dtype=np.uint32), np.ones(3, np.uint16))) == 2 * 8 + 3 * 6
+
+
+def test_a_block_takes_few_times_its_bytes():
+    """Two workers of an executor hold a block's arrays each, 16 MB for every 8 bytes a byte of text."""
+    text = random.Random(4).randbytes(1 << 17).hex()
+    block = next(text_slices(pa.array([text, "", text[:70], None, "x" * 49]), 1 << 62))
+    suffix_dedup._Runs(block, RepeatSpec())  # tables that stay are made
+    tracemalloc.start()
+    try:
+        runs = suffix_dedup._Runs(block, RepeatSpec())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 42 * len(block.data)
+    assert runs.count.sum() == len(text) - 49 + 21
