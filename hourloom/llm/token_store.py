@@ -9,11 +9,12 @@ rows by index. Reading is parallel by stripe.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourloom.llm.textbytes import text_slices
+from hourloom.llm.textbytes import _LOWER, TextSlice, text_slices
 from hourloom.sources.workspace import settle
 
 
@@ -49,6 +50,15 @@ _PRE_TOKENIZER = {
 # The ASCII part of that pattern, for lower-cased text.
 _ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
 _CLOSING = b".,;:!?*#$%&|"
+# What the tokenizer's preparation leaves as it is, besides ASCII pieces.
+_PREPARED = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+# Kinds of ASCII bytes in that pattern.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KINDS[0x30:0x3A] = _DIGIT
+_TAILS = ((b"s",), (b"t",), (b"r", b"e"), (b"v", b"e"), (b"m",), (b"l", b"l"), (b"d",))
 
 
 def goes_by_words(model: dict) -> bool:
@@ -66,29 +76,84 @@ def _cut(word: bytes) -> list[bytes]:
     if word.isascii():
         return _ASCII_PIECES.findall(word.lower())
     core = word.rstrip(_CLOSING)
-    if core != word and core and core.decode()[-1].isalpha():
+    if core != word and core and core.decode()[-1].lower().isalpha():
         return [core, word[len(core) :]]
     return [word]
 
 
-class _Encoder:
-    """Ids of texts by words between ASCII white space, which the tokenizer drops and never joins across.
+def units_of(s: TextSlice) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """What the texts of a slice are encoded by, and the edges of the documents among it.
 
-    ASCII texts are lower-cased and cut where the tokenizer's own pattern cuts them, words of other texts so if they are
-    ASCII, else where punctuation follows a letter. Pieces and words repeat, so each is encoded once while it
-    is remembered; words that may hold a special token go to the library whole. So do all texts of any other tokenizer. So do the texts of any other tokenizer.
+    Words between ASCII white space, which the tokenizer drops and never joins across, are lower-cased and cut where its own
+    pattern cuts them, if they consist of ASCII and the letters from U+00C0 to U+00FF. Others stay as they are, also those that
+    may hold a special token; what a unit is can be told from its bytes.
     """
+    data, n = s.data, len(s.data)
+    edge = np.zeros(n + 1, bool)
+    edge[s.edges] = True
+    kind, low = _KINDS[data], _LOWER[data]
+    odd = np.zeros(n, bool)
+    if n and data.max() > 0x7F:
+        second = np.zeros(n, bool)
+        second[1:] = data[:-1] == 0xC3
+        letter = second & (data > 0x7F) & (data < 0xC0) & (data & 0xDF != 0x97)  # not the signs of multiplication and division
+        low[letter & (data < 0x9F)] += 0x20
+        first = np.append(letter[1:], False)
+        kind[letter | first] = _LETTER
+        odd = (data > 0x7F) & ~letter & ~first
+    mark = np.flatnonzero(data[:-1] == 0x3C)
+    odd[mark[data[mark + 1] == 0x7C]] = True
+    solid = kind != _SPACE
+    begin = solid.copy()
+    begin[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT) | edge[1:-1]
+    quote = np.flatnonzero(data == 0x27)
+    quote = quote[begin[quote]]
+    for tail in _TAILS:
+        at = quote[quote + len(tail) < n]
+        for k, letter in enumerate(tail, 1):
+            at = at[(low[at + k] == letter[0]) & ~edge[at + k]]
+        after = at + len(tail) + 1
+        begin[at + 1] = False
+        after = after[after < n]
+        begin[after[kind[after] == _LETTER]] = True
+    if odd.any():
+        word = solid.copy()
+        word[1:] &= ~solid[:-1] | edge[1:-1]
+        first = np.flatnonzero(word)
+        last = np.flatnonzero(solid & np.append(~solid[1:] | edge[1:-1], True)) + 1
+        whole = np.unique(np.searchsorted(first, np.flatnonzero(odd), side="right") - 1)
+        inside = np.zeros(n + 1, np.int8)
+        inside[first[whole]] += 1
+        inside[last[whole]] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+        low = np.where(inside, data, low)
+        begin = np.where(inside, word, begin)
+    starts = np.flatnonzero(begin)
+    offsets = np.append(np.flatnonzero(begin[solid]), np.count_nonzero(solid)).astype(np.int64)
+    units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(low[solid])])
+    return units, np.searchsorted(starts, s.edges)
+
+
+class _Encoder:
+    """Ids of texts by the units of ``units_of``, each encoded once while it is remembered; texts of any other tokenizer go to the library whole."""
 
     _loaded: dict[int, _Encoder] = {}
 
     def __init__(self, model: str, limit: int):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.limit, self.known, self.pieces = Tokenizer.from_str(model), limit, {}, {}
+        self.tokenizer, self.limit = Tokenizer.from_str(model), limit
         self.by_words = goes_by_words(json.loads(model))
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # The same model for pieces that are prepared and cut already.
+        self.merger = Tokenizer.from_str(model)
+        if self.by_words:
+            self.merger.normalizer = None
+            self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self._forget()
 
     @classmethod
     def of(cls, model: str, limit: int) -> _Encoder:
@@ -97,44 +162,70 @@ class _Encoder:
             cls._loaded[key] = cls(model, limit)
         return cls._loaded[key]
 
-    def _learn_together(self, pieces: list[bytes], at_once: int = 2000) -> None:
+    def _forget(self) -> None:
+        self.rows: dict[bytes, int] = {}  # the place of a unit in the two arrays
+        self.edges, self.ids = np.zeros(1, np.int64), np.empty(0, np.int32)
+
+    def _remember(self, units: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.rows.update(zip(units, range(len(self.edges) - 1, len(self.edges) - 1 + len(units)), strict=True))
+        self.edges = np.concatenate([self.edges, self.edges[-1] + np.cumsum(sizes, dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _places(self, units: Sequence[bytes]) -> np.ndarray:
+        """Where units are remembered; -1 for others."""
+        return np.fromiter(map(self.rows.get, units, repeat(-1)), np.int64, len(units))
+
+    def _spread(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of remembered units one after the other, and the number of each."""
+        sizes = self.edges[places + 1] - self.edges[places]
+        return self.ids[np.repeat(self.edges[places] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())], sizes
+
+    def _learn_together(self, tokenizer, pieces: list[bytes], at_once: int = 20_000) -> None:
         """Encode pieces that the tokenizer keeps whole, many in one text; the ids that close a word tell them apart.
 
-        Where a piece turns out to be more than one word, its text is left for one-by-one encoding.
+        Where a piece turns out to be more than one word, none of its text is remembered.
         """
         for i in range(0, len(pieces), at_once):
             part = pieces[i : i + at_once]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.int32)
+            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.int32)
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(part) and len(ids) == ends[-1]:
-                begin = 0
-                for p, end in zip(part, ends.tolist(), strict=True):
-                    self.pieces[p] = ids[begin:end].tobytes()
-                    begin = end
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+                self._remember(part, np.diff(ends, prepend=0), ids)
+
+    def _learn(self, units: list[bytes]) -> None:
+        self._learn_together(self.merger, [u for u in units if _PREPARED.fullmatch(u)])
+        cut = {u: _cut(u) for u in units if u not in self.rows}
+        pieces = [p for p in dict.fromkeys(p for c in cut.values() for p in c) if p not in self.rows]
+        prepared = [p for p in pieces if (p.isascii() and b"<|" not in p) or _PREPARED.fullmatch(p)]
+        self._learn_together(self.merger, prepared)
+        self._learn_together(self.tokenizer, [p for p in set(pieces).difference(prepared) if p.decode().isalpha()])
+        rest = [p for p in pieces if p not in self.rows]
+        if rest:
+            found = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)]
+            self._remember(rest, np.array([len(x) for x in found]), np.array([i for x in found for i in x], np.int32))
+        words = [u for u in cut if u not in self.rows]
+        if words:
+            ids, sizes = self._spread(self._places([p for w in words for p in cut[w]]))
+            counts = np.array([len(cut[w]) for w in words])
+            self._remember(words, np.add.reduceat(sizes, np.cumsum(counts) - counts), ids)
+
+    def __call__(self, s: TextSlice) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a slice one after the other, and the number of each text."""
         if not self.by_words:
-            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-            return [array("i", x.ids).tobytes() for x in found]
-        for memory in (self.known, self.pieces):
-            if len(memory) > self.limit:
-                memory.clear()
-        plain = [t.isascii() and b"<|" not in t for t in texts]
-        units = [_ASCII_PIECES.findall(t.lower()) if ascii_only else t.split() for t, ascii_only in zip(texts, plain, strict=True)]
-        words = set().union(*(u for u, ascii_only in zip(units, plain, strict=True) if not ascii_only))
-        new = {w: _cut(w) for w in words if w not in self.known}
-        wanted = set().union(*new.values(), *(u for u, ascii_only in zip(units, plain, strict=True) if ascii_only))
-        self._learn([p for p in wanted if p not in self.pieces])
-        for w, pieces in new.items():
-            self.known[w] = b"".join([self.pieces[p] for p in pieces])
-        return [b"".join(map((self.pieces if ascii_only else self.known).__getitem__, u)) for u, ascii_only in zip(units, plain, strict=True)]
-
-    def _learn(self, unseen: list[bytes]) -> None:
-        self._learn_together([p for p in unseen if (p.isascii() and b"<|" not in p) or p.decode().isalpha()])
-        rest = [p for p in unseen if p not in self.pieces]
-        for p, found in zip(rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False), strict=True):
-            self.pieces[p] = array("i", found.ids).tobytes()
+            found = [x.ids for x in self.tokenizer.encode_batch_fast([s.text(i).decode() for i in range(len(s))], add_special_tokens=False)]
+            return np.array([i for x in found for i in x], np.int32), np.array([len(x) for x in found], np.int64)
+        if len(self.rows) > self.limit:
+            self._forget()
+        units, edges = units_of(s)
+        coded = units.dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False)
+        places = self._places(different)
+        new = np.flatnonzero(places < 0)
+        self._learn(different[new].tolist())
+        places[new] = self._places(different[new])
+        ids, sizes = self._spread(places[coded.indices.to_numpy()])
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(total[edges])
 
 
 def encode(docs: DataFrame, model: str, spec: TokenSpec, id_column: str, text: str) -> DataFrame:
@@ -143,12 +234,15 @@ def encode(docs: DataFrame, model: str, spec: TokenSpec, id_column: str, text: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder.of(shared.value, spec.cached_words)
-        end = array("i", [spec.end_id]).tobytes()
         for batch in batches:
             for s in text_slices(batch.column(1)):
-                found = [x + end for x in encoder([s.text(i) for i in range(len(s))])]
-                edges = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(found), np.int32)))
+                found, sizes = encoder(s)
+                edges = np.concatenate([[0], np.cumsum(sizes + 1)])
+                ends = np.zeros(edges[-1], bool)
+                ends[edges[1:] - 1] = True
+                closed = np.full(edges[-1], spec.end_id, np.int32)
+                closed[~ends] = found
+                ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(closed))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, len(s)), ids], names=["id", "ids"])
 
     kind = dict(docs.dtypes)[id_column]
@@ -210,4 +304,5 @@ def with_running_start(rows: DataFrame, value: str, name: str, order: Sequence[s
 
 def token_report(tokens: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``(id_column, start, n_tokens, ids_crc32)``; ``start`` counts the ids of all documents before a document."""
-    return with_running_start(checksums(tokens, id_column), "n_tokens", "start", [id_column, "ids_crc32", "n_tokens"])
+    rows = settle(checksums(tokens, id_column), "checksums")  # the sort samples its rows first, and files should be read once
+    return with_running_start(rows, "n_tokens", "start", [id_column, "ids_crc32", "n_tokens"])

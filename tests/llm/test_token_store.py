@@ -6,8 +6,10 @@ import zlib
 from pathlib import Path
 
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.orc
-from hourloom.llm.token_store import TokenSpec, goes_by_words, read_tokens, token_report, write_tokens
+from hourloom.llm.textbytes import text_slices
+from hourloom.llm.token_store import TokenSpec, _Encoder, goes_by_words, read_tokens, token_report, units_of, write_tokens
 from tokenizers import Tokenizer
 
 MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -83,3 +85,39 @@ def test_a_very_long_text(spark, tmp_path):
     for i, t in rows:
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
         assert got[i] == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+
+
+def test_letters_beyond_ascii_are_cut_and_remembered_as_ascii_is():
+    """Case and punctuation make no new units of words with such letters, and each unit is encoded once."""
+    texts = ["Été, ÉTÉ. été!", None, "l'été <|x| 3×4 ½É", "ÀÖØÞ's"]
+    block = next(text_slices(pa.array(texts)))
+    units, edges = units_of(block)
+    found = [u.decode() for u in units.to_pylist()]
+    assert [found[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)] == [
+        ["été", ",", "été", ".", "été", "!"], [], ["l", "'", "été", "<|x|", "3×4", "½É"], ["àöøþ", "'s"],
+    ]
+    encoder, library = _Encoder(Path(MODEL).read_text(), 1000), Tokenizer.from_file(MODEL)
+    for _ in range(2):
+        ids, sizes = encoder(block)
+        assert ids.tolist() == [i for t in texts for i in library.encode(t or "", add_special_tokens=False).ids]
+        assert sizes.tolist() == [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+        encoder.tokenizer = encoder.merger = None  # nothing is left to encode
+
+
+def test_a_letter_that_is_lower_cased_to_a_letter_and_a_mark():
+    """The mark belongs to the punctuation that follows."""
+    library = Tokenizer.from_file(MODEL)
+    texts = ["İ, BİR İ!", "xİ|"]
+    ids, _ = _Encoder(Path(MODEL).read_text(), 1000)(next(text_slices(pa.array(texts))))
+    assert ids.tolist() == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids]
+
+
+def test_texts_cut_at_random_equal_the_library():
+    rng = random.Random(11)
+    parts = [*"abstmdrelv'ABZS .,!<|>0129\n\t\x0b\x1c\x00é É ßÀÞ×÷ÿªº²½¿ \́ΣςçÇİıŒ日\u3000🙂’…", "'s", "'re", "'ll", "'S", "<|endoftext|>", " ", " "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(50))) for _ in range(3000)]
+    encoder, library = _Encoder(Path(MODEL).read_text(), 500), Tokenizer.from_file(MODEL)
+    for block in text_slices(pa.array(texts), 20_000):
+        ids, sizes = encoder(block)
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts[block.first : block.first + len(block)]]
+        assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
