@@ -54,15 +54,21 @@ class RepeatSpec:
 # --- suffix sort -----------------------------------------------------------------
 
 
-def _names(*keys: np.ndarray) -> np.ndarray:
-    """Dense ranks, from 1, of rows of keys; the first key counts most."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), np.int64)
-    for key in keys:
-        new[1:] |= key[order[1:]] != key[order[:-1]]
-    out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(new) + 1
-    return out
+def _names(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dense ranks, from 1, of rows of keys, of which the first counts most, and an order of the rows by them. Several keys are ranks or zero."""
+    key = keys[0]
+    for more in keys[1:]:
+        wide, bits = int(more.max(initial=0)).bit_length(), int(key.max(initial=0)).bit_length()
+        if wide + bits > 63:
+            key = _names(key)[0]
+        key = (key << wide) | more
+    order = np.argsort(key)
+    key = key[order]
+    new = np.ones(len(order), np.int64)
+    new[1:] = key[1:] != key[:-1]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new)
+    return rank, order
 
 
 def packed(text: np.ndarray, reach: int) -> np.ndarray:
@@ -76,21 +82,21 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n)
-    chars = packed(text, 24)
+    chars, _ = _names(packed(text, 24))
     sampled = np.flatnonzero(np.arange(n) % 3 != 0)
     span, names = 24, np.zeros(n + 1, np.int64)
-    names[sampled] = _names(chars[sampled], chars[sampled + 8], chars[sampled + 16])
+    names[sampled], order = _names(chars[sampled], chars[sampled + 8], chars[sampled + 16])
     while span < depth and names.max() < len(sampled):
         far, farther = np.minimum(sampled + span, n), np.minimum(sampled + 2 * span, n)
-        names[sampled] = _names(names[sampled], names[far], names[farther])
+        names[sampled], order = _names(names[sampled], names[far], names[farther])
         span *= 3
-    order = sampled[np.argsort(names[sampled], kind="stable")]
+    order = sampled[order]
     rest = np.arange(0, n, 3)
     ends = np.concatenate([text.astype(np.int64), np.zeros(2, np.int64)])
     names = np.append(names, 0)
     one = lambda p: (ends[p] << 40) | names[p + 1]  # noqa: E731  against positions 1 modulo 3
     two = lambda p: (ends[p] << 48) | (ends[p + 1] << 40) | names[np.minimum(p + 2, n)]  # noqa: E731  against 2 modulo 3
-    rest = rest[np.argsort(one(rest), kind="stable")]
+    rest = rest[np.argsort(one(rest))]
     first, second = order[order % 3 == 1], order[order % 3 == 2]
     at = np.arange(len(rest)) + np.searchsorted(one(first), one(rest)) + np.searchsorted(two(second), two(rest))
     at = np.maximum.accumulate(at - np.arange(len(rest))) + np.arange(len(rest))
@@ -173,25 +179,39 @@ class _Runs:
     """Runs of neighbouring windows of a block with one key."""
 
     def __init__(self, s: TextSlice, spec: RepeatSpec):
-        n, k, length = len(s.data), spec.print_bytes, spec.length
         self.sums = s.prefix_codes(s.data)
-        least = s.spread_hashes(self.sums, k)
-        wide, reach = 1, length - k + 1  # substrings in a window
-        while wide * 2 <= reach:
-            least = np.minimum(least[: len(least) - wide], least[wide:]) if len(least) > wide else least[:0]
-            wide *= 2
-        shift = reach - wide
-        least = np.minimum(least[: len(least) - shift], least[shift:]) if len(least) > shift else least[:0]
-        windows = _ranges(s.edges[:-1], np.maximum(np.diff(s.edges) - length + 1, 0))
-        key = least[windows]
-        del least
-        new = np.ones(len(windows), bool)
-        new[1:] = (key[1:] != key[:-1]) | (windows[1:] != windows[:-1] + 1)
+        least = self.least_prints(s, spec)
+        windows = np.maximum(np.diff(s.edges) - spec.length + 1, 0)
+        begin, end = s.edges[:-1][windows > 0], (s.edges[:-1] + windows)[windows > 0]
+        new = np.ones(len(least) + 1, bool)  # runs of windows, and of places where none begins
+        np.not_equal(least[1:], least[:-1], out=new[1:-1])
+        step = np.zeros(len(least) + 1, np.int8)
+        step[begin] += 1
+        step[end] -= 1
+        inside = np.cumsum(step, dtype=np.int8).view(bool)
+        new[:-1] &= inside[:-1]
+        new[begin] = new[end] = True
         first = np.flatnonzero(new)
-        self.start = windows[first]
-        self.count = np.diff(np.append(first, len(windows)))
-        self.key = mixed(key[first])
-        self.chunk = self.print_of(s, self.start, self.start + self.count + length - 1, self.key)
+        used = inside[first]
+        self.count = np.diff(first, append=first[-1:])[used]
+        self.start = first[used]
+        self.key = mixed(least[self.start])
+        self.chunk = self.print_of(s, self.start, self.start + self.count + spec.length - 1, self.key)
+
+    def least_prints(self, s: TextSlice, spec: RepeatSpec, tile: int = 1 << 15) -> np.ndarray:
+        """The least hash of the short substrings of each window, some windows at a time, whose arrays stay near the processor."""
+        k, reach = spec.print_bytes, spec.length - spec.print_bytes + 1  # substrings in a window
+        out = np.empty(max(len(s.data) - spec.length + 1, 0), np.uint64)
+        for at in range(0, len(out), tile):
+            to = min(at + tile, len(out))
+            least = s.spread_hashes(self.sums, k, at, to + reach - 1)
+            wide = 1
+            while wide * 2 <= reach:
+                least = np.minimum(least[:-wide], least[wide:])
+                wide *= 2
+            shift = reach - wide
+            np.minimum(least[: len(least) - shift], least[shift:], out=out[at:to])
+        return out
 
     def print_of(self, s: TextSlice, begin: np.ndarray, end: np.ndarray, key: np.ndarray) -> np.ndarray:
         return mixed(s.range_hashes(self.sums, begin, end) + key * _U(3) + (end - begin).astype(np.uint64))

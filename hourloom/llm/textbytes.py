@@ -82,11 +82,11 @@ class TextSlice:
         return mixed((sums[end] - sums[begin]) * _powers(len(sums))[1][begin])
 
     @staticmethod
-    def spread_hashes(sums: np.ndarray, width: int) -> np.ndarray:
-        """The hashes of all ranges of ``width`` bytes, as ``range_hashes`` has them."""
-        n = max(0, len(sums) - width)
-        found = sums[width:] - sums[:n]
-        found *= _powers(len(sums))[1][:n]
+    def spread_hashes(sums: np.ndarray, width: int, first: int = 0, end: int | None = None) -> np.ndarray:
+        """The hashes of all ranges of ``width`` bytes that begin from ``first`` up to ``end``, as ``range_hashes`` has them."""
+        n = max(first, len(sums) - width if end is None else end)
+        found = sums[first + width : n + width] - sums[first:n]
+        found *= _powers(len(sums))[1][first:n]
         return mixed(found, copy=False)
 
     def white(self) -> np.ndarray:

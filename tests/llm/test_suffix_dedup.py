@@ -105,3 +105,47 @@ def test_a_block_takes_few_times_its_bytes():
         tracemalloc.stop()
     assert peak < 42 * len(block.data)
     assert runs.count.sum() == len(text) - 49 + 21
+
+
+def test_least_prints_of_tiles_are_those_of_the_whole_block():
+    rng = random.Random(8)
+    texts = ["", "x" * 49, "y" * 50, None, rng.randbytes(400).hex(), "ab" * 60, "z"]
+    spec = RepeatSpec()
+    block = next(text_slices(pa.array(texts), 1 << 62))
+    runs = suffix_dedup._Runs(block, spec)
+    raw = block.data.tobytes()
+    prints = block.spread_hashes(runs.sums, 20)
+    least = [prints[i : i + 31].min() for i in range(len(raw) - 49)]
+    for tile in (1, 7, 1 << 15):
+        assert runs.least_prints(block, spec, tile).tolist() == least
+    windows = [i for a, b in zip(block.edges[:-1], block.edges[1:], strict=True) for i in range(a, b - 49)]
+    assert [i for a, n in zip(runs.start, runs.count, strict=True) for i in range(a, a + n)] == windows
+    for a, n in zip(runs.start.tolist(), runs.count.tolist(), strict=True):
+        assert len(set(least[a : a + n])) == 1
+        assert a - 1 not in windows or least[a - 1] != least[a] or a in block.edges
+
+
+def test_names_of_rows_are_dense_ranks():
+    """One sort of a number that holds all keys, also where they do not fit into one at once."""
+    rng = np.random.default_rng(3)
+    for high in (3, 1 << 20, 1 << 31):
+        keys = [rng.choice(rng.integers(0, high, 30), 500) for _ in range(3)]
+        ranks, order = suffix_dedup._names(*keys)
+        rows = list(zip(*(k.tolist() for k in keys), strict=True))
+        place = {r: i for i, r in enumerate(sorted(set(rows)), 1)}
+        assert ranks.tolist() == [place[r] for r in rows]
+        assert [rows[i] for i in order] == sorted(rows)
+    assert suffix_dedup._names(np.array([1 << 63, 5, 1 << 63], np.uint64))[0].tolist() == [2, 1, 2]
+
+
+def test_runs_of_a_block_need_no_array_for_each_step():
+    text = random.Random(4).randbytes(1 << 18).hex()
+    block = next(text_slices(pa.array([text]), 1 << 62))
+    suffix_dedup._Runs(block, RepeatSpec())  # tables that stay are made
+    tracemalloc.start()
+    try:
+        suffix_dedup._Runs(block, RepeatSpec())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 28 * len(block.data)
